@@ -55,6 +55,7 @@ LAB = """lab AS (
          CAST(CASE WHEN p3.times IS NOT NULL OR s2.TRANSACTION_ID IS NOT NULL OR t.TX_AMOUNT > 220 THEN 1 ELSE 0 END AS BIGINT) AS TX_FRAUD,
          CAST(CASE WHEN p3.times IS NOT NULL THEN 3 WHEN s2.TRANSACTION_ID IS NOT NULL THEN 2
                    WHEN t.TX_AMOUNT > 220 THEN 1 ELSE 0 END AS BIGINT) AS TX_FRAUD_SCENARIO,
+         CASE WHEN t.TX_AMOUNT > 100 THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS prediction,
          COALESCE(t.TX_AMOUNT > 220, false) AS hit1, s2.TRANSACTION_ID IS NOT NULL AS hit2, p3.times IS NOT NULL AS hit3
   FROM tx t LEFT JOIN s2 ON t.TRANSACTION_ID = s2.TRANSACTION_ID LEFT JOIN p3 ON t.TRANSACTION_ID = p3.TRANSACTION_ID)"""
 

@@ -52,7 +52,12 @@ def _load_all() -> None:
     # Importing the modules registers their queries.
     from txpipe.plans import (  # noqa: F401
         q_features,
+        q_io,
         q_labels,
+        q_metrics,
+        q_scalar,
+        q_spatial,
+        q_stats,
     )
 
 
