@@ -55,9 +55,11 @@ def _load_all() -> None:
         q_io,
         q_labels,
         q_metrics,
+        q_model,
         q_scalar,
         q_spatial,
         q_stats,
+        q_stream,
     )
 
 
