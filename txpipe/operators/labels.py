@@ -12,15 +12,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txpipe import schema as S
-from txpipe.operators.picks import pick_per_day, smallest_share_per_group, start_days
+from txpipe.operators.picks import (
+    DAY_MULT,
+    ID_MULT,
+    ROW_MODULUS,
+    pick_per_day,
+    share_cutoffs,
+    smallest_share_per_group,
+    start_days,
+)
+from txpipe.session import broadcast_if_small
 
 DAY = "TX_TIME_DAYS"
 
 
-def compromises(tx: DataFrame, entity_col: str, per_day: int) -> DataFrame:
+def compromises(tx: DataFrame, entity_col: str, per_day: int, days: DataFrame | None = None) -> DataFrame:
     """``(start_day, entity_id)`` -- ``per_day`` entities per start day,
     chosen among the distinct entities seen in the transactions."""
-    return pick_per_day(tx.select(F.col(entity_col).alias("id")), start_days(tx, DAY), per_day)
+    days = days if days is not None else start_days(tx, DAY)
+    return pick_per_day(tx.select(F.col(entity_col).alias("id")), days, per_day)
 
 
 def in_window(tx: DataFrame, comp: DataFrame, entity_col: str, days: int, how: str) -> DataFrame:
@@ -68,26 +78,64 @@ def label_frauds(
     with_hits: bool = False,
 ) -> DataFrame:
     """Add ``TX_FRAUD`` and ``TX_FRAUD_SCENARIO`` (3 > 2 > 1 > 0)
-    and apply the scenario-3 amount factor ``5 ** times``."""
-    hits2 = terminal_hits(tx, comp_terminals).withColumn("hit2", F.lit(True))
-    hits3 = customer_picks(tx, comp_customers)
-    out = tx.join(hits2, "TRANSACTION_ID", "left").join(hits3, "TRANSACTION_ID", "left")
+    and apply the scenario-3 amount factor ``5 ** times``.
+
+    Plan: the transactions are scanned once and never shuffled. The small
+    side tables -- compromised terminals and customers per start day, and
+    each day's scenario-3 cutoff -- are grouped into one array per entity
+    (bounded by days x picks per day), broadcast after a size check, and
+    looked up by a hash join on unique keys; higher-order functions then
+    test every compromise of the row's terminal and customer.
+    """
+    n_days = None
+    if comp_terminals is None or comp_customers is None:
+        days, n_days = broadcast_if_small(start_days(tx, DAY), 10_000_000, with_count=True)
+        if comp_terminals is None:
+            comp_terminals = compromises(tx, "TERMINAL_ID", S.SCENARIO2_PER_DAY, days)
+        if comp_customers is None:
+            comp_customers = compromises(tx, "CUSTOMER_ID", S.SCENARIO3_PER_DAY, days)
+    cand = customer_candidates(tx, comp_customers)
+    cut = share_cutoffs(cand, "start_day", "TRANSACTION_ID", S.SCENARIO3_SHARE_DIVISOR, max_groups=n_days)
+    cust_side = (
+        comp_customers.join(cut, "start_day")
+        .groupBy(F.col("entity_id").alias("_cust"))
+        .agg(F.collect_list(F.struct("start_day", "h_cut", "id_cut")).alias("_c3"))
+    )
+    term_side = comp_terminals.groupBy(F.col("entity_id").alias("_term")).agg(F.collect_list("start_day").alias("_c2"))
+    cust_side = broadcast_if_small(cust_side, 10_000_000)
+    term_side = broadcast_if_small(term_side, 10_000_000, checkpoint=False)
+
+    day, tid = F.col(DAY), F.col("TRANSACTION_ID")
+    out = tx.join(term_side, tx["TERMINAL_ID"] == term_side["_term"], "left").join(
+        cust_side, tx["CUSTOMER_ID"] == cust_side["_cust"], "left"
+    )
+    hit2 = F.exists(
+        F.coalesce(F.col("_c2"), F.array().cast("array<bigint>")),
+        lambda d: (day >= d) & (day < d + F.lit(S.SCENARIO2_DAYS)),
+    )
+
+    def picked(e):
+        h = (tid * F.lit(ID_MULT) + e["start_day"] * F.lit(DAY_MULT)) % F.lit(ROW_MODULUS)
+        in_days = (day >= e["start_day"]) & (day < e["start_day"] + F.lit(S.SCENARIO3_DAYS))
+        return in_days & ((h < e["h_cut"]) | ((h == e["h_cut"]) & (tid <= e["id_cut"])))
+
+    c3_type = "array<struct<start_day:bigint,h_cut:bigint,id_cut:bigint>>"
+    times = F.size(F.filter(F.coalesce(F.col("_c3"), F.array().cast(c3_type)), picked))
     s1 = F.coalesce(F.col("TX_AMOUNT") > F.lit(S.SCENARIO1_AMOUNT), F.lit(False))
-    s2 = F.coalesce(F.col("hit2"), F.lit(False))
-    s3 = F.col("times").isNotNull()
+    s2 = hit2
+    s3 = times > 0
     scenario = F.when(s3, 3).when(s2, 2).when(s1, 1).otherwise(0).cast("bigint")
     amount = F.when(
-        s3, F.round(F.col("TX_AMOUNT") * F.pow(F.lit(float(S.SCENARIO3_AMOUNT_FACTOR)), F.col("times")), 2)
+        s3, F.round(F.col("TX_AMOUNT") * F.pow(F.lit(float(S.SCENARIO3_AMOUNT_FACTOR)), times), 2)
     ).otherwise(F.col("TX_AMOUNT"))
-    cols = [F.col(c) for c in tx.columns if c != "TX_AMOUNT"]
-    out = out.select(
+    cols = [F.col(c) if c != "TX_AMOUNT" else amount.alias("TX_AMOUNT") for c in tx.columns]
+    hits = [s1.alias("hit1"), s2.alias("hit2"), s3.alias("hit3")] if with_hits else []
+    return out.select(
         *cols,
-        amount.alias("TX_AMOUNT"),
         F.when(scenario > 0, 1).otherwise(0).cast("bigint").alias("TX_FRAUD"),
         scenario.alias("TX_FRAUD_SCENARIO"),
-        *([s1.alias("hit1"), s2.alias("hit2"), s3.alias("hit3")] if with_hits else []),
+        *hits,
     )
-    return out.select(*tx.columns, "TX_FRAUD", "TX_FRAUD_SCENARIO", *(["hit1", "hit2", "hit3"] if with_hits else []))
 
 
 def new_fraud_counts(labelled_with_hits: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txpipe.session import broadcast_if_small
+from txpipe.session import broadcast_if_small, materialize
 
 # --- Fixed values: hash constants of the deterministic choices. ---
 ID_MULT = 7919
@@ -58,12 +58,17 @@ def pick_per_day(
         .where(F.col("rn") <= n)
         .select("residue", "entity_id")
     )
-    cand = broadcast_if_small(cand, n * modulus)
-    need = min(n, cand.count())
+    cand, n_cand = broadcast_if_small(cand, n * modulus, with_count=True)
+    need = min(n, n_cand)
     start = (F.lit(modulus) - (F.col("start_day") * F.lit(day_mult)) % F.lit(modulus)) % F.lit(modulus)
-    days = broadcast_if_small(days.select("start_day").distinct().withColumn("start_residue", start), 10_000_000)
+    days, n_days = broadcast_if_small(
+        days.select("start_day").distinct().withColumn("start_residue", start), 10_000_000, checkpoint=False, with_count=True
+    )
 
-    width = min(first_width, modulus)
+    # Walking ``modulus / n_cand`` residues finds one candidate on average;
+    # start 8x past that for ``n`` picks, so one pass is usually exact.
+    expected = -(-n * modulus // max(1, n_cand))
+    width = min(modulus, max(first_width, 8 * expected))
     while True:
         walk = days.select(
             "start_day",
@@ -77,14 +82,56 @@ def pick_per_day(
             .where(F.col("rk") <= n)
             .select("start_day", "entity_id")
         )
-        if width >= modulus or need == 0:
-            break
-        found = picks.groupBy("start_day").agg(F.count("*").alias("k"))
-        short = days.join(found, "start_day", "left").where(F.coalesce(F.col("k"), F.lit(0)) < need)
-        if short.isEmpty():
+        picks, n_picks = materialize(picks)
+        # Every day holds at most ``need`` picks, so all days are complete
+        # exactly when the total is ``need`` per day.
+        if width >= modulus or n_picks >= need * n_days:
             break
         width = min(width * 8, modulus)
-    return broadcast_if_small(picks, 10_000_000)
+    return F.broadcast(picks) if n_picks <= 10_000_000 else picks
+
+
+def share_cutoffs(
+    rows: DataFrame,
+    group_col: str,
+    id_col: str,
+    divisor: int,
+    id_mult: int = ID_MULT,
+    group_mult: int = DAY_MULT,
+    modulus: int = ROW_MODULUS,
+    max_groups: int | None = None,
+) -> DataFrame:
+    """F5 as a per-group cutoff: ``(group, h_cut, id_cut)`` such that the
+    group keeps exactly the rows with ``(h, id) <= (h_cut, id_cut)``, where
+    ``h = (id * id_mult + group * group_mult) % modulus`` -- i.e. the
+    ``floor(size / divisor)`` smallest. Groups keeping nothing are absent.
+    One row per group, so it can be broadcast and applied row by row.
+    Only the rows of each group's boundary hash bucket are ever ordered.
+    ``max_groups``: a checked bound on the number of groups; when given and
+    small, the boundary table is broadcast without another count."""
+    h = (F.col(id_col) * F.lit(id_mult) + F.col(group_col) * F.lit(group_mult)) % F.lit(modulus)
+    tagged = rows.select(group_col, id_col).withColumn("h", h)
+    hist = tagged.groupBy(group_col, "h").agg(F.count("*").alias("c"))
+    run = Window.partitionBy(group_col).orderBy("h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(group_col)
+    boundary = (
+        hist.withColumn("upto", F.sum("c").over(run))
+        .withColumn("quota", F.floor(F.sum("c").over(whole) / F.lit(divisor)))
+        .where((F.col("quota") > 0) & (F.col("upto") >= F.col("quota")) & (F.col("upto") - F.col("c") < F.col("quota")))
+        .select(F.col(group_col).alias("_g"), F.col("h").alias("h_cut"), (F.col("quota") - (F.col("upto") - F.col("c"))).alias("take"))
+    )
+    if max_groups is not None and max_groups <= 10_000_000:
+        boundary = F.broadcast(boundary)
+    else:
+        boundary = broadcast_if_small(boundary, 10_000_000)
+    in_bucket = Window.partitionBy(group_col).orderBy(id_col)
+    return (
+        tagged.join(boundary, (F.col(group_col) == F.col("_g")) & (F.col("h") == F.col("h_cut")))
+        .select(group_col, "h_cut", "take", id_col)
+        .withColumn("rb", F.row_number().over(in_bucket))
+        .where(F.col("rb") == F.col("take"))
+        .select(group_col, "h_cut", F.col(id_col).alias("id_cut"))
+    )
 
 
 def smallest_share_per_group(

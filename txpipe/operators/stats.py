@@ -102,31 +102,74 @@ def max_day(df: DataFrame) -> DataFrame:
 
 
 def correlation_long(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
-    """A10: Pearson correlation of every pair (a <= b in list order),
-    long ``(col_a, col_b, corr)``; NaN/undefined -> NULL.
-
-    Each row is stacked into one ``(pair, x, y)`` entry per pair and a single
-    ``corr`` runs per pair: partial aggregation leaves one buffer per pair and
-    partition, so the shuffle is tiny whatever the row count."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    entries = F.array(
-        *[
-            F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-            for i, (a, b) in enumerate(pairs)
-        ]
+    """A10: Pearson correlation of every pair (a <= b in list order) over
+    pairwise-complete rows, long ``(col_a, col_b, corr)``; undefined -> NULL.
+
+    Two passes, both distributed. Pass 1 takes the column means (one
+    aggregate) to use as shifts. Pass 2 runs per Arrow batch inside the
+    executors: with X the shifted values (NULL -> 0) and M the non-NULL mask,
+    the k x k products M'M, X'M, (X*X)'M and X'X give, for every pair, the
+    count and the shifted sums over rows where both values exist. Each batch
+    emits one row per pair; Spark sums them per pair (a shuffle of
+    ``pairs x batches`` rows), and the correlation is formed from the sums.
+    Shifting by the mean keeps the sums numerically stable.
+    """
+    k = len(columns)
+    x = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    mean_row = x.agg(*[F.avg(f"c{i}").alias(f"c{i}") for i in range(k)])
+    shifted = x.select(*[(F.col(f"c{i}") - F.coalesce(mean_row.select(f"c{i}").scalar(), F.lit(0.0))).alias(f"c{i}") for i in range(k)])
+    iu, ju = _upper_pairs(k)
+
+    def partial_sums(batches):
+        import numpy as np
+        import pandas as pd
+
+        for pdf in batches:
+            vals = pdf.to_numpy(dtype="float64", na_value=np.nan)
+            mask = ~np.isnan(vals)
+            xs = np.where(mask, vals, 0.0)
+            m = mask.astype("float64")
+            n = m.T @ m
+            sx = xs.T @ m
+            sxx = (xs * xs).T @ m
+            sxy = xs.T @ xs
+            yield pd.DataFrame(
+                {
+                    "pair": np.arange(len(iu), dtype="int32"),
+                    "n": n[iu, ju],
+                    "sa": sx[iu, ju],
+                    "sb": sx[ju, iu],
+                    "saa": sxx[iu, ju],
+                    "sbb": sxx[ju, iu],
+                    "sab": sxy[iu, ju],
+                }
+            )
+
+    schema = "pair int, n double, sa double, sb double, saa double, sbb double, sab double"
+    sums = shifted.mapInPandas(partial_sums, schema).groupBy("pair").agg(
+        *[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")]
     )
-    stacked = df.select(F.inline(entries))
-    per_pair = stacked.groupBy("pair").agg(F.corr("x", "y").alias("v"))
-    names_a = F.array(*[F.lit(a) for a, _ in pairs])
-    names_b = F.array(*[F.lit(b) for _, b in pairs])
-    v = F.col("v")
-    return per_pair.select(
+    n, sa, sb = F.col("n"), F.col("sa"), F.col("sb")
+    cov = F.col("sab") - sa * sb / n
+    var_a = F.col("saa") - sa * sa / n
+    var_b = F.col("sbb") - sb * sb / n
+    r = F.when((n > 1) & (var_a > 0) & (var_b > 0), cov / F.sqrt(var_a * var_b))
+    r = F.least(F.lit(1.0), F.greatest(F.lit(-1.0), r))
+    names_a = F.array(*[F.lit(columns[i]) for i in iu])
+    names_b = F.array(*[F.lit(columns[j]) for j in ju])
+    return sums.select(
         F.element_at(names_a, F.col("pair") + 1).alias("col_a"),
         F.element_at(names_b, F.col("pair") + 1).alias("col_b"),
-        F.when(F.isnan(v), None).otherwise(F.round(v, digits)).alias("corr"),
+        F.round(r, digits).alias("corr"),
     )
 
 
+def _upper_pairs(k: int):
+    import numpy as np
+
+    return np.triu_indices(k)
+
+
 def amount_histogram(df: DataFrame, bins: int = 50, col: str = "TX_AMOUNT") -> DataFrame:
     """Equal-width histogram between min and max (last bin closed),
     bounds from scalar subqueries -- no driver round trip."""

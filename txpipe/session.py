@@ -23,6 +23,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "txpip
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
@@ -75,17 +76,34 @@ def work_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+def materialize(df: DataFrame) -> tuple[DataFrame, int]:
+    """Checkpoint ``df`` to the shared folder and return it with its row
+    count. The rows are persisted first, so the lineage runs once (a bare
+    eager checkpoint computes it twice: once to count, once to write)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist()
+    try:
+        n = cached.count()
+        small = cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
+    return small, n
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int, checkpoint: bool = True, with_count: bool = False):
     """Broadcast ``df`` only after counting it; beyond ``max_rows`` the
     planner (and AQE at run time) picks a shuffle join instead.
 
     Meant for tables whose size is bounded by construction (per-day picks,
-    hot-key lists). The table is checkpointed to the shared folder first, so
-    the count and the join read the same materialised rows and a lost
-    executor does not re-run the upstream scan.
+    hot-key lists). With ``checkpoint`` the table is first written to the
+    shared folder, so the count and the join read the same materialised rows
+    and a lost executor does not re-run the upstream scan; without it the
+    table must be cheap to recompute (derived from checkpointed inputs).
+    ``with_count`` also returns the row count.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    small = df.checkpoint(eager=True)
-    if small.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(small)
-    return small
+    if checkpoint:
+        small, n = materialize(df)
+    else:
+        small, n = df, df.count()
+    out = F.broadcast(small) if n <= max_rows else small
+    return (out, n) if with_count else out
