@@ -93,3 +93,35 @@ def test_history_days_warm_start(spark):
     w = {r["TRANSACTION_ID"]: r["CUSTOMER_ID_NB_TX_7DAY_WINDOW"] for r in warm.collect()}
     assert sorted(c) == sorted(w) == list(range(4, 10))
     assert c[4] == 1 and w[4] == 5  # days 0..4 within 7 days of day 4 (inclusive edge)
+
+
+def test_hot_customer_block_plan_matches(spark):
+    from txpipe.operators.features import SkewConfig
+    from txpipe.sources.fixture import load_transactions
+
+    tx = load_transactions(spark, "/root/testdata/sf0.001").cache()
+    plain = build_features(tx, skew=None)
+    for rpb in (1, 4):
+        hot = build_features(tx, skew=SkewConfig(min_rows=5, max_keys=1_000_000, rows_per_block=rpb))
+        assert hot.count() == plain.count()
+        assert plain.exceptAll(hot.select(*plain.columns)).count() == 0
+
+
+def test_hot_customer_frame_edges(spark):
+    from txpipe.operators.features import SkewConfig
+
+    t0 = datetime(2024, 1, 10, 12, 0, 0)
+    rows = [
+        (1, t0 - timedelta(days=1, microseconds=1), 7, 1, 10.0),
+        (2, t0 - timedelta(days=1), 7, 1, 20.0),
+        (3, t0, 7, 2, 30.0),
+        (4, t0, 7, 1, 40.0),
+        (5, t0 - timedelta(days=7), 7, 1, 1.0),
+        (6, t0 - timedelta(days=30, microseconds=1), 7, 1, 500.0),
+        (7, t0 - timedelta(days=30), 7, None, None),
+    ]
+    df = tx_rows(spark, rows)
+    plain = build_features(df, skew=None)
+    for rpb in (1, 2, 3):
+        hot = build_features(df, skew=SkewConfig(min_rows=1, max_keys=10, rows_per_block=rpb))
+        assert sorted(plain.collect()) == sorted(hot.select(*plain.columns).collect())

@@ -19,6 +19,18 @@ def w13(spark, sf):
     return FT.build_features(labelled(spark, sf))
 
 
+@query(
+    "w13_features_hot_customer_split",
+    O.with_(O.TX, O.PICKS, O.LAB, O.features_cte()) + f"SELECT {FEATURE_OUT} FROM feat",
+)
+def w13_hot(spark, sf):
+    """W13 with the skew split forced on (every customer with more than 10
+    rows counts as hot, about one row per block): the block plan must give
+    the same table as the plain windows."""
+    skew = FT.SkewConfig(min_rows=10, max_keys=1_000_000, rows_per_block=1)
+    return FT.build_features(labelled(spark, sf), skew=skew)
+
+
 def _rolling_query(i: int, spec: S.RollingSpec):
     key = f"w{i:02d}_{spec.name.lower()}"
     sql = O.with_(O.TX) + f"SELECT TRANSACTION_ID, {O.rolling_sql(spec)} AS {spec.name} FROM tx"
