@@ -62,3 +62,13 @@ def test_late_rows_behind_watermark_are_dropped(spark):
     assert hours[10]["nx_fraud_transactions"] == 0  # the 10:10 fraud row came after the watermark passed 13:20
     assert hours[13]["nx_fraud_transactions"] == 1
     assert hours[13]["nx_transactions"] == round(2 / 30, 2)
+
+
+def test_progress_rows(spark):
+    base = work_path(spark, "t-progress")
+    inp = base + "/in"
+    _write(inp, "a.txt", [_msg(i, f"2024-01-02 10:{i:02d}:00") for i in range(3)])
+    qs = SC.start_scoring(spark, SC.rule_scorer(100.0), base + "/sink", base + "/ckpt", "text", inp, {"maxFilesPerTrigger": "1"})
+    SC.await_all(qs, 300)
+    rows = H.progress_rows(spark, qs[0]).collect()
+    assert sum(r["num_input_rows"] for r in rows) == 3

@@ -122,5 +122,30 @@ def build_features(
     return fill_numeric_nulls(out) if fill_nulls else out
 
 
+def rolling_sql_text(view: str, specs: list[S.RollingSpec] | None = None) -> str:
+    """The twelve windows as one SQL statement over a registered view."""
+    specs = specs if specs is not None else S.ROLLING
+    cols = []
+    for spec in specs:
+        w = window_clause(spec.keys, spec.days)
+        v = spec.value
+        if spec.agg == "avg":
+            e = f"CAST(SUM(CAST({v} AS DECIMAL(18,2))) OVER ({w}) AS DOUBLE) / NULLIF(COUNT({v}) OVER ({w}), 0)"
+        elif spec.agg == "count":
+            e = f"COUNT({v}) OVER ({w})"
+        else:
+            e = f"MAX({v}) OVER ({w})"
+        cols.append(f"{e} AS {spec.name}")
+    return f"SELECT *, {', '.join(cols)} FROM {view}"
+
+
+def build_features_sql(tx: DataFrame, view: str = "tx_flags", weekend_mode: str = "aligned") -> DataFrame:
+    """S15 + W13 the reference's way: flags in the DataFrame API, a temp
+    view, the windows as SQL text, then NULL -> 0 (same plan as
+    :func:`build_features` without the hot-customer split)."""
+    add_flags(tx, weekend_mode).createOrReplaceTempView(view)
+    return fill_numeric_nulls(tx.sparkSession.sql(rolling_sql_text(view)))
+
+
 def feature_columns(features: DataFrame) -> list[str]:
     return [c for c in S.FEATURES if c in features.columns]

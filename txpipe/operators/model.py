@@ -168,5 +168,15 @@ def save(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def save_versioned(model: PipelineModel, base: str, version: str | None = None) -> str:
+    """Q15: write to a fresh ``base/v=<version>`` folder instead of
+    overwriting in place (an overwrite can leave orphaned stages)."""
+    import time
+
+    path = f"{base.rstrip('/')}/v={version or time.strftime('%Y%m%dT%H%M%S')}"
+    model.write().save(path)
+    return path
+
+
 def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)

@@ -31,6 +31,15 @@ def w13_hot(spark, sf):
     return FT.build_features(labelled(spark, sf), skew=skew)
 
 
+@query(
+    "s15_features_via_sql_view",
+    O.with_(O.TX, O.PICKS, O.LAB, O.features_cte()) + f"SELECT {FEATURE_OUT} FROM feat",
+)
+def s15(spark, sf):
+    """Temp view + SQL text for the windows."""
+    return FT.build_features_sql(labelled(spark, sf)).select(*S.FEATURE_TABLE)
+
+
 def _rolling_query(i: int, spec: S.RollingSpec):
     key = f"w{i:02d}_{spec.name.lower()}"
     sql = O.with_(O.TX) + f"SELECT TRANSACTION_ID, {O.rolling_sql(spec)} AS {spec.name} FROM tx"
