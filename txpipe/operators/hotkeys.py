@@ -55,7 +55,7 @@ def find_hot_keys(tx: DataFrame, min_rows: int = 1_000_000, max_keys: int = 10_0
     for b in reversed(BLOCK_US[:-1]):
         blk = F.when(raw >= F.lit(b), F.lit(b)).otherwise(blk)
     hot = stats.where(F.col("n") > threshold).select(K, blk.cast("bigint").alias("blk"))
-    return broadcast_if_small(hot, max_keys, with_count=True)
+    return broadcast_if_small(hot, max_keys, checkpoint=False, cache=True, with_count=True)
 
 
 def _middle_schema(prefix: str, with_amounts: bool) -> str:

@@ -36,7 +36,7 @@ def dense_id(df: DataFrame, order_cols: list[str], id_col: str = "dense_id", par
     offsets = counts.select(
         "_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_offset")
     )
-    offsets = broadcast_if_small(offsets, 1_000_000)
+    offsets = broadcast_if_small(offsets, 1_000_000, checkpoint=False)
     low = F.col("_mono").bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
     return (
         tagged.withColumn("_part", part)

@@ -89,7 +89,7 @@ def label_frauds(
     """
     n_days = None
     if comp_terminals is None or comp_customers is None:
-        days, n_days = broadcast_if_small(start_days(tx, DAY), 10_000_000, with_count=True)
+        days, n_days = broadcast_if_small(start_days(tx, DAY), 10_000_000, checkpoint=False, with_count=True)
         if comp_terminals is None:
             comp_terminals = compromises(tx, "TERMINAL_ID", S.SCENARIO2_PER_DAY, days)
         if comp_customers is None:
@@ -102,7 +102,7 @@ def label_frauds(
         .agg(F.collect_list(F.struct("start_day", "h_cut", "id_cut")).alias("_c3"))
     )
     term_side = comp_terminals.groupBy(F.col("entity_id").alias("_term")).agg(F.collect_list("start_day").alias("_c2"))
-    cust_side = broadcast_if_small(cust_side, 10_000_000)
+    cust_side = broadcast_if_small(cust_side, 10_000_000, checkpoint=False, cache=True)
     term_side = broadcast_if_small(term_side, 10_000_000, checkpoint=False)
 
     day, tid = F.col(DAY), F.col("TRANSACTION_ID")

@@ -30,11 +30,12 @@ ROW_MODULUS = 1000003
 
 
 def start_days(tx: DataFrame, day_col: str = "TX_TIME_DAYS") -> DataFrame:
-    """Days ``0 .. max(day) - 1`` (the last day starts nothing), built from a
-    one-row aggregate without a driver round trip."""
-    m = F.max(day_col).cast("bigint")
-    seq = F.when(m >= 1, F.sequence(F.lit(0).cast("bigint"), m - 1)).otherwise(F.array().cast("array<bigint>"))
-    return tx.agg(seq.alias("days")).select(F.explode("days").alias("start_day"))
+    """Days ``0 .. max(day) - 1`` (the last day starts nothing). One scalar
+    (the maximum day) comes back from an aggregate; the days are generated
+    from it, not read from the data."""
+    spark = tx.sparkSession
+    m = tx.agg(F.max(day_col)).first()[0]
+    return spark.range(0, int(m) if m is not None and m >= 1 else 0).select(F.col("id").alias("start_day"))
 
 
 def pick_per_day(
@@ -58,7 +59,7 @@ def pick_per_day(
         .where(F.col("rn") <= n)
         .select("residue", "entity_id")
     )
-    cand, n_cand = broadcast_if_small(cand, n * modulus, with_count=True)
+    cand, n_cand = broadcast_if_small(cand, n * modulus, checkpoint=False, cache=True, with_count=True)
     need = min(n, n_cand)
     start = (F.lit(modulus) - (F.col("start_day") * F.lit(day_mult)) % F.lit(modulus)) % F.lit(modulus)
     days, n_days = broadcast_if_small(
@@ -82,7 +83,7 @@ def pick_per_day(
             .where(F.col("rk") <= n)
             .select("start_day", "entity_id")
         )
-        picks, n_picks = materialize(picks)
+        picks, n_picks = materialize(picks, checkpoint=False)
         # Every day holds at most ``need`` picks, so all days are complete
         # exactly when the total is ``need`` per day.
         if width >= modulus or n_picks >= need * n_days:

@@ -76,33 +76,39 @@ def work_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(df: DataFrame) -> tuple[DataFrame, int]:
-    """Checkpoint ``df`` to the shared folder and return it with its row
-    count. The rows are persisted first, so the lineage runs once (a bare
-    eager checkpoint computes it twice: once to count, once to write)."""
-    ensure_checkpoint_dir(df.sparkSession)
+def materialize(df: DataFrame, checkpoint: bool = True) -> tuple[DataFrame, int]:
+    """Materialise ``df`` and return it with its row count.
+
+    ``checkpoint=True`` writes it to the shared folder (lineage cut; rows
+    persisted first so the lineage runs once, as a bare eager checkpoint
+    computes it twice). ``checkpoint=False`` only caches it -- for small
+    tables with a deterministic lineage, which Spark recomputes if an
+    executor holding cached blocks is lost."""
     cached = df.persist()
+    n = cached.count()
+    if not checkpoint:
+        return cached, n
+    ensure_checkpoint_dir(df.sparkSession)
     try:
-        n = cached.count()
         small = cached.checkpoint(eager=True)
     finally:
         cached.unpersist()
     return small, n
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int, checkpoint: bool = True, with_count: bool = False):
+def broadcast_if_small(df: DataFrame, max_rows: int, checkpoint: bool = True, with_count: bool = False, cache: bool = False):
     """Broadcast ``df`` only after counting it; beyond ``max_rows`` the
     planner (and AQE at run time) picks a shuffle join instead.
 
     Meant for tables whose size is bounded by construction (per-day picks,
     hot-key lists). With ``checkpoint`` the table is first written to the
     shared folder, so the count and the join read the same materialised rows
-    and a lost executor does not re-run the upstream scan; without it the
-    table must be cheap to recompute (derived from checkpointed inputs).
-    ``with_count`` also returns the row count.
+    and a lost executor does not re-run the upstream scan; with ``cache``
+    it is cached instead (small, deterministic lineage); with neither it
+    must be cheap to recompute. ``with_count`` also returns the row count.
     """
-    if checkpoint:
-        small, n = materialize(df)
+    if checkpoint or cache:
+        small, n = materialize(df, checkpoint=checkpoint)
     else:
         small, n = df, df.count()
     out = F.broadcast(small) if n <= max_rows else small
