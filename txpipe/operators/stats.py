@@ -6,7 +6,7 @@ TakeOrderedAndProject; nothing is collected to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txpipe.functions.columns import date_from_offset, rounded_ratio
@@ -105,63 +105,75 @@ def correlation_long(df: DataFrame, columns: list[str], digits: int = 6) -> Data
     """A10: Pearson correlation of every pair (a <= b in list order) over
     pairwise-complete rows, long ``(col_a, col_b, corr)``; undefined -> NULL.
 
-    Two passes, both distributed. Pass 1 takes the column means (one
-    aggregate) to use as shifts. Pass 2 runs per Arrow batch inside the
-    executors: with X the shifted values (NULL -> 0) and M the non-NULL mask,
-    the k x k products M'M, X'M, (X*X)'M and X'X give, for every pair, the
-    count and the shifted sums over rows where both values exist. Each batch
-    emits one row per pair; Spark sums them per pair (a shuffle of
-    ``pairs x batches`` rows), and the correlation is formed from the sums.
-    Shifting by the mean keeps the sums numerically stable.
+    One pass over the data. Per Arrow batch (inside the executors), values
+    are centred on the batch's column means; with X the centred values
+    (NULL -> 0) and M the non-NULL mask, the k x k products M'M, X'M,
+    (X*X)'M and X'X give every pair's count, means and co-moments over the
+    rows where both values exist. Each batch emits one row per pair. Spark
+    then merges batches exactly: the total co-moment is the sum of the
+    batch co-moments plus ``n_k (mean_a,k - mean_a)(mean_b,k - mean_b)``,
+    with the global means from a window over the small per-batch table.
     """
     k = len(columns)
     x = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
-    mean_row = x.agg(*[F.avg(f"c{i}").alias(f"c{i}") for i in range(k)])
-    shifted = x.select(*[(F.col(f"c{i}") - F.coalesce(mean_row.select(f"c{i}").scalar(), F.lit(0.0))).alias(f"c{i}") for i in range(k)])
     iu, ju = _upper_pairs(k)
 
-    def partial_sums(batches):
+    def batch_moments(batches):
         import numpy as np
         import pandas as pd
 
         for pdf in batches:
             vals = pdf.to_numpy(dtype="float64", na_value=np.nan)
             mask = ~np.isnan(vals)
-            xs = np.where(mask, vals, 0.0)
+            with np.errstate(all="ignore"):
+                shift = np.where(mask.any(axis=0), np.nanmean(np.where(mask, vals, np.nan), axis=0), 0.0)
+            xs = np.where(mask, vals - shift, 0.0)
             m = mask.astype("float64")
-            n = m.T @ m
-            sx = xs.T @ m
-            sxx = (xs * xs).T @ m
-            sxy = xs.T @ xs
+            n = (m.T @ m)[iu, ju]
+            sa, sb = (xs.T @ m)[iu, ju], (xs.T @ m)[ju, iu]
+            saa, sbb = ((xs * xs).T @ m)[iu, ju], ((xs * xs).T @ m)[ju, iu]
+            sab = (xs.T @ xs)[iu, ju]
+            keep = n > 0
+            nn = np.where(keep, n, 1.0)
             yield pd.DataFrame(
                 {
-                    "pair": np.arange(len(iu), dtype="int32"),
-                    "n": n[iu, ju],
-                    "sa": sx[iu, ju],
-                    "sb": sx[ju, iu],
-                    "saa": sxx[iu, ju],
-                    "sbb": sxx[ju, iu],
-                    "sab": sxy[iu, ju],
+                    "pair": np.arange(len(iu), dtype="int32")[keep],
+                    "n": n[keep],
+                    "ma": (shift[iu] + sa / nn)[keep],
+                    "mb": (shift[ju] + sb / nn)[keep],
+                    "caa": (saa - sa * sa / nn)[keep],
+                    "cbb": (sbb - sb * sb / nn)[keep],
+                    "cab": (sab - sa * sb / nn)[keep],
                 }
             )
 
-    schema = "pair int, n double, sa double, sb double, saa double, sbb double, sab double"
-    sums = shifted.mapInPandas(partial_sums, schema).groupBy("pair").agg(
-        *[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")]
+    schema = "pair int, n double, ma double, mb double, caa double, cbb double, cab double"
+    parts = x.mapInPandas(batch_moments, schema)
+    per_pair = Window.partitionBy("pair")
+    total = F.sum("n").over(per_pair)
+    centred = parts.withColumn("MA", F.sum(F.col("n") * F.col("ma")).over(per_pair) / total).withColumn(
+        "MB", F.sum(F.col("n") * F.col("mb")).over(per_pair) / total
     )
-    n, sa, sb = F.col("n"), F.col("sa"), F.col("sb")
-    cov = F.col("sab") - sa * sb / n
-    var_a = F.col("saa") - sa * sa / n
-    var_b = F.col("sbb") - sb * sb / n
-    r = F.when((n > 1) & (var_a > 0) & (var_b > 0), cov / F.sqrt(var_a * var_b))
+    da, db = F.col("ma") - F.col("MA"), F.col("mb") - F.col("MB")
+    merged = centred.groupBy("pair").agg(
+        F.sum("n").alias("n"),
+        F.sum(F.col("caa") + F.col("n") * da * da).alias("caa"),
+        F.sum(F.col("cbb") + F.col("n") * db * db).alias("cbb"),
+        F.sum(F.col("cab") + F.col("n") * da * db).alias("cab"),
+    )
+    caa, cbb = F.col("caa"), F.col("cbb")
+    r = F.when((F.col("n") > 1) & (caa > 0) & (cbb > 0), F.col("cab") / F.sqrt(caa * cbb))
     r = F.least(F.lit(1.0), F.greatest(F.lit(-1.0), r))
     names_a = F.array(*[F.lit(columns[i]) for i in iu])
     names_b = F.array(*[F.lit(columns[j]) for j in ju])
-    return sums.select(
-        F.element_at(names_a, F.col("pair") + 1).alias("col_a"),
-        F.element_at(names_b, F.col("pair") + 1).alias("col_b"),
-        F.round(r, digits).alias("corr"),
+    pairs = F.broadcast(
+        df.sparkSession.range(len(iu)).select(
+            F.col("id").cast("int").alias("pair"),
+            F.element_at(names_a, F.col("id").cast("int") + 1).alias("col_a"),
+            F.element_at(names_b, F.col("id").cast("int") + 1).alias("col_b"),
+        )
     )
+    return pairs.join(merged, "pair", "left").select("col_a", "col_b", F.round(r, digits).alias("corr"))
 
 
 def _upper_pairs(k: int):
