@@ -34,3 +34,33 @@ def plan_text(df) -> str:
 def exchanges(df) -> int:
     text = df._jdf.queryExecution().executedPlan().toString()
     return text.count("Exchange hashpartitioning")
+
+
+def streamed_path_nodes(df) -> list[str]:
+    """Class names of the nodes on the probe (non-broadcast) side of every
+    broadcast join, from the root to the scans, in the final plan."""
+    df.collect()
+    names: list[str] = []
+
+    def children(node):
+        seq = node.children()
+        return [seq.apply(i) for i in range(seq.size())]
+
+    def walk(node):
+        cls = node.getClass().getSimpleName()
+        names.append(cls)
+        if cls == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if cls in ("ShuffleQueryStageExec", "ResultQueryStageExec", "TableCacheQueryStageExec"):
+            return walk(node.plan())
+        if cls in ("BroadcastQueryStageExec", "InMemoryTableScanExec"):
+            return
+        kids = children(node)
+        if cls == "BroadcastHashJoinExec":
+            build_right = "BuildRight" in node.buildSide().toString()
+            return walk(kids[0] if build_right else kids[1])
+        for k in kids:
+            walk(k)
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return names

@@ -93,3 +93,13 @@ def test_fixture_counts(spark):
     lab = L.label_frauds(load_transactions(spark, "/root/testdata/sf0.01"))
     counts = {r[0]: r[1] for r in lab.groupBy("TX_FRAUD_SCENARIO").count().collect()}
     assert counts == {0: 6544, 1: 80, 2: 2639, 3: 737}
+
+
+def test_labelling_never_shuffles_transactions(spark):
+    from helpers import streamed_path_nodes
+    from txpipe.sources.fixture import load_transactions
+
+    nodes = streamed_path_nodes(L.label_frauds(load_transactions(spark, "/root/testdata/sf0.001")))
+    assert "FileSourceScanExec" in nodes
+    assert "BroadcastHashJoinExec" in nodes
+    assert not any("Exchange" in n or n == "SortMergeJoinExec" for n in nodes), nodes

@@ -1,16 +1,21 @@
 """Dense row ids in a global order (T6) without a one-task window.
 
-Rows are range-partitioned on the order key and sorted inside each
-partition; ``monotonically_increasing_id`` then numbers rows inside a
-partition and carries the partition index. A per-partition count (one row
-per partition) is prefix-summed and broadcast, and each row's id is the
-offset of its partition plus its rank inside it. The tagged rows are
-checkpointed so the counts and the numbering read the same partitions even
-if a task is re-run.
+Rows are range-partitioned on the order key into an explicit number of
+partitions (AQE does not coalesce those, so partition indexes are stable)
+and sorted inside each partition by a unique key; ``monotonically_increasing_id``
+then numbers rows inside a partition and carries the partition index. A
+per-partition count (one row per partition) is prefix-summed and broadcast,
+and each row's id is the offset of its partition plus its rank inside it.
+
+The tagged rows are persisted (memory and local disk) so both passes read
+them once; a lost block is recomputed from the same range bounds and sort,
+which gives the same ids. ``checkpoint=True`` writes them to the shared
+folder instead (a lineage cut, at the price of writing the whole table).
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,16 +24,26 @@ from txpipe.session import broadcast_if_small, ensure_checkpoint_dir
 _LOW_BITS = 33  # monotonically_increasing_id keeps the row number in 33 bits
 
 
-def dense_id(df: DataFrame, order_cols: list[str], id_col: str = "dense_id", partitions: int | None = None) -> DataFrame:
+def dense_id(
+    df: DataFrame,
+    order_cols: list[str],
+    id_col: str = "dense_id",
+    partitions: int | None = None,
+    checkpoint: bool = False,
+) -> DataFrame:
+    """``id_col`` = 0, 1, 2, ... in ``order_cols`` order (must be unique)."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tagged = (
         df.repartitionByRange(n, *order_cols)
         .sortWithinPartitions(*order_cols)
         .withColumn("_mono", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
     )
+    if checkpoint:
+        ensure_checkpoint_dir(spark)
+        tagged = tagged.checkpoint(eager=True)
+    else:
+        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
     part = F.shiftright(F.col("_mono"), _LOW_BITS)
     counts = tagged.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
     # One row per partition: the prefix sum runs over a table bounded by the
