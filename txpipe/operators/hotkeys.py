@@ -35,14 +35,17 @@ DAY_US = 86_400_000_000
 BLOCK_US = [DAY_US // q for q in (1, 2, 3, 4, 6, 8, 12, 24, 48, 96, 288, 1440, 2880, 8640, 86400, 864000, 8640000, 86400000)]
 SPANS = S.WINDOW_DAYS
 NULL_TERMINAL = -(2**63)
+# Most (terminal, block) rows handed to one pandas call for the pair table.
+PAIR_GROUP_ROWS = 2_000_000
 
 K, T, ID, AMT = "CUSTOMER_ID", "TERMINAL_ID", "TRANSACTION_ID", "TX_AMOUNT"
 
 
 def find_hot_keys(tx: DataFrame, min_rows: int = 1_000_000, max_keys: int = 10_000, rows_per_block: int = 1_000_000):
-    """``(CUSTOMER_ID, blk)`` for customers with more than
+    """``(CUSTOMER_ID, blk, psalt)`` for customers with more than
     ``max(min_rows, total / max_keys)`` rows (so at most ``max_keys``), with
-    the block length in microseconds. Returns ``(table, count)``; the table
+    the block length in microseconds and the number of groups the
+    customer's terminals are spread over for the pair table. Returns ``(table, count)``; the table
     is checkpointed and broadcast when small."""
     total = tx.agg(F.count("*")).scalar()
     threshold = F.greatest(F.lit(min_rows), F.ceil(total / F.lit(max_keys)))
@@ -54,7 +57,8 @@ def find_hot_keys(tx: DataFrame, min_rows: int = 1_000_000, max_keys: int = 10_0
     blk = F.lit(BLOCK_US[-1])
     for b in reversed(BLOCK_US[:-1]):
         blk = F.when(raw >= F.lit(b), F.lit(b)).otherwise(blk)
-    hot = stats.where(F.col("n") > threshold).select(K, blk.cast("bigint").alias("blk"))
+    salts = F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(PAIR_GROUP_ROWS))).cast("int")
+    hot = stats.where(F.col("n") > threshold).select(K, blk.cast("bigint").alias("blk"), salts.alias("psalt"))
     return broadcast_if_small(hot, max_keys, checkpoint=False, cache=True, with_count=True)
 
 
@@ -162,8 +166,11 @@ def hot_rolling(rows: DataFrame, hot: DataFrame) -> DataFrame:
     mid_c = blocks.groupBy(K).applyInPandas(
         _middle_fn([K], True, "mc_"), f"{K} long, b long, " + _middle_schema("mc_", True)
     )
-    pblocks = r.groupBy(K, "_t", "blk", F.col("_b").alias("b")).agg(F.count(ID).alias("cnt_id"))
-    mid_p = pblocks.groupBy(K).applyInPandas(
+    # A customer's terminals are hashed into ``psalt`` groups, so no pandas
+    # call sees more than about PAIR_GROUP_ROWS rows; a terminal stays whole.
+    pblocks = r.groupBy(K, "_t", "blk", "psalt", F.col("_b").alias("b")).agg(F.count(ID).alias("cnt_id"))
+    pblocks = pblocks.withColumn("_salt", F.pmod(F.xxhash64("_t"), F.col("psalt")))
+    mid_p = pblocks.groupBy(K, "_salt").applyInPandas(
         _pair_middle_fn("mp_"), f"{K} long, _t long, b long, " + _middle_schema("mp_", False)
     )
     mid_p = mid_p.groupBy(K, "b").agg(
@@ -183,7 +190,7 @@ def hot_rolling(rows: DataFrame, hot: DataFrame) -> DataFrame:
                 (F.col("_u") + F.lit(n * DAY_US)).alias("v"),
             )
         )
-    keep = [c for c in base_cols] + ["_t", "_c"]
+    keep = list(base_cols) + ["_t", "_c"]
     x = r.select(*keep, F.explode(F.array(*copies)).alias("cp")).select(*keep, "cp.role", "cp.pb", "cp.v")
 
     own = F.col("role") == 0
