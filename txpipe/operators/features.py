@@ -70,8 +70,8 @@ class SkewConfig:
     than ``max(min_rows, total / max_keys)`` rows take the block plan of
     :mod:`txpipe.operators.hotkeys`. ``None`` disables the split."""
 
-    min_rows: int = 1_000_000
-    max_keys: int = 10_000
+    min_rows: int = 100_000
+    max_keys: int = 1_000_000
     rows_per_block: int = 1_000_000
 
 

@@ -41,7 +41,7 @@ PAIR_GROUP_ROWS = 2_000_000
 K, T, ID, AMT = "CUSTOMER_ID", "TERMINAL_ID", "TRANSACTION_ID", "TX_AMOUNT"
 
 
-def find_hot_keys(tx: DataFrame, min_rows: int = 1_000_000, max_keys: int = 10_000, rows_per_block: int = 1_000_000):
+def find_hot_keys(tx: DataFrame, min_rows: int = 100_000, max_keys: int = 1_000_000, rows_per_block: int = 1_000_000):
     """``(CUSTOMER_ID, blk, psalt)`` for customers with more than
     ``max(min_rows, total / max_keys)`` rows (so at most ``max_keys``), with
     the block length in microseconds and the number of groups the
