@@ -2,8 +2,9 @@
 
 The plain plan partitions every window by customer, so one customer with a
 third of all rows would be one task, and a RANGE frame rescans its frame
-for every row. For customers above a row threshold (at most ``max_keys`` of
-them by construction, found by one aggregate and broadcast after a count),
+for every row. For the largest customers (a top-k by row count above a
+threshold, so at most ``max_keys`` of them; one aggregate, broadcast after a
+count),
 time is cut into blocks whose length divides one day and holds about
 ``rows_per_block`` of the customer's rows. The frame of a row at time ``t``
 in block ``b`` is then exactly
@@ -41,14 +42,14 @@ PAIR_GROUP_ROWS = 2_000_000
 K, T, ID, AMT = "CUSTOMER_ID", "TERMINAL_ID", "TRANSACTION_ID", "TX_AMOUNT"
 
 
-def find_hot_keys(tx: DataFrame, min_rows: int = 100_000, max_keys: int = 1_000_000, rows_per_block: int = 1_000_000):
-    """``(CUSTOMER_ID, blk, psalt)`` for customers with more than
-    ``max(min_rows, total / max_keys)`` rows (so at most ``max_keys``), with
-    the block length in microseconds and the number of groups the
-    customer's terminals are spread over for the pair table. Returns ``(table, count)``; the table
-    is checkpointed and broadcast when small."""
-    total = tx.agg(F.count("*")).scalar()
-    threshold = F.greatest(F.lit(min_rows), F.ceil(total / F.lit(max_keys)))
+def find_hot_keys(tx: DataFrame, min_rows: int = 20_000, max_keys: int = 1_000_000, rows_per_block: int = 1_000_000):
+    """``(CUSTOMER_ID, blk, psalt)`` for the customers that take the block
+    plan: the ``max_keys`` largest by row count among those with more than
+    ``min_rows`` rows (a top-k, so the list is bounded whatever the data).
+    ``blk`` is the block length in microseconds and ``psalt`` the number of
+    groups the customer's terminals are spread over for the pair table.
+    Returns ``(table, count)``; the table is cached and broadcast after the
+    count."""
     u = F.unix_micros(F.col("TX_DATETIME"))
     stats = tx.where(F.col("TX_DATETIME").isNotNull()).groupBy(K).agg(
         F.count("*").alias("n"), F.min(u).alias("u0"), F.max(u).alias("u1")
@@ -58,7 +59,8 @@ def find_hot_keys(tx: DataFrame, min_rows: int = 100_000, max_keys: int = 1_000_
     for b in reversed(BLOCK_US[:-1]):
         blk = F.when(raw >= F.lit(b), F.lit(b)).otherwise(blk)
     salts = F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(PAIR_GROUP_ROWS))).cast("int")
-    hot = stats.where(F.col("n") > threshold).select(K, blk.cast("bigint").alias("blk"), salts.alias("psalt"))
+    top = stats.where(F.col("n") > F.lit(min_rows)).orderBy(F.col("n").desc(), F.col(K)).limit(max_keys)
+    hot = top.select(K, blk.cast("bigint").alias("blk"), salts.alias("psalt"))
     return broadcast_if_small(hot, max_keys, checkpoint=False, cache=True, with_count=True)
 
 
