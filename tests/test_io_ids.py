@@ -45,3 +45,13 @@ def test_dense_id_matches_row_number(spark):
         joined = got.join(want, "TRANSACTION_ID")
         assert joined.where(F.col("dense_id") != F.col("rn")).count() == 0
         assert got.count() == 10000
+
+
+def test_hash_sample_exact(spark):
+    from txpipe.operators.stats import hash_sample
+
+    tx = load_transactions(spark, "/root/testdata/sf0.01")
+    order = [r[0] for r in tx.orderBy((F.col("TRANSACTION_ID") * 7919) % 1000003, "TRANSACTION_ID").select("TRANSACTION_ID").collect()]
+    for n in (0, 1, 7, 5000, 10000, 50000):
+        got = sorted(r[0] for r in hash_sample(tx, n).select("TRANSACTION_ID").collect())
+        assert got == sorted(order[:n])

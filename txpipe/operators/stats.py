@@ -202,9 +202,36 @@ def amount_histogram(df: DataFrame, bins: int = 50, col: str = "TX_AMOUNT") -> D
 
 def hash_sample(df: DataFrame, n: int, id_col: str = "TRANSACTION_ID", modulus: int = 1000003, mult: int = 7919) -> DataFrame:
     """An exact-size pseudo-random sample: the ``n`` rows smallest by
-    ``((id * mult) % modulus, id)`` (TakeOrderedAndProject)."""
+    ``((id * mult) % modulus, id)``.
+
+    No global sort and no single-task top-n of ``n x partitions`` rows: a
+    histogram of the hash (partial aggregation, at most ``modulus`` buckets)
+    and a running sum over that bounded table give the cutoff bucket; rows
+    below it pass a filter where they are, and only the cutoff bucket's
+    rows are ordered by id."""
+    if n <= 0:
+        return df.where(F.lit(False))
     h = (F.col(id_col) * F.lit(mult)) % F.lit(modulus)
-    return df.orderBy(h, F.col(id_col)).limit(n)
+    tagged = df.withColumn("_h", h)
+    hist = tagged.groupBy("_h").agg(F.count("*").alias("_c"))
+    # One row per hash value: bounded by ``modulus`` whatever the data size.
+    run = Window.orderBy("_h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cut = (
+        hist.withColumn("_upto", F.sum("_c").over(run))
+        .where((F.col("_upto") >= F.lit(n)) & (F.col("_upto") - F.col("_c") < F.lit(n)))
+        .select(F.col("_h").alias("_hcut"), (F.lit(n) - (F.col("_upto") - F.col("_c"))).alias("_take"))
+    )
+    hcut = cut.select("_hcut").scalar()  # NULL when the table has <= n rows
+    take = cut.select("_take").scalar()
+    below = tagged.where(hcut.isNull() | (F.col("_h") < hcut))
+    in_edge = Window.partitionBy("_h").orderBy(id_col)
+    edge = (
+        tagged.where(F.col("_h") == hcut)
+        .withColumn("_r", F.row_number().over(in_edge))
+        .where(F.col("_r") <= take)
+        .drop("_r")
+    )
+    return below.unionByName(edge).drop("_h")
 
 
 def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
