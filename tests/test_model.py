@@ -59,3 +59,17 @@ def test_label_indexer_frequency_desc(feats):
     idx = M.label_indexer(feats)
     top = feats.groupBy("TX_FRAUD").count().orderBy(F.desc("count")).first()[0]
     assert idx.labels[0] == str(top)
+
+
+def test_tune_both_matches_cross_validator(spark, feats):
+    from pyspark.ml.tuning import CrossValidator
+
+    idx = M.label_indexer(feats)
+    prep = M.prepare(feats, idx)
+    prep = prep.withColumn("fold", (F.monotonically_increasing_id() % 2).cast("int")).cache()
+    both = M.tune_both("random_forest", prep, idx, folds=2, fold_col="fold")
+    for metric in ("areaUnderROC", "areaUnderPR"):
+        est = M.classifier("random_forest")
+        cv = CrossValidator(estimator=est, estimatorParamMaps=M.param_grid("random_forest", est), evaluator=M.evaluator(metric),
+                            numFolds=2, foldCol="fold", parallelism=4).fit(prep)
+        assert both[metric].cv.avgMetrics == pytest.approx(cv.avgMetrics, abs=1e-9)

@@ -91,12 +91,8 @@ def _cv_table(spark, sf, kind: str):
     train, _ = split(spark, sf)
     idx = M.label_indexer(train)
     prepared = M.prepare(train, idx)
-    out = None
-    for metric in ("areaUnderROC", "areaUnderPR"):
-        t = M.tune(kind, prepared, idx, metric=metric)
-        part = M.avg_metrics(spark, t)
-        out = part if out is None else out.unionByName(part)
-    return out
+    both = M.tune_both(kind, prepared, idx)
+    return M.avg_metrics(spark, both["areaUnderROC"]).unionByName(M.avg_metrics(spark, both["areaUnderPR"]))
 
 
 @query("m5_random_forest_cv")
@@ -136,7 +132,8 @@ def m14(spark, sf):
     prepared = M.prepare(train, idx)
     rows = []
     for kind, short in (("random_forest", "RF"), ("logistic_regression", "LR"), ("gbt", "GBT"), ("svm", "SVM")):
+        both = M.tune_both(kind, prepared, idx)
         for metric, label in (("areaUnderROC", "ROC_AUC"), ("areaUnderPR", "AUC_PR")):
-            t = M.tune(kind, prepared, idx, metric=metric)
+            t = both[metric]
             rows.append((short, label, M.evaluate(t, M.score(t.model, test))))
     return spark.createDataFrame(rows, "model string, metric string, score double")
