@@ -125,3 +125,20 @@ def test_hot_customer_frame_edges(spark):
     for rpb in (1, 2, 3):
         hot = build_features(df, skew=SkewConfig(min_rows=1, max_keys=10, rows_per_block=rpb))
         assert sorted(plain.collect()) == sorted(hot.select(*plain.columns).collect())
+
+
+def test_hot_list_is_bounded_and_takes_the_largest(spark):
+    import math
+
+    from txpipe.operators.hotkeys import find_hot_keys
+    from txpipe.sources.fixture import load_transactions
+
+    tx = load_transactions(spark, "/root/testdata/sf0.01")
+    counts = {r[0]: r[1] for r in tx.groupBy("CUSTOMER_ID").count().collect()}
+    for max_keys in (1, 10, 60, 1000):
+        hot, n = find_hot_keys(tx, min_rows=10, max_keys=max_keys)
+        ids = {r[0] for r in hot.collect()}
+        assert n == len(ids) <= max_keys
+        if ids:
+            cut = min(int(math.floor(math.log2(counts[i]))) for i in ids)
+            assert ids == {c for c, k in counts.items() if k > 10 and math.floor(math.log2(k)) >= cut}

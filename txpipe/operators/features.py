@@ -66,9 +66,10 @@ def add_rolling(df: DataFrame, specs: list[S.RollingSpec] | None = None) -> Data
 
 @dataclass(frozen=True)
 class SkewConfig:
-    """Hot-customer split for the rolling features: the ``max_keys``
-    largest customers with more than ``min_rows`` rows take the block plan
-    of :mod:`txpipe.operators.hotkeys`. ``None`` disables the split."""
+    """Hot-customer split for the rolling features: the largest customers
+    with more than ``min_rows`` rows (at most ``max_keys``, cut at a power of
+    two) take the block plan of :mod:`txpipe.operators.hotkeys`. ``None``
+    disables the split."""
 
     min_rows: int = 20_000
     max_keys: int = 1_000_000

@@ -44,23 +44,31 @@ K, T, ID, AMT = "CUSTOMER_ID", "TERMINAL_ID", "TRANSACTION_ID", "TX_AMOUNT"
 
 def find_hot_keys(tx: DataFrame, min_rows: int = 20_000, max_keys: int = 1_000_000, rows_per_block: int = 1_000_000):
     """``(CUSTOMER_ID, blk, psalt)`` for the customers that take the block
-    plan: the ``max_keys`` largest by row count among those with more than
-    ``min_rows`` rows (a top-k, so the list is bounded whatever the data).
-    ``blk`` is the block length in microseconds and ``psalt`` the number of
-    groups the customer's terminals are spread over for the pair table.
-    Returns ``(table, count)``; the table is cached and broadcast after the
-    count."""
+    plan: those with more than ``min_rows`` rows and at least ``2**c`` rows,
+    where ``c`` is the lowest power of two that keeps the list within
+    ``max_keys`` (from a histogram of ``floor(log2(rows))``: at most 64
+    buckets, no top-k merge in one task). ``blk`` is the block length in
+    microseconds and ``psalt`` the number of groups the customer's
+    terminals are spread over for the pair table. Returns
+    ``(table, count)``; the table is cached and broadcast after the count."""
     u = F.unix_micros(F.col("TX_DATETIME"))
-    stats = tx.where(F.col("TX_DATETIME").isNotNull()).groupBy(K).agg(
-        F.count("*").alias("n"), F.min(u).alias("u0"), F.max(u).alias("u1")
+    stats = (
+        tx.where(F.col("TX_DATETIME").isNotNull() & F.col(K).isNotNull())
+        .groupBy(K)
+        .agg(F.count("*").alias("n"), F.min(u).alias("u0"), F.max(u).alias("u1"))
+        .where(F.col("n") > F.lit(min_rows))
+        .withColumn("lg", F.floor(F.log2(F.col("n"))).cast("int"))
     )
+    # Customers per power of two, counted from the largest down (<= 64 rows).
+    from_top = Window.orderBy(F.col("lg").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fits = stats.groupBy("lg").agg(F.count("*").alias("c")).withColumn("upto", F.sum("c").over(from_top))
+    cut = fits.where(F.col("upto") <= F.lit(max_keys)).agg(F.min("lg")).scalar()
     raw = (F.col("u1") - F.col("u0") + 1).cast("double") * F.lit(float(rows_per_block)) / F.col("n")
     blk = F.lit(BLOCK_US[-1])
     for b in reversed(BLOCK_US[:-1]):
         blk = F.when(raw >= F.lit(b), F.lit(b)).otherwise(blk)
     salts = F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(PAIR_GROUP_ROWS))).cast("int")
-    top = stats.where(F.col("n") > F.lit(min_rows)).orderBy(F.col("n").desc(), F.col(K)).limit(max_keys)
-    hot = top.select(K, blk.cast("bigint").alias("blk"), salts.alias("psalt"))
+    hot = stats.where(F.col("lg") >= cut).select(K, blk.cast("bigint").alias("blk"), salts.alias("psalt"))
     return broadcast_if_small(hot, max_keys, checkpoint=False, cache=True, with_count=True)
 
 
