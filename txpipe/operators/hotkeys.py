@@ -183,11 +183,7 @@ def hot_rolling(rows: DataFrame, hot: DataFrame) -> DataFrame:
     mid_p = pblocks.groupBy(K, "_salt").applyInPandas(
         _pair_middle_fn("mp_"), f"{K} long, _t long, b long, " + _middle_schema("mp_", False)
     )
-    mid_p = mid_p.groupBy(K, "b").agg(
-        F.map_from_entries(
-            F.collect_list(F.struct("_t", F.struct(*[F.col(f"mp_cnt_{n}").alias(f"c{n}") for n in SPANS])))
-        ).alias("mp")
-    )
+    mid_p = mid_p.withColumnRenamed("b", "pb")
 
     # Own copy plus one shifted copy per span into the block whose left edge it is.
     copies = [F.struct(F.lit(0).alias("role"), F.col("_b").alias("pb"), F.col("_u").alias("v"))]
@@ -230,9 +226,9 @@ def hot_rolling(rows: DataFrame, hot: DataFrame) -> DataFrame:
         ]
     windowed = x.select("*", *aggs).where(own)
 
-    joined = windowed.join(mid_c.withColumnRenamed("b", "pb"), [K, "pb"], "left").join(
-        mid_p.withColumnRenamed("b", "pb"), [K, "pb"], "left"
-    )
+    # The pair counts join on (customer, block, terminal): one more exchange
+    # of the hot rows, but each row meets exactly one pair row.
+    joined = windowed.join(mid_c.withColumnRenamed("b", "pb"), [K, "pb"], "left").join(mid_p, [K, "pb", "_t"], "left")
 
     def z(c):
         return F.coalesce(F.col(c), F.lit(0))
@@ -243,7 +239,7 @@ def hot_rolling(rows: DataFrame, hot: DataFrame) -> DataFrame:
         if spec.agg == "count" and len(spec.keys) == 1:
             val = z("o_cnt") + z(f"mc_cnt_{n}") + z(f"e_cnt_{n}")
         elif spec.agg == "count":
-            val = z("o_pcnt") + F.coalesce(F.col("mp")[F.col("_t")][f"c{n}"], F.lit(0)) + z(f"e_pcnt_{n}")
+            val = z("o_pcnt") + z(f"mp_cnt_{n}") + z(f"e_pcnt_{n}")
         elif spec.agg == "max":
             val = F.greatest(F.col("o_max"), F.col(f"mc_max_{n}"), F.col(f"e_max_{n}"))
         else:
