@@ -99,6 +99,7 @@ def test_labelling_never_shuffles_transactions(spark):
     from helpers import streamed_path_nodes
     from txpipe.sources.fixture import load_transactions
 
+    spark.catalog.clearCache()  # a cached copy of the input would replace the file scan
     nodes = streamed_path_nodes(L.label_frauds(load_transactions(spark, "/root/testdata/sf0.001")))
     assert "FileSourceScanExec" in nodes
     assert "BroadcastHashJoinExec" in nodes
