@@ -4,7 +4,16 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from helpers import plan_text
-from txpipe.operators.spatial import brute_force_pairs, radius_pairs, terminals_within_radius
+from pyspark.sql import functions as F
+
+from txpipe.functions.columns import distance
+from txpipe.operators.spatial import radius_pairs, terminals_within_radius
+
+
+def brute_force_pairs(customers, terminals, r):
+    """Every pair checked (nested loop): the reference semantics, tests only."""
+    d = distance(F.col("x_customer_id"), F.col("y_customer_id"), F.col("x_terminal_id"), F.col("y_terminal_id"))
+    return customers.crossJoin(terminals).where(d < F.lit(float(r))).select("CUSTOMER_ID", "TERMINAL_ID")
 
 
 @settings(max_examples=6, deadline=None)

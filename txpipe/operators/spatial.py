@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txpipe.functions.columns import distance
 
 
 def _cell(c: str, r: float):
@@ -68,9 +67,3 @@ def terminals_within_radius(customers: DataFrame, terminals: DataFrame, r: float
     out = customers.join(lists, "CUSTOMER_ID", "left")
     terms = F.coalesce(F.col("_terms"), F.array().cast("array<bigint>"))
     return out.select(*customers.columns, terms.alias("available_terminals"), F.size(terms).cast("int").alias("nb_terminals"))
-
-
-def brute_force_pairs(customers: DataFrame, terminals: DataFrame, r: float) -> DataFrame:
-    """Reference semantics for tests only (nested loop): every pair checked."""
-    d = distance(F.col("x_customer_id"), F.col("y_customer_id"), F.col("x_terminal_id"), F.col("y_terminal_id"))
-    return customers.crossJoin(terminals).where(d < F.lit(float(r))).select("CUSTOMER_ID", "TERMINAL_ID")
