@@ -20,17 +20,21 @@ from txpipe.operators.picks import (
     share_cutoffs,
     smallest_share_per_group,
     start_days,
+    start_days_counted,
 )
 from txpipe.session import broadcast_if_small
 
 DAY = "TX_TIME_DAYS"
 
 
-def compromises(tx: DataFrame, entity_col: str, per_day: int, days: DataFrame | None = None) -> DataFrame:
+def compromises(
+    tx: DataFrame, entity_col: str, per_day: int, days: DataFrame | None = None, n_days: int | None = None
+) -> DataFrame:
     """``(start_day, entity_id)`` -- ``per_day`` entities per start day,
     chosen among the distinct entities seen in the transactions."""
-    days = days if days is not None else start_days(tx, DAY)
-    return pick_per_day(tx.select(F.col(entity_col).alias("id")), days, per_day)
+    if days is None:
+        days, n_days = start_days_counted(tx, DAY)
+    return pick_per_day(tx.select(F.col(entity_col).alias("id")), days, per_day, n_days=n_days)
 
 
 def in_window(tx: DataFrame, comp: DataFrame, entity_col: str, days: int, how: str) -> DataFrame:
@@ -89,11 +93,11 @@ def label_frauds(
     """
     n_days = None
     if comp_terminals is None or comp_customers is None:
-        days, n_days = broadcast_if_small(start_days(tx, DAY), 10_000_000, checkpoint=False, with_count=True)
+        days, n_days = start_days_counted(tx, DAY)
         if comp_terminals is None:
-            comp_terminals = compromises(tx, "TERMINAL_ID", S.SCENARIO2_PER_DAY, days)
+            comp_terminals = compromises(tx, "TERMINAL_ID", S.SCENARIO2_PER_DAY, days, n_days)
         if comp_customers is None:
-            comp_customers = compromises(tx, "CUSTOMER_ID", S.SCENARIO3_PER_DAY, days)
+            comp_customers = compromises(tx, "CUSTOMER_ID", S.SCENARIO3_PER_DAY, days, n_days)
     cand = customer_candidates(tx, comp_customers)
     cut = share_cutoffs(cand, "start_day", "TRANSACTION_ID", S.SCENARIO3_SHARE_DIVISOR, max_groups=n_days)
     cust_side = (

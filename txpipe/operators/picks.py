@@ -30,12 +30,18 @@ ROW_MODULUS = 1000003
 
 
 def start_days(tx: DataFrame, day_col: str = "TX_TIME_DAYS") -> DataFrame:
-    """Days ``0 .. max(day) - 1`` (the last day starts nothing). One scalar
-    (the maximum day) comes back from an aggregate; the days are generated
-    from it, not read from the data."""
+    """Days ``0 .. max(day) - 1`` (the last day starts nothing)."""
+    return start_days_counted(tx, day_col)[0]
+
+
+def start_days_counted(tx: DataFrame, day_col: str = "TX_TIME_DAYS") -> tuple[DataFrame, int]:
+    """:func:`start_days` and its row count. One scalar (the maximum day)
+    comes back from an aggregate; the days are generated from it, not read
+    from the data."""
     spark = tx.sparkSession
     m = tx.agg(F.max(day_col)).first()[0]
-    return spark.range(0, int(m) if m is not None and m >= 1 else 0).select(F.col("id").alias("start_day"))
+    n = int(m) if m is not None and m >= 1 else 0
+    return spark.range(0, n).select(F.col("id").alias("start_day")), n
 
 
 def pick_per_day(
@@ -47,9 +53,11 @@ def pick_per_day(
     day_mult: int = DAY_MULT,
     modulus: int = ENTITY_MODULUS,
     first_width: int = 64,
+    n_days: int | None = None,
 ) -> DataFrame:
     """Rows ``(start_day, entity_id)``: ``n`` picks per day (fewer only when
-    there are fewer distinct entities)."""
+    there are fewer distinct entities). ``n_days``: the number of rows of
+    ``days`` when the caller knows them to be distinct (skips a count)."""
     ents = entities.select(F.col(id_col).alias("entity_id")).where(F.col("entity_id").isNotNull()).distinct()
     residue = (F.col("entity_id") * F.lit(id_mult)) % F.lit(modulus)
     by_residue = Window.partitionBy("residue").orderBy("entity_id")
@@ -62,9 +70,13 @@ def pick_per_day(
     cand, n_cand = broadcast_if_small(cand, n * modulus, checkpoint=False, cache=True, with_count=True)
     need = min(n, n_cand)
     start = (F.lit(modulus) - (F.col("start_day") * F.lit(day_mult)) % F.lit(modulus)) % F.lit(modulus)
-    days, n_days = broadcast_if_small(
-        days.select("start_day").distinct().withColumn("start_residue", start), 10_000_000, checkpoint=False, with_count=True
-    )
+    if n_days is None:
+        days, n_days = broadcast_if_small(
+            days.select("start_day").distinct().withColumn("start_residue", start), 10_000_000, checkpoint=False, with_count=True
+        )
+    else:
+        days = days.select("start_day").withColumn("start_residue", start)
+        days = F.broadcast(days) if n_days <= 10_000_000 else days
 
     # Walking ``modulus / n_cand`` residues finds one candidate on average;
     # start 8x past that for ``n`` picks, so one pass is usually exact.
