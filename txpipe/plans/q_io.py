@@ -63,6 +63,21 @@ def u1(spark, sf):
 FEAT_SQL = O.with_(O.TX, O.PICKS, O.LAB, O.features_cte()) + f"SELECT {', '.join(S.FEATURE_TABLE)} FROM feat"
 
 
+def _range_features_sql(lo: str, hi: str) -> str:
+    src = f"(SELECT * FROM lab WHERE CAST(TX_DATETIME AS DATE) BETWEEN DATE '{lo}' AND DATE '{hi}')"
+    return O.with_(O.TX, O.PICKS, O.LAB, O.features_cte(source=src)) + f"SELECT {', '.join(S.FEATURE_TABLE)} FROM feat"
+
+
+@query("w13_transform_data_job", _range_features_sql("2024-01-05", "2024-01-25"))
+def w13_job(spark, sf):
+    """S3 -> S1 -> W13 -> S4 as one job over a date range (cold start)."""
+    from txpipe.plans.jobs import save_dataset, transform_data
+
+    daily = work_path(spark, "job-daily")
+    save_dataset(labelled(spark, sf), daily, ORIGIN_DATE)
+    return transform_data(spark, daily, work_path(spark, "job-features"), "2024-01-05", "2024-01-25")
+
+
 @query("s4_feature_table_roundtrip", FEAT_SQL)
 def s4(spark, sf):
     """Feature table written with the Parquet options, read back."""
