@@ -103,6 +103,7 @@ def test_hot_customer_block_plan_matches(spark):
     plain = build_features(tx, skew=None)
     for rpb in (1, 4):
         hot = build_features(tx, skew=SkewConfig(min_rows=5, max_keys=1_000_000, rows_per_block=rpb))
+        assert hot.dtypes == plain.dtypes
         assert hot.count() == plain.count()
         assert plain.exceptAll(hot.select(*plain.columns)).count() == 0
 
