@@ -91,7 +91,9 @@ def add_rolling_skew_safe(df: DataFrame, skew: SkewConfig | None = SkewConfig())
     cold_rows = df.join(keys, "CUSTOMER_ID", "left_anti").unionByName(
         df.join(keys, "CUSTOMER_ID", "left_semi").where(F.col(TS).isNull())
     )
-    return add_rolling(cold_rows).unionByName(hot_rolling(hot_rows, hot))
+    out = add_rolling(cold_rows).unionByName(hot_rolling(hot_rows, hot))
+    # The semi/anti joins put the key first; keep the input's column order.
+    return out.select(*df.columns, *[s.name for s in S.ROLLING])
 
 
 def build_features(
