@@ -72,3 +72,28 @@ def test_progress_rows(spark):
     SC.await_all(qs, 300)
     rows = H.progress_rows(spark, qs[0]).collect()
     assert sum(r["num_input_rows"] for r in rows) == 3
+
+
+def test_unseen_or_null_label_does_not_stop_scoring(spark):
+    from pyspark.ml import Pipeline
+
+    from txpipe.operators import model as M
+    from txpipe.operators.features import build_features
+    from txpipe.operators.labels import label_frauds
+    from txpipe.sources.fixture import load_transactions
+
+    feats = build_features(label_frauds(load_transactions(spark, "/root/testdata/sf0.001")))
+    idx = M.label_indexer(feats)
+    model = Pipeline(stages=M.pipeline("random_forest", idx).getStages()).fit(feats)
+    base = work_path(spark, "t-label")
+    inp = base + "/in"
+    lines = [_msg(1, "2024-01-03 10:00:00", fraud=7), _msg(2, "2024-01-03 11:00:00", fraud=0)]
+    null_label = json.loads(_msg(3, "2024-01-03 12:00:00"))
+    null_label["TX_FRAUD"] = None
+    _write(inp, "a.txt", lines + [json.dumps(null_label)])
+    qs = SC.start_scoring(spark, model, base + "/sink", base + "/ckpt", "text", inp, {"maxFilesPerTrigger": "1"})
+    SC.await_all(qs, 300)
+    out = {r["TRANSACTION_ID"]: r for r in spark.read.parquet(base + "/sink").collect()}
+    assert sorted(out) == [1, 2, 3]
+    assert out[1]["TX_FRAUD"] == 7 and out[3]["TX_FRAUD"] is None  # label carried through unchanged
+    assert all(out[i]["prediction"] in (0.0, 1.0) for i in out)
