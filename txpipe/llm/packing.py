@@ -35,7 +35,7 @@ CAPACITY = 4096
 END_ID = 2
 MAX_OPEN = 2048
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -54,25 +54,37 @@ class Encoder:
     """Ids of texts as little-endian uint32 bytes, with the pieces' ids kept.
 
     The tokenizer encodes each piece by itself, so a piece has the same ids
-    everywhere. Texts beyond Latin-1, or with a special token's opening, go to
-    the tokenizer whole."""
+    everywhere; new ones are encoded many at a time, and told apart by the
+    tokens that end a word. Texts beyond Latin-1, or with a special token's
+    opening, go to the tokenizer whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, pieces: list[str]) -> None:
+        ids = np.asarray(self.tokenizer.encode(" ".join(pieces), add_special_tokens=False).ids, "<u4")
+        cuts = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
+        if len(cuts) != len(pieces) + 1 or cuts[-1] != 4 * len(ids):
+            self.known.update(zip(pieces, self._ids(pieces), strict=True))
+            return
+        raw = ids.tobytes()
+        self.known.update((p, raw[a:b]) for p, a, b in zip(pieces, cuts, cuts[1:], strict=False))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > CACHE_WORDS:
             self.known = {}
         pieces = [None if _OTHER.search(t) else _PIECE.findall(t.lower()) for t in texts]
         new = list({p for ps in pieces if ps for p in ps}.difference(self.known))
-        for i in range(0, len(new), 4096):
-            self.known.update(zip(new[i : i + 4096], self._ids(new[i : i + 4096]), strict=True))
+        for i in range(0, len(new), 1024):
+            self._learn(new[i : i + 1024])
         get = self.known.__getitem__
         return [self._ids([t])[0] if ps is None else b"".join(map(get, ps)) for t, ps in zip(texts, pieces, strict=True)]
 

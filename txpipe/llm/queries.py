@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txpipe.llm import decontam, packing, simhash, topk
+from txpipe.llm import decontam, packing, secrets, simhash, topk
 
 _QUERIES: list[tuple[Callable[[SparkSession, str], DataFrame], str | None]] = [
+    (secrets.op1_secret_scan, secrets.ORACLE_SQL),
     (decontam.op3_benchmark_decontamination, decontam.ORACLE_SQL),
     (packing.op5_sum_of_squares_packing, None),
     (simhash.op9_simhash_vantage_points, None),
