@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txpipe.llm import decontam, packing, secrets, simhash, topk
+from txpipe.llm import decontam, packing, quality, secrets, simhash, topk, toxicity, warc
 
 _QUERIES: list[tuple[Callable[[SparkSession, str], DataFrame], str | None]] = [
     (secrets.op1_secret_scan, secrets.ORACLE_SQL),
+    (quality.op2_quality_positive_unlabelled, None),
     (decontam.op3_benchmark_decontamination, decontam.ORACLE_SQL),
+    (warc.op4_warc_gzip_normaliser, warc.ORACLE_SQL),
     (packing.op5_sum_of_squares_packing, None),
+    (toxicity.op7_toxicity_string_kernel, None),
     (simhash.op9_simhash_vantage_points, None),
     (topk.op10_block_at_a_time_topk, topk.ORACLE_SQL),
 ]
