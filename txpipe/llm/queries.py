@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txpipe.llm import decontam, packing, quality, secrets, simhash, topk, toxicity, warc
+from txpipe.llm import decontam, packing, quality, secrets, simhash, suffixes, topk, toxicity, warc
 
 _QUERIES: list[tuple[Callable[[SparkSession, str], DataFrame], str | None]] = [
     (secrets.op1_secret_scan, secrets.ORACLE_SQL),
@@ -14,6 +14,7 @@ _QUERIES: list[tuple[Callable[[SparkSession, str], DataFrame], str | None]] = [
     (decontam.op3_benchmark_decontamination, decontam.ORACLE_SQL),
     (warc.op4_warc_gzip_normaliser, warc.ORACLE_SQL),
     (packing.op5_sum_of_squares_packing, None),
+    (suffixes.op6_front_coded_suffix_sort, None),
     (toxicity.op7_toxicity_string_kernel, None),
     (simhash.op9_simhash_vantage_points, None),
     (topk.op10_block_at_a_time_topk, topk.ORACLE_SQL),
