@@ -43,6 +43,15 @@ def remainder(col: str, modulus: int):
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit(""))) % modulus
 
 
+def with_row_keys(documents: DataFrame, *columns: str) -> DataFrame:
+    """Adds ``id_key, row_key``: two longs by which a row is found again in a
+    later scan, however files are split then. Rows with equal doc_id and text
+    share them."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    row = F.xxhash64(F.col("doc_id").cast("long"), text)
+    return documents.select(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text, F.lit(1))).alias("id_key"), row.alias("row_key"), *columns)
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column of an Arrow batch; NULL is empty."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

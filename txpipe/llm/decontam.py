@@ -71,7 +71,7 @@ def merge(runs) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def hits_of(text: str, n_words: int, found) -> tuple[list[tuple[int, int]], list[str]]:
+def hits_of(text: str, found) -> tuple[list[tuple[int, int]], list[str]]:
     """Merged runs of hit words and the items of a normalised text's matches."""
     spaces = np.flatnonzero(np.frombuffer(text.encode("latin-1"), np.uint8) == 32)
     runs, items = [], set()
@@ -90,6 +90,24 @@ def original_spans(raw: bytes, runs: list[tuple[int, int]]) -> str:
     return ",".join(f"{code(at[a][0])}:{code(at[b - 1][1])}" for a, b in runs)
 
 
+def blocks_of(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES):
+    """The items, in lists of bounded size; the size is measured first."""
+    tests = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
+    size = tests.agg(F.sum(F.octet_length("text") + 16).alias("n")).first()["n"] or 0
+    blocks = max(1, math.ceil(size / (block_bytes * 0.7)))
+    for b in range(blocks):
+        rows = tests.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()  # at most about block_bytes
+        yield blocks, [(r["item_id"], r["text"].encode()) for r in rows]
+
+
+def _matches(machine, raw: bytes) -> tuple[int, list[tuple[int, int]], list[str]]:
+    """Number of words, merged runs of hit words, items."""
+    ws = words(raw)
+    text = (b" " + b" ".join(ws) + b" ").decode("latin-1")
+    found = list(machine.iter(text)) if machine is not None and ws else []
+    return len(ws), *(hits_of(text, found) if found else ([], []))
+
+
 def _scan(docs: DataFrame, items, window: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
@@ -97,14 +115,10 @@ def _scan(docs: DataFrame, items, window: int) -> DataFrame:
         machine = automaton(shared.value, window)
 
         def step(batch: pa.RecordBatch):
-            keys, ids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             rows = []
-            for key, doc_id, raw in zip(keys, ids, text_bytes(batch.column(2)), strict=True):
-                ws = words(raw)
-                text = (b" " + b" ".join(ws) + b" ").decode("latin-1")
-                found = list(machine.iter(text)) if machine is not None and ws else []
-                runs, which = hits_of(text, len(ws), found) if found else ([], [])
-                rows.append((key, doc_id, len(ws), [{"start": a, "stop": b} for a, b in runs], which, original_spans(raw, runs) if runs else ""))
+            for key, doc_id, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), text_bytes(batch.column(2)), strict=True):
+                n, runs, which = _matches(machine, raw)
+                rows.append((key, doc_id, n, [{"start": a, "stop": b} for a, b in runs], which, original_spans(raw, runs) if runs else ""))
             cols = list(zip(*rows, strict=True)) or [[]] * 6
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])), pa.list_(pa.string()), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["row_key", "doc_id", "n_words", "hits", "items", "spans"])
@@ -118,26 +132,20 @@ def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block
     """One row per document: ``row_key, doc_id, n_words, hits`` (runs of word
     numbers), ``items`` (ids as sorted strings), ``spans`` (``start:end`` code
     points in the original text)."""
-    docs = documents.select(F.monotonically_increasing_id().alias("row_key"), F.col("doc_id").cast("long"), "text")
-    tests = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    size = tests.agg(F.sum(F.octet_length("text") + 16).alias("n")).first()["n"] or 0
-    blocks = max(1, math.ceil(size / (block_bytes * 0.7)))
-    parts = []
-    for b in range(blocks):
-        rows = tests.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()  # at most about block_bytes
-        parts.append(_scan(docs, [(r["item_id"], r["text"].encode()) for r in rows], window))
+    docs = documents.select(F.monotonically_increasing_id().alias("row_key"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    found = None
+    for blocks, items in blocks_of(benchmark, block_bytes):
+        part = _scan(docs, items, window)
+        found = part if found is None else found.unionByName(part)
     if blocks == 1:
-        return parts[0]
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
-    found = found.groupBy("row_key").agg(
-        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("hits")).alias("hits"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        F.array_join(F.filter(F.collect_list("spans"), lambda s: s != ""), ",").alias("spans"),
+        return found
+    ends = lambda s: tuple(map(int, s.split(":")))
+    joined_runs = F.udf(lambda runs: merge((r["start"], r["stop"]) for r in runs), "array<struct<start:long,stop:long>>")
+    joined_spans = F.udf(lambda spans: ",".join(f"{a}:{b}" for a, b in merge(ends(x) for s in spans for x in s.split(",") if x)), "string")
+    return found.groupBy("row_key").agg(
+        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), joined_runs(F.flatten(F.collect_list("hits"))).alias("hits"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), joined_spans(F.collect_list("spans")).alias("spans"),
     )
-    first, joined = F.udf(lambda runs: [(int(a), int(b)) for a, b in merge((r["start"], r["stop"]) for r in runs)], "array<struct<start:long,stop:long>>"), F.udf(lambda s: ",".join(f"{a}:{b}" for a, b in merge(tuple(map(int, x.split(":"))) for x in s.split(",") if x)), "string")
-    return found.select("row_key", "doc_id", "n_words", first("hits").alias("hits"), "items", joined("spans").alias("spans"))
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -148,11 +156,23 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
-def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without any hit word, columns as they came."""
-    docs = documents.withColumn("row_key", F.monotonically_increasing_id())
-    hit = scan(documents, benchmark).where(F.size("hits") > 0).select("row_key")
-    return docs.join(hit, "row_key", "left_anti").select(*documents.columns)
+def clean(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The documents without any hit word, columns as they came: one filter a
+    block of items, no shuffle."""
+    text = documents.columns.index("text")
+    for _, items in blocks_of(benchmark, block_bytes):
+        shared = documents.sparkSession.sparkContext.broadcast(items)
+
+        def make(shared=shared):
+            machine = automaton(shared.value, window)
+
+            def step(batch: pa.RecordBatch):
+                yield batch.filter(pa.array([not _matches(machine, raw)[1] for raw in text_bytes(batch.column(text))], pa.bool_()))
+
+            return step
+
+        documents = map_batches(documents, make, documents.schema)
+    return documents
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -173,9 +173,8 @@ def _drawn(rows: DataFrame, wanted: DataFrame, n: int, salt: int) -> np.ndarray:
     return np.frombuffer(b"".join(bytes(r["f"]) for r in found), np.float32).reshape(-1, WIDTH).astype(float)
 
 
-def scores(documents: DataFrame, labels: DataFrame, modulus: int = HELD_OUT_MODULUS, held_out_at: int = HELD_OUT_AT) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` per row of documents."""
-    rows = stored(feature_table(documents), "quality-features")
+def fit(rows: DataFrame, labels: DataFrame, modulus: int, held_out_at: int) -> Network | None:
+    """The network fitted on the learning rows of a feature table."""
     ids = rows.select("doc_id").distinct()
     marks = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("low"))
     learn = ids.where(F.col("doc_id").isNotNull() & (remainder("doc_id", modulus) != held_out_at)).join(marks, "doc_id", "left").select("doc_id", F.when(F.col("low") == 1, "p").when(F.col("low").isNull(), "u").otherwise("n").alias("kind"))
@@ -185,22 +184,40 @@ def scores(documents: DataFrame, labels: DataFrame, modulus: int = HELD_OUT_MODU
     kinds = {"p": "p", "u": "u"}
     if not len(unlabelled):
         unlabelled, kinds = _drawn(rows, learn.select("doc_id"), UNLABELLED, 2), {"p": "p", "n": "u"}
-    out = rows.select("doc_id").withColumn("score", F.lit(0.5))
-    if len(positive) and len(unlabelled):
-        first = _scored(rows, fit_discriminator(positive, unlabelled), "s").join(learn, "doc_id")
-        bins = F.least(F.floor(F.col("s") * BINS), F.lit(BINS - 1)).cast("int")
-        counts = {(r["kind"], r["b"]): r["count"] for r in first.groupBy("kind", bins.alias("b")).count().collect()}
-        histogram = lambda side: np.array([sum(counts.get((k, b), 0) for k, s in kinds.items() if s == side) for b in range(BINS)], float)
-        prior = estimate_prior(histogram("p"), histogram("u"))
-        out = _scored(rows, fit_nonnegative(positive, unlabelled, prior), "score")
+    if not len(positive) or not len(unlabelled):
+        return None
+    first = _scored(rows, fit_discriminator(positive, unlabelled), "s").join(learn, "doc_id")
+    bins = F.least(F.floor(F.col("s") * BINS), F.lit(BINS - 1)).cast("int")
+    counts = {(r["kind"], r["b"]): r["count"] for r in first.groupBy("kind", bins.alias("b")).count().collect()}
+    histogram = lambda side: np.array([sum(counts.get((k, b), 0) for k, s in kinds.items() if s == side) for b in range(BINS)], float)
+    return fit_nonnegative(positive, unlabelled, estimate_prior(histogram("p"), histogram("u")))
+
+
+def scores(documents: DataFrame, labels: DataFrame, modulus: int = HELD_OUT_MODULUS, held_out_at: int = HELD_OUT_AT) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` per row of documents."""
+    rows = stored(feature_table(documents), "quality-features")
+    net = fit(rows, labels, modulus, held_out_at)
+    out = _scored(rows, net, "score") if net else rows.select("doc_id", F.lit(0.5).alias("score"))
     return out.select("doc_id", (remainder("doc_id", modulus) == held_out_at).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents not rejected: those predicted to be of label 1. Rows that
-    share a doc_id go or stay by their best score."""
-    good = scores(documents, labels).where("predicted = 1").select(F.col("doc_id").alias("_id")).distinct()
-    return documents.join(good, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi")
+    """The documents not rejected, columns as they came; the rows are filtered
+    where they are read, without a shuffle of texts."""
+    net = fit(stored(feature_table(documents), "quality-features"), labels, HELD_OUT_MODULUS, HELD_OUT_AT)
+    if net is None:
+        return documents
+    shared, text = documents.sparkSession.sparkContext.broadcast(net), documents.columns.index("text")
+
+    def make():
+        def step(batch: pa.RecordBatch):
+            if batch.num_rows:
+                good = shared.value.score(np.stack([features(raw) for raw in text_bytes(batch.column(text))])) >= 0.5
+                yield batch.filter(pa.array(good))
+
+        return step
+
+    return map_batches(documents, make, documents.schema)
 
 
 def op2_quality_positive_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,10 +27,10 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txpipe.llm.common import map_batches, stored, table, text_bytes
+from txpipe.llm.common import map_batches, stored, table, text_bytes, with_row_keys
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -59,16 +59,16 @@ def fingerprint(raw: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp`` per row."""
+    """``id_key, row_key, doc_id, fp`` per row of keyed documents."""
 
     def make():
         def step(batch: pa.RecordBatch):
-            fps = [fingerprint(raw, shingle) for raw in text_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            fps = [fingerprint(raw, shingle) for raw in text_bytes(batch.column(3))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(fps, pa.int64())], ["id_key", "row_key", "doc_id", "fp"])
 
         return step
 
-    return map_batches(documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, "doc_id long, fp long")
+    return map_batches(documents.select("id_key", "row_key", F.col("doc_id").cast("long"), F.col("text").cast("string")), make, "id_key long, row_key long, doc_id long, fp long")
 
 
 def distance(a: np.ndarray, b) -> np.ndarray:
@@ -229,25 +229,25 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``doc_id, fp, component_id`` per row (component: smallest doc_id)."""
-    prints = stored(fingerprints(documents, shingle), "fingerprints")
+    """``doc_id, id_key, row_key, fp, root`` (a component's name) and
+    ``component_id`` (its smallest doc_id) per row."""
+    prints = stored(fingerprints(with_row_keys(documents, "doc_id", "text"), shingle), "fingerprints")
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
     roots = components(links(distinct.select("fp"), max_bits))
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     names = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = named.join(names, "root").select("fp", "component_id")
-    return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(named.join(names, "root").select("fp", "root", "component_id"), "fp")
 
 
 def keep_first(documents: DataFrame) -> DataFrame:
-    """One row of each component: that with the smallest doc_id (of repeated
-    rows one; where no doc_id is known, one)."""
-    docs = documents.withColumn("_text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    """One row of each component, columns as they came: that with the smallest
+    doc_id; of rows that share it, one."""
     found = near_duplicates(documents)
-    chosen = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("component_id").distinct()
-    rank = F.struct(*[F.col(c) for c in documents.columns])
-    hit = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["component_id"]), "left_semi")
-    return hit.groupBy(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).agg(F.min(rank).alias("r")).select("r.*")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "id_key", "row_key")).alias("r")
+    chosen = found.groupBy("root").agg(first).select("r.id_key", "r.row_key")
+    keyed = with_row_keys(documents, F.struct(*documents.columns).alias("row")).join(chosen, ["id_key", "row_key"], "left_semi")
+    turn = F.row_number().over(Window.partitionBy("id_key", "row_key").orderBy(F.lit(1)))
+    return keyed.withColumn("turn", turn).where("turn = 1").select("row.*")
 
 
 def op9_simhash_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:

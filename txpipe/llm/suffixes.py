@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txpipe.llm.common import map_batches, stored, table, text_bytes
+from txpipe.llm.common import map_batches, stored, table, text_bytes, with_row_keys
 
 SPAN = 400
 WINDOW = 256
@@ -127,7 +127,7 @@ def _chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
 
 
 def anchors(docs: DataFrame, span: int = SPAN, window: int = WINDOW) -> DataFrame:
-    """``row_key, kh`` (hash of the core), ``ch`` (hash of all bytes and the
+    """``id_key, row_key, kh`` (hash of the core), ``ch`` (hash of all bytes and the
     range), ``q, lo, hi`` (in the text), and for a few a ``sample`` of bytes."""
     core = span - window + 1
 
@@ -137,7 +137,7 @@ def anchors(docs: DataFrame, span: int = SPAN, window: int = WINDOW) -> DataFram
         digest, signed = xxhash.xxh3_64_intdigest, lambda x: x - (1 << 64) if x >> 63 else x
 
         def step(batch: pa.RecordBatch):
-            keys, texts = batch.column(0).to_numpy(zero_copy_only=False), text_bytes(batch.column(1))
+            ids, keys, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False), text_bytes(batch.column(2))
             for a, b in _chunks(texts):
                 part = texts[a:b]
                 owner, q, lo, hi = super_windows(part, span, window)
@@ -148,12 +148,12 @@ def anchors(docs: DataFrame, span: int = SPAN, window: int = WINDOW) -> DataFram
                 kh = [signed(digest(buf[i : i + core])) for i in q.tolist()]
                 ch = [signed(digest(buf[i - h : i - l + span], h)) for i, l, h in zip(q.tolist(), lo.tolist(), hi.tolist(), strict=True)]
                 sample = [buf[i : i + span] if c % SAMPLE_ONE_IN == 0 else None for i, c in zip(q.tolist(), ch, strict=True)]
-                cols = [pa.array(keys[a:b][owner]), pa.array(kh, pa.int64()), pa.array(ch, pa.int64()), pa.array((q - starts[owner]).astype(np.int32)), pa.array(lo.astype(np.int16)), pa.array(hi.astype(np.int16)), pa.array(sample, pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, ["row_key", "kh", "ch", "q", "lo", "hi", "sample"])
+                cols = [pa.array(ids[a:b][owner]), pa.array(keys[a:b][owner]), pa.array(kh, pa.int64()), pa.array(ch, pa.int64()), pa.array((q - starts[owner]).astype(np.int32)), pa.array(lo.astype(np.int16)), pa.array(hi.astype(np.int16)), pa.array(sample, pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, ["id_key", "row_key", "kh", "ch", "q", "lo", "hi", "sample"])
 
         return step
 
-    return map_batches(docs.select("row_key", "text"), make, "row_key long, kh long, ch long, q int, lo short, hi short, sample binary")
+    return map_batches(docs.select("id_key", "row_key", "text"), make, "id_key long, row_key long, kh long, ch long, q int, lo short, hi short, sample binary")
 
 
 # -- front-coded runs ------------------------------------------------------
@@ -359,7 +359,7 @@ def merged(runs: DataFrame, span: int = SPAN) -> DataFrame:
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """``row_key, doc_id, z``: texts compressed, as they are shuffled by row."""
+    """``id_key, row_key, doc_id, z``: texts compressed, as they are shuffled by row."""
 
     def make():
         import zstandard
@@ -367,32 +367,32 @@ def _packed(docs: DataFrame) -> DataFrame:
         pack = zstandard.ZstdCompressor(level=1)
 
         def step(batch: pa.RecordBatch):
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([pack.compress(t) for t in text_bytes(batch.column(2))], pa.binary())], ["row_key", "doc_id", "z"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([pack.compress(t) for t in text_bytes(batch.column(3))], pa.binary())], ["id_key", "row_key", "doc_id", "z"])
 
         return step
 
-    return map_batches(docs.select("row_key", "doc_id", "text"), make, "row_key long, doc_id long, z binary")
+    return map_batches(docs.select("id_key", "row_key", "doc_id", "text"), make, "id_key long, row_key long, doc_id long, z binary")
 
 
 def covered(docs: DataFrame, span: int = SPAN, window: int = WINDOW, hot: int = HOT, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """``row_key, cover``: byte stretches (start, stop) of repeated strings."""
+    """``id_key, row_key, cover``: byte stretches (start, stop) of repeated strings."""
     every = stored(anchors(docs, span, window), "anchors")
     cores = every.groupBy("kh").agg(F.count("*").alias("n")).where("n > 1").select("kh")
     places = stored(every.join(cores, "kh", "left_semi"), "places")
-    kinds = places.groupBy("kh", "ch").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("row_key", "q", "lo", "hi")])
+    kinds = places.groupBy("kh", "ch").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("id_key", "row_key", "q", "lo", "hi")])
     kinds = stored(kinds, "items")
     crowded = kinds.groupBy("kh").agg(F.count("*").alias("k")).where(F.col("k") > hot).select("kh", F.lit(True).alias("crowded"))
     place = F.struct("q", "lo", "hi", (F.col("n") > 1).cast("int").alias("many"), "kh", "ch", F.coalesce("crowded", F.lit(False)).alias("hot"))
-    chosen = kinds.join(crowded, "kh", "left").groupBy("row_key").agg(F.collect_list(place).alias("places"))
+    chosen = kinds.join(crowded, "kh", "left").groupBy("id_key", "row_key").agg(F.collect_list(place).alias("places"))
     total = kinds.agg(F.sum(F.col("hi") - F.col("lo") + span).alias("n")).first()["n"] or 0
     ranges = max(1, total // range_bytes)
     drawn = places.where("sample is not null").groupBy("kh", "ch").agg(F.first("sample").alias("sample")).orderBy(F.xxhash64("kh", "ch")).limit(SAMPLES).collect()
     sample = sorted(bytes(r["sample"]) for r in drawn)
     splitters = sorted({sample[len(sample) * i // ranges] for i in range(1, ranges)}) if sample else []
-    texts = _packed(docs).select("row_key", "z").join(chosen, "row_key")
+    texts = _packed(docs).select("id_key", "row_key", "z").join(chosen, ["id_key", "row_key"])
     again = merged(item_runs(texts, splitters, span, window), span)
-    cover = places.join(again, ["kh", "ch"]).select("row_key", (F.col("q") - F.col("to_d")).alias("start"), (F.col("q") - F.col("from_d") + span).alias("stop"))
-    return cover.groupBy("row_key").agg(F.collect_list(F.struct("start", "stop")).alias("cover"))
+    cover = places.join(again, ["kh", "ch"]).select("id_key", "row_key", (F.col("q") - F.col("to_d")).alias("start"), (F.col("q") - F.col("from_d") + span).alias("stop"))
+    return cover.groupBy("id_key", "row_key").agg(F.collect_list(F.struct("start", "stop")).alias("cover"))
 
 
 def removed_runs(cover: list[dict] | None) -> list[tuple[int, int]]:
@@ -407,8 +407,8 @@ def removed_runs(cover: list[dict] | None) -> list[tuple[int, int]]:
 
 def deduplicate(documents: DataFrame, span: int = SPAN, window: int = WINDOW, hot: int = HOT, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """``doc_id, n_bytes, runs`` (removed byte stretches), ``kept`` (bytes)."""
-    docs = documents.select(F.monotonically_increasing_id().alias("row_key"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    both = _packed(docs).join(covered(docs, span, window, hot, range_bytes), "row_key", "left")
+    docs = with_row_keys(documents, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    both = _packed(docs).join(covered(docs, span, window, hot, range_bytes), ["id_key", "row_key"], "left")
 
     def make():
         import zstandard
