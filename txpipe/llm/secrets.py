@@ -122,11 +122,11 @@ def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
 
 
 def scan(documents: DataFrame, carry: list[str], scope: int = SCOPE) -> DataFrame:
-    """One row per document: the ``carry`` columns and ``parts``, an array of
-    (start, k, stop) by position."""
+    """One row per document: ``carry``, a struct of columns that come along,
+    and ``parts``, an array of (start, k, stop) by position."""
     kept = linked(parts(documents, carry), scope)
     spans = F.array_sort(F.collect_list(F.when(F.col("k").isNotNull(), F.struct("start", "k", "stop"))))
-    return kept.groupBy("row_key").agg(F.first("carry", ignorenulls=True).alias("carry"), spans.alias("parts")).select("carry.*", "parts")
+    return kept.groupBy("row_key").agg(F.first("carry", ignorenulls=True).alias("carry"), spans.alias("parts")).drop("row_key")
 
 
 def _name(k: Column) -> Column:
@@ -140,7 +140,7 @@ def _joined(spans: Column) -> Column:
 def digest(found: DataFrame) -> DataFrame:
     of = lambda k: F.size(F.filter("parts", lambda p: p["k"] == k)).cast("long")
     return found.select(
-        "doc_id", *[of(k).alias(f"n_{KINDS[k][0]}") for k in range(3)],
+        F.col("carry.doc_id").cast("long").alias("doc_id"), *[of(k).alias(f"n_{KINDS[k][0]}") for k in range(3)],
         F.sha2(_joined(F.filter("parts", lambda p: p["k"] < 3)).cast("binary"), 256).alias("base_sha256"), _joined(F.col("parts")).alias("spans"),
     )
 
@@ -149,16 +149,17 @@ def redact(documents: DataFrame, scope: int = SCOPE) -> DataFrame:
     """The documents with every span's text replaced by its kind in brackets;
     ``n_chars`` follows. Documents without spans stay as they are."""
     found = scan(documents, documents.columns, scope)
-    text = F.coalesce("text", F.lit(""))
+    text = F.coalesce(F.col("carry.text").cast("string"), F.lit(""))
     n = F.size("parts")
     reach = lambda i: F.coalesce(F.array_max(F.transform(F.slice("parts", 1, i), lambda p: p["stop"])), F.lit(0).cast("bigint"))
-    piece = lambda p, i: F.concat(text.substr((reach(i) + 1).cast("int"), F.greatest(p["start"] - reach(i), F.lit(0)).cast("int")), F.when(p["start"] >= reach(i), F.concat(F.lit("["), _name(p["k"]), F.lit("]"))).otherwise(F.lit("")))
+    name = lambda p, i: F.when(p["start"] >= reach(i), F.concat(F.lit("["), _name(p["k"]), F.lit("]"))).otherwise(F.lit(""))
+    piece = lambda p, i: F.concat(text.substr((reach(i) + 1).cast("int"), F.greatest(p["start"] - reach(i), F.lit(0)).cast("int")), name(p, i))
     tail = text.substr((reach(n) + 1).cast("int"), F.length(text))
-    new = F.when(n == 0, F.col("text")).otherwise(F.concat(F.array_join(F.transform("parts", piece), ""), tail))
-    out = {"text": new}
+    new = {"text": F.concat(F.array_join(F.transform("parts", piece), ""), tail)}
     if "n_chars" in documents.columns:
-        out["n_chars"] = F.when(n == 0, F.col("n_chars")).otherwise(F.length(new).cast(documents.schema["n_chars"].dataType))
-    return found.withColumns(out).select(*documents.columns)
+        new["n_chars"] = F.length(new["text"]).cast(documents.schema["n_chars"].dataType)
+    kept = lambda c: F.col(f"carry.`{c}`")
+    return found.select(*[(F.when(n == 0, kept(c)).otherwise(new[c]) if c in new else kept(c)).alias(c) for c in documents.columns])
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
