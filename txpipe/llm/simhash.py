@@ -36,7 +36,8 @@ SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
 SAMPLE = 8192  # fingerprints from which the tree is built
-SHARD = 8192  # distinct fingerprints aimed at in a shard
+SHARD = 8192  # distinct fingerprints aimed at in a shard, at least
+SHARDS = 16  # more would send each fingerprint to ever more of them; a shard's own tree goes on without copies
 BLOCK = 1 << 19  # residents or visitors in one task at most
 DENSE = 1 << 21  # pairs compared in full at once
 
@@ -172,14 +173,14 @@ def shard_links(homes: np.ndarray, guests: np.ndarray, bits: int) -> tuple[np.nd
     return every[moved], every[forest.parent[moved]]
 
 
-def links(distinct: DataFrame, max_bits: int = MAX_BITS, sample: int = SAMPLE, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
+def links(distinct: DataFrame, max_bits: int = MAX_BITS, sample: int = SAMPLE, shard: int = SHARD, shards: int = SHARDS, block: int = BLOCK) -> DataFrame:
     """``u, v`` over a table of distinct fingerprints ``fp``: edges that span
     the same components as all pairs within ``max_bits``."""
     spark = distinct.sparkSession
     n = distinct.count()
     drawn = distinct.orderBy(F.xxhash64("fp")).limit(sample).collect()  # the documented bound
     points = np.array([r["fp"] for r in drawn], np.int64).view(np.uint64)
-    tree = spark.sparkContext.broadcast(build_tree(points, max(16, math.ceil(len(points) * shard / max(1, n))), max_bits))
+    tree = spark.sparkContext.broadcast(build_tree(points, max(16, math.ceil(len(points) * max(shard / max(1, n), 1 / shards))), max_bits))
 
     def make():
         def step(batch: pa.RecordBatch):
