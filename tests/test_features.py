@@ -102,7 +102,7 @@ def test_hot_customer_block_plan_matches(spark):
     tx = load_transactions(spark, "/root/testdata/sf0.001").cache()
     plain = build_features(tx, skew=None)
     for rpb in (1, 4):
-        hot = build_features(tx, skew=SkewConfig(min_rows=5, max_keys=1_000_000, rows_per_block=rpb))
+        hot = build_features(tx, skew=SkewConfig(min_rows=5, rows_per_block=rpb))
         assert hot.dtypes == plain.dtypes
         assert hot.count() == plain.count()
         assert plain.exceptAll(hot.select(*plain.columns)).count() == 0
@@ -124,22 +124,48 @@ def test_hot_customer_frame_edges(spark):
     df = tx_rows(spark, rows)
     plain = build_features(df, skew=None)
     for rpb in (1, 2, 3):
-        hot = build_features(df, skew=SkewConfig(min_rows=1, max_keys=10, rows_per_block=rpb))
+        hot = build_features(df, skew=SkewConfig(min_rows=1, rows_per_block=rpb))
         assert sorted(plain.collect()) == sorted(hot.select(*plain.columns).collect())
 
 
-def test_hot_list_is_bounded_and_takes_the_largest(spark):
-    import math
-
+def test_every_customer_above_the_threshold_is_hot(spark):
     from txpipe.operators.hotkeys import find_hot_keys
     from txpipe.sources.fixture import load_transactions
 
     tx = load_transactions(spark, "/root/testdata/sf0.01")
     counts = {r[0]: r[1] for r in tx.groupBy("CUSTOMER_ID").count().collect()}
-    for max_keys in (1, 10, 60, 1000):
-        hot, n = find_hot_keys(tx, min_rows=10, max_keys=max_keys)
-        ids = {r[0] for r in hot.collect()}
-        assert n == len(ids) <= max_keys
-        if ids:
-            cut = min(int(math.floor(math.log2(counts[i]))) for i in ids)
-            assert ids == {c for c, k in counts.items() if k > 10 and math.floor(math.log2(k)) >= cut}
+    for least in (10, 100, 10_000):
+        hot = find_hot_keys(tx, min_rows=least)
+        want = {c for c, k in counts.items() if k > least}
+        assert (hot is None) == (not want) and (hot is None or {r["_k"] for r in hot.collect()} == want)
+
+
+def test_burst_with_a_stray_old_row_gets_short_blocks(spark):
+    from txpipe.operators.features import SkewConfig, add_flags, add_rolling_skew_safe
+    from txpipe.operators.hotkeys import find_hot_keys, mark_hot
+
+    t0 = datetime(2024, 3, 10, 12)
+    rows = [(i, t0 + timedelta(milliseconds=900 * i), 7, i % 3, float(i % 11)) for i in range(4000)]  # an hour
+    rows += [(5000, datetime(2001, 1, 1), 7, 1, 3.0)] + [(6000 + i, t0 + timedelta(hours=i), 8, 1, 1.0) for i in range(400)]
+    rows += [(7000 + i, t0 + timedelta(minutes=i), None, i % 2 or None, 0.004) for i in range(300)]
+    df = tx_rows(spark, rows)
+    df = df.unionByName(df.limit(250).withColumn("TRANSACTION_ID", F.col("TRANSACTION_ID") + 9000).withColumn("TX_DATETIME", F.lit(None).cast("timestamp")))
+    hot = find_hot_keys(df, min_rows=250, rows_per_block=100)
+    block = F.floor(F.unix_micros("TX_DATETIME") / F.col("_blk"))
+    largest = mark_hot(df, hot).where("_blk is not null and TX_DATETIME is not null").groupBy("_k", block).count().agg(F.max("count")).first()[0]
+    assert largest <= 200  # 4,401 of 5,000 rows are one customer's
+    plain = build_features(df, skew=None)
+    split = build_features(df, skew=SkewConfig(min_rows=250, rows_per_block=100))
+    assert plain.exceptAll(split.select(*plain.columns)).count() == 0 and plain.count() == split.count()
+    some = add_rolling_skew_safe(add_flags(df), SkewConfig(min_rows=250, rows_per_block=100), S.ROLLING[:1])
+    assert some.columns[-1] == S.ROLLING_NAMES[0] and some.count() == df.count()
+
+
+def test_small_amounts_keep_their_average_and_finer_ones_fail(spark):
+    import pytest
+
+    t0 = datetime(2024, 1, 10, 12)
+    f = _feat(spark, [(1, t0, 3, 1, 0.004), (2, t0, 3, 1, 0.000002)])
+    assert f[1]["CUSTOMER_ID_AVG_AMOUNT_1DAY_WINDOW"] == 0.002001
+    with pytest.raises(Exception, match="decimal places"):
+        _feat(spark, [(1, t0, 3, 1, 0.0000001)])

@@ -40,8 +40,8 @@ def test_replace_missing_marker(spark):
 def test_dense_id_matches_row_number(spark):
     tx = load_transactions(spark, "/root/testdata/sf0.01").select("TRANSACTION_ID", "TX_DATETIME")
     want = tx.withColumn("rn", F.row_number().over(Window.orderBy("TX_DATETIME", "TRANSACTION_ID")) - 1)
-    for ckpt in (False, True):
-        got = dense_id(tx, ["TX_DATETIME", "TRANSACTION_ID"], partitions=5, checkpoint=ckpt)
+    for parts in (None, 5):
+        got = dense_id(tx, ["TX_DATETIME", "TRANSACTION_ID"], partitions=parts)
         joined = got.join(want, "TRANSACTION_ID")
         assert joined.where(F.col("dense_id") != F.col("rn")).count() == 0
         assert got.count() == 10000
@@ -55,3 +55,12 @@ def test_hash_sample_exact(spark):
     for n in (0, 1, 7, 5000, 10000, 50000):
         got = sorted(r[0] for r in hash_sample(tx, n).select("TRANSACTION_ID").collect())
         assert got == sorted(order[:n])
+
+
+def test_hash_sample_keeps_its_size_with_null_ids(spark):
+    from txpipe.operators.stats import hash_sample
+
+    df = spark.range(1000).select(F.when(F.col("id") % 10 != 0, F.col("id") - 500).alias("TRANSACTION_ID"), F.col("id").alias("v"))
+    for n in (1, 500, 900, 950, 1000, 2000):
+        got = hash_sample(df, n)
+        assert got.count() == min(n, 1000) and got.where("TRANSACTION_ID is null").count() == max(0, min(n, 1000) - 900)

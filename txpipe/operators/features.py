@@ -9,7 +9,7 @@ Plan shape: all twelve windows share the order key, and the customer-terminal
 windows are partitioned by the two plain keys, so one hash exchange on
 ``CUSTOMER_ID`` serves every window (a struct key would add a second one).
 Averages are an exact decimal sum divided by the count, so they do not
-depend on summation order.
+depend on summation order; see ``schema.AMOUNT_SCALE``.
 """
 
 from __future__ import annotations
@@ -32,22 +32,26 @@ def window_clause(keys: tuple[str, ...], days: int, ts: str = TS) -> str:
     )
 
 
-def rolling_column(spec: S.RollingSpec, ts: str = TS) -> Column:
-    """One rolling feature as a window expression."""
-    w = window_clause(spec.keys, spec.days, ts)
+def exact_amount(v: str) -> str:
+    """``v`` as a decimal; an amount with more places than the scale fails."""
+    dec = f"DECIMAL(24,{S.AMOUNT_SCALE})"
+    fail = f"CAST(raise_error('{v} has an amount with more than {S.AMOUNT_SCALE} decimal places') AS {dec})"
+    return f"CASE WHEN {v} IS NULL OR CAST(CAST({v} AS {dec}) AS DOUBLE) = {v} THEN CAST({v} AS {dec}) ELSE {fail} END"
+
+
+def rolling_expression(spec: S.RollingSpec, window: str) -> str:
+    """SQL text of one rolling feature over ``window``."""
     v = spec.value
     if spec.agg == "avg":
-        expr = (
-            f"CAST(SUM(CAST({v} AS DECIMAL(18,2))) OVER ({w}) AS DOUBLE)"
-            f" / NULLIF(COUNT({v}) OVER ({w}), 0)"
-        )
-    elif spec.agg == "count":
-        expr = f"COUNT({v}) OVER ({w})"
-    elif spec.agg == "max":
-        expr = f"MAX({v}) OVER ({w})"
-    else:
-        raise ValueError(spec.agg)
-    return F.expr(expr).alias(spec.name)
+        return f"CAST(SUM({exact_amount(v)}) OVER ({window}) AS DOUBLE) / NULLIF(COUNT({v}) OVER ({window}), 0)"
+    if spec.agg in ("count", "max"):
+        return f"{spec.agg.upper()}({v}) OVER ({window})"
+    raise ValueError(spec.agg)
+
+
+def rolling_column(spec: S.RollingSpec, ts: str = TS) -> Column:
+    """One rolling feature as a window expression."""
+    return F.expr(rolling_expression(spec, window_clause(spec.keys, spec.days, ts))).alias(spec.name)
 
 
 def add_flags(df: DataFrame, weekend_mode: str = "aligned", ts: str = TS) -> DataFrame:
@@ -66,34 +70,31 @@ def add_rolling(df: DataFrame, specs: list[S.RollingSpec] | None = None) -> Data
 
 @dataclass(frozen=True)
 class SkewConfig:
-    """Hot-customer split for the rolling features: the largest customers
-    with more than ``min_rows`` rows (at most ``max_keys``, cut at a power of
-    two) take the block plan of :mod:`txpipe.operators.hotkeys`. ``None``
-    disables the split."""
+    """Hot-customer split for the rolling features: every customer (and the
+    rows without one) with more than ``min_rows`` rows takes the block plan of
+    :mod:`txpipe.operators.hotkeys`, with blocks of about ``rows_per_block`` of
+    the customer's rows at their densest. ``None`` disables the split."""
 
     min_rows: int = 20_000
-    max_keys: int = 1_000_000
     rows_per_block: int = 1_000_000
 
 
-def add_rolling_skew_safe(df: DataFrame, skew: SkewConfig | None = SkewConfig()) -> DataFrame:
-    """W1-W12 with hot customers split out: the plain window plan for the
-    rest, the block plan for hot customers, then a union (same values)."""
+def add_rolling_skew_safe(df: DataFrame, skew: SkewConfig | None = SkewConfig(), specs: list[S.RollingSpec] | None = None) -> DataFrame:
+    """W1-W12 (or some of them) with hot customers split out: the plain window
+    plan for the rest, the block plan for hot customers, then a union (same
+    values). The hot list is joined once, and its flag splits the rows."""
+    specs = specs if specs is not None else S.ROLLING
     if skew is None:
-        return add_rolling(df)
-    from txpipe.operators.hotkeys import find_hot_keys, hot_rolling
-
-    hot, n_hot = find_hot_keys(df, skew.min_rows, skew.max_keys, skew.rows_per_block)
-    if n_hot == 0:
-        return add_rolling(df)
-    keys = hot.select("CUSTOMER_ID")
-    hot_rows = df.join(keys, "CUSTOMER_ID", "left_semi").where(F.col(TS).isNotNull())
-    cold_rows = df.join(keys, "CUSTOMER_ID", "left_anti").unionByName(
-        df.join(keys, "CUSTOMER_ID", "left_semi").where(F.col(TS).isNull())
-    )
-    out = add_rolling(cold_rows).unionByName(hot_rolling(hot_rows, hot))
-    # The semi/anti joins put the key first; keep the input's column order.
-    return out.select(*df.columns, *[s.name for s in S.ROLLING])
+        return add_rolling(df, specs)
+    from txpipe.operators.hotkeys import find_hot_keys, hot_rolling, mark_hot
+
+    hot = find_hot_keys(df, skew.min_rows, skew.rows_per_block)
+    if hot is None:
+        return add_rolling(df, specs)
+    marked = mark_hot(df, hot)
+    cold = add_rolling(marked.where("_blk is null").select(*df.columns), specs)
+    out = cold.unionByName(hot_rolling(marked.where("_blk is not null"), df.columns, specs))
+    return out.select(*df.columns, *[s.name for s in specs])
 
 
 def build_features(
@@ -128,27 +129,22 @@ def build_features(
 def rolling_sql_text(view: str, specs: list[S.RollingSpec] | None = None) -> str:
     """The twelve windows as one SQL statement over a registered view."""
     specs = specs if specs is not None else S.ROLLING
-    cols = []
-    for spec in specs:
-        w = window_clause(spec.keys, spec.days)
-        v = spec.value
-        if spec.agg == "avg":
-            e = f"CAST(SUM(CAST({v} AS DECIMAL(18,2))) OVER ({w}) AS DOUBLE) / NULLIF(COUNT({v}) OVER ({w}), 0)"
-        elif spec.agg == "count":
-            e = f"COUNT({v}) OVER ({w})"
-        else:
-            e = f"MAX({v}) OVER ({w})"
-        cols.append(f"{e} AS {spec.name}")
+    cols = [f"{rolling_expression(s, window_clause(s.keys, s.days))} AS {s.name}" for s in specs]
     return f"SELECT *, {', '.join(cols)} FROM {view}"
 
 
-def build_features_sql(tx: DataFrame, view: str = "tx_flags", weekend_mode: str = "aligned") -> DataFrame:
+def build_features_sql(tx: DataFrame, view: str = "tx_flags", weekend_mode: str = "aligned", skew: SkewConfig | None = SkewConfig()) -> DataFrame:
     """S15 + W13 the reference's way: flags in the DataFrame API, a temp
-    view, the windows as SQL text, then NULL -> 0 (same plan as
-    :func:`build_features` without the hot-customer split)."""
-    add_flags(tx, weekend_mode).createOrReplaceTempView(view)
-    return fill_numeric_nulls(tx.sparkSession.sql(rolling_sql_text(view)))
-
-
-def feature_columns(features: DataFrame) -> list[str]:
-    return [c for c in S.FEATURES if c in features.columns]
+    view, the windows as SQL text over it, then NULL -> 0. Hot customers' rows
+    stay out of the view and take the block plan."""
+    from txpipe.operators.hotkeys import find_hot_keys, hot_rolling, mark_hot
+
+    flagged = add_flags(tx, weekend_mode)
+    hot = find_hot_keys(flagged, skew.min_rows, skew.rows_per_block) if skew else None
+    marked = mark_hot(flagged, hot) if hot is not None else None
+    cold = flagged if hot is None else marked.where("_blk is null").select(*flagged.columns)
+    cold.createOrReplaceTempView(view)
+    out = tx.sparkSession.sql(rolling_sql_text(view))
+    if hot is not None:
+        out = out.unionByName(hot_rolling(marked.where("_blk is not null"), flagged.columns, S.ROLLING))
+    return fill_numeric_nulls(out.select(*flagged.columns, *S.ROLLING_NAMES))

@@ -2,11 +2,11 @@
 
 The plain plan partitions every window by customer, so one customer with a
 third of all rows would be one task, and a RANGE frame rescans its frame
-for every row. For the largest customers (a top-k by row count above a
-threshold, so at most ``max_keys`` of them; one aggregate, broadcast after a
-count),
-time is cut into blocks whose length divides one day and holds about
-``rows_per_block`` of the customer's rows. The frame of a row at time ``t``
+for every row. Every customer above a row threshold -- the rows without a
+customer count as one, too -- takes this plan instead. Its time is cut into
+blocks whose length divides one day and holds about ``rows_per_block`` rows
+where the customer's rows are densest (measured by minute, so a burst gets
+short blocks whatever the span of the rest). The frame of a row at time ``t``
 in block ``b`` is then exactly
 
     [t - n days, t] = suffix of block b - m  (from t - n days)
@@ -18,9 +18,10 @@ block and once, shifted by n days, into block ``b + m`` for each span n
 (four copies). After one exchange on (customer, block), running windows
 give the prefix (ascending order) and the three edge suffixes (descending
 order) in O(1) per row. The whole blocks in between come from a per-block
-table: one pandas cumulative sum / rolling max per customer over its block
-index (O(number of blocks)), joined back on (customer, block). Amounts are
-summed as integer cents, the same exact sums the decimal form gives.
+table: prefix sums and a range maximum per customer over the blocks that have
+rows, joined back on (customer, block). Rows without a time see only each
+other; they take one aggregate. Amounts are summed as integers in units of
+the exact scale, the same sums the decimal form gives.
 """
 
 from __future__ import annotations
@@ -29,47 +30,48 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txpipe import schema as S
-from txpipe.session import broadcast_if_small
+from txpipe.session import stored
 
 DAY_US = 86_400_000_000
+MINUTE_US = 60_000_000
 # Block lengths that divide one day: 1 day .. 1 ms.
 BLOCK_US = [DAY_US // q for q in (1, 2, 3, 4, 6, 8, 12, 24, 48, 96, 288, 1440, 2880, 8640, 86400, 864000, 8640000, 86400000)]
 SPANS = S.WINDOW_DAYS
-NULL_TERMINAL = -(2**63)
+NULL_KEY = -(2**63)  # stands for no customer, or no terminal
 # Most (terminal, block) rows handed to one pandas call for the pair table.
 PAIR_GROUP_ROWS = 2_000_000
+UNIT = 10**S.AMOUNT_SCALE
 
-K, T, ID, AMT = "CUSTOMER_ID", "TERMINAL_ID", "TRANSACTION_ID", "TX_AMOUNT"
-
-
-def find_hot_keys(tx: DataFrame, min_rows: int = 20_000, max_keys: int = 1_000_000, rows_per_block: int = 1_000_000):
-    """``(CUSTOMER_ID, blk, psalt)`` for the customers that take the block
-    plan: those with more than ``min_rows`` rows and at least ``2**c`` rows,
-    where ``c`` is the lowest power of two that keeps the list within
-    ``max_keys`` (from a histogram of ``floor(log2(rows))``: at most 64
-    buckets, no top-k merge in one task). ``blk`` is the block length in
-    microseconds and ``psalt`` the number of groups the customer's
-    terminals are spread over for the pair table. Returns
-    ``(table, count)``; the table is cached and broadcast after the count."""
-    u = F.unix_micros(F.col("TX_DATETIME"))
-    stats = (
-        tx.where(F.col("TX_DATETIME").isNotNull() & F.col(K).isNotNull())
-        .groupBy(K)
-        .agg(F.count("*").alias("n"), F.min(u).alias("u0"), F.max(u).alias("u1"))
-        .where(F.col("n") > F.lit(min_rows))
-        .withColumn("lg", F.floor(F.log2(F.col("n"))).cast("int"))
-    )
-    # Customers per power of two, counted from the largest down (<= 64 rows).
-    from_top = Window.orderBy(F.col("lg").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    fits = stats.groupBy("lg").agg(F.count("*").alias("c")).withColumn("upto", F.sum("c").over(from_top))
-    cut = fits.where(F.col("upto") <= F.lit(max_keys)).agg(F.min("lg")).scalar()
-    raw = (F.col("u1") - F.col("u0") + 1).cast("double") * F.lit(float(rows_per_block)) / F.col("n")
+K, T, ID, AMT, TS = "CUSTOMER_ID", "TERMINAL_ID", "TRANSACTION_ID", "TX_AMOUNT", "TX_DATETIME"
+
+
+def _key():
+    return F.coalesce(F.col(K), F.lit(NULL_KEY))
+
+
+def find_hot_keys(tx: DataFrame, min_rows: int = 20_000, rows_per_block: int = 1_000_000) -> DataFrame | None:
+    """``(_k, _blk, _psalt)`` of every customer with more than ``min_rows``
+    rows, or None if there is none: ``_blk`` is the block length in
+    microseconds and ``_psalt`` the number of groups the customer's terminals
+    are spread over for the pair table. At most rows / ``min_rows`` keys,
+    stored, so joins with it broadcast by its bytes or shuffle."""
+    many = stored(tx.groupBy(_key().alias("_k")).agg(F.count("*").alias("n")).where(F.col("n") > F.lit(min_rows)), "hot-keys")
+    if many.isEmpty():
+        return None
+    minute = F.floor(F.unix_micros(F.col(TS)) / F.lit(MINUTE_US))
+    per_minute = tx.withColumn("_k", _key()).join(many, "_k").where(F.col(TS).isNotNull()).groupBy("_k", minute.alias("minute")).agg(F.count("*").alias("c"))
+    densest = many.join(per_minute.groupBy("_k").agg(F.max("c").alias("c")), "_k", "left")
+    raw = F.lit(float(rows_per_block) * MINUTE_US) / F.coalesce("c", F.lit(1))
     blk = F.lit(BLOCK_US[-1])
     for b in reversed(BLOCK_US[:-1]):
         blk = F.when(raw >= F.lit(b), F.lit(b)).otherwise(blk)
-    salts = F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(PAIR_GROUP_ROWS))).cast("int")
-    hot = stats.where(F.col("lg") >= cut).select(K, blk.cast("bigint").alias("blk"), salts.alias("psalt"))
-    return broadcast_if_small(hot, max_keys, checkpoint=False, cache=True, with_count=True)
+    salts = F.ceil(F.col("n") / F.lit(PAIR_GROUP_ROWS)).cast("int")
+    return stored(densest.select("_k", blk.cast("bigint").alias("_blk"), salts.alias("_psalt")), "hot-blocks")
+
+
+def mark_hot(tx: DataFrame, hot: DataFrame) -> DataFrame:
+    """``tx`` with ``_k``, ``_blk``, ``_psalt`` (NULL: not hot)."""
+    return tx.withColumn("_k", _key()).join(hot, "_k", "left")
 
 
 def _middle_schema(prefix: str, with_amounts: bool) -> str:
@@ -81,34 +83,46 @@ def _middle_schema(prefix: str, with_amounts: bool) -> str:
     return ", ".join(cols)
 
 
-def _middle_fn(keys: list[str], with_amounts: bool, prefix: str):
-    """Per key: aggregates over blocks b - m + 1 .. b - 1 for each block b."""
+def _range_max(values, lo, hi):
+    """Maximum of values[lo:hi] for many ranges (NaN where empty): a table of
+    maxima over powers of two, two lookups a range."""
+    import numpy as np
+
+    out = np.full(len(lo), np.nan)
+    full = hi > lo
+    if not full.any():
+        return out
+    levels = [np.where(np.isnan(values), -np.inf, values)]
+    while 2 ** len(levels) <= int((hi - lo).max()):
+        half = 2 ** (len(levels) - 1)
+        levels.append(np.maximum(levels[-1][:-half], levels[-1][half:]))
+    level = np.floor(np.log2(np.where(full, hi - lo, 1))).astype(int)
+    for k, table in enumerate(levels):
+        at = np.flatnonzero(full & (level == k))
+        out[at] = np.maximum(table[lo[at]], table[hi[at] - 2**k])
+    return np.where(np.isneginf(out), np.nan, out)
+
+
+def _middle_fn(prefix: str):
+    """Per customer: aggregates over blocks b - m + 1 .. b - 1 for each block b
+    that has rows."""
 
     def run(pdf):
         import numpy as np
         import pandas as pd
 
         pdf = pdf.sort_values("b")
-        blk = int(pdf["blk"].iloc[0])
-        lo, hi = int(pdf["b"].iloc[0]), int(pdf["b"].iloc[-1])
-        full = pdf.set_index("b").reindex(np.arange(lo, hi + 1))
-        at = pdf["b"].to_numpy() - lo
-        out = {k: pdf[k].to_numpy() for k in keys}
-        out["b"] = pdf["b"].to_numpy()
-        sums = ["cnt_id"] + (["cnt_amt", "cents"] if with_amounts else [])
-        names = {"cnt_id": "cnt", "cnt_amt": "cnta", "cents": "sum"}
+        blk, b = int(pdf["_blk"].iloc[0]), pdf["b"].to_numpy("int64")
+        here = np.arange(len(b))
+        out = {"_k": pdf["_k"].to_numpy(), "b": b}
         for n in SPANS:
             m = n * DAY_US // blk
-            for c in sums:
-                cum = full[c].fillna(0).astype("int64").cumsum()
-                mid = cum.shift(1, fill_value=0) - cum.shift(m, fill_value=0)
-                out[f"{prefix}{names[c]}_{n}"] = mid.to_numpy()[at].astype("int64")
-            if with_amounts:
-                if m > 1:
-                    mx = full["mx"].rolling(m - 1, min_periods=1).max().shift(1)
-                    out[f"{prefix}max_{n}"] = mx.to_numpy()[at]
-                else:
-                    out[f"{prefix}max_{n}"] = np.full(len(at), np.nan)
+            first = np.searchsorted(b, b - m, side="right")
+            for c, name in (("cnt_id", "cnt"), ("cnt_amt", "cnta"), ("units", "sum")):
+                values = pdf[c].fillna(0).tolist()  # Python integers: no overflow on the way
+                before = np.array([0, *np.cumsum(np.array(values, dtype=object))], dtype=object)
+                out[f"{prefix}{name}_{n}"] = (before[here] - before[first]).astype("int64")
+            out[f"{prefix}max_{n}"] = _range_max(pdf["mx"].to_numpy("float64"), first, here)
         return pd.DataFrame(out)
 
     return run
@@ -124,7 +138,7 @@ def _pair_middle_fn(run_prefix: str):
         import pandas as pd
 
         pdf = pdf.sort_values(["_t", "b"], kind="mergesort")
-        blk = int(pdf["blk"].iloc[0])
+        blk = int(pdf["_blk"].iloc[0])
         t = pdf["_t"].to_numpy()
         b = pdf["b"].to_numpy().astype("int64")
         c = pdf["cnt_id"].to_numpy().astype("int64")
@@ -146,7 +160,7 @@ def _pair_middle_fn(run_prefix: str):
             ok &= codes[idx0] == codes
             return np.where(ok, in_seg[idx0], 0)
 
-        out = {"CUSTOMER_ID": pdf["CUSTOMER_ID"].to_numpy(), "_t": t, "b": b}
+        out = {"_k": pdf["_k"].to_numpy(), "_t": t, "b": b}
         for n in SPANS:
             m = n * DAY_US // blk
             out[f"{run_prefix}cnt_{n}"] = (prefix_at(b - 1) - prefix_at(b - m)).astype("int64")
@@ -155,40 +169,55 @@ def _pair_middle_fn(run_prefix: str):
     return run
 
 
-def hot_rolling(rows: DataFrame, hot: DataFrame) -> DataFrame:
-    """W1-W12 for the rows of hot customers (non-NULL timestamps), same
-    columns and values as :func:`txpipe.operators.features.add_rolling`."""
-    base_cols = rows.columns
-    u = F.unix_micros(F.col("TX_DATETIME"))
-    cents = (F.col(AMT).cast("decimal(18,2)") * F.lit(100)).cast("bigint")
+def _timeless(rows: DataFrame, base_cols: list[str], specs: list[S.RollingSpec]) -> DataFrame:
+    """Rows without a time are each other's peers: one aggregate per key."""
+    units = F.sum(F.expr(_exact()))
+    per_key = rows.groupBy("_k").agg(F.count(ID).alias("n"), F.count(AMT).alias("na"), units.alias("u"), F.max(AMT).alias("mx"))
+    per_pair = rows.groupBy("_k", "_t").agg(F.count(ID).alias("np"))
+    out = rows.join(per_key, "_k").join(per_pair, ["_k", "_t"])
+    values = {
+        "avg": F.col("u").cast("double") / F.when(F.col("na") > 0, F.col("na")),
+        "max": F.col("mx"),
+    }
+    pick = lambda s: values.get(s.agg, F.col("n") if len(s.keys) == 1 else F.col("np"))
+    return out.select(*base_cols, *[pick(s).alias(s.name) for s in specs])
+
+
+def _exact() -> str:
+    from txpipe.operators.features import exact_amount
+
+    return exact_amount(AMT)
+
+
+def hot_rolling(marked: DataFrame, base_cols: list[str], specs: list[S.RollingSpec]) -> DataFrame:
+    """W1-W12 for the marked rows of hot customers, same columns and values as
+    :func:`txpipe.operators.features.add_rolling`."""
+    u = F.unix_micros(F.col(TS))
+    tagged = marked.withColumn("_t", F.coalesce(F.col(T), F.lit(NULL_KEY)))
+    timeless = _timeless(tagged.where(F.col(TS).isNull()), base_cols, specs)
     r = (
-        rows.join(hot, K)
+        tagged.where(F.col(TS).isNotNull())
         .withColumn("_u", u)
-        .withColumn("_b", F.floor(F.col("_u") / F.col("blk")).cast("bigint"))
-        .withColumn("_c", cents)
-        .withColumn("_t", F.coalesce(F.col(T), F.lit(NULL_TERMINAL)))
+        .withColumn("_b", F.floor(F.col("_u") / F.col("_blk")).cast("bigint"))
+        .withColumn("_c", (F.expr(_exact()) * F.lit(UNIT)).cast("bigint"))
     )
 
     # Per-block tables and their between-block aggregates (pandas per key).
-    blocks = r.groupBy(K, "blk", F.col("_b").alias("b")).agg(
-        F.count(ID).alias("cnt_id"), F.count(AMT).alias("cnt_amt"), F.sum("_c").alias("cents"), F.max(AMT).alias("mx")
+    blocks = r.groupBy("_k", "_blk", F.col("_b").alias("b")).agg(
+        F.count(ID).alias("cnt_id"), F.count(AMT).alias("cnt_amt"), F.sum("_c").alias("units"), F.max(AMT).alias("mx")
     )
-    mid_c = blocks.groupBy(K).applyInPandas(
-        _middle_fn([K], True, "mc_"), f"{K} long, b long, " + _middle_schema("mc_", True)
-    )
-    # A customer's terminals are hashed into ``psalt`` groups, so no pandas
+    mid_c = blocks.groupBy("_k").applyInPandas(_middle_fn("mc_"), "_k long, b long, " + _middle_schema("mc_", True))
+    # A customer's terminals are hashed into ``_psalt`` groups, so no pandas
     # call sees more than about PAIR_GROUP_ROWS rows; a terminal stays whole.
-    pblocks = r.groupBy(K, "_t", "blk", "psalt", F.col("_b").alias("b")).agg(F.count(ID).alias("cnt_id"))
-    pblocks = pblocks.withColumn("_salt", F.pmod(F.xxhash64("_t"), F.col("psalt")))
-    mid_p = pblocks.groupBy(K, "_salt").applyInPandas(
-        _pair_middle_fn("mp_"), f"{K} long, _t long, b long, " + _middle_schema("mp_", False)
-    )
+    pblocks = r.groupBy("_k", "_t", "_blk", "_psalt", F.col("_b").alias("b")).agg(F.count(ID).alias("cnt_id"))
+    pblocks = pblocks.withColumn("_salt", F.pmod(F.xxhash64("_t"), F.col("_psalt")))
+    mid_p = pblocks.groupBy("_k", "_salt").applyInPandas(_pair_middle_fn("mp_"), "_k long, _t long, b long, " + _middle_schema("mp_", False))
     mid_p = mid_p.withColumnRenamed("b", "pb")
 
     # Own copy plus one shifted copy per span into the block whose left edge it is.
     copies = [F.struct(F.lit(0).alias("role"), F.col("_b").alias("pb"), F.col("_u").alias("v"))]
     for n in SPANS:
-        shift_blocks = F.lit(n * DAY_US) / F.col("blk")
+        shift_blocks = F.lit(n * DAY_US) / F.col("_blk")
         copies.append(
             F.struct(
                 F.lit(n).alias("role"),
@@ -196,14 +225,13 @@ def hot_rolling(rows: DataFrame, hot: DataFrame) -> DataFrame:
                 (F.col("_u") + F.lit(n * DAY_US)).alias("v"),
             )
         )
-    keep = list(base_cols) + ["_t", "_c"]
+    keep = [*base_cols, "_k", "_t", "_c"]
     x = r.select(*keep, F.explode(F.array(*copies)).alias("cp")).select(*keep, "cp.role", "cp.pb", "cp.v")
 
     own = F.col("role") == 0
-    asc = Window.partitionBy(K, "pb").orderBy("v").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    desc = Window.partitionBy(K, "pb").orderBy(F.col("v").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    asc_p = Window.partitionBy(K, "pb", "_t").orderBy("v").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    desc_p = Window.partitionBy(K, "pb", "_t").orderBy(F.col("v").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = lambda *keys, order: Window.partitionBy("_k", "pb", *keys).orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    asc, desc = upto(order=F.col("v")), upto(order=F.col("v").desc())
+    asc_p, desc_p = upto("_t", order=F.col("v")), upto("_t", order=F.col("v").desc())
 
     def only(cond, c):
         return F.when(cond, F.col(c))
@@ -228,24 +256,25 @@ def hot_rolling(rows: DataFrame, hot: DataFrame) -> DataFrame:
 
     # The pair counts join on (customer, block, terminal): one more exchange
     # of the hot rows, but each row meets exactly one pair row.
-    joined = windowed.join(mid_c.withColumnRenamed("b", "pb"), [K, "pb"], "left").join(mid_p, [K, "pb", "_t"], "left")
+    joined = windowed.join(mid_c.withColumnRenamed("b", "pb"), ["_k", "pb"], "left").join(mid_p, ["_k", "pb", "_t"], "left")
 
     def z(c):
         return F.coalesce(F.col(c), F.lit(0))
 
     out = []
-    for spec in S.ROLLING:
+    for spec in specs:
         n = spec.days
         if spec.agg == "count" and len(spec.keys) == 1:
             val = z("o_cnt") + z(f"mc_cnt_{n}") + z(f"e_cnt_{n}")
         elif spec.agg == "count":
             val = z("o_pcnt") + z(f"mp_cnt_{n}") + z(f"e_pcnt_{n}")
         elif spec.agg == "max":
-            val = F.greatest(F.col("o_max"), F.col(f"mc_max_{n}"), F.col(f"e_max_{n}"))
+            val = F.greatest(F.col("o_max"), F.nanvl(F.col(f"mc_max_{n}"), F.lit(None).cast("double")), F.col(f"e_max_{n}"))
         else:
             total = z("o_sum") + z(f"mc_sum_{n}") + z(f"e_sum_{n}")
             cnt = z("o_cnta") + z(f"mc_cnta_{n}") + z(f"e_cnta_{n}")
-            amount = (total.cast("decimal(20,0)") * F.lit(0.01).cast("decimal(3,2)")).cast("double")
+            one = F.lit(1).cast("decimal(20,0)") / F.lit(UNIT).cast(f"decimal({S.AMOUNT_SCALE + 1},0)")
+            amount = (total.cast("decimal(20,0)") * one.cast(f"decimal({S.AMOUNT_SCALE + 1},{S.AMOUNT_SCALE})")).cast("double")
             val = amount / F.when(cnt > 0, cnt.cast("double"))
         out.append(val.alias(spec.name))
-    return joined.select(*base_cols, *out)
+    return joined.select(*base_cols, *out).unionByName(timeless)

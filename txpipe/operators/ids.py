@@ -1,57 +1,44 @@
 """Dense row ids in a global order (T6) without a one-task window.
 
 Rows are range-partitioned on the order key into an explicit number of
-partitions (AQE does not coalesce those, so partition indexes are stable)
-and sorted inside each partition by a unique key; ``monotonically_increasing_id``
-then numbers rows inside a partition and carries the partition index. A
-per-partition count (one row per partition) is prefix-summed and broadcast,
-and each row's id is the offset of its partition plus its rank inside it.
-
-The tagged rows are persisted (memory and local disk) so both passes read
-them once; a lost block is recomputed from the same range bounds and sort,
-which gives the same ids. ``checkpoint=True`` writes them to the shared
-folder instead (a lineage cut, at the price of writing the whole table).
+partitions (AQE does not coalesce those, so partition indexes are stable),
+sorted inside each partition by a unique key, and written to the shared
+folder with ``monotonically_increasing_id``, which numbers rows inside a
+partition and carries the partition index. Both passes read that table, so the
+sort runs once, nothing stays cached, and a lost executor costs only its own
+tasks. A per-partition count (one row per partition) is prefix-summed, and
+each row's id is the offset of its partition plus its rank inside it.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txpipe.session import broadcast_if_small, ensure_checkpoint_dir
+from txpipe.session import stored
 
 _LOW_BITS = 33  # monotonically_increasing_id keeps the row number in 33 bits
 
 
-def dense_id(
-    df: DataFrame,
-    order_cols: list[str],
-    id_col: str = "dense_id",
-    partitions: int | None = None,
-    checkpoint: bool = False,
-) -> DataFrame:
+def default_partitions(df: DataFrame) -> int:
+    """At least the shuffle setting, and no fewer than the input's own splits,
+    which follow its bytes."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
+
+
+def dense_id(df: DataFrame, order_cols: list[str], id_col: str = "dense_id", partitions: int | None = None) -> DataFrame:
     """``id_col`` = 0, 1, 2, ... in ``order_cols`` order (must be unique)."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (
-        df.repartitionByRange(n, *order_cols)
+    tagged = stored(
+        df.repartitionByRange(partitions or default_partitions(df), *order_cols)
         .sortWithinPartitions(*order_cols)
-        .withColumn("_mono", F.monotonically_increasing_id())
+        .withColumn("_mono", F.monotonically_increasing_id()),
+        "dense-ids",
     )
-    if checkpoint:
-        ensure_checkpoint_dir(spark)
-        tagged = tagged.checkpoint(eager=True)
-    else:
-        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
     part = F.shiftright(F.col("_mono"), _LOW_BITS)
     counts = tagged.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
     # One row per partition: the prefix sum runs over a table bounded by the
     # partition count, not by the data.
-    offsets = counts.select(
-        "_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_offset")
-    )
-    offsets = broadcast_if_small(offsets, 1_000_000, checkpoint=False)
+    offsets = stored(counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_offset")), "offsets")
     low = F.col("_mono").bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
     return (
         tagged.withColumn("_part", part)

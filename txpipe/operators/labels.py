@@ -13,35 +13,31 @@ from pyspark.sql import functions as F
 
 from txpipe import schema as S
 from txpipe.operators.picks import (
-    DAY_MULT,
-    ID_MULT,
     ROW_MODULUS,
+    day_hash,
     pick_per_day,
     share_cutoffs,
     smallest_share_per_group,
     start_days,
-    start_days_counted,
 )
-from txpipe.session import broadcast_if_small
+from txpipe.session import stored
 
 DAY = "TX_TIME_DAYS"
 
 
-def compromises(
-    tx: DataFrame, entity_col: str, per_day: int, days: DataFrame | None = None, n_days: int | None = None
-) -> DataFrame:
+def compromises(tx: DataFrame, entity_col: str, per_day: int) -> DataFrame:
     """``(start_day, entity_id)`` -- ``per_day`` entities per start day,
-    chosen among the distinct entities seen in the transactions."""
-    if days is None:
-        days, n_days = start_days_counted(tx, DAY)
-    return pick_per_day(tx.select(F.col(entity_col).alias("id")), days, per_day, n_days=n_days)
+    chosen among the distinct entities seen in the transactions; stored, at
+    most days x ``per_day`` rows."""
+    picks = pick_per_day(tx.select(F.col(entity_col).alias("id")), start_days(tx, DAY), per_day)
+    return stored(picks, f"picks-{entity_col.lower()}")
 
 
 def in_window(tx: DataFrame, comp: DataFrame, entity_col: str, days: int, how: str) -> DataFrame:
     """Transactions whose entity is compromised and whose day lies
     in ``[start_day, start_day + days)``. ``left_semi`` keeps each
     transaction once (membership); ``inner`` keeps one row per start day.
-    The compromise side is small and broadcast after a size check."""
+    The compromise side is a stored table: broadcast if its bytes allow."""
     cond = (
         (tx[entity_col] == comp["entity_id"])
         & (tx[DAY] >= comp["start_day"])
@@ -84,30 +80,28 @@ def label_frauds(
     """Add ``TX_FRAUD`` and ``TX_FRAUD_SCENARIO`` (3 > 2 > 1 > 0)
     and apply the scenario-3 amount factor ``5 ** times``.
 
-    Plan: the transactions are scanned once and never shuffled. The small
-    side tables -- compromised terminals and customers per start day, and
-    each day's scenario-3 cutoff -- are grouped into one array per entity
-    (bounded by days x picks per day), broadcast after a size check, and
-    looked up by a hash join on unique keys; higher-order functions then
-    test every compromise of the row's terminal and customer.
+    Plan: the transactions are read once for the result and not shuffled while
+    the side tables are small. Those -- compromised terminals and customers per
+    start day, and each day's scenario-3 cutoff -- are grouped into one array
+    per entity (bounded by days x picks per day) and stored, so the planner
+    knows their bytes and broadcasts them or, beyond the threshold, shuffles;
+    higher-order functions then test every compromise of the row's terminal
+    and customer. Four small writes come before the caller's own action;
+    nothing stays cached.
     """
-    n_days = None
-    if comp_terminals is None or comp_customers is None:
-        days, n_days = start_days_counted(tx, DAY)
-        if comp_terminals is None:
-            comp_terminals = compromises(tx, "TERMINAL_ID", S.SCENARIO2_PER_DAY, days, n_days)
-        if comp_customers is None:
-            comp_customers = compromises(tx, "CUSTOMER_ID", S.SCENARIO3_PER_DAY, days, n_days)
+    if comp_terminals is None:
+        comp_terminals = compromises(tx, "TERMINAL_ID", S.SCENARIO2_PER_DAY)
+    if comp_customers is None:
+        comp_customers = compromises(tx, "CUSTOMER_ID", S.SCENARIO3_PER_DAY)
     cand = customer_candidates(tx, comp_customers)
-    cut = share_cutoffs(cand, "start_day", "TRANSACTION_ID", S.SCENARIO3_SHARE_DIVISOR, max_groups=n_days)
+    cut = share_cutoffs(cand, "start_day", "TRANSACTION_ID", S.SCENARIO3_SHARE_DIVISOR)
     cust_side = (
         comp_customers.join(cut, "start_day")
         .groupBy(F.col("entity_id").alias("_cust"))
         .agg(F.collect_list(F.struct("start_day", "h_cut", "id_cut")).alias("_c3"))
     )
     term_side = comp_terminals.groupBy(F.col("entity_id").alias("_term")).agg(F.collect_list("start_day").alias("_c2"))
-    cust_side = broadcast_if_small(cust_side, 10_000_000, checkpoint=False, cache=True)
-    term_side = broadcast_if_small(term_side, 10_000_000, checkpoint=False)
+    cust_side = stored(cust_side, "customer-side")
 
     day, tid = F.col(DAY), F.col("TRANSACTION_ID")
     out = tx.join(term_side, tx["TERMINAL_ID"] == term_side["_term"], "left").join(
@@ -119,7 +113,7 @@ def label_frauds(
     )
 
     def picked(e):
-        h = (tid * F.lit(ID_MULT) + e["start_day"] * F.lit(DAY_MULT)) % F.lit(ROW_MODULUS)
+        h = day_hash(tid, e["start_day"], ROW_MODULUS)
         in_days = (day >= e["start_day"]) & (day < e["start_day"] + F.lit(S.SCENARIO3_DAYS))
         return in_days & ((h < e["h_cut"]) | ((h == e["h_cut"]) & (tid <= e["id_cut"])))
 

@@ -1,25 +1,26 @@
 """Deterministic per-group choices by integer hashing.
 
 ``pick_per_day`` chooses, for every start day, the ``n`` entities with the
-smallest ``((id * id_mult + day * day_mult) % modulus, id)`` -- the same
-integer arithmetic the DuckDB oracle runs, so both engines pick alike.
+smallest ``((id * id_mult + day * day_mult) mod modulus, id)`` -- the same
+integer arithmetic the DuckDB oracle runs, so both engines pick alike. Ids and
+days are reduced by the modulus before they are multiplied (a non-negative
+remainder), so negative and very large ids neither vanish nor overflow.
 
 It never pairs every entity with every day. Entities are first reduced to
 at most ``n`` per hash residue (a map-side WindowGroupLimit), which bounds
-that table by ``n * modulus`` rows whatever the data size. A day's order
-over residues is a rotation, so the day's picks are the first ``n``
-candidates met when walking residues forward from the day's start residue.
-Each day walks a window of ``width`` residues (an equi-join on residue);
-days that found fewer than ``n`` picks make the window wider until every
-day is exact (at most ``modulus`` residues, i.e. the whole circle).
+that table by ``n * modulus`` rows whatever the data size. A day's order over
+residues is a rotation of the residues' own order: numbering the candidates
+by (residue, id) makes a day's picks ``n`` consecutive numbers, counted on
+around the circle from the first candidate at or after the day's residue.
+Everything is one lazy plan over bounded tables; nothing is counted first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txpipe.session import broadcast_if_small, materialize
+from txpipe.session import stored
 
 # --- Fixed values: hash constants of the deterministic choices. ---
 ID_MULT = 7919
@@ -29,19 +30,20 @@ ROW_MODULUS = 1000003
 # --- end of fixed values ---
 
 
-def start_days(tx: DataFrame, day_col: str = "TX_TIME_DAYS") -> DataFrame:
-    """Days ``0 .. max(day) - 1`` (the last day starts nothing)."""
-    return start_days_counted(tx, day_col)[0]
+def residue(id_col: Column, mult: int, modulus: int) -> Column:
+    """``id * mult mod modulus`` in ``0 .. modulus - 1`` without overflow."""
+    return F.pmod(F.pmod(id_col, F.lit(modulus)) * F.lit(mult), F.lit(modulus))
+
 
+def day_hash(id_col: Column, day_col: Column, modulus: int, id_mult: int = ID_MULT, day_mult: int = DAY_MULT) -> Column:
+    """``(id * id_mult + day * day_mult) mod modulus``."""
+    return F.pmod(residue(id_col, id_mult, modulus) + residue(day_col, day_mult, modulus), F.lit(modulus))
 
-def start_days_counted(tx: DataFrame, day_col: str = "TX_TIME_DAYS") -> tuple[DataFrame, int]:
-    """:func:`start_days` and its row count. One scalar (the maximum day)
-    comes back from an aggregate; the days are generated from it, not read
-    from the data."""
-    spark = tx.sparkSession
-    m = tx.agg(F.max(day_col)).first()[0]
-    n = int(m) if m is not None and m >= 1 else 0
-    return spark.range(0, n).select(F.col("id").alias("start_day")), n
+
+def start_days(tx: DataFrame, day_col: str = "TX_TIME_DAYS") -> DataFrame:
+    """Days ``0 .. max(day) - 1`` (the last day starts nothing)."""
+    last = tx.agg(F.max(day_col).alias("m")).where(F.col("m") >= 1)
+    return last.select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("m").cast("bigint") - 1)).alias("start_day"))
 
 
 def pick_per_day(
@@ -52,56 +54,31 @@ def pick_per_day(
     id_mult: int = ID_MULT,
     day_mult: int = DAY_MULT,
     modulus: int = ENTITY_MODULUS,
-    first_width: int = 64,
-    n_days: int | None = None,
 ) -> DataFrame:
     """Rows ``(start_day, entity_id)``: ``n`` picks per day (fewer only when
-    there are fewer distinct entities). ``n_days``: the number of rows of
-    ``days`` when the caller knows them to be distinct (skips a count)."""
-    ents = entities.select(F.col(id_col).alias("entity_id")).where(F.col("entity_id").isNotNull()).distinct()
-    residue = (F.col("entity_id") * F.lit(id_mult)) % F.lit(modulus)
+    there are fewer distinct entities)."""
+    ents = entities.select(F.col(id_col).cast("bigint").alias("entity_id")).where(F.col("entity_id").isNotNull()).distinct()
     by_residue = Window.partitionBy("residue").orderBy("entity_id")
     cand = (
-        ents.withColumn("residue", residue)
+        ents.withColumn("residue", residue(F.col("entity_id"), id_mult, modulus))
         .withColumn("rn", F.row_number().over(by_residue))
         .where(F.col("rn") <= n)
         .select("residue", "entity_id")
     )
-    cand, n_cand = broadcast_if_small(cand, n * modulus, checkpoint=False, cache=True, with_count=True)
-    need = min(n, n_cand)
-    start = (F.lit(modulus) - (F.col("start_day") * F.lit(day_mult)) % F.lit(modulus)) % F.lit(modulus)
-    if n_days is None:
-        days, n_days = broadcast_if_small(
-            days.select("start_day").distinct().withColumn("start_residue", start), 10_000_000, checkpoint=False, with_count=True
-        )
-    else:
-        days = days.select("start_day").withColumn("start_residue", start)
-        days = F.broadcast(days) if n_days <= 10_000_000 else days
-
-    # Walking ``modulus / n_cand`` residues finds one candidate on average;
-    # start 8x past that for ``n`` picks, so one pass is usually exact.
-    expected = -(-n * modulus // max(1, n_cand))
-    width = min(modulus, max(first_width, 8 * expected))
-    while True:
-        walk = days.select(
-            "start_day",
-            "start_residue",
-            F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("step"),
-        ).withColumn("residue", (F.col("start_residue") + F.col("step")) % F.lit(modulus))
-        order = Window.partitionBy("start_day").orderBy("step", "entity_id")
-        picks = (
-            walk.join(cand, "residue")
-            .withColumn("rk", F.row_number().over(order))
-            .where(F.col("rk") <= n)
-            .select("start_day", "entity_id")
-        )
-        picks, n_picks = materialize(picks, checkpoint=False)
-        # Every day holds at most ``need`` picks, so all days are complete
-        # exactly when the total is ``need`` per day.
-        if width >= modulus or n_picks >= need * n_days:
-            break
-        width = min(width * 8, modulus)
-    return F.broadcast(picks) if n_picks <= 10_000_000 else picks
+    # Both unpartitioned windows run over at most n * modulus rows.
+    numbered = cand.withColumn("number", F.row_number().over(Window.orderBy("residue", "entity_id")) - 1)
+    per_residue = cand.groupBy("residue").agg(F.count("*").alias("c"))
+    circle = cand.sparkSession.range(modulus).select(F.col("id").alias("residue")).join(per_residue, "residue", "left")
+    c = F.coalesce(F.col("c"), F.lit(0))
+    upto = Window.orderBy("residue").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = F.sum(c).over(Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    circle = circle.select("residue", (F.sum(c).over(upto) - c).alias("first"), total.alias("total")).where("total > 0")
+    start = F.pmod(-residue(F.col("start_day"), day_mult, modulus), F.lit(modulus))
+    walk = days.select("start_day").distinct().withColumn("residue", start).join(circle, "residue")
+    steps = F.explode(F.sequence(F.lit(0).cast("bigint"), F.least(F.lit(n).cast("bigint"), F.col("total")) - 1))
+    walk = walk.select("start_day", "first", "total", steps.alias("step"))
+    walk = walk.select("start_day", F.pmod(F.col("first") + F.col("step"), F.col("total")).alias("number"))
+    return walk.join(numbered, "number").select("start_day", "entity_id")
 
 
 def share_cutoffs(
@@ -112,17 +89,15 @@ def share_cutoffs(
     id_mult: int = ID_MULT,
     group_mult: int = DAY_MULT,
     modulus: int = ROW_MODULUS,
-    max_groups: int | None = None,
 ) -> DataFrame:
     """F5 as a per-group cutoff: ``(group, h_cut, id_cut)`` such that the
     group keeps exactly the rows with ``(h, id) <= (h_cut, id_cut)``, where
     ``h = (id * id_mult + group * group_mult) % modulus`` -- i.e. the
     ``floor(size / divisor)`` smallest. Groups keeping nothing are absent.
     One row per group, so it can be broadcast and applied row by row.
-    Only the rows of each group's boundary hash bucket are ever ordered.
-    ``max_groups``: a checked bound on the number of groups; when given and
-    small, the boundary table is broadcast without another count."""
-    h = (F.col(id_col) * F.lit(id_mult) + F.col(group_col) * F.lit(group_mult)) % F.lit(modulus)
+    Only the rows of each group's boundary hash bucket are ever ordered; the
+    table of boundaries is stored, so it is broadcast by its size in bytes."""
+    h = day_hash(F.col(id_col), F.col(group_col), modulus, id_mult, group_mult)
     tagged = rows.select(group_col, id_col).withColumn("h", h)
     hist = tagged.groupBy(group_col, "h").agg(F.count("*").alias("c"))
     run = Window.partitionBy(group_col).orderBy("h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -133,10 +108,7 @@ def share_cutoffs(
         .where((F.col("quota") > 0) & (F.col("upto") >= F.col("quota")) & (F.col("upto") - F.col("c") < F.col("quota")))
         .select(F.col(group_col).alias("_g"), F.col("h").alias("h_cut"), (F.col("quota") - (F.col("upto") - F.col("c"))).alias("take"))
     )
-    if max_groups is not None and max_groups <= 10_000_000:
-        boundary = F.broadcast(boundary)
-    else:
-        boundary = broadcast_if_small(boundary, 10_000_000)
+    boundary = stored(boundary, "boundaries")
     in_bucket = Window.partitionBy(group_col).orderBy(id_col)
     return (
         tagged.join(boundary, (F.col(group_col) == F.col("_g")) & (F.col("h") == F.col("h_cut")))
@@ -164,7 +136,7 @@ def smallest_share_per_group(
     most ``modulus`` buckets, how many rows each bucket keeps; only rows of
     one (group, hash) bucket are ever ordered together.
     """
-    h = (F.col(id_col) * F.lit(id_mult) + F.col(group_col) * F.lit(group_mult)) % F.lit(modulus)
+    h = day_hash(F.col(id_col), F.col(group_col), modulus, id_mult, group_mult)
     tagged = rows.select(group_col, id_col).withColumn("h", h)
     hist = tagged.groupBy(group_col, "h").agg(F.count("*").alias("c"))
     run = Window.partitionBy(group_col).orderBy("h").rowsBetween(Window.unboundedPreceding, Window.currentRow)

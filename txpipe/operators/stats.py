@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txpipe.functions.columns import date_from_offset, rounded_ratio
+from txpipe.operators.picks import residue
 from txpipe import schema as S
 
 DAY = "TX_TIME_DAYS"
@@ -85,9 +86,9 @@ def hourly_counts(df: DataFrame, ts: str = "TX_DATETIME", prediction: str = "pre
 def hourly_measures(fraud: Column, pred: Column) -> list[Column]:
     return [
         rounded_ratio(F.count("CUSTOMER_ID"), S.HOURLY_COUNT_DIVISOR, 2).alias("nx_transactions"),
-        F.count(F.when(fraud == 1, 1)).alias("nx_fraud_transactions"),
-        F.count(F.when((fraud == 1) & (pred == 1), 1)).alias("correct_fraud_predictions"),
-        F.count(F.when((fraud == 0) & (pred == 1), 1)).alias("false_positive_predictions"),
+        F.count_if(fraud == 1).alias("nx_fraud_transactions"),
+        F.count_if((fraud == 1) & (pred == 1)).alias("correct_fraud_predictions"),
+        F.count_if((fraud == 0) & (pred == 1)).alias("false_positive_predictions"),
     ]
 
 
@@ -105,77 +106,80 @@ def correlation_long(df: DataFrame, columns: list[str], digits: int = 6) -> Data
     """A10: Pearson correlation of every pair (a <= b in list order) over
     pairwise-complete rows, long ``(col_a, col_b, corr)``; undefined -> NULL.
 
-    One pass over the data. Per Arrow batch (inside the executors), values
-    are centred on the batch's column means; with X the centred values
-    (NULL -> 0) and M the non-NULL mask, the k x k products M'M, X'M,
-    (X*X)'M and X'X give every pair's count, means and co-moments over the
-    rows where both values exist. Each batch emits one row per pair. Spark
-    then merges batches exactly: the total co-moment is the sum of the
-    batch co-moments plus ``n_k (mean_a,k - mean_a)(mean_b,k - mean_b)``,
-    with the global means from a window over the small per-batch table.
+    One pass over the data. A task centres each Arrow batch on its column
+    means; with X the centred values (NULL -> 0) and M the non-NULL mask, the
+    k x k products M'M, X'M, (X*X)'M and X'X give every pair's count, means and
+    co-moments over the rows where both values exist. Moments of batches, and
+    then the one row per pair and task, are merged pairwise: the co-moment of
+    two parts is the sum of theirs plus ``n1 n2 / (n1 + n2)`` times the product
+    of the differences of their means. A pair's group holds a row per task.
     """
     k = len(columns)
     x = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
     iu, ju = _upper_pairs(k)
+    names = ["n", "mean_a", "mean_b", "caa", "cbb", "cab"]
 
-    def batch_moments(batches):
+    def task_moments(batches):
         import numpy as np
         import pandas as pd
 
+        total = np.zeros((6, len(iu)))
         for pdf in batches:
             vals = pdf.to_numpy(dtype="float64", na_value=np.nan)
             mask = ~np.isnan(vals)
-            with np.errstate(all="ignore"):
-                shift = np.where(mask.any(axis=0), np.nanmean(np.where(mask, vals, np.nan), axis=0), 0.0)
+            shift = np.where(mask, vals, 0.0).sum(axis=0) / np.maximum(mask.sum(axis=0), 1)
             xs = np.where(mask, vals - shift, 0.0)
             m = mask.astype("float64")
             n = (m.T @ m)[iu, ju]
+            at_least_1 = np.maximum(n, 1.0)
             sa, sb = (xs.T @ m)[iu, ju], (xs.T @ m)[ju, iu]
-            saa, sbb = ((xs * xs).T @ m)[iu, ju], ((xs * xs).T @ m)[ju, iu]
-            sab = (xs.T @ xs)[iu, ju]
-            keep = n > 0
-            nn = np.where(keep, n, 1.0)
-            yield pd.DataFrame(
-                {
-                    "pair": np.arange(len(iu), dtype="int32")[keep],
-                    "n": n[keep],
-                    "ma": (shift[iu] + sa / nn)[keep],
-                    "mb": (shift[ju] + sb / nn)[keep],
-                    "caa": (saa - sa * sa / nn)[keep],
-                    "cbb": (sbb - sb * sb / nn)[keep],
-                    "cab": (sab - sa * sb / nn)[keep],
-                }
-            )
-
-    schema = "pair int, n double, ma double, mb double, caa double, cbb double, cab double"
-    parts = x.mapInPandas(batch_moments, schema)
-    per_pair = Window.partitionBy("pair")
-    total = F.sum("n").over(per_pair)
-    centred = parts.withColumn("MA", F.sum(F.col("n") * F.col("ma")).over(per_pair) / total).withColumn(
-        "MB", F.sum(F.col("n") * F.col("mb")).over(per_pair) / total
-    )
-    da, db = F.col("ma") - F.col("MA"), F.col("mb") - F.col("MB")
-    merged = centred.groupBy("pair").agg(
-        F.sum("n").alias("n"),
-        F.sum(F.col("caa") + F.col("n") * da * da).alias("caa"),
-        F.sum(F.col("cbb") + F.col("n") * db * db).alias("cbb"),
-        F.sum(F.col("cab") + F.col("n") * da * db).alias("cab"),
-    )
+            caa = ((xs * xs).T @ m)[iu, ju] - sa * sa / at_least_1
+            cbb = ((xs * xs).T @ m)[ju, iu] - sb * sb / at_least_1
+            cab = (xs.T @ xs)[iu, ju] - sa * sb / at_least_1
+            part = np.stack([n, shift[iu] + sa / at_least_1, shift[ju] + sb / at_least_1, caa, cbb, cab])
+            total = _merged_moments(total, part)
+        keep = total[0] > 0
+        yield pd.DataFrame({"pair": np.arange(len(iu), dtype="int32")[keep], **dict(zip(names, total[:, keep]))})
+
+    parts = x.mapInPandas(task_moments, "pair int, " + ", ".join(f"{c} double" for c in names))
+    zero = F.struct(*[F.lit(0.0).alias(c) for c in names])
+
+    def merge(s, p):
+        n = s["n"] + p["n"]
+        da, db, w = p["mean_a"] - s["mean_a"], p["mean_b"] - s["mean_b"], s["n"] * p["n"] / n
+        return F.struct(
+            n.alias("n"),
+            (s["mean_a"] + da * p["n"] / n).alias("mean_a"),
+            (s["mean_b"] + db * p["n"] / n).alias("mean_b"),
+            (s["caa"] + p["caa"] + w * da * da).alias("caa"),
+            (s["cbb"] + p["cbb"] + w * db * db).alias("cbb"),
+            (s["cab"] + p["cab"] + w * da * db).alias("cab"),
+        )
+
+    merged = parts.groupBy("pair").agg(F.aggregate(F.collect_list(F.struct(*names)), zero, merge).alias("s")).select("pair", "s.*")
     caa, cbb = F.col("caa"), F.col("cbb")
     r = F.when((F.col("n") > 1) & (caa > 0) & (cbb > 0), F.col("cab") / F.sqrt(caa * cbb))
-    r = F.least(F.lit(1.0), F.greatest(F.lit(-1.0), r))
+    r = F.when(r.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(-1.0), r)))
     names_a = F.array(*[F.lit(columns[i]) for i in iu])
     names_b = F.array(*[F.lit(columns[j]) for j in ju])
-    pairs = F.broadcast(
-        df.sparkSession.range(len(iu)).select(
-            F.col("id").cast("int").alias("pair"),
-            F.element_at(names_a, F.col("id").cast("int") + 1).alias("col_a"),
-            F.element_at(names_b, F.col("id").cast("int") + 1).alias("col_b"),
-        )
+    pairs = df.sparkSession.range(len(iu)).select(
+        F.col("id").cast("int").alias("pair"),
+        F.element_at(names_a, F.col("id").cast("int") + 1).alias("col_a"),
+        F.element_at(names_b, F.col("id").cast("int") + 1).alias("col_b"),
     )
     return pairs.join(merged, "pair", "left").select("col_a", "col_b", F.round(r, digits).alias("corr"))
 
 
+def _merged_moments(s, p):
+    """Moments (n, means, co-moments) of two parts' rows together."""
+    import numpy as np
+
+    n = np.maximum(s[0] + p[0], 1.0)
+    da, db, w = p[1] - s[1], p[2] - s[2], s[0] * p[0] / n
+    share = p[0] / n
+    return np.stack([s[0] + p[0], s[1] + da * share, s[2] + db * share, s[3] + p[3] + w * da * da, s[4] + p[4] + w * db * db, s[5] + p[5] + w * da * db])
+
+
 def _upper_pairs(k: int):
     import numpy as np
 
@@ -183,10 +187,10 @@ def _upper_pairs(k: int):
 
 
 def amount_histogram(df: DataFrame, bins: int = 50, col: str = "TX_AMOUNT") -> DataFrame:
-    """Equal-width histogram between min and max (last bin closed),
-    bounds from scalar subqueries -- no driver round trip."""
-    lo = df.agg(F.min(col)).scalar()
-    hi = df.agg(F.max(col)).scalar()
+    """Equal-width histogram between min and max (last bin closed); both
+    bounds come from one scalar subquery -- no driver round trip."""
+    bounds = df.agg(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
+    lo, hi = bounds["lo"], bounds["hi"]
     width = hi - lo
     x = F.col(col)
     raw = F.floor((x - lo) / width * F.lit(float(bins)))
@@ -211,10 +215,10 @@ def hash_sample(df: DataFrame, n: int, id_col: str = "TRANSACTION_ID", modulus:
     rows are ordered by id."""
     if n <= 0:
         return df.where(F.lit(False))
-    h = (F.col(id_col) * F.lit(mult)) % F.lit(modulus)
+    h = F.coalesce(residue(F.col(id_col), mult, modulus), F.lit(modulus))
     tagged = df.withColumn("_h", h)
     hist = tagged.groupBy("_h").agg(F.count("*").alias("_c"))
-    # One row per hash value: bounded by ``modulus`` whatever the data size.
+    # One row per hash value: bounded by ``modulus`` + 1 whatever the data size.
     run = Window.orderBy("_h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cut = (
         hist.withColumn("_upto", F.sum("_c").over(run))
@@ -232,8 +236,3 @@ def hash_sample(df: DataFrame, n: int, id_col: str = "TRANSACTION_ID", modulus:
         .drop("_r")
     )
     return below.unionByName(edge).drop("_h")
-
-
-def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    """A12, approximate size: Spark's seeded Bernoulli sample."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)

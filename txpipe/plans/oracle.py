@@ -24,13 +24,13 @@ PICKS = """days AS (
 ct AS (
   SELECT start_day, id AS entity_id FROM (
     SELECT d.start_day, e.id,
-           row_number() OVER (PARTITION BY d.start_day ORDER BY (e.id * 7919 + d.start_day * 104729) % 10007, e.id) AS rn
+           row_number() OVER (PARTITION BY d.start_day ORDER BY (((e.id % 10007) + 10007) % 10007 * 7919 + d.start_day * 104729) % 10007, e.id) AS rn
     FROM (SELECT DISTINCT TERMINAL_ID AS id FROM tx WHERE TERMINAL_ID IS NOT NULL) e, days d)
   WHERE rn <= 2),
 cc AS (
   SELECT start_day, id AS entity_id FROM (
     SELECT d.start_day, e.id,
-           row_number() OVER (PARTITION BY d.start_day ORDER BY (e.id * 7919 + d.start_day * 104729) % 10007, e.id) AS rn
+           row_number() OVER (PARTITION BY d.start_day ORDER BY (((e.id % 10007) + 10007) % 10007 * 7919 + d.start_day * 104729) % 10007, e.id) AS rn
     FROM (SELECT DISTINCT CUSTOMER_ID AS id FROM tx WHERE CUSTOMER_ID IS NOT NULL) e, days d)
   WHERE rn <= 3),
 s2 AS (
@@ -42,7 +42,7 @@ c3 AS (
 c3pick AS (
   SELECT TRANSACTION_ID, start_day FROM (
     SELECT TRANSACTION_ID, start_day,
-           row_number() OVER (PARTITION BY start_day ORDER BY (TRANSACTION_ID * 7919 + start_day * 104729) % 1000003, TRANSACTION_ID) AS rn,
+           row_number() OVER (PARTITION BY start_day ORDER BY (((TRANSACTION_ID % 1000003) + 1000003) % 1000003 * 7919 + start_day * 104729) % 1000003, TRANSACTION_ID) AS rn,
            count(*) OVER (PARTITION BY start_day) AS n
     FROM c3)
   WHERE rn <= n // 3),
@@ -84,7 +84,7 @@ def rolling_sql(spec: S.RollingSpec) -> str:
     w = _win(spec.keys, spec.days)
     v = spec.value
     if spec.agg == "avg":
-        return f"CAST(SUM(CAST({v} AS DECIMAL(18,2))) OVER {w} AS DOUBLE) / NULLIF(COUNT({v}) OVER {w}, 0)"
+        return f"CAST(SUM(CAST({v} AS DECIMAL(24,6))) OVER {w} AS DOUBLE) / NULLIF(COUNT({v}) OVER {w}, 0)"
     if spec.agg == "count":
         return f"COUNT({v}) OVER {w}"
     return f"MAX({v}) OVER {w}"

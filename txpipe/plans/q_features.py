@@ -27,7 +27,7 @@ def w13_hot(spark, sf):
     """W13 with the skew split forced on (every customer with more than 10
     rows counts as hot, about one row per block): the block plan must give
     the same table as the plain windows."""
-    skew = FT.SkewConfig(min_rows=10, max_keys=1_000_000, rows_per_block=1)
+    skew = FT.SkewConfig(min_rows=10, rows_per_block=1)
     return FT.build_features(labelled(spark, sf), skew=skew)
 
 
@@ -46,7 +46,7 @@ def _rolling_query(i: int, spec: S.RollingSpec):
 
     @query(key, sql)
     def run(spark, sf):
-        return transactions(spark, sf).select("TRANSACTION_ID", FT.rolling_column(spec))
+        return FT.add_rolling_skew_safe(transactions(spark, sf), specs=[spec]).select("TRANSACTION_ID", spec.name)
 
     return run
 

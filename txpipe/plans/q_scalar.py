@@ -25,15 +25,23 @@ def p1(spark, sf):
 _P2_COLS = ["TRANSACTION_ID", "CUSTOMER_ID", "TERMINAL_ID", "TX_AMOUNT", "TX_TIME_SECONDS", "TX_TIME_DAYS"]
 
 
+# The tables hold no marker, so one row in seven gets it by a rule both sides share.
+_MARKED = ["CUSTOMER_ID", "TERMINAL_ID", "TX_AMOUNT"]
+
+
 @query(
     "p2_replace_missing_marker",
     PT
     + "SELECT "
     + ", ".join(f"CASE WHEN {c} = -1 THEN 0 ELSE {c} END AS {c}" for c in _P2_COLS)
-    + " FROM tx",
+    + " FROM (SELECT * REPLACE ("
+    + ", ".join(f"CASE WHEN TRANSACTION_ID % 7 = {i} THEN -1 ELSE {c} END AS {c}" for i, c in enumerate(_MARKED))
+    + ") FROM tx) marked",
 )
 def p2(spark, sf):
-    return C.replace_missing_marker(transactions(spark, sf).select(*_P2_COLS))
+    tx = transactions(spark, sf).select(*_P2_COLS)
+    rule = {c: F.when(F.col("TRANSACTION_ID") % 7 == i, F.lit(-1).cast(tx.schema[c].dataType)).otherwise(F.col(c)) for i, c in enumerate(_MARKED)}
+    return C.replace_missing_marker(tx.withColumns(rule))
 
 
 @query("p3_night_flag", PT + f"SELECT TRANSACTION_ID, {O.NIGHT} AS TX_DURING_NIGHT FROM tx")

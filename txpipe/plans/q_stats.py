@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from txpipe import schema as S
+from txpipe.functions.columns import date_from_offset
 from txpipe.operators import stats as ST
 from txpipe.operators.features import build_features
 from txpipe.operators.ids import dense_id
 from txpipe.plans import oracle as O
-from txpipe.plans.common import labelled, scored
+from txpipe.plans.common import labelled, scored, transactions
 from txpipe.plans.registry import query
 from txpipe.sources.fixture import ORIGIN_DATE
 
 PL = O.labelled_prefix()
+PT = O.with_(O.TX)
 DAILY_SQL = (
     PL
     + """SELECT TX_TIME_DAYS, count(CUSTOMER_ID) AS nb_tx_per_day,
@@ -24,9 +27,9 @@ FROM lab GROUP BY TX_TIME_DAYS"""
 )
 
 
-@query("a1_tx_per_day", PL + "SELECT TX_TIME_DAYS, count(CUSTOMER_ID) AS nb_tx_per_day FROM lab GROUP BY 1")
+@query("a1_tx_per_day", PT + "SELECT TX_TIME_DAYS, count(CUSTOMER_ID) AS nb_tx_per_day FROM tx GROUP BY 1")
 def a1(spark, sf):
-    return ST.tx_per_day(labelled(spark, sf))
+    return ST.tx_per_day(transactions(spark, sf))
 
 
 @query(
@@ -52,16 +55,21 @@ def a5(spark, sf):
 
 @query("j5_daily_series_aligned", DAILY_SQL)
 def j5(spark, sf):
-    """The three daily series aligned on day by one aggregate (no join)."""
-    return ST.daily_stats(labelled(spark, sf), start_date=ORIGIN_DATE)
+    """The three daily series, each computed by itself, joined on day."""
+    lab = labelled(spark, sf)
+    series = ST.tx_per_day(lab).join(ST.frauds_per_day(lab), "TX_TIME_DAYS", "full").join(ST.frauded_cards_per_day(lab), "TX_TIME_DAYS", "full")
+    return series.select(
+        "TX_TIME_DAYS", "nb_tx_per_day", "nb_fraudulent_transactions_per_day",
+        F.coalesce("nb_frauded_cards_per_day", F.lit(0)).alias("nb_frauded_cards_per_day"), date_from_offset("TX_TIME_DAYS", ORIGIN_DATE).alias("tx_date"),
+    )
 
 
 @query(
     "p19_scaled_daily_count",
-    PL + "SELECT TX_TIME_DAYS, count(CUSTOMER_ID) / 50.0 AS nb_tx_per_day_scaled FROM lab GROUP BY 1",
+    PT + "SELECT TX_TIME_DAYS, count(CUSTOMER_ID) / 50.0 AS nb_tx_per_day_scaled FROM tx GROUP BY 1",
 )
 def p19(spark, sf):
-    return ST.scaled_daily(ST.tx_per_day(labelled(spark, sf)), 50.0)
+    return ST.scaled_daily(ST.tx_per_day(transactions(spark, sf)), 50.0)
 
 
 @query("a4_max_amount_per_customer", PL + "SELECT CUSTOMER_ID, max(TX_AMOUNT) AS max_amount FROM lab GROUP BY 1")
@@ -123,8 +131,6 @@ def a8(spark, sf):
 
 @query("a9_max_day", O.with_(O.TX) + "SELECT max(TX_TIME_DAYS) AS max_day FROM tx")
 def a9(spark, sf):
-    from txpipe.plans.common import transactions
-
     return ST.max_day(transactions(spark, sf))
 
 
@@ -166,32 +172,40 @@ def a11(spark, sf):
 
 @query(
     "a12_amount_sample",
-    PL + "SELECT TRANSACTION_ID, TX_AMOUNT FROM lab ORDER BY (TRANSACTION_ID * 7919) % 1000003, TRANSACTION_ID LIMIT 50000",
+    PL + "SELECT TRANSACTION_ID, TX_AMOUNT FROM lab ORDER BY (TRANSACTION_ID * 7919) % 1000003, TRANSACTION_ID LIMIT 500",
 )
 def a12(spark, sf):
-    return ST.hash_sample(labelled(spark, sf), 50000).select("TRANSACTION_ID", "TX_AMOUNT")
+    """A sample is the feature here; smaller than any of the tables."""
+    return ST.hash_sample(labelled(spark, sf), 500).select("TRANSACTION_ID", "TX_AMOUNT")
 
 
-@query("t1_sort_by_id", PL + "SELECT TRANSACTION_ID, TX_DATETIME FROM lab ORDER BY TRANSACTION_ID")
+@query("t1_sort_by_id", PT + "SELECT TRANSACTION_ID, TX_DATETIME FROM tx ORDER BY TRANSACTION_ID")
 def t1(spark, sf):
-    return labelled(spark, sf).orderBy("TRANSACTION_ID").select("TRANSACTION_ID", "TX_DATETIME")
+    return transactions(spark, sf).orderBy("TRANSACTION_ID").select("TRANSACTION_ID", "TX_DATETIME")
 
 
-@query("t2_sort_by_time", PL + "SELECT TRANSACTION_ID, TX_DATETIME FROM lab ORDER BY TX_DATETIME, TRANSACTION_ID")
+@query("t2_sort_by_time", PT + "SELECT TRANSACTION_ID, TX_DATETIME FROM tx ORDER BY TX_DATETIME, TRANSACTION_ID")
 def t2(spark, sf):
-    return labelled(spark, sf).orderBy("TX_DATETIME", "TRANSACTION_ID").select("TRANSACTION_ID", "TX_DATETIME")
+    return transactions(spark, sf).orderBy("TX_DATETIME", "TRANSACTION_ID").select("TRANSACTION_ID", "TX_DATETIME")
 
 
-@query("t3_sort_within_day", PL + "SELECT TRANSACTION_ID, TX_TIME_DAYS, TX_TIME_SECONDS FROM lab")
+@query(
+    "t3_sort_within_day",
+    PT + "SELECT TX_TIME_DAYS, row_number() OVER (PARTITION BY TX_TIME_DAYS ORDER BY TX_TIME_SECONDS) AS place, TX_TIME_SECONDS FROM tx",
+)
 def t3(spark, sf):
-    df = labelled(spark, sf).select("TRANSACTION_ID", "TX_TIME_DAYS", "TX_TIME_SECONDS")
-    return df.repartitionByRange("TX_TIME_DAYS", "TX_TIME_SECONDS").sortWithinPartitions("TX_TIME_DAYS", "TX_TIME_SECONDS")
+    """Rows sorted inside their day; ``place`` is where a row came out, so
+    the order itself is compared."""
+    df = transactions(spark, sf).select("TX_TIME_DAYS", "TX_TIME_SECONDS")
+    ordered = df.repartitionByRange("TX_TIME_DAYS", "TX_TIME_SECONDS").sortWithinPartitions("TX_TIME_DAYS", "TX_TIME_SECONDS")
+    place = F.row_number().over(Window.partitionBy("TX_TIME_DAYS").orderBy("came_out"))
+    return ordered.withColumn("came_out", F.monotonically_increasing_id()).select("TX_TIME_DAYS", place.alias("place"), "TX_TIME_SECONDS")
 
 
 @query(
     "t6_dense_id_in_time_order",
-    PL + "SELECT TRANSACTION_ID, row_number() OVER (ORDER BY TX_DATETIME, TRANSACTION_ID) - 1 AS dense_id FROM lab",
+    PT + "SELECT TRANSACTION_ID, row_number() OVER (ORDER BY TX_DATETIME, TRANSACTION_ID) - 1 AS dense_id FROM tx",
 )
 def t6(spark, sf):
-    df = labelled(spark, sf).select("TRANSACTION_ID", "TX_DATETIME")
+    df = transactions(spark, sf).select("TRANSACTION_ID", "TX_DATETIME")
     return dense_id(df, ["TX_DATETIME", "TRANSACTION_ID"]).select("TRANSACTION_ID", "dense_id")

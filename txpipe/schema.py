@@ -30,6 +30,10 @@ HOURLY_COUNT_DIVISOR = 30
 DEFAULT_RADIUS = 5.0
 # --- end of fixed values ---
 
+# Amounts are summed exactly, as decimals with this many places; an amount that
+# needs more makes the query fail rather than lose digits.
+AMOUNT_SCALE = 6
+
 TX_BASE = [
     "TRANSACTION_ID",
     "TX_DATETIME",

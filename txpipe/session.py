@@ -1,13 +1,11 @@
-"""Session helpers: time zone, shared work folders, size-checked broadcast."""
+"""Session helpers: time zone, shared work folders, stored side tables."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -66,50 +64,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder (stream sinks, tables)."""
+    """A fresh sub-folder (not yet made; Spark's writers make it) of the shared
+    checkpoint folder for stream sinks and tables."""
     base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/txpipe-{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    elif path.startswith("/"):
-        os.makedirs(path, exist_ok=True)
-    return path
-
-
-def materialize(df: DataFrame, checkpoint: bool = True) -> tuple[DataFrame, int]:
-    """Materialise ``df`` and return it with its row count.
-
-    ``checkpoint=True`` writes it to the shared folder (lineage cut; rows
-    persisted first so the lineage runs once, as a bare eager checkpoint
-    computes it twice). ``checkpoint=False`` only caches it -- for small
-    tables with a deterministic lineage, which Spark recomputes if an
-    executor holding cached blocks is lost."""
-    cached = df.persist()
-    n = cached.count()
-    if not checkpoint:
-        return cached, n
-    ensure_checkpoint_dir(df.sparkSession)
-    try:
-        small = cached.checkpoint(eager=True)
-    finally:
-        cached.unpersist()
-    return small, n
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int, checkpoint: bool = True, with_count: bool = False, cache: bool = False):
-    """Broadcast ``df`` only after counting it; beyond ``max_rows`` the
-    planner (and AQE at run time) picks a shuffle join instead.
-
-    Meant for tables whose size is bounded by construction (per-day picks,
-    hot-key lists). With ``checkpoint`` the table is first written to the
-    shared folder, so the count and the join read the same materialised rows
-    and a lost executor does not re-run the upstream scan; with ``cache``
-    it is cached instead (small, deterministic lineage); with neither it
-    must be cheap to recompute. ``with_count`` also returns the row count.
+    return f"{base.rstrip('/')}/txpipe-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    Cuts the lineage, survives lost executors, leaves nothing cached, and gives
+    the planner the table's size in bytes: a join broadcasts it exactly when it
+    is below ``spark.sql.autoBroadcastJoinThreshold``, however many rows it has.
     """
-    if checkpoint or cache:
-        small, n = materialize(df, checkpoint=checkpoint)
-    else:
-        small, n = df, df.count()
-    out = F.broadcast(small) if n <= max_rows else small
-    return (out, n) if with_count else out
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
