@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +41,17 @@ CACHE_WORDS = 800_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 # Latin-1 only: letters, numbers and white space are then known, and every text is in NFC.
-_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\t-\r \x85\xa0a-z0-9ªµºß-öø-ÿ²³¹¼½¾]+")
-_OTHER = re.compile("[^\x00-\xff]|<\\|")
+_PIECE = re.compile("[a-zªµºß-öø-ÿ]+|'(?:s|t|re|ve|m|ll|d)|[0-9²³¹¼½¾]|[^\t-\r \x85\xa0a-z0-9ªµºß-öø-ÿ²³¹¼½¾]+")
+
+
+def _plain(text: str) -> bool:
+    if "<|" in text:
+        return False
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -81,12 +91,30 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > CACHE_WORDS:
             self.known = {}
-        pieces = [None if _OTHER.search(t) else _PIECE.findall(t.lower()) for t in texts]
-        new = list({p for ps in pieces if ps for p in ps}.difference(self.known))
-        for i in range(0, len(new), 1024):
-            self._learn(new[i : i + 1024])
-        get = self.known.__getitem__
-        return [self._ids([t])[0] if ps is None else b"".join(map(get, ps)) for t, ps in zip(texts, pieces, strict=True)]
+        get, out, new, gaps = self.known.get, [], set(), []
+        for text in texts:
+            if not _plain(text):
+                out.append(self._ids([text]))
+                continue
+            pieces = _PIECE.findall(text.lower())
+            out.append(ids := list(map(get, pieces)))
+            if None in ids:
+                own = [i for i, x in enumerate(ids) if x is None]
+                gaps.append((pieces, ids, own))
+                new.update(pieces[i] for i in own)
+        pending = list(new)
+        for i in range(0, len(pending), 1024):
+            self._learn(pending[i : i + 1024])
+        for pieces, ids, own in gaps:
+            for i in own:
+                ids[i] = self.known[pieces[i]]
+        return list(map(b"".join, out))
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """A Python worker's encoder; what it knows serves all its tasks."""
+    return Encoder(path)
 
 
 class Packer:
@@ -192,13 +220,12 @@ def pack(documents: DataFrame, path: str | None = None, capacity: int = CAPACITY
     end = np.asarray([END_ID], "<u4").tobytes()
 
     def run(batches):
-        encoder = Encoder(path)
         packer = Packer(TaskContext.get().partitionId() << 36, capacity, max_open)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 texts = [t or "" for t in part.column(1).to_pylist()]
-                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(texts), strict=True):
+                for doc_id, ids in zip(part.column(0).to_pylist(), encoder(path).encode(texts), strict=True):
                     packer.add(doc_id, ids + end)
             if rows := packer.take_rows():
                 yield _batch(rows)
