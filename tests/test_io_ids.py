@@ -64,3 +64,41 @@ def test_hash_sample_keeps_its_size_with_null_ids(spark):
     for n in (1, 500, 900, 950, 1000, 2000):
         got = hash_sample(df, n)
         assert got.count() == min(n, 1000) and got.where("TRANSACTION_ID is null").count() == max(0, min(n, 1000) - 900)
+
+
+def test_flat_daily_files_by_name_range(spark, tmp_path):
+    from datetime import date, timedelta
+
+    tx = load_transactions(spark, "/root/testdata/sf0.001")
+    pdf = tx.withColumn("d", F.to_date("TX_DATETIME")).toPandas()
+    for day, rows in pdf.groupby("d"):
+        rows.drop(columns="d").to_parquet(tmp_path / f"{day}.parquet", index=False, coerce_timestamps="us")
+    df = IO.load_dataset(spark, f"file://{tmp_path}", "2024-01-05", "2024-01-06")
+    assert df.count() == tx.where(F.to_date("TX_DATETIME").between("2024-01-05", "2024-01-06")).count() and df.columns == tx.columns
+    opened = {r[0] for r in df.select(F.input_file_name()).distinct().collect()}
+    assert {n.rsplit("/", 1)[1] for n in opened} == {f"{date(2024, 1, 5) + timedelta(days=i)}.parquet" for i in range(2)}
+    assert IO.load_dataset(spark, f"file://{tmp_path}", "2030-01-01", "2030-01-02").count() == 0
+    assert IO.load_dataset(spark, f"file://{tmp_path}").count() == tx.count()
+
+
+def test_union_is_one_read_and_matches_by_name(spark):
+    path = work_path(spark, "t-union")
+    spark.range(3).selectExpr("id", "id * 2 AS a").write.parquet(path + "/1")
+    spark.range(2).selectExpr("id + 10 AS b", "id").write.parquet(path + "/2")
+    out = IO.union_files(spark, [path + "/1", path + "/2"])
+    assert out.count() == 5 and set(out.columns) == {"id", "a", "b"} and out.where("b is null").count() == 3
+    assert plan_text(out).count("FileScan parquet") == 1
+
+
+def test_feature_files_have_dictionaries(spark):
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    path = work_path(spark, "t-footer")
+    IO.write_features(load_transactions(spark, "/root/testdata/sf0.01"), path)
+    store, root = fs.FileSystem.from_uri(path)
+    name = next(f.path for f in store.get_file_info(fs.FileSelector(root)) if f.path.endswith(".parquet"))
+    with store.open_input_file(name) as f:
+        meta = pq.ParquetFile(f).metadata
+        column = {meta.row_group(0).column(i).path_in_schema: meta.row_group(0).column(i) for i in range(meta.num_columns)}
+        assert any("DICTIONARY" in e for e in column["CUSTOMER_ID"].encodings)

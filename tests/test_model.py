@@ -41,18 +41,24 @@ def test_save_load_same_predictions(spark, feats):
     assert a.exceptAll(b).count() == 0 and a.count() == feats.count()
 
 
-def test_cv_picks_best_and_scores(spark, feats):
+def test_cv_picks_best_saves_loads_and_evaluates(spark, feats):
+    from txpipe.operators.metrics import hard_metrics
+
     idx = M.label_indexer(feats)
     prep = M.prepare(feats, idx)
-    t = M.tune("gbt", prep, idx, folds=3, parallelism=2)
-    best = max(range(len(t.cv.avgMetrics)), key=lambda i: t.cv.avgMetrics[i])
-    assert t.cv.bestModel.getMaxIter() == t.grid[best][t.cv.getEstimator().maxIter]
-    scored = M.score(t.model, feats)
-    for c in ("indexedFeatures", "rawPrediction", "probability", "prediction", "predictedLabel"):
-        assert c in scored.columns
-    assert 0.0 <= M.evaluate(t, scored) <= 1.0
-    table = M.avg_metrics(spark, t)
-    assert table.count() == 2
+    for t in (M.tune("gbt", prep, idx, folds=2, parallelism=2), M.tune_both("svm", prep, idx, folds=2)["areaUnderROC"]):
+        best = max(range(len(t.avgMetrics)), key=lambda i: t.avgMetrics[i])
+        for p, v in t.getEstimatorParamMaps()[best].items():
+            assert t.bestModel.stages[2].getOrDefault(p.name) == v
+        path = work_path(spark, "t-cv")
+        M.save(t, path)
+        again = M.load(path)
+        assert again.avgMetrics == pytest.approx(t.avgMetrics) and len(again.getEstimatorParamMaps()) == len(t.avgMetrics)
+        scored = M.score(again, feats)
+        assert {"indexedFeatures", "rawPrediction", "prediction", "predictedLabel"} <= set(scored.columns)
+        closed = hard_metrics(scored, M.LABEL_COL, "prediction", digits=None).first()["roc_auc"]
+        assert M.evaluate(again, scored) == pytest.approx(closed, abs=1e-12) == M.evaluate(t, M.score(t, feats))
+        assert M.avg_metrics(spark, "x", again).count() == len(t.avgMetrics)
 
 
 def test_label_indexer_frequency_desc(feats):
@@ -72,4 +78,4 @@ def test_tune_both_matches_cross_validator(spark, feats):
         est = M.classifier("random_forest")
         cv = CrossValidator(estimator=est, estimatorParamMaps=M.param_grid("random_forest", est), evaluator=M.evaluator(metric),
                             numFolds=2, foldCol="fold", parallelism=4).fit(prep)
-        assert both[metric].cv.avgMetrics == pytest.approx(cv.avgMetrics, abs=1e-9)
+        assert both[metric].avgMetrics == pytest.approx(cv.avgMetrics, abs=1e-9)

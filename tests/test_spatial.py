@@ -25,6 +25,8 @@ def test_grid_equals_brute_force(spark, seed, r):
     term = spark.createDataFrame([(i, rng.uniform(0, 100), rng.uniform(0, 100)) for i in range(80)],
                                  "TERMINAL_ID long, x_terminal_id double, y_terminal_id double")
     got = {(a, b) for a, b, _ in radius_pairs(cust, term, r).collect()}
+    split = sorted((a, b) for a, b, _ in radius_pairs(cust, term, r, cell_terminals=2).collect())
+    assert split == sorted(got)  # crowded cells over salts: the same pairs, each once
     want = {(a, b) for a, b in brute_force_pairs(cust, term, r).collect()}
     assert got == want
 

@@ -1,6 +1,8 @@
 import json
 import os
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from txpipe import schema as S
@@ -36,11 +38,11 @@ def test_stream_scoring_with_bad_rows_and_restart(spark):
     base = work_path(spark, "t-stream")
     inp = base + "/in"
     _write(inp, "a.txt", [_msg(i, f"2024-01-01 10:{i:02d}:00", amount=150.0, fraud=1) for i in range(5)] + ["garbage"])
-    args = dict(source_fmt="text", source_path=inp, source_options={"maxFilesPerTrigger": "1"}, dead_letter_path=base + "/dead")
-    SC.await_all(SC.start_scoring(spark, SC.rule_scorer(100.0), base + "/sink", base + "/ckpt", **args), 300)
-    SC.await_all(SC.start_scoring(spark, SC.rule_scorer(100.0), base + "/sink", base + "/ckpt", **args), 300)
+    args = dict(dead_letter_path=base + "/dead", source_path=inp, source_options={"maxFilesPerTrigger": "1"})
+    SC.await_all([SC.start_scoring(spark, SC.rule_scorer(100.0), base + "/sink", base + "/ckpt", **args)], 300)
+    SC.await_all([SC.start_scoring(spark, SC.rule_scorer(100.0), base + "/sink", base + "/ckpt", **args)], 300)
     _write(inp, "b.txt", [_msg(i, f"2024-01-01 12:{i:02d}:00", fraud=0) for i in range(5, 9)])
-    SC.await_all(SC.start_scoring(spark, SC.rule_scorer(100.0), base + "/sink", base + "/ckpt", **args), 300)
+    SC.await_all([SC.start_scoring(spark, SC.rule_scorer(100.0), base + "/sink", base + "/ckpt", **args)], 300)
     out = spark.read.parquet(base + "/sink")
     assert out.count() == 9 and out.select("TRANSACTION_ID").distinct().count() == 9
     assert spark.read.parquet(base + "/dead").count() == 1
@@ -64,14 +66,79 @@ def test_late_rows_behind_watermark_are_dropped(spark):
     assert hours[13]["nx_transactions"] == round(2 / 30, 2)
 
 
-def test_progress_rows(spark):
+def test_progress_log_keeps_every_batch(spark):
     base = work_path(spark, "t-progress")
     inp = base + "/in"
-    _write(inp, "a.txt", [_msg(i, f"2024-01-02 10:{i:02d}:00") for i in range(3)])
-    qs = SC.start_scoring(spark, SC.rule_scorer(100.0), base + "/sink", base + "/ckpt", "text", inp, {"maxFilesPerTrigger": "1"})
-    SC.await_all(qs, 300)
-    rows = H.progress_rows(spark, qs[0]).collect()
-    assert sum(r["num_input_rows"] for r in rows) == 3
+    for k in range(4):
+        _write(inp, f"{k}.txt", [_msg(10 * k + i, f"2024-01-02 1{k}:{i:02d}:00") for i in range(3)])
+    log = H.ProgressLog(spark, base + "/progress")
+    spark.streams.addListener(log)
+    try:
+        q = SC.start_scoring(spark, SC.rule_scorer(100.0), base + "/sink", base + "/ckpt", base + "/dead", "text", inp, {"maxFilesPerTrigger": "1"})
+        SC.await_all([q], 300)
+        time.sleep(3)  # listeners are told a little later
+    finally:
+        spark.streams.removeListener(log)
+    rows = H.progress_rows(spark, base + "/progress", q).collect()
+    assert sum(r["num_input_rows"] for r in rows) == 12 and {r["batch_id"] for r in rows} >= {0, 1, 2, 3}
+
+
+def test_values_of_the_wrong_type_go_to_the_dead_letter(spark):
+    def bad(**change):
+        return json.dumps(json.loads(_msg(1, "2024-01-01 10:00:00")) | change)
+
+    lines = [_msg(0, "2024-01-01 10:00:00"), bad(TX_DATETIME="not-a-date"), bad(CUSTOMER_ID="x7"), bad(TX_AMOUNT="much"), bad(TX_DATETIME=None), bad(CUSTOMER_ID=None)]
+    good, dead = parse_messages(spark.createDataFrame([(x,) for x in lines], "value string"))
+    assert sorted(r["TRANSACTION_ID"] for r in good.collect()) == [0, 1]  # a NULL customer is no error
+    assert dead.count() == 4
+
+
+def test_a_stream_that_has_not_ended_raises(spark):
+    base = work_path(spark, "t-timeout")
+    _write(base + "/in", "a.txt", [_msg(1, "2024-01-02 10:00:00")])
+
+    def slow(df):
+        time.sleep(6)
+        return SC.rule_scorer(100.0)(df)
+
+    q = SC.start_scoring(spark, slow, base + "/sink", base + "/ckpt", base + "/dead", "text", base + "/in")
+    with pytest.raises(TimeoutError):
+        SC.await_all([q], 1)
+    assert not q.isActive
+
+
+def test_rerun_batch_overwrites_its_own_rows(spark):
+    base = work_path(spark, "t-rerun")
+    _write(base + "/in", "a.txt", [_msg(i, "2024-01-02 10:00:00") for i in range(5)] + ["bad"])
+    for ckpt in ("/ckpt1", "/ckpt2"):  # a lost checkpoint runs batch 0 again
+        q = SC.start_scoring(spark, SC.rule_scorer(100.0), base + "/sink", base + ckpt, base + "/dead", "text", base + "/in")
+        SC.await_all([q], 300)
+    assert spark.read.parquet(base + "/sink").count() == 5 and spark.read.parquet(base + "/dead").count() == 1
+
+
+def test_compacted_log_gives_the_same_state(spark):
+    path = work_path(spark, "t-compact")
+    rows = [(h, b, float(b)) for b in range(6) for h in range(b + 1)]
+    df = spark.createDataFrame(rows, "h int, batch_id long, n double").selectExpr("timestamp'2024-01-01' + make_interval(0,0,0,0,h) AS window_start", "timestamp'2024-01-01' + make_interval(0,0,0,0,h+1) AS window_end", "n", "batch_id")
+    df.where("batch_id < 4").write.partitionBy("batch_id").parquet(path)
+    want = sorted(H.latest_state(spark, path).collect())
+    assert H.compact_log(spark, path) == 3 and sorted(H.latest_state(spark, path).collect()) == want
+    df.where("batch_id >= 4").write.mode("append").partitionBy("batch_id").parquet(path)
+    assert {r["n"] for r in H.latest_state(spark, path).collect()} == {5.0}
+
+
+def test_messages_are_written_in_time_order(spark):
+    from txpipe.sources.fixture import load_transactions
+    from txpipe.sources.messages import to_messages, write_messages
+
+    path = work_path(spark, "t-order")
+    write_messages(to_messages(load_transactions(spark, "/root/testdata/sf0.01")), path)
+    from pyarrow import fs
+
+    store, root = fs.FileSystem.from_uri(path)
+    files = sorted(f.path for f in store.get_file_info(fs.FileSelector(root)) if "/part-" in f.path)
+    times = [json.loads(line)["TX_DATETIME"] for f in files for line in store.open_input_stream(f).read().decode().splitlines()]
+    assert len(times) == 10000 and times == sorted(times)
 
 
 def test_unseen_or_null_label_does_not_stop_scoring(spark):
@@ -91,9 +158,10 @@ def test_unseen_or_null_label_does_not_stop_scoring(spark):
     null_label = json.loads(_msg(3, "2024-01-03 12:00:00"))
     null_label["TX_FRAUD"] = None
     _write(inp, "a.txt", lines + [json.dumps(null_label)])
-    qs = SC.start_scoring(spark, model, base + "/sink", base + "/ckpt", "text", inp, {"maxFilesPerTrigger": "1"})
-    SC.await_all(qs, 300)
+    q = SC.start_scoring(spark, model, base + "/sink", base + "/ckpt", base + "/dead", "text", inp, {"maxFilesPerTrigger": "1"})
+    SC.await_all([q], 300)
     out = {r["TRANSACTION_ID"]: r for r in spark.read.parquet(base + "/sink").collect()}
     assert sorted(out) == [1, 2, 3]
     assert out[1]["TX_FRAUD"] == 7 and out[3]["TX_FRAUD"] is None  # label carried through unchanged
     assert all(out[i]["prediction"] in (0.0, 1.0) for i in out)
+    assert {"indexedFeatures", "rawPrediction", "probability", "predictedLabel", "probability_fraud"} <= set(out[1].asDict())

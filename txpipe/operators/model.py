@@ -3,16 +3,14 @@
 The reference fits a 4-stage pipeline (assembler, label indexer, classifier,
 label converter) inside 5-fold cross-validation. Assembler and fitted label
 indexer do not depend on the folds, so here they run once, the assembled
-rows are checkpointed to the shared folder and cached, and cross-validation
-tunes the classifier alone (``parallelism`` grid points at a time). The
-best classifier is then put back between the same stages, so the saved
-``PipelineModel`` scores raw feature rows exactly like the reference's.
+rows are written to the shared folder, and cross-validation tunes the
+classifier alone (``parallelism`` grid points at a time). The best classifier
+is then put back between the same stages inside a ``CrossValidatorModel``,
+which saves, loads, scores raw feature rows and evaluates like the reference's.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -23,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txpipe import schema as S
-from txpipe.session import ensure_checkpoint_dir
+from txpipe.session import stored
 
 LABEL = "TX_FRAUD"
 FEATURES_COL = "indexedFeatures"
@@ -86,21 +84,20 @@ def pipeline(kind: str, indexer: StringIndexerModel, features: list[str] | None
     return Pipeline(stages=[assembler(features), indexer, classifier(kind), label_converter(indexer)])
 
 
-@dataclass
-class Tuned:
-    kind: str
-    metric: str
-    model: PipelineModel
-    cv: CrossValidatorModel
-    grid: list
+def prepare(train: DataFrame, indexer: StringIndexerModel, features: list[str] | None = None) -> DataFrame:
+    """Assemble + index once; stored for the many passes of cross-validation."""
+    return stored(indexer.transform(assembler(features).transform(train)).select(FEATURES_COL, LABEL_COL), "prepared")
 
 
-def prepare(train: DataFrame, indexer: StringIndexerModel, features: list[str] | None = None) -> DataFrame:
-    """Assemble + index once; checkpoint (shared folder) and cache for the
-    many passes of cross-validation."""
-    ensure_checkpoint_dir(train.sparkSession)
-    prepared = indexer.transform(assembler(features).transform(train)).select(FEATURES_COL, LABEL_COL)
-    return prepared.checkpoint(eager=True).cache()
+def _whole(kind: str, est, grid: list, indexer: StringIndexerModel, best, metrics: list[float], metric: str, hard: bool, folds: int, features) -> CrossValidatorModel:
+    """The tuned classifier between the other stages, as the model that a
+    cross-validation of the whole pipeline would have returned."""
+    stages = [assembler(features), indexer, est, label_converter(indexer)]
+    cv = CrossValidator(estimator=Pipeline(stages=stages), estimatorParamMaps=grid, evaluator=evaluator(metric, hard), numFolds=folds, seed=SEED)
+    model = CrossValidatorModel(PipelineModel(stages=[*stages[:2], best, stages[3]]), list(metrics))
+    for param in (cv.estimator, cv.estimatorParamMaps, cv.evaluator, cv.numFolds, cv.seed, cv.foldCol):
+        model.set(model.getParam(param.name), cv.getOrDefault(param))
+    return model
 
 
 def tune(
@@ -113,7 +110,7 @@ def tune(
     hard: bool = True,
     features: list[str] | None = None,
     fold_col: str | None = None,
-) -> Tuned:
+) -> CrossValidatorModel:
     """K-fold CV over the grid; refit best on all rows; wrap in the
     4-stage pipeline. ``fold_col`` gives user folds (e.g. time blocks, Q13)."""
     est = classifier(kind)
@@ -128,22 +125,7 @@ def tune(
         **({"foldCol": fold_col} if fold_col else {}),
     )
     cvm = cv.fit(prepared)
-    model = PipelineModel(stages=[assembler(features), indexer, cvm.bestModel, label_converter(indexer)])
-    return Tuned(kind, metric, model, cvm, grid)
-
-
-@dataclass
-class _CVResult:
-    """Stands in for ``CrossValidatorModel`` where callers read avgMetrics
-    and the evaluator."""
-
-    avgMetrics: list
-    bestModel: object
-    metric: str
-    hard: bool
-
-    def getEvaluator(self):
-        return evaluator(self.metric, self.hard)
+    return _whole(kind, est, grid, indexer, cvm.bestModel, cvm.avgMetrics, metric, hard, folds, features)
 
 
 def tune_both(
@@ -155,13 +137,13 @@ def tune_both(
     features: list[str] | None = None,
     fold_col: str | None = None,
     seed: int = SEED,
-) -> dict[str, Tuned]:
+) -> dict[str, CrossValidatorModel]:
     """M10 for both hard-label metrics at once: the ROC and the PR runs of
     the reference fit the same models on the same folds, so each fold and
     grid point is fitted once (``fitMultiple``, ``parallelism`` at a time)
     and scored once; one confusion-count aggregate gives both areas. The
     best point per metric is refitted on all rows. Returns
-    ``{"areaUnderROC": Tuned, "areaUnderPR": Tuned}``."""
+    ``{"areaUnderROC": ..., "areaUnderPR": ...}``."""
     from concurrent.futures import ThreadPoolExecutor
 
     from txpipe.operators.metrics import hard_metrics
@@ -175,9 +157,8 @@ def tune_both(
         data = prepared
     sums = {"areaUnderROC": [0.0] * len(grid), "areaUnderPR": [0.0] * len(grid)}
     for f in range(folds):
-        train = data.where(F.col(fold_col) != f).cache()
-        valid = data.where(F.col(fold_col) == f).cache()
-
+        # The folds are filters over one stored table; MLlib keeps its own copy while it fits.
+        train, valid = data.where(F.col(fold_col) != f), data.where(F.col(fold_col) == f)
         models = est.fitMultiple(train, grid)  # thread-safe iterator
 
         def fit_and_score(_):
@@ -189,30 +170,26 @@ def tune_both(
             for i, roc, pr in pool.map(fit_and_score, range(len(grid))):
                 sums["areaUnderROC"][i] += roc / folds
                 sums["areaUnderPR"][i] += pr / folds
-        train.unpersist()
-        valid.unpersist()
     out = {}
     refits: dict[int, object] = {}
     for metric, avg in sums.items():
         best = max(range(len(grid)), key=lambda i: avg[i])
         if best not in refits:
             refits[best] = est.copy(grid[best]).fit(prepared)
-        best_model = refits[best]
-        model = PipelineModel(stages=[assembler(features), indexer, best_model, label_converter(indexer)])
-        out[metric] = Tuned(kind, metric, model, _CVResult(avg, best_model, metric, True), grid)
+        out[metric] = _whole(kind, est, grid, indexer, refits[best], avg, metric, True, folds, features)
     return out
 
 
-def avg_metrics(spark, tuned: Tuned) -> DataFrame:
+def avg_metrics(spark, kind: str, tuned: CrossValidatorModel) -> DataFrame:
     """Mean CV metric per grid point (a table of grid-size rows)."""
     rows = []
-    for pm, m in zip(tuned.grid, tuned.cv.avgMetrics):
+    for pm, m in zip(tuned.getEstimatorParamMaps(), tuned.avgMetrics):
         params = ", ".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda kv: kv[0].name))
-        rows.append((tuned.kind, tuned.metric, params, float(m)))
+        rows.append((kind, tuned.getEvaluator().getMetricName(), params, float(m)))
     return spark.createDataFrame(rows, "model string, metric string, params string, avg_metric double")
 
 
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
+def score(model: CrossValidatorModel | PipelineModel, df: DataFrame) -> DataFrame:
     """Batch scoring; adds indexedFeatures, indexedLabel (when the label
     is present), rawPrediction, probability (not for SVM), prediction,
     predictedLabel."""
@@ -229,17 +206,17 @@ def flatten_scores(scored: DataFrame, keep: list[str] | None = None, digits: int
     return scored.select(*cols)
 
 
-def evaluate(tuned: Tuned, scored: DataFrame) -> float:
+def evaluate(tuned: CrossValidatorModel, scored: DataFrame) -> float:
     """The model's own evaluator on scored rows."""
-    return float(tuned.cv.getEvaluator().evaluate(scored))
+    return float(tuned.getEvaluator().evaluate(scored))
 
 
-def save(model: PipelineModel, path: str) -> None:
-    """Write (overwrite) a model; load with ``PipelineModel.load``."""
+def save(model: CrossValidatorModel | PipelineModel, path: str) -> None:
+    """Write (overwrite) a model; read it with :func:`load`."""
     model.write().overwrite().save(path)
 
 
-def save_versioned(model: PipelineModel, base: str, version: str | None = None) -> str:
+def save_versioned(model: CrossValidatorModel | PipelineModel, base: str, version: str | None = None) -> str:
     """Q15: write to a fresh ``base/v=<version>`` folder instead of
     overwriting in place (an overwrite can leave orphaned stages)."""
     import time
@@ -249,5 +226,10 @@ def save_versioned(model: PipelineModel, base: str, version: str | None = None)
     return path
 
 
-def load(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load(path: str) -> CrossValidatorModel | PipelineModel:
+    """A saved model of either kind, told by its metadata."""
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.active()
+    kind = spark.read.json(f"{path.rstrip('/')}/metadata").select("class").first()[0]
+    return (CrossValidatorModel if "CrossValidatorModel" in kind else PipelineModel).load(path)

@@ -4,8 +4,9 @@ Terminals strictly closer than ``r`` to each customer. A plain theta join
 would be a nested loop over customers x terminals; here both sides get a
 grid cell of side ``r``, each customer is expanded to its 3 x 3 neighbour
 cells (9 rows), and an equi-join on the cell finds every candidate within
-``r`` -- then the exact distance filter keeps ``dist < r``. A crowded cell is
-one hot join key; AQE's skew-join split handles it at run time.
+``r`` -- then the exact distance filter keeps ``dist < r``. A crowded cell would
+be one hot join key: its terminals are dealt over salts by a hash of their id,
+about ``cell_terminals`` to a salt, and its customers come once for each salt.
 """
 
 from __future__ import annotations
@@ -13,6 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txpipe.session import stored
+
+CELL_TERMINALS = 10_000
 
 
 def _cell(c: str, r: float):
@@ -25,6 +29,7 @@ def radius_pairs(
     r: float,
     cust_cols: tuple[str, str, str] = ("CUSTOMER_ID", "x_customer_id", "y_customer_id"),
     term_cols: tuple[str, str, str] = ("TERMINAL_ID", "x_terminal_id", "y_terminal_id"),
+    cell_terminals: int = CELL_TERMINALS,
 ) -> DataFrame:
     """Long form ``(CUSTOMER_ID, TERMINAL_ID, distance)`` with ``distance < r``."""
     cid, cx, cy = cust_cols
@@ -49,11 +54,20 @@ def radius_pairs(
         _cell(tx, r).alias("_gx"),
         _cell(ty, r).alias("_gy"),
     )
+    keys = ["_gx", "_gy"]
+    # At most terminals / cell_terminals rows; stored, so joined by its bytes.
+    crowded = stored(term.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > F.lit(cell_terminals)), "crowded-cells")
+    if not crowded.isEmpty():
+        salts = crowded.select(*keys, F.ceil(F.col("n") / F.lit(cell_terminals)).cast("int").alias("_salts"))
+        count = F.coalesce("_salts", F.lit(1))
+        term = term.join(salts, keys, "left").withColumn("_salt", F.pmod(F.xxhash64("_tid"), count).cast("int")).drop("_salts")
+        cust = cust.join(salts, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), count - 1))).drop("_salts")
+        keys = [*keys, "_salt"]
     dx = F.col("_cx") - F.col("_tx")
     dy = F.col("_cy") - F.col("_ty")
     dist = F.sqrt(dx * dx + dy * dy)
     return (
-        cust.join(term, ["_gx", "_gy"])
+        cust.join(term, keys)
         .select(F.col("_cid").alias(cid), F.col("_tid").alias(tid), dist.alias("distance"))
         .where(F.col("distance") < F.lit(float(r)))
     )

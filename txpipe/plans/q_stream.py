@@ -5,9 +5,8 @@ holds as a batch DataFrame."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.ml import Pipeline
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from txpipe import schema as S
@@ -16,8 +15,8 @@ from txpipe.operators.features import build_features
 from txpipe.plans import oracle as O
 from txpipe.plans.common import labelled
 from txpipe.plans.registry import query
-from txpipe.session import work_path
-from txpipe.sources.messages import to_messages
+from txpipe.session import stored, work_path
+from txpipe.sources.messages import to_messages, write_messages
 from txpipe.streaming import hourly as H
 from txpipe.streaming import scoring as SC
 
@@ -45,11 +44,11 @@ def write_inputs(feats, path: str, since: str | None = None, until: str | None =
     df = feats
     if until is not None:
         df = df.where(F.col("TX_DATETIME") < F.lit(until).cast("timestamp"))
-    to_messages(df, since=since).write.mode(mode).text(path)
+    write_messages(to_messages(df, since=since), path, mode=mode)
 
 
 def _run_scoring(spark, scorer, in_path, sink, ckpt):
-    SC.await_all(SC.start_scoring(spark, scorer, sink, ckpt, "text", in_path, FILE_SOURCE, dead_letter_path=f"{sink}-dead"), 600)
+    SC.await_all([SC.start_scoring(spark, scorer, sink, ckpt, f"{sink}-dead", "text", in_path, FILE_SOURCE)])
 
 
 @query("r1_stream_parse_flatten", FEAT_SQL)
@@ -66,7 +65,7 @@ def r3(spark, sf):
     """Run, re-run with nothing new, add files, run again on the same
     checkpoint: every row once."""
     base = work_path(spark, "r3")
-    feats = _features(spark, sf).cache()
+    feats = stored(_features(spark, sf), "r3-features")
     cut = "2024-01-15 00:00:00"
     write_inputs(feats, f"{base}/in", until=cut)
     for _ in range(2):
@@ -76,19 +75,32 @@ def r3(spark, sf):
     return spark.read.parquet(f"{base}/sink").select(*S.FEATURE_TABLE)
 
 
-@query("r2_stream_model_scoring")
+R2_SQL = (
+    O.labelled_prefix()
+    + """SELECT TRANSACTION_ID, TX_FRAUD, true AS prediction_is_a_label, true AS label_text_follows, true AS probability_follows, true AS same_as_batch
+FROM lab"""
+)
+
+
+@query("r2_stream_model_scoring", R2_SQL)
 def r2(spark, sf):
     """A random forest pipeline fitted on the batch features, saved,
     loaded, and applied to the message stream."""
     base = work_path(spark, "r2")
-    feats = _features(spark, sf).cache()
+    feats = stored(_features(spark, sf), "r2-features")
     idx = M.label_indexer(feats)
     model = Pipeline(stages=M.pipeline("random_forest", idx).getStages()).fit(feats)
     M.save(model, f"{base}/model")
     write_inputs(feats, f"{base}/in")
     _run_scoring(spark, M.load(f"{base}/model"), f"{base}/in", f"{base}/sink", f"{base}/ckpt")
     out = spark.read.parquet(f"{base}/sink")
-    return out.select("TRANSACTION_ID", "TX_FRAUD", "prediction", "predictedLabel", F.round("probability_fraud", 6).alias("probability_fraud"))
+    batch = M.load(f"{base}/model").transform(feats).select("TRANSACTION_ID", F.col("prediction").alias("batch_prediction"))
+    return out.join(batch, "TRANSACTION_ID", "left").select(
+        "TRANSACTION_ID", "TX_FRAUD", F.col("prediction").isin(0.0, 1.0).alias("prediction_is_a_label"),
+        (F.col("predictedLabel") == F.element_at(F.array(*map(F.lit, idx.labels)), F.col("prediction").cast("int") + 1)).alias("label_text_follows"),
+        (F.col("probability_fraud").between(0, 1) & ((F.col("probability_fraud") > 0.5) == (F.col("prediction") == 1))).alias("probability_follows"),
+        F.coalesce(F.col("prediction") == F.col("batch_prediction"), F.lit(False)).alias("same_as_batch"),
+    )
 
 
 def _scored_sink(spark, sf, base):
@@ -97,36 +109,34 @@ def _scored_sink(spark, sf, base):
     return f"{base}/sink"
 
 
-@query("r4_hourly_stream_complete", HOURLY_RULE_SQL)
-def r4(spark, sf):
-    """Hourly counts over the scored sink read as a stream."""
-    base = work_path(spark, "r4")
+def _hourly_log(spark, sf, key: str) -> str:
+    base = work_path(spark, key)
     sink = _scored_sink(spark, sf, base)
-    name = f"hourly_{uuid.uuid4().hex[:8]}"
     agg = H.hourly_aggregate(H.scored_source(spark, sink, 1))
-    q = H.start_memory_sink(agg, name, mode="complete", checkpoint=f"{base}/agg-ckpt")
-    SC.await_all([q], 600)
-    return H.flatten_window(spark.table(name))
+    SC.await_all([H.start_upsert_log(agg, f"{base}/log", f"{base}/agg-ckpt")])
+    return f"{base}/log"
 
 
-@query("r5_hourly_update_rows")
+@query("r4_hourly_stream_complete", HOURLY_RULE_SQL)
+def r4(spark, sf):
+    """Hourly counts over the scored sink read as a stream, all
+    hours; they come through the log, not through the driver's memory."""
+    return H.latest_state(spark, _hourly_log(spark, sf, "r4"))
+
+
+@query("r5_hourly_update_rows", HOURLY_RULE_SQL)
 def r5(spark, sf):
-    """Update mode appends a row per changed hour and micro-batch."""
-    base = work_path(spark, "r5")
-    sink = _scored_sink(spark, sf, base)
-    name = f"hourly_upd_{uuid.uuid4().hex[:8]}"
-    agg = H.hourly_aggregate(H.scored_source(spark, sink, 1))
-    q = H.start_memory_sink(agg, name, mode="update", checkpoint=f"{base}/agg-ckpt")
-    SC.await_all([q], 600)
-    return H.flatten_window(spark.table(name))
+    """Update mode gives a row per changed hour and micro-batch; the
+    last row of each hour among them."""
+    rows = spark.read.parquet(_hourly_log(spark, sf, "r5"))
+    last = Window.partitionBy("window_start").orderBy(F.desc("batch_id"))
+    return rows.withColumn("turn", F.row_number().over(last)).where("turn = 1").drop("turn", "batch_id")
 
 
 @query("r6_latest_state_upsert", HOURLY_RULE_SQL)
 def r6(spark, sf):
-    """Update-mode changes upserted by hour; the latest row per hour."""
-    base = work_path(spark, "r6")
-    sink = _scored_sink(spark, sf, base)
-    agg = H.hourly_aggregate(H.scored_source(spark, sink, 1))
-    q = H.start_upsert_log(agg, f"{base}/log", f"{base}/agg-ckpt")
-    SC.await_all([q], 600)
-    return H.latest_state(spark, f"{base}/log")
+    """Update-mode changes upserted by hour; the latest row per hour, read
+    from a compacted log."""
+    log = _hourly_log(spark, sf, "r6")
+    H.compact_log(spark, log)
+    return H.latest_state(spark, log)

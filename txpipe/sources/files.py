@@ -1,8 +1,9 @@
 """Daily transaction files and feature tables.
 
 Daily data is one Parquet table partitioned by ``tx_date``: a date-range
-read is partition pruning (``PartitionFilters`` in the plan), not a listing
-of file names on the driver.
+read is partition pruning (``PartitionFilters`` in the plan). Folders of flat
+``YYYY-MM-DD.parquet`` files are read as well; their days come from the file
+names, and files outside a range are not opened.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ def save_daily(
     ``datetime_as_text`` stores ``TX_DATETIME`` as text as the reference's
     files do (microseconds kept)."""
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
     out = df.withColumn(PART, date_from_offset("TX_TIME_DAYS", start_date))
     if datetime_as_text:
         out = out.withColumn("TX_DATETIME", F.date_format("TX_DATETIME", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
@@ -53,15 +54,24 @@ def load_dataset(
     replace_columns: list[str] | None = None,
     keep_partition_column: bool = False,
 ) -> DataFrame:
-    """Days ``begin_date .. end_date`` (inclusive) of a daily table;
-    ``TX_DATETIME`` cast to timestamp (P1) and ``-1`` replaced by 0 (P2).
-    An empty range gives an empty DataFrame (Q12). No sort: the next
-    operator re-partitions anyway."""
+    """Days ``begin_date .. end_date`` (inclusive) of a daily table, or of
+    a folder of flat ``YYYY-MM-DD.parquet`` files (a table without the
+    partition column); ``TX_DATETIME`` cast to timestamp (P1) and ``-1``
+    replaced by 0 (P2). An empty range gives an empty DataFrame (Q12). No sort:
+    the next operator re-partitions anyway."""
     df = spark.read.parquet(path)
-    if begin_date is not None:
-        df = df.where(F.col(PART) >= F.lit(begin_date).cast("date"))
-    if end_date is not None:
-        df = df.where(F.col(PART) <= F.lit(end_date).cast("date"))
+    if PART in df.columns:
+        if begin_date is not None:
+            df = df.where(F.col(PART) >= F.lit(begin_date).cast("date"))
+        if end_date is not None:
+            df = df.where(F.col(PART) <= F.lit(end_date).cast("date"))
+    else:
+        name = F.col("_metadata.file_name")
+        keep_partition_column = True
+        if begin_date is not None:
+            df = df.where(name >= F.lit(f"{begin_date}.parquet"))
+        if end_date is not None:
+            df = df.where(name <= F.lit(f"{end_date}.parquet"))
     df = df.withColumn("TX_DATETIME", to_timestamp_col("TX_DATETIME"))
     if not keep_partition_column:
         df = df.drop(PART)
@@ -75,15 +85,12 @@ def read_file(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 
 def union_files(spark: SparkSession, paths: list[str], by_name: bool = True) -> DataFrame:
-    """Many files as one DataFrame: a single multi-path read when the
-    schemas agree; ``unionByName`` (or positional ``union``) otherwise."""
+    """Many files (or patterns) as one DataFrame, in one read over all
+    paths; ``by_name`` matches columns by name over differing schemas (missing
+    ones NULL), otherwise the first file's schema holds for all."""
     if not paths:
         raise ValueError("no paths")
-    frames = [spark.read.parquet(p) for p in paths]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True) if by_name else out.union(f)
-    return out
+    return spark.read.option("mergeSchema", str(by_name).lower()).parquet(*paths)
 
 
 def write_features(df: DataFrame, path: str, bloom_columns: tuple[str, ...] = ("CUSTOMER_ID", "TERMINAL_ID"), ndv: int = 1_000_000) -> None:

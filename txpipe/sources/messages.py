@@ -34,15 +34,17 @@ def to_messages(df: DataFrame, since: str | None = None, index_col: str | None =
     return out.orderBy("TX_DATETIME", "TRANSACTION_ID").select(F.to_json(F.struct(*cols)).alias("value"))
 
 
-def write_messages(messages: DataFrame, path: str, fmt: str = "text", options: dict | None = None, files: int | None = None) -> None:
+def write_messages(messages: DataFrame, path: str, fmt: str = "text", options: dict | None = None, mode: str = "overwrite") -> None:
     """Write messages to a folder (``text``) or to Kafka (``fmt='kafka'``
-    with ``kafka.bootstrap.servers`` and ``topic`` in ``options``)."""
-    out = messages.repartition(files) if files else messages
-    w = out.write.format(fmt).options(**(options or {}))
+    with ``kafka.bootstrap.servers`` and ``topic`` in ``options``), in the
+    order they come in: the partitions of :func:`to_messages` are consecutive
+    time slices, so file names sort in time order and no row moves after the
+    sort. (The number of files is that of the sort's partitions.)"""
+    w = messages.write.format(fmt).options(**(options or {}))
     if fmt == "kafka":
         w.save()
     else:
-        w.mode("overwrite").save(path)
+        w.mode(mode).save(path)
 
 
 def message_source(spark: SparkSession, fmt: str = "text", path: str | None = None, options: dict | None = None, streaming: bool = True):
@@ -56,24 +58,34 @@ def message_source(spark: SparkSession, fmt: str = "text", path: str | None = No
     return df.selectExpr("CAST(value AS STRING) AS value")
 
 
-def parse_messages(messages: DataFrame, schema: T.StructType | None = None, required: tuple[str, ...] = ("TRANSACTION_ID", "TX_DATETIME")):
-    """Parse ``value`` with a fixed schema and flatten it (``index``
-    dropped, ``TX_DATETIME`` cast to timestamp once, Q7). Returns
-    ``(good, dead_letter)``: rows whose text does not parse or lacks a
-    required field go to the dead letter with the raw text (Q9)."""
+def checked_messages(messages: DataFrame, schema: T.StructType | None = None, required: tuple[str, ...] = ("TRANSACTION_ID", "TX_DATETIME")) -> DataFrame:
+    """``raw``, ``m`` (the parsed struct, ``TX_DATETIME`` a timestamp) and
+    ``ok``. A message is good if it parses, holds every required field, and no
+    field that has a value in the text lost it to its type: a word where a
+    number belongs, or a time that is none, makes it bad."""
     schema = schema or S.message_schema()
-    parsed = messages.select(F.col("value").alias("raw"), F.from_json("value", schema).alias("m"))
-    ok = F.col("m").isNotNull()
-    for c in required:
-        ok = ok & F.col(f"m.{c}").isNotNull()
-    good_cols = []
+    parsed = messages.select(F.col("value").alias("raw"), F.from_json("value", schema).alias("m"), F.from_json("value", "map<string,string>").alias("said"))
+    fields, ok = [], F.col("m").isNotNull() & F.col("said").isNotNull()
     for f in schema.fields:
-        if f.name == "index":
-            continue
         c = F.col(f"m.{f.name}")
         if f.name == "TX_DATETIME":
             c = c.try_cast("timestamp")
-        good_cols.append(c.alias(f.name))
-    good = parsed.where(ok).select(*good_cols)
-    dead = parsed.where(~ok | F.col("m").isNull()).select("raw")
-    return good, dead
+        ok = ok & (c.isNotNull() if f.name in required else (c.isNotNull() | F.col("said")[f.name].isNull()))
+        fields.append(c.alias(f.name))
+    return parsed.select("raw", F.struct(*fields).alias("m"), F.coalesce(ok, F.lit(False)).alias("ok"))
+
+
+def good_messages(checked: DataFrame) -> DataFrame:
+    """The good rows' fields as columns (``index`` dropped)."""
+    return checked.where("ok").select(*[F.col(f"m.{f.name}") for f in checked.schema["m"].dataType.fields if f.name != "index"])
+
+
+def bad_messages(checked: DataFrame) -> DataFrame:
+    """Raw texts for the dead letter (Q9)."""
+    return checked.where(~F.col("ok")).select("raw")
+
+
+def parse_messages(messages: DataFrame, schema: T.StructType | None = None, required: tuple[str, ...] = ("TRANSACTION_ID", "TX_DATETIME")):
+    """``(good, dead_letter)`` of :func:`checked_messages`."""
+    checked = checked_messages(messages, schema, required)
+    return good_messages(checked), bad_messages(checked)

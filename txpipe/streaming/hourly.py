@@ -6,7 +6,7 @@ inference), grouped by a tumbling 1-hour window, and kept as running state.
 drops events later than the watermark (Q8).
 
 Readers want the latest value per hour. Update mode appends every change,
-so the memory sink holds several rows per hour (Q6). ``start_upsert_log``
+so its sink holds several rows per hour (Q6). ``start_upsert_log``
 writes each micro-batch's changed hours to a Parquet log partitioned by
 batch id (a re-run batch overwrites its own partition), and
 ``latest_state`` returns, per hour, the row of the highest batch id.
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from txpipe.operators.stats import hourly_measures
 
@@ -64,7 +64,7 @@ def start_memory_sink(agg: DataFrame, name: str, mode: str = "update", checkpoin
 
 
 def start_upsert_log(agg: DataFrame, log_path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Per micro-batch, the changed hours go to ``log_path`` under
+    """Per micro-batch, the changed hours go to ``log_path`` under
     ``batch_id=<id>``; idempotent when a batch is re-run."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -83,18 +83,70 @@ def start_upsert_log(agg: DataFrame, log_path: str, checkpoint: str, available_n
     return w.start()
 
 
-def latest_state(spark: SparkSession, log_path: str) -> DataFrame:
-    """R6 reader: the latest row per hour (max batch id), one aggregate."""
-    log = spark.read.parquet(log_path)
+def _latest(log: DataFrame) -> DataFrame:
     measures = [c for c in log.columns if c not in ("window_start", "window_end", "batch_id")]
-    latest = F.max_by(F.struct(*measures), F.col("batch_id")).alias("s")
+    latest = F.max_by(F.struct(*measures, "batch_id"), F.col("batch_id")).alias("s")
     return log.groupBy("window_start", "window_end").agg(latest).select("window_start", "window_end", "s.*")
 
 
-def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Recent progress (bounded by Spark's retained count) as rows."""
-    rows = [
-        (int(p.get("batchId", -1)), str(p.get("timestamp")), int(p.get("numInputRows", 0)), float(p.get("processedRowsPerSecond", 0.0) or 0.0))
-        for p in (query.recentProgress or [])
-    ]
-    return spark.createDataFrame(rows, "batch_id long, timestamp string, num_input_rows long, processed_rows_per_second double")
+def _snapshots(spark: SparkSession, log_path: str) -> list[int]:
+    """Batch ids of the compacted snapshots beside the log."""
+    jvm, path = spark.sparkContext._jvm, f"{log_path.rstrip('/')}-compact"
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    done = [st.getPath() for st in fs.listStatus(root) if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))]
+    return sorted(int(p.getName().removeprefix("upto=")) for p in done)
+
+
+def _log_since_snapshot(spark: SparkSession, log_path: str) -> DataFrame:
+    log, done = spark.read.parquet(log_path), _snapshots(spark, log_path)
+    log = log.withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    if not done:
+        return log
+    base = spark.read.parquet(f"{log_path.rstrip('/')}-compact/upto={done[-1]}")
+    return base.unionByName(log.where(F.col("batch_id") > done[-1]))  # older folders are pruned
+
+
+def compact_log(spark: SparkSession, log_path: str) -> int:
+    """Write the latest row per hour as a snapshot beside the log; readers then
+    open only the snapshot and newer batches. Returns the last batch in it."""
+    rows = _log_since_snapshot(spark, log_path)
+    upto = int(rows.agg(F.max("batch_id")).first()[0])
+    _latest(rows).write.mode("overwrite").parquet(f"{log_path.rstrip('/')}-compact/upto={upto}")
+    return upto
+
+
+def latest_state(spark: SparkSession, log_path: str) -> DataFrame:
+    """R6 reader: the latest row per hour (max batch id), one aggregate."""
+    return _latest(_log_since_snapshot(spark, log_path)).drop("batch_id")
+
+
+PROGRESS = "query_id string, batch_id long, timestamp string, num_input_rows long, processed_rows_per_second double"
+
+
+class ProgressLog(StreamingQueryListener):
+    """Writes a row for every progress event to ``path`` as it comes, so
+    the table is whole however many batches run. Register it with
+    ``spark.streams.addListener``."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        row = (str(p.id), int(p.batchId), str(p.timestamp), int(p.numInputRows or 0), float(p.processedRowsPerSecond or 0.0))
+        self.spark.createDataFrame([row], PROGRESS).write.mode("append").parquet(self.path)
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def progress_rows(spark: SparkSession, path: str, query: StreamingQuery | None = None) -> DataFrame:
+    """The logged progress (of one query), a row per batch."""
+    rows = spark.read.schema(PROGRESS).parquet(path)
+    return rows.where(F.col("query_id") == str(query.id)) if query is not None else rows

@@ -2,9 +2,9 @@
 
 source (Kafka or files) -> text (P6) -> ``from_json`` with the fixed
 schema (P7) -> flatten (P8) -> good rows scored by the model (R2) -> Parquet
-sink with checkpoint, append (S10, exactly once through the offset, commit
-and sink logs: R3). Rows that do not parse or lack a model input go to a
-dead-letter sink instead of failing the query (Q9). The label is carried
+sink (S10, exactly once through the offset and commit logs and a folder a
+micro-batch: R3). Rows that do not parse, hold a value of the wrong type or lack
+a model input go to a dead-letter sink (Q9). The label is carried
 under another name while the model runs, so a missing, NULL or unseen label
 never stops scoring.
 """
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txpipe import schema as S
-from txpipe.sources.messages import message_source, parse_messages
+from txpipe.sources.messages import bad_messages, checked_messages, good_messages, message_source, parse_messages
 
 _CARRIED_LABEL = "_label_carried"
 
@@ -37,15 +37,14 @@ def score_rows(good: DataFrame, model: PipelineModel | Callable[[DataFrame], Dat
     return out.withColumnRenamed(_CARRIED_LABEL, "TX_FRAUD") if _CARRIED_LABEL in out.columns else out
 
 
-def vectors_out(scored: DataFrame) -> DataFrame:
-    """Keep the scored columns the dashboard needs (vectors dropped)."""
-    keep = [c for c in S.scored_schema_columns() if c in scored.columns]
-    extra = [c for c in ("prediction", "predictedLabel") if c in scored.columns]
-    if "probability" in scored.columns:
-        from pyspark.ml.functions import vector_to_array
+def with_fraud_probability(scored: DataFrame) -> DataFrame:
+    """Everything the model adds stays (vectors, raw scores, probabilities);
+    the fraud class's probability comes as a plain column besides."""
+    if "probability" not in scored.columns:
+        return scored
+    from pyspark.ml.functions import vector_to_array
 
-        extra.append(vector_to_array(F.col("probability"))[1].alias("probability_fraud"))
-    return scored.select(*keep, *extra)
+    return scored.withColumn("probability_fraud", vector_to_array(F.col("probability"))[1])
 
 
 def start_scoring(
@@ -53,38 +52,48 @@ def start_scoring(
     model,
     sink_path: str,
     checkpoint: str,
+    dead_letter_path: str,
     source_fmt: str = "text",
     source_path: str | None = None,
     source_options: dict | None = None,
-    dead_letter_path: str | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
     query_name: str | None = None,
-) -> list[StreamingQuery]:
-    """Start the scoring query (and the dead-letter query). ``available_now``
-    processes what is there and stops (R8); otherwise a processing-time
-    trigger runs continuously."""
-    good, dead = parsed_stream(spark, source_fmt, source_path, source_options)
-    scored = vectors_out(score_rows(good, model))
-    queries = []
-
-    def _start(df, path, ckpt, name):
-        w = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", ckpt).outputMode("append")
-        w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "5 seconds")
-        if name:
-            w = w.queryName(name)
-        return w.start()
-
-    queries.append(_start(scored, sink_path, f"{checkpoint}/scored", query_name))
-    if dead_letter_path is not None:
-        queries.append(_start(dead.withColumn("received_at", F.current_timestamp()), dead_letter_path, f"{checkpoint}/dead", None))
-    return queries
+) -> StreamingQuery:
+    """Start the scoring query. Each micro-batch is parsed once; its good rows
+    are scored into ``sink_path`` and its bad ones go to ``dead_letter_path``
+    with the time they came, both under ``batch_id=<id>``. A batch that is run
+    again overwrites its own folders, so both sinks hold every row exactly once
+    and agree after any failure. ``available_now`` processes what is there and
+    stops (R8); otherwise a processing-time trigger runs continuously."""
+    messages = message_source(spark, source_fmt, source_path, source_options, streaming=True)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        checked = checked_messages(batch, required=("TRANSACTION_ID", "TX_DATETIME", *S.FEATURES)).persist()
+        try:
+            scored = with_fraud_probability(score_rows(good_messages(checked), model))
+            dead = bad_messages(checked).withColumn("received_at", F.current_timestamp())
+            for rows, path in ((scored, sink_path), (dead, dead_letter_path)):
+                out = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+                out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+        finally:
+            checked.unpersist()
+
+    w = messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "5 seconds")
+    return (w.queryName(query_name) if query_name else w).start()
 
 
 def await_all(queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
-    """Block until the queries end (availableNow) or the timeout."""
+    """Block until the queries end. With a limit, a query that has not
+    ended by then is stopped and the call raises: its sink holds only a part."""
     for q in queries:
-        q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+        if timeout_s is None:
+            q.awaitTermination()
+        elif not q.awaitTermination(timeout_s):
+            for other in queries:
+                other.stop()
+            raise TimeoutError(f"stream {q.name or q.id} had not ended after {timeout_s} s; it was stopped and its sink is not complete")
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
 
