@@ -31,6 +31,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -150,6 +151,12 @@ class Words:
         return out
 
 
+@lru_cache(maxsize=1)
+def words_of(landmarks: tuple[str, ...]) -> Words:
+    """A Python worker's table for some landmarks; it serves all its tasks."""
+    return Words(Kernel(list(landmarks)))
+
+
 class Machine:
     """Whitening, linear machine and calibration."""
 
@@ -157,7 +164,7 @@ class Machine:
         k = kernel.values(kernel.landmarks).astype(float)
         e, v = np.linalg.eigh((k + k.T) / 2)
         keep = e > 1e-6 * e.max()
-        self.kernel, self.white = kernel, v[:, keep] / np.sqrt(e[keep])
+        self.landmarks, self.white = tuple(kernel.landmarks), v[:, keep] / np.sqrt(e[keep])
         x, y = self.inputs(best), np.where(toxic, 1.0, -1.0)
         weight = np.where(toxic, 0.5 / toxic.sum(), 0.5 / (~toxic).sum()) * len(y)
         self.w = np.zeros(x.shape[1])
@@ -207,9 +214,9 @@ def word_counts(sample: DataFrame) -> DataFrame:
     return map_batches(sample.select("text", "toxic"), make, "word string, pos long, neg long").groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
-def _best(rows: DataFrame, kernel, keep: str) -> DataFrame:
+def _best(rows: DataFrame, landmarks: tuple[str, ...], keep: str) -> DataFrame:
     def make():
-        state = Words(kernel.value)
+        state = words_of(landmarks)
 
         def step(batch: pa.RecordBatch):
             for at in range(0, batch.num_rows, 512):
@@ -223,7 +230,6 @@ def _best(rows: DataFrame, kernel, keep: str) -> DataFrame:
 
 
 def fit(documents: DataFrame, labels: DataFrame, modulus: int = HELD_OUT_MODULUS, held_out_at: int = HELD_OUT_AT) -> Machine | None:
-    spark = documents.sparkSession
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (remainder("doc_id", modulus) != held_out_at))
     marks = marks.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("toxic").cast("int").alias("toxic"), F.max("toxic").alias("high")).where("toxic = high and toxic in (0, 1)").drop("high")
     drawn = [marks.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS) for c in (0, 1)]
@@ -238,7 +244,7 @@ def fit(documents: DataFrame, labels: DataFrame, modulus: int = HELD_OUT_MODULUS
     if not landmarks:
         return None
     kernel = Kernel(landmarks)
-    rows = _best(sample, spark.sparkContext.broadcast(kernel), "toxic").collect()  # at most 2 * FIT_ROWS
+    rows = _best(sample, tuple(landmarks), "toxic").collect()  # at most 2 * FIT_ROWS
     best = np.frombuffer(b"".join(bytes(r["best"]) for r in rows), np.float32).reshape(len(rows), -1)
     return Machine(kernel, best.astype(float), np.array([r["toxic"] == 1 for r in rows]))
 
@@ -249,7 +255,7 @@ def scores(documents: DataFrame, labels: DataFrame, modulus: int = HELD_OUT_MODU
 
     def make():
         model = machine.value
-        state = Words(model.kernel) if model else None
+        state = words_of(model.landmarks) if model else None
 
         def step(batch: pa.RecordBatch):
             for at in range(0, batch.num_rows, 512):
