@@ -26,7 +26,7 @@ def test_quality_held_out_accuracy(spark):
 def test_toxicity_held_out_accuracy(spark):
     score, predicted, label = held_out_scores(spark, toxicity.op7_toxicity_string_kernel, "toxic")
     assert (predicted == (score >= 0.5)).all() and (predicted == label).mean() > 0.96
-    assert predicted[label == 0].mean() < 0.02 and predicted[label == 1].mean() > 0.75
+    assert predicted[label == 0].mean() < 0.02 and predicted[label == 1].mean() > 0.85
 
 
 def test_prior_of_a_known_mixture():
@@ -124,7 +124,7 @@ def test_kernel_matches_brute_force_and_tolerates_insertions():
         for j, b in enumerate(words):
             assert abs(got[i, j] - brute_kernel(a, b)) < 1e-4
     kernel = toxicity.Words(toxicity.Kernel(["idiot"]))
-    exact, inserted, gapped, dotted, leet, other = kernel.best(["you idiot", "you idxiot", "you i d i o t !", "i.d.i.o.t", "1d10t", "nice weather"])[:, 0]
+    exact, inserted, gapped, dotted, leet, other = kernel.values(["you idiot", "you idxiot", "you i d i o t !", "i.d.i.o.t", "1d10t", "nice weather"])[:, 0]
     assert exact > 0.999 and gapped > 0.999 and dotted > 0.999 and leet > 0.999 and inserted > 0.35 and other == 0
 
 

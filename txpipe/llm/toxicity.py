@@ -5,8 +5,10 @@ gaps allowed and each letter of the spanned stretch costing a factor ``DECAY``,
 normalised and raised to ``POWER``: an inserted, left-out or swapped character
 lowers it a little. Landmarks are words that mark toxic documents among the
 labelled ones, chosen to be unlike each other. A document's kernel value for a
-landmark is its best word's; the values are whitened with the landmarks' own
-kernel matrix (Nystroem), and a linear support vector machine with squared
+landmark is its best word's, and beside it stands the logarithm of the sum over
+its different words, by the number of those (one insult in a long text shows in
+the first, a habit of odd words in the second); both are whitened with the
+landmarks' own kernel matrix (Nystroem), and a linear support vector machine with squared
 hinge loss is fitted on labelled rows; its margin becomes a probability by a
 logistic fit.
 
@@ -44,6 +46,10 @@ P = 3
 DECAY = 0.6
 POWER = 2
 LEAST = 0.2
+CLOSE = 0.4  # words count in the sums from this value on
+PER_WORDS = 100
+PLAIN_WORDS = 150
+SURE = 27  # toxic documents that a landmark must mark, and no other, to be an example by itself
 LANDMARKS = 96
 CANDIDATES = 600
 FIT_ROWS = 6_000  # of each class
@@ -129,8 +135,9 @@ class Words:
         self.kernel, self.known = kernel, {}
         self.rows = [np.zeros(len(kernel.landmarks), np.float32)]
 
-    def best(self, texts: list[str]) -> np.ndarray:
-        """Best kernel value of each text's words with each landmark."""
+    def values(self, texts: list[str]) -> np.ndarray:
+        """Each text's best word's kernel value with each landmark, then its
+        words' sums (by number of words, as logarithms)."""
         if len(self.known) > KNOWN_WORDS:
             self.known, self.rows = {}, self.rows[:1]
         own = [set(words(t)) if t else () for t in texts]
@@ -143,11 +150,13 @@ class Words:
             for i in near:
                 self.known[part[i]] = len(self.rows)
                 self.rows.append(values[i])
-        get = self.known.__getitem__
-        out = np.zeros((len(texts), len(self.rows[0])), np.float32)
+        get, n = self.known.__getitem__, len(self.rows[0])
+        out = np.zeros((len(texts), 2 * n), np.float32)
         for i, ws in enumerate(own):
             if at := [k for k in map(get, ws) if k]:
-                out[i] = np.max([self.rows[k] for k in at], axis=0)
+                found = np.array([self.rows[k] for k in at])
+                out[i, :n] = found.max(axis=0)
+                out[i, n:] = np.log1p(PER_WORDS * (found * (found >= CLOSE)).sum(axis=0) / len(ws))
         return out
 
 
@@ -160,13 +169,21 @@ def words_of(landmarks: tuple[str, ...]) -> Words:
 class Machine:
     """Whitening, linear machine and calibration."""
 
-    def __init__(self, kernel: Kernel, best: np.ndarray, toxic: np.ndarray):
+    def __init__(self, kernel: Kernel, values: np.ndarray, toxic: np.ndarray, sure: list[int] = ()):
+        """``sure``: landmarks that mark toxic texts only; each by itself, in
+        a text of otherwise plain words, is one more toxic example, so that
+        one insult is enough."""
         k = kernel.values(kernel.landmarks).astype(float)
         e, v = np.linalg.eigh((k + k.T) / 2)
         keep = e > 1e-6 * e.max()
-        self.landmarks, self.white = tuple(kernel.landmarks), v[:, keep] / np.sqrt(e[keep])
-        x, y = self.inputs(best), np.where(toxic, 1.0, -1.0)
-        weight = np.where(toxic, 0.5 / toxic.sum(), 0.5 / (~toxic).sum()) * len(y)
+        white = v[:, keep] / np.sqrt(e[keep])
+        self.landmarks, self.white = tuple(kernel.landmarks), np.kron(np.eye(2), white)
+        alone = k[list(sure)]
+        alone = np.concatenate([alone, np.log1p(PER_WORDS * alone * (alone >= CLOSE) / PLAIN_WORDS)], axis=1)
+        found, toxic = toxic, np.concatenate([toxic, np.ones(len(alone), bool)])
+        x, y = self.inputs(np.concatenate([values, alone])), np.where(toxic, 1.0, -1.0)
+        weight = np.where(toxic, 0.5 / found.sum(), 0.5 / (~found).sum()) * len(found)
+        weight[len(found) :] = 0.5 * len(found) / max(1, len(alone))
         self.w = np.zeros(x.shape[1])
         for _ in range(50):  # Newton steps on squared hinge
             active = y * (x @ self.w) < 1
@@ -178,20 +195,21 @@ class Machine:
             self.w = new
             if done:
                 break
-        m, self.a, self.b = x @ self.w, 1.0, 0.0
-        target = np.where(toxic, (toxic.sum() + 1) / (toxic.sum() + 2), 1 / ((~toxic).sum() + 2))
+        m = (x @ self.w)[: len(found)]
+        target = np.where(found, (found.sum() + 1) / (found.sum() + 2), 1 / ((~found).sum() + 2))
         z = np.stack([m, np.ones_like(m)], axis=1)
         ab = np.array([2.0, 0.0])
         for _ in range(50):  # Platt's logistic fit of margins
             p = 1 / (1 + np.exp(-np.clip(z @ ab, -30, 30)))
             ab = ab - np.linalg.solve((z * (p * (1 - p) + 1e-9)[:, None]).T @ z + 1e-6 * np.eye(2), z.T @ (p - target) + 1e-6 * ab)
-        self.a, self.b = ab
+        self.a = max(1.0, float(ab[0]))
 
-    def inputs(self, best: np.ndarray) -> np.ndarray:
-        return np.concatenate([best @ self.white, np.ones((len(best), 1))], axis=1)
+    def inputs(self, values: np.ndarray) -> np.ndarray:
+        return np.concatenate([values @ self.white, np.ones((len(values), 1))], axis=1)
 
-    def score(self, best: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.a * (self.inputs(best) @ self.w) + self.b, -30, 30)))
+    def score(self, values: np.ndarray) -> np.ndarray:
+        """Toxic from the margin's sign on; the logistic fit gives the slope."""
+        return 1 / (1 + np.exp(-np.clip(self.a * (self.inputs(values) @ self.w), -30, 30)))
 
 
 def _texts(documents: DataFrame) -> DataFrame:
@@ -221,7 +239,7 @@ def _best(rows: DataFrame, landmarks: tuple[str, ...], keep: str) -> DataFrame:
         def step(batch: pa.RecordBatch):
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                best = state.best([t or "" for t in part.column(0).to_pylist()])
+                best = state.values([t or "" for t in part.column(0).to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column(1), pa.array([b.tobytes() for b in best], pa.binary())], [keep, "best"])
 
         return step
@@ -239,14 +257,15 @@ def fit(documents: DataFrame, labels: DataFrame, modulus: int = HELD_OUT_MODULUS
         return None
     odds = F.log((F.col("pos") + 0.5) / (totals[1] + 1)) - F.log((F.col("neg") + 0.5) / (totals[0] + 1))
     seen = word_counts(sample).where(F.col("pos") >= 2)
-    top = seen.select("word", (F.sqrt("pos") * odds).alias("mark")).where(odds > 1.5).orderBy(F.desc("mark"), "word").limit(CANDIDATES).collect()
+    top = seen.select("word", "pos", "neg", (F.sqrt("pos") * odds).alias("mark")).where(odds > 1.5).orderBy(F.desc("mark"), "word").limit(CANDIDATES).collect()
     landmarks = choose([r["word"] for r in top])
     if not landmarks:
         return None
     kernel = Kernel(landmarks)
     rows = _best(sample, tuple(landmarks), "toxic").collect()  # at most 2 * FIT_ROWS
     best = np.frombuffer(b"".join(bytes(r["best"]) for r in rows), np.float32).reshape(len(rows), -1)
-    return Machine(kernel, best.astype(float), np.array([r["toxic"] == 1 for r in rows]))
+    alone = {r["word"] for r in top if r["pos"] >= SURE and not r["neg"]}
+    return Machine(kernel, best.astype(float), np.array([r["toxic"] == 1 for r in rows]), [i for i, w in enumerate(landmarks) if w in alone])
 
 
 def scores(documents: DataFrame, labels: DataFrame, modulus: int = HELD_OUT_MODULUS, held_out_at: int = HELD_OUT_AT) -> DataFrame:
@@ -260,7 +279,7 @@ def scores(documents: DataFrame, labels: DataFrame, modulus: int = HELD_OUT_MODU
         def step(batch: pa.RecordBatch):
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                value = model.score(state.best([t or "" for t in part.column(1).to_pylist()])) if model else np.zeros(part.num_rows)
+                value = model.score(state.values([t or "" for t in part.column(1).to_pylist()])) if model else np.zeros(part.num_rows)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(value, pa.float64())], ["doc_id", "score"])
 
         return step
