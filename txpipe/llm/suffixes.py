@@ -377,7 +377,8 @@ def _packed(docs: DataFrame) -> DataFrame:
 def covered(docs: DataFrame, span: int = SPAN, window: int = WINDOW, hot: int = HOT, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """``id_key, row_key, cover``: byte stretches (start, stop) of repeated strings."""
     every = stored(anchors(docs, span, window), "anchors")
-    cores = every.groupBy("kh").agg(F.count("*").alias("n")).where("n > 1").select("kh")
+    # Stored, so that the join's sides are plain exchanges, and a hot core can be split.
+    cores = stored(every.groupBy("kh").agg(F.count("*").alias("n")).where("n > 1").select("kh"), "cores")
     places = stored(every.join(cores, "kh", "left_semi"), "places")
     kinds = places.groupBy("kh", "ch").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("id_key", "row_key", "q", "lo", "hi")])
     kinds = stored(kinds, "items")
