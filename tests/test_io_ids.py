@@ -1,5 +1,3 @@
-from datetime import datetime
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

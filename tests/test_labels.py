@@ -3,7 +3,6 @@ from datetime import datetime, timedelta
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from helpers import plan_text, tx_rows
 from txpipe.operators import labels as L

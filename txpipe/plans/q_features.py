@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from txpipe import schema as S
 from txpipe.operators import features as FT

@@ -19,17 +19,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txpipe import schema as S
-from txpipe.sources.messages import bad_messages, checked_messages, good_messages, message_source, parse_messages
+from txpipe.sources.messages import bad_messages, checked_messages, good_messages, message_source
 
 _CARRIED_LABEL = "_label_carried"
 
 
-def parsed_stream(spark: SparkSession, source_fmt: str = "text", path: str | None = None, options: dict | None = None):
-    """``(good, dead_letter)`` streaming DataFrames."""
-    msgs = message_source(spark, source_fmt, path, options, streaming=True)
-    return parse_messages(msgs, required=("TRANSACTION_ID", "TX_DATETIME", *S.FEATURES))
-
-
 def score_rows(good: DataFrame, model: PipelineModel | Callable[[DataFrame], DataFrame]) -> DataFrame:
     """R2: apply a fitted pipeline (or any DataFrame -> DataFrame scorer)."""
     carried = good.withColumnRenamed("TX_FRAUD", _CARRIED_LABEL) if "TX_FRAUD" in good.columns else good
