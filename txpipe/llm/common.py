@@ -23,7 +23,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
     Only a local session without the setting gets a temporary folder."""
     base = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if not (spark.sparkContext.master + "[").startswith("local["):
             raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="txpipe-llm-")
         spark.conf.set(CHECKPOINT_KEY, base)
