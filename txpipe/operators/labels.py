@@ -8,6 +8,8 @@ amount multiplied by 5 once per day that picks it. Later scenarios win.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -89,10 +91,10 @@ def label_frauds(
     and customer. Four small writes come before the caller's own action;
     nothing stays cached.
     """
-    if comp_terminals is None:
-        comp_terminals = compromises(tx, "TERMINAL_ID", S.SCENARIO2_PER_DAY)
-    if comp_customers is None:
-        comp_customers = compromises(tx, "CUSTOMER_ID", S.SCENARIO3_PER_DAY)
+    with ThreadPoolExecutor(2) as pool:  # two small independent jobs at once
+        terminals = pool.submit(lambda: compromises(tx, "TERMINAL_ID", S.SCENARIO2_PER_DAY) if comp_terminals is None else comp_terminals)
+        customers = pool.submit(lambda: compromises(tx, "CUSTOMER_ID", S.SCENARIO3_PER_DAY) if comp_customers is None else comp_customers)
+        comp_terminals, comp_customers = terminals.result(), customers.result()
     cand = customer_candidates(tx, comp_customers)
     cut = share_cutoffs(cand, "start_day", "TRANSACTION_ID", S.SCENARIO3_SHARE_DIVISOR)
     cust_side = (
