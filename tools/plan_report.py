@@ -90,7 +90,7 @@ def main():
     print(f"Final adaptive plans of the headline queries at `{sf_dir}` (`local[8]`, 8 shuffle partitions),")
     print("after execution. Generated by `tools/plan_report.py`; small side tables that are")
     print("materialised before the main job (per-day picks, cutoffs, hot-customer list)")
-    print("appear as in-memory or checkpointed scans feeding broadcasts.\n")
+    print("appear as scans of stored Parquet tables feeding broadcasts.\n")
     for key in KEYS:
         df = qs[key](spark, sf_dir)
         df.collect()
