@@ -87,3 +87,17 @@ def test_equal_strings_have_anchors_at_equal_distance():
         found = {p: d for a, l, h in zip(q, lo, hi) for d in range(l, h + 1) for p in [a - d]}
         at.append([found[begin + k] for k in range(200)])
     assert all(x == at[0] for x in at)
+
+
+def test_repeated_rows_share_one_cover(docs):
+    rng = random.Random(4)
+    page = "".join(rng.choice("abcdefghij ") for _ in range(400))
+    df = docs([page], edges=False)
+    for _ in range(5):
+        df = df.unionByName(df)  # 32 rows of one doc_id
+    keyed = suffixes.with_row_keys(df, "doc_id", "text")
+    cover = suffixes.covered(keyed, 40, 24).collect()
+    assert len(cover) == 1
+    assert len(cover[0]["cover"]) == len({tuple(c) for c in cover[0]["cover"]}) <= len(page)
+    rows = [(r["doc_id"], r["text"]) for r in df.collect()]
+    assert sorted(map(tuple, suffixes.deduplicate(df, 40, 24).collect()), key=str) == brute(rows, 40)

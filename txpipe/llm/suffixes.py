@@ -374,6 +374,11 @@ def _packed(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select("id_key", "row_key", "doc_id", "text"), make, "id_key long, row_key long, doc_id long, z binary")
 
 
+def _one_each(packed: DataFrame) -> DataFrame:
+    """One text of the rows that share both keys; repeats go before the exchange."""
+    return packed.groupBy("id_key", "row_key").agg(F.first("z").alias("z"))
+
+
 def covered(docs: DataFrame, span: int = SPAN, window: int = WINDOW, hot: int = HOT, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """``id_key, row_key, cover``: byte stretches (start, stop) of repeated strings."""
     every = stored(anchors(docs, span, window), "anchors")
@@ -390,9 +395,11 @@ def covered(docs: DataFrame, span: int = SPAN, window: int = WINDOW, hot: int =
     drawn = places.where("sample is not null").groupBy("kh", "ch").agg(F.first("sample").alias("sample")).orderBy(F.xxhash64("kh", "ch")).limit(SAMPLES).collect()
     sample = sorted(bytes(r["sample"]) for r in drawn)
     splitters = sorted({sample[len(sample) * i // ranges] for i in range(1, ranges)}) if sample else []
-    texts = _packed(docs).select("id_key", "row_key", "z").join(chosen, ["id_key", "row_key"])
-    again = merged(item_runs(texts, splitters, span, window), span)
-    cover = places.join(again, ["kh", "ch"]).select("id_key", "row_key", (F.col("q") - F.col("to_d")).alias("start"), (F.col("q") - F.col("from_d") + span).alias("stop"))
+    texts = _one_each(_packed(docs)).join(chosen, ["id_key", "row_key"])
+    again = merged(item_runs(texts, splitters, span, window), span).distinct()
+    # Repeated rows have equal places and share one cover.
+    spots = places.select("id_key", "row_key", "kh", "ch", "q").distinct()
+    cover = spots.join(again, ["kh", "ch"]).select("id_key", "row_key", (F.col("q") - F.col("to_d")).alias("start"), (F.col("q") - F.col("from_d") + span).alias("stop"))
     return cover.groupBy("id_key", "row_key").agg(F.collect_list(F.struct("start", "stop")).alias("cover"))
 
 
