@@ -101,3 +101,27 @@ def test_repeated_rows_share_one_cover(docs):
     assert len(cover[0]["cover"]) == len({tuple(c) for c in cover[0]["cover"]}) <= len(page)
     rows = [(r["doc_id"], r["text"]) for r in df.collect()]
     assert sorted(map(tuple, suffixes.deduplicate(df, 40, 24).collect()), key=str) == brute(rows, 40)
+
+
+def test_a_core_never_fills_a_range_of_the_merge(docs, monkeypatch):
+    import numpy as np
+    import zstandard
+
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    passage = word(250)
+    df = docs([word(110) + passage + word(110) for _ in range(30)]).repartition(3)
+    kept, most = suffixes.item_runs, []
+
+    def watched(*args):
+        runs, counts = kept(*args), Counter()
+        for r in runs.select("meta").collect():
+            counts.update(np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(r["meta"])), suffixes._META)["kh"].tolist())
+        most.append(max(counts.values(), default=0))
+        return runs
+
+    monkeypatch.setattr(suffixes, "item_runs", watched)
+    rows = [(r["doc_id"], r["text"]) for r in df.collect()]
+    got = suffixes.deduplicate(df, 100, 64, 5, 3000).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows, 100)
+    assert max(most) <= 5

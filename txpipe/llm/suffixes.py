@@ -28,10 +28,14 @@ of their own; a NULL doc_id stays NULL; an empty table gives no rows; extra
 columns are ignored.
 
 Scale: hashes and places are shuffled for all anchors, bytes only for one
-representative of each item, texts (compressed) twice by row. A core with over
-``HOT`` different items is cut by d into ``STEP``-wide items, which need longer
-shared stretches and so spread over more ranges. Equal items are counted with
-partial aggregates. Ranges come from a bounded sample of suffixes.
+representative of each item, texts (compressed) twice by row. Equal items are
+counted with partial aggregates. Items of a core with over ``HOT`` different ones
+are not merged, as they could fill one range: they are cut by d into
+``STEP``-wide pieces, equal pieces (by hash) are counted, and where a piece that
+occurs once shares its suffix with others, its single strings are counted by
+hash; their texts are shuffled twice more. So a range of the merge holds about
+``RANGE_BYTES`` and at most ``HOT`` items of any core; the sample of suffixes that
+ranges come from grows with their number (``SAMPLES_A_RANGE``).
 """
 
 from __future__ import annotations
@@ -58,7 +62,7 @@ CHUNK = 1 << 20  # bytes of text looked at together
 RUN_BYTES = 24 << 20  # bytes of items that a task sorts together
 BLOB_BYTES = 512 << 10
 RANGE_BYTES = 16 << 20
-SAMPLE_ONE_IN, SAMPLES = 1024, 4096
+SAMPLE_ONE_IN, SAMPLES, SAMPLES_A_RANGE = 1024, 4096, 16
 
 _M = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
 _META = np.dtype([("kh", "<i8"), ("ch", "<i8"), ("lcp", "<u2"), ("tail", "<u2"), ("lo", "<u2"), ("hi", "<u2"), ("shift", "<u2"), ("many", "<u2")])
@@ -185,12 +189,12 @@ def front_code(items: list[tuple]) -> tuple[bytes, bytes, bytes]:
     return meta.tobytes(), b"".join(tails), b"".join(x[1] for x in items)
 
 
-def _runs(items: list[tuple], splitters: list[bytes], reach) -> Iterator[tuple[int, list[tuple]]]:
+def _runs(items: list[tuple], splitters: list[bytes], reach: int) -> Iterator[tuple[int, list[tuple]]]:
     """Sorted items by range, in blobs of bounded size."""
     items.sort()
     at, size, here = 0, 0, None
     for i, item in enumerate(items):
-        own = bisect_right(splitters, item[0][: reach(item)])
+        own = bisect_right(splitters, item[0][:reach])
         if i > at and (own != here or size > BLOB_BYTES):
             yield here, items[at:i]
             at, size = i, 0
@@ -199,11 +203,11 @@ def _runs(items: list[tuple], splitters: list[bytes], reach) -> Iterator[tuple[i
         yield here, items[at:]
 
 
-def item_runs(found: DataFrame, splitters: list[bytes], span: int = SPAN, window: int = WINDOW, step_width: int = STEP) -> DataFrame:
+def item_runs(found: DataFrame, splitters: list[bytes], span: int = SPAN, window: int = WINDOW) -> DataFrame:
     """Front-coded sorted runs of the representatives' suffixes:
     ``range, run, seq, meta, tails, lefts``."""
     shared = found.sparkSession.sparkContext.broadcast(splitters)
-    core, fine = span - window + 1, span - step_width + 1
+    core = span - window + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -214,8 +218,8 @@ def item_runs(found: DataFrame, splitters: list[bytes], span: int = SPAN, window
         name, turn, held, items = os.urandom(8).hex(), 0, 0, []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for k, (own, part) in enumerate(_runs(items, shared.value, lambda item: fine if item[8] else core)):
-                coded = [pack.compress(x) for x in front_code([x[:8] for x in part])]
+            for k, (own, part) in enumerate(_runs(items, shared.value, core)):
+                coded = [pack.compress(x) for x in front_code(part)]
                 yield pa.RecordBatch.from_arrays([pa.array([own], pa.int32()), pa.array([f"{name}-{turn}"]), pa.array([k], pa.int32()), *[pa.array([x], pa.binary()) for x in coded]], ["range", "run", "seq", "meta", "tails", "lefts"])
 
         for batch in batches:
@@ -223,11 +227,8 @@ def item_runs(found: DataFrame, splitters: list[bytes], span: int = SPAN, window
                 text = unpack.decompress(packed)
                 for r in places:
                     q, lo, hi = r["q"], r["lo"], r["hi"]
-                    for shift in range(lo // step_width * step_width, hi + 1, step_width) if r["hot"] else (0,):
-                        a, b = max(lo - shift, 0), min(hi - shift, step_width - 1) if r["hot"] else hi
-                        x = q - shift
-                        items.append((text[x : x + span - a], text[x - b : x], a, b, shift, r["many"], r["kh"], r["ch"], r["hot"]))
-                        held += span + b - a + 100
+                    items.append((text[q : q + span - lo], text[q - hi : q], lo, hi, 0, r["many"], r["kh"], r["ch"]))
+                    held += span + hi - lo + 100
                 if held > RUN_BYTES:
                     yield from flush()
                     turn, held, items = turn + 1, 0, []
@@ -355,6 +356,81 @@ def merged(runs: DataFrame, span: int = SPAN) -> DataFrame:
     return runs.groupBy("range").applyInPandas(merge, "kh long, ch long, from_d int, to_d int")
 
 
+# -- crowded cores -----------------------------------------------------------
+
+
+def _from_texts(found: DataFrame, emit, schema: str) -> DataFrame:
+    """Rows (tuples) that ``emit(text, place, signed digest)`` yields for each of
+    ``places`` in a compressed text; ``id_key, row_key`` come first."""
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def make():
+        import xxhash
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor()
+
+        def digest(raw: bytes, seed: int = 0) -> int:
+            x = xxhash.xxh3_64_intdigest(raw, seed)
+            return x - (1 << 64) if x >> 63 else x
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names)
+
+        def step(batch: pa.RecordBatch):
+            rows = []
+            for a, b, packed, places in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                text = unpack.decompress(packed)
+                for r in places:
+                    rows += [(a, b, *row) for row in emit(text, r, digest)]
+                    if len(rows) > 50_000:
+                        yield batch_of(rows)
+                        rows = []
+            if rows:
+                yield batch_of(rows)
+
+        return step
+
+    return map_batches(found.select("id_key", "row_key", "z", "places"), make, schema)
+
+
+def crowded_ranges(docs: DataFrame, kinds: DataFrame, span: int = SPAN, step_width: int = STEP) -> DataFrame:
+    """``kh, ch, from_d, to_d`` as ``merged`` gives them, by counting hashes."""
+    fine = span - step_width + 1
+
+    def cut(text, r, digest):
+        q, lo, hi = r["q"], r["lo"], r["hi"]
+        for shift in range(lo // step_width * step_width, hi + 1, step_width):
+            a, b, x = max(lo - shift, 0), min(hi - shift, step_width - 1), q - shift
+            yield r["kh"], r["ch"], x, shift, a, b, r["n"], digest(text[x - b : x + span - a], b), digest(text[x : x + fine], shift)
+
+    def strings(text, r, digest):
+        for d in range(r["lo"], r["hi"] + 1):
+            p = r["x"] - d
+            yield r["kh"], r["ph"], r["shift"] + d, r["n"], digest(text[p : p + span])
+
+    def at_rows(rows: DataFrame, *columns: str) -> DataFrame:
+        return _one_each(_packed(docs)).join(rows.groupBy("id_key", "row_key").agg(F.collect_list(F.struct(*columns)).alias("places")), ["id_key", "row_key"])
+
+    longs = "id_key long, row_key long, kh long, "
+    cuts = _from_texts(at_rows(kinds, "q", "lo", "hi", "n", "kh", "ch"), cut, longs + "ch long, x long, shift long, lo long, hi long, n long, ph long, sh long")
+    pieces = stored(cuts, "pieces")
+    one = F.first(F.struct("id_key", "row_key", "x", "shift", "lo", "hi", "sh")).alias("at")
+    single = stored(pieces.groupBy("kh", "ph").agg(F.sum("n").alias("n"), one).select("kh", "ph", "n", "at.*"), "piece-kinds")
+    # Equal strings lie in pieces of equal suffix; the counted pieces are there to meet.
+    mixed = single.groupBy("kh", "sh").agg(F.count("*").alias("m"), F.min("n").alias("least")).where("m > 1 and least = 1").select("kh", "sh")
+    open_ = single.join(mixed, ["kh", "sh"], "left_semi")
+    rows = _from_texts(at_rows(open_, "kh", "ph", "x", "shift", "lo", "hi", "n"), strings, longs + "ph long, d long, n long, h long")
+    each = stored(rows, "strings")
+    twice = each.groupBy("kh", "h").agg(F.sum("n").alias("total")).where("total > 1").select("kh", "h")
+    hits = each.where("n = 1").join(twice, ["kh", "h"], "left_semi").groupBy("kh", "ph").agg(F.collect_set("d").alias("ds"))
+    edges = lambda by: F.sort_array(F.filter("ds", lambda d: ~F.array_contains(F.col("ds"), d + by)))
+    parts = hits.select("kh", "ph", F.explode(F.arrays_zip(edges(-1).alias("a"), edges(1).alias("b"))).alias("r")).select("kh", "ph", F.col("r.a").alias("from_d"), F.col("r.b").alias("to_d"))
+    whole = single.where("n > 1").select("kh", "ph", (F.col("shift") + F.col("lo")).alias("from_d"), (F.col("shift") + F.col("hi")).alias("to_d"))
+    found = pieces.select("kh", "ph", "ch").join(parts.unionByName(whole), ["kh", "ph"])
+    return found.select("kh", "ch", F.col("from_d").cast("int"), F.col("to_d").cast("int"))
+
+
 # -- the whole -------------------------------------------------------------
 
 
@@ -387,16 +463,21 @@ def covered(docs: DataFrame, span: int = SPAN, window: int = WINDOW, hot: int =
     places = stored(every.join(cores, "kh", "left_semi"), "places")
     kinds = places.groupBy("kh", "ch").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("id_key", "row_key", "q", "lo", "hi")])
     kinds = stored(kinds, "items")
-    crowded = kinds.groupBy("kh").agg(F.count("*").alias("k")).where(F.col("k") > hot).select("kh", F.lit(True).alias("crowded"))
-    place = F.struct("q", "lo", "hi", (F.col("n") > 1).cast("int").alias("many"), "kh", "ch", F.coalesce("crowded", F.lit(False)).alias("hot"))
-    chosen = kinds.join(crowded, "kh", "left").groupBy("id_key", "row_key").agg(F.collect_list(place).alias("places"))
-    total = kinds.agg(F.sum(F.col("hi") - F.col("lo") + span).alias("n")).first()["n"] or 0
+    crowded = stored(kinds.groupBy("kh").agg(F.count("*").alias("k")).where(F.col("k") > hot).select("kh"), "crowded")
+    few = kinds.join(crowded, "kh", "left_anti")
+    place = F.struct("q", "lo", "hi", (F.col("n") > 1).cast("int").alias("many"), "kh", "ch")
+    chosen = few.groupBy("id_key", "row_key").agg(F.collect_list(place).alias("places"))
+    total = few.agg(F.sum(F.col("hi") - F.col("lo") + span).alias("n")).first()["n"] or 0
     ranges = max(1, total // range_bytes)
-    drawn = places.where("sample is not null").groupBy("kh", "ch").agg(F.first("sample").alias("sample")).orderBy(F.xxhash64("kh", "ch")).limit(SAMPLES).collect()
+    drawn = places.where("sample is not null").join(crowded, "kh", "left_anti").groupBy("kh", "ch").agg(F.first(F.substring("sample", 1, span - window + 1)).alias("sample"))
+    drawn = drawn.orderBy(F.xxhash64("kh", "ch")).limit(max(SAMPLES, SAMPLES_A_RANGE * ranges)).collect()
     sample = sorted(bytes(r["sample"]) for r in drawn)
     splitters = sorted({sample[len(sample) * i // ranges] for i in range(1, ranges)}) if sample else []
     texts = _one_each(_packed(docs)).join(chosen, ["id_key", "row_key"])
-    again = merged(item_runs(texts, splitters, span, window), span).distinct()
+    again = merged(item_runs(texts, splitters, span, window), span)
+    if crowded.head(1):
+        again = again.unionByName(crowded_ranges(docs, kinds.join(crowded, "kh", "left_semi"), span))
+    again = again.distinct()
     # Repeated rows have equal places and share one cover.
     spots = places.select("id_key", "row_key", "kh", "ch", "q").distinct()
     cover = spots.join(again, ["kh", "ch"]).select("id_key", "row_key", (F.col("q") - F.col("to_d")).alias("start"), (F.col("q") - F.col("from_d") + span).alias("stop"))
