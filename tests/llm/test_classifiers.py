@@ -134,3 +134,21 @@ def test_toxic_words_found_in_toy_texts(small):
     got = {r["doc_id"]: r["predicted"] for r in toxicity.scores(df, labels).collect()}
     bad = ["dumbhead", "blockface", "fuzzbrain"]
     assert np.mean([got[i] == any(b in t for b in bad) for i, t in rows]) > 0.97
+
+
+def test_insults_anywhere_in_long_words_and_beside_punctuation():
+    kernel = toxicity.Words(toxicity.Kernel(["idiot", "scumbag"]))
+    rng = random.Random(3)
+    plain = "".join(rng.choice("bcfghjklnpqrvwxz") for _ in range(150))
+    texts = [plain + "idiot" + plain, " ".join(plain + "idiot" + plain), "listen...idiot", "a/idiot,scumbag", "漢" * 200 + "idiot" + "字" * 90, plain]
+    got = kernel.values(texts)
+    assert (got[:5, 0] > toxicity.CLOSE).all() and got[3, 1] > 0.999 and got[2, 0] > 0.999
+    assert got[5].max() < toxicity.LEAST and (got[:5, 2] > 0).all()
+
+
+def test_stretches_of_a_giant_word_come_in_bounded_sets(monkeypatch):
+    monkeypatch.setattr(toxicity, "TOGETHER", 50)
+    rng = random.Random(4)
+    word = "".join(rng.choice("abcdefgh") for _ in range(700))
+    sets = list(toxicity.word_sets(word))
+    assert max(map(len, sets)) <= 200 and set().union(*sets) == {word[i : i + n] for n in toxicity.STRETCHES for i in range(len(word) - n + 1)}

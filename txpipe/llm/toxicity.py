@@ -12,9 +12,12 @@ landmarks' own kernel matrix (Nystroem), and a linear support vector machine wit
 hinge loss is fitted on labelled rows; its margin becomes a probability by a
 logistic fit.
 
-Words: lower case, accents folded, punctuation inside dropped ("i.d.i.o.t"),
-digits read as the letters they resemble, runs of single letters ("i d i o t")
-also read as one word. Words whose best kernel value is below ``LEAST`` count
+Words: lower case, accents folded, punctuation inside dropped ("i.d.i.o.t") and
+also read as a break ("listen...idiot"), digits read as the letters they
+resemble, runs of single letters ("i d i o t") also read as one word. Of words
+of more than ``LONG`` letters every stretch of ``STRETCHES`` letters counts as a
+word, too (longer stretches have too many other letters for a kernel value
+above ``LEAST``); beyond ``WHOLE`` letters only those count. Words whose best kernel value is below ``LEAST`` count
 as unlike every landmark.
 
 Edge cases: NULL and empty texts have no words and get the score of a text
@@ -33,6 +36,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -54,6 +58,8 @@ LANDMARKS = 96
 CANDIDATES = 600
 FIT_ROWS = 6_000  # of each class
 KNOWN_WORDS = 600_000
+LONG, WHOLE, STRETCHES = 20, 64, (6, 9)
+TOGETHER = 1 << 16  # words looked up together
 HELD_OUT_MODULUS, HELD_OUT_AT = 5, 0
 
 _STEPS = [(a, b) for a in (1, 2, 3) for b in (1, 2, 3) if a + b <= 4]
@@ -61,16 +67,36 @@ _LETTERS = 28  # a-z, other letters, edge of a word
 _LOOKS = {ord(d): c for d, c in zip("0134578", "oieastb", strict=True)}
 _DROP = {c: None for c in range(33, 127) if not chr(c).isalnum()}
 _TABLE = _DROP | _LOOKS
+_BREAK = dict.fromkeys(_DROP, " ") | _LOOKS
 _SINGLES = re.compile(r"(?: \S){3,}(?= |$)")
 
 
 def words(text: str) -> list[str]:
-    text = " ".join(text.lower().translate(_TABLE).split())
+    lower = text.lower()
+    text = " ".join(lower.translate(_TABLE).split())
     out = text.split(" ")
     out += [m.replace(" ", "") for m in _SINGLES.findall(" " + text)]
+    out += [w for w in lower.translate(_BREAK).split() if len(w) > 2]
     return out
 
 
+def word_sets(text: str) -> Iterator[set[str]]:
+    """The different words of a text, then stretches of its long ones (in sets of
+    bounded size; letters that the kernel does not tell apart are made equal)."""
+    every = set(words(text))
+    out = {w for w in every if len(w) <= WHOLE}
+    for w in every:
+        if len(w) > LONG:
+            same = "".join(chr(c + 97) if c < 26 else "~" for c in _fold(w)[1:-1])
+            for at in range(0, len(same), TOGETHER):
+                out.update(same[i : i + n] for n in STRETCHES for i in range(at, min(at + TOGETHER, max(1, len(same) - n + 1))))
+                if len(out) > TOGETHER:
+                    yield out
+                    out = set()
+    if out:
+        yield out
+
+
 def _fold(word: str) -> list[int]:
     plain = word if word.isascii() else unicodedata.normalize("NFD", word)
     return [27, *(ord(c) - 97 if "a" <= c <= "z" else 26 for c in plain if not unicodedata.combining(c)), 27]
@@ -78,7 +104,7 @@ def _fold(word: str) -> list[int]:
 
 def subsequences(ws: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word number, subsequence code, weight), each pair once."""
-    letters = [_fold(w[:64]) for w in ws]  # a longer word than that is no word; its first part stands for it
+    letters = [_fold(w) for w in ws]
     flat = np.array([c for ls in letters for c in ls], np.int64)
     owner = np.repeat(np.arange(len(ws)), [len(ls) for ls in letters])
     keys, weights = [], []
@@ -138,10 +164,33 @@ class Words:
     def values(self, texts: list[str]) -> np.ndarray:
         """Each text's best word's kernel value with each landmark, then its
         words' sums (by number of words, as logarithms)."""
+        n = len(self.rows[0])
+        best, sums, count = np.zeros((len(texts), n), np.float32), np.zeros((len(texts), n), np.float32), np.zeros((len(texts), 1), np.float32)
+        held, size = [], 0
+
+        def look_up() -> None:
+            self._learn({w for _, ws in held for w in ws})
+            for i, ws in held:
+                count[i] += len(ws)
+                if at := [k for k in map(self.known.__getitem__, ws) if k]:
+                    found = np.array([self.rows[k] for k in at])
+                    best[i] = np.maximum(best[i], found.max(axis=0))
+                    sums[i] += (found * (found >= CLOSE)).sum(axis=0)
+
+        for i, t in enumerate(texts):
+            for ws in word_sets(t) if t else ():
+                held.append((i, ws))
+                size += len(ws)
+                if size > 4 * TOGETHER:
+                    look_up()
+                    held, size = [], 0
+        look_up()
+        return np.concatenate([best, np.log1p(PER_WORDS * sums / np.maximum(count, 1))], axis=1)
+
+    def _learn(self, ws: set[str]) -> None:
         if len(self.known) > KNOWN_WORDS:
             self.known, self.rows = {}, self.rows[:1]
-        own = [set(words(t)) if t else () for t in texts]
-        new = list({w for ws in own for w in ws}.difference(self.known))
+        new = list(ws.difference(self.known))
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
             values = self.kernel.values(part)
@@ -150,14 +199,6 @@ class Words:
             for i in near:
                 self.known[part[i]] = len(self.rows)
                 self.rows.append(values[i])
-        get, n = self.known.__getitem__, len(self.rows[0])
-        out = np.zeros((len(texts), 2 * n), np.float32)
-        for i, ws in enumerate(own):
-            if at := [k for k in map(get, ws) if k]:
-                found = np.array([self.rows[k] for k in at])
-                out[i, :n] = found.max(axis=0)
-                out[i, n:] = np.log1p(PER_WORDS * (found * (found >= CLOSE)).sum(axis=0) / len(ws))
-        return out
 
 
 @lru_cache(maxsize=1)
