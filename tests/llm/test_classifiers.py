@@ -136,6 +136,14 @@ def test_toxic_words_found_in_toy_texts(small):
     assert np.mean([got[i] == any(b in t for b in bad) for i, t in rows]) > 0.97
 
 
+def test_fully_labelled_table_keeps_good_rows(spark, docs):
+    rows, _ = toy()
+    df = docs([t for _, t in rows], edges=False)
+    labels = spark.createDataFrame([(i, int("###" not in t)) for i, t in rows], "doc_id long, quality int")
+    got = {r["doc_id"]: r["predicted"] for r in quality.scores(df, labels).collect()}
+    assert np.mean([got[i] == int("###" not in t) for i, t in rows]) > 0.9
+
+
 def test_insults_anywhere_in_long_words_and_beside_punctuation():
     kernel = toxicity.Words(toxicity.Kernel(["idiot", "scumbag"]))
     rng = random.Random(3)

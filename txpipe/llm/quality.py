@@ -16,7 +16,8 @@ neighbouring classes, word and line repetition, word length, size.
 
 Edge cases: NULL and empty texts have zero features and get a score like any
 other; a doc_id with conflicting labels is no trusted positive; repeated rows
-get equal scores; without unlabelled rows the labelled ones stand in; without
+get equal scores; with fewer than
+``FEW`` unlabelled rows all learning rows, good and bad, stand in for them; without
 trusted positives every score is 0.5; an empty table gives no rows; extra
 columns are ignored.
 
@@ -36,6 +37,7 @@ from txpipe.llm.common import map_batches, remainder, stored, table, text_bytes
 
 POSITIVES = 6_000
 UNLABELLED = 12_000
+FEW = 30
 HIDDEN = 16
 BINS = 256
 HELD_OUT_MODULUS, HELD_OUT_AT = 3, 1
@@ -181,16 +183,16 @@ def fit(rows: DataFrame, labels: DataFrame, modulus: int, held_out_at: int) -> N
     learn = stored(learn, "quality-marks")
     positive = _drawn(rows, learn.where("kind = 'p'").select("doc_id"), POSITIVES, 1)
     unlabelled = _drawn(rows, learn.where("kind = 'u'").select("doc_id"), UNLABELLED, 2)
-    kinds = {"p": "p", "u": "u"}
-    if not len(unlabelled):
-        unlabelled, kinds = _drawn(rows, learn.select("doc_id"), UNLABELLED, 2), {"p": "p", "n": "u"}
+    kinds = "u"
+    if len(unlabelled) < FEW:
+        unlabelled, kinds = _drawn(rows, learn.select("doc_id"), UNLABELLED, 2), "upn"
     if not len(positive) or not len(unlabelled):
         return None
     first = _scored(rows, fit_discriminator(positive, unlabelled), "s").join(learn, "doc_id")
     bins = F.least(F.floor(F.col("s") * BINS), F.lit(BINS - 1)).cast("int")
     counts = {(r["kind"], r["b"]): r["count"] for r in first.groupBy("kind", bins.alias("b")).count().collect()}
-    histogram = lambda side: np.array([sum(counts.get((k, b), 0) for k, s in kinds.items() if s == side) for b in range(BINS)], float)
-    return fit_nonnegative(positive, unlabelled, estimate_prior(histogram("p"), histogram("u")))
+    histogram = lambda side: np.array([sum(counts.get((k, b), 0) for k in side) for b in range(BINS)], float)
+    return fit_nonnegative(positive, unlabelled, estimate_prior(histogram("p"), histogram(kinds)))
 
 
 def scores(documents: DataFrame, labels: DataFrame, modulus: int = HELD_OUT_MODULUS, held_out_at: int = HELD_OUT_AT) -> DataFrame:
