@@ -45,3 +45,24 @@ def test_fewer_candidates_and_empty_table(spark):
     assert topk.top_k(v, v.where("vec_id % 50 = 0")).count() == 1
     none = topk.vectors(table([], spark))
     assert topk.top_k(none, none).count() == 0
+
+
+def test_a_repeated_id_is_split_over_shards(spark, monkeypatch):
+    rng = random.Random(12)
+    data = [(i, [rng.randint(-9, 9) for _ in range(4)]) for i in range(20)]
+    data += [(7, [i % 40 - 20, i // 40, 1, 2]) for i in range(300)] + [(8, [9, 9, 9, 9])] * 200
+    df = spark.createDataFrame(data, "vec_id long, x array<bigint>").repartition(3)
+    queries = df.where("vec_id in (3, 11)")
+    kept = topk.search
+
+    def watched(shard, own, k, block):
+        assert len(shard) < 200
+        return kept(shard, own, k, block)
+
+    monkeypatch.setattr(topk, "search", watched)
+    got = sorted(map(tuple, topk.top_k(df, queries, k=4, shard=50, block=8).collect()))
+    want = []
+    for q, x in ((i, x) for i, x in data[:20] if i in (3, 11)):
+        best = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in data if i != q)[:4]
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    assert got == sorted(want)

@@ -90,7 +90,9 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = K, shard: int = SHARD, b
     """``query_id, rank, vec_id, score`` over ``vec_id, x`` tables."""
     n, nq = rows.count(), queries.count()
     shards, blocks = max(1, math.ceil(n / shard)), max(1, math.ceil(nq / query_block))
-    ranged = rows.repartitionByRange(shards, "vec_id").withColumn("shard", F.spark_partition_id())
+    # Equal rows tie, so that k of them are enough for any query; other rows of one id split by their content.
+    few = rows.groupBy("vec_id", "x").agg(F.count("*").alias("n")).withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k))))).select("vec_id", "x")
+    ranged = few.repartitionByRange(shards, "vec_id", F.xxhash64("x")).withColumn("shard", F.spark_partition_id())
     left = ranged.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     keyed = queries.dropDuplicates(["vec_id", "x"]).withColumn("query_key", F.xxhash64("x"))
     right = keyed.withColumn("qb", F.pmod(F.xxhash64("vec_id", "query_key"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
