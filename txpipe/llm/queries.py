@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txpipe.llm import attention_lm, decontam, packing, quality, secrets, simhash, suffixes, topk, toxicity, warc
+from txpipe.llm import attention_lm, decontam, packing, quality, secrets, simhash, suffixes, topk, toxicity, warc, whitening
 
 _QUERIES: list[tuple[Callable[[SparkSession, str], DataFrame], str | None]] = [
     (secrets.op1_secret_scan, secrets.ORACLE_SQL),
@@ -19,6 +19,7 @@ _QUERIES: list[tuple[Callable[[SparkSession, str], DataFrame], str | None]] = [
     (attention_lm.op8_attention_lm_scoring, None),
     (simhash.op9_simhash_vantage_points, None),
     (topk.op10_block_at_a_time_topk, topk.ORACLE_SQL),
+    (whitening.op13_spectrum_slicing_whitening, None),
 ]
 
 
