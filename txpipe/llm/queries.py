@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txpipe.llm import attention_lm, decontam, packing, quality, secrets, simhash, suffixes, topk, toxicity, warc, whitening, winnowing
+from txpipe.llm import attention_lm, collocations, decontam, packing, quality, secrets, simhash, suffixes, topk, toxicity, warc, whitening, winnowing
 
 _QUERIES: list[tuple[Callable[[SparkSession, str], DataFrame], str | None]] = [
     (secrets.op1_secret_scan, secrets.ORACLE_SQL),
@@ -20,6 +20,7 @@ _QUERIES: list[tuple[Callable[[SparkSession, str], DataFrame], str | None]] = [
     (simhash.op9_simhash_vantage_points, None),
     (topk.op10_block_at_a_time_topk, topk.ORACLE_SQL),
     (winnowing.op11_winnowing_fingerprints, winnowing.ORACLE_SQL),
+    (collocations.op12_quotient_filter_collocations, collocations.ORACLE_SQL),
     (whitening.op13_spectrum_slicing_whitening, None),
 ]
 
