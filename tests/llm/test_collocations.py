@@ -73,13 +73,13 @@ def test_filters_lose_nothing(n, bits):
     rng = np.random.default_rng(n * 100 + bits)
     ids = rng.integers(0, min(1 << bits, 60), (3_000, n)).astype(np.uint64)
     ids[:5] = (1 << bits) - 1
-    assert (Q.restored(Q.permuted(ids, bits), n, bits) == ids).all()
+    assert (Q.restored(Q.permuted(list(ids.T), bits), n, bits) == ids).all()
     want = Counter(map(tuple, ids.tolist()))
     for skip in (0, 1, 6):
         total = n * bits
         if skip > total:
             continue
-        halves = [Q.counted(Q.permuted(h, bits), np.full(len(h), 400)) for h in np.array_split(ids, 2)]
+        halves = [Q.counted(Q.permuted(list(h.T), bits), np.full(len(h), 400)) for h in np.array_split(ids, 2)]
         shards = defaultdict(list)
         for keys, counts in halves:
             for shard, body in Q.sharded(keys, counts, total, skip):
@@ -95,5 +95,5 @@ def test_filters_lose_nothing(n, bits):
 def test_an_entry_takes_little_more_than_its_remainder():
     rng = np.random.default_rng(9)
     ids = rng.integers(0, 1 << 13, (100_000, 4)).astype(np.uint64)
-    keys, counts = Q.counted(Q.permuted(ids, 13))
+    keys, counts = Q.counted(Q.permuted(list(ids.T), 13))
     assert len(Q.encoded(keys, counts, 52, 0)) < 5.6 * len(counts)  # 52 bits less 17 of the quotient, and three for runs and counts

@@ -1,6 +1,6 @@
 """Phrase collocations, counted in counting quotient filters.
 
-Texts are read once: blocks of some 16 MB become numbers into the block's own
+Texts are read once: blocks of some 8 MB become numbers into the block's own
 list of words. Words of ``LEAST`` or more occurrences in their language get
 dense ids, joined back to the blocks; no phrase with a rarer word can be a
 candidate. A block's word n-grams go into quotient filters (``quotient.py``),
@@ -39,7 +39,7 @@ TOP = 2_000
 SHARE = 80  # per cent of a phrase's occurrences that a longer one must reach to swallow it
 LONGEST = 4
 SCALE = 2_000_000
-BLOCK = 16 << 20  # bytes of text
+BLOCK = 8 << 20  # bytes of text
 FAN = 4_096
 ID_ROWS = 1 << 16  # words numbered by one task
 RANK_ROWS = 1 << 20
@@ -61,17 +61,16 @@ def blocks(documents: DataFrame, block: int = BLOCK) -> DataFrame:
         size, width, pieces = 0, 0, []
 
         def flush() -> pa.RecordBatch:
-            ids = np.concatenate([np.array(p, np.uint32) for p in pieces])
+            ids = np.concatenate(pieces)
             n = np.bincount(ids, minlength=width + 1)
-            words = [None] * width
+            words, of = [b""] * width, [""] * width
             for lang, known in langs.items():
                 for word, i in known.items():
-                    words[i - 1] = {"lang": lang, "word": word.decode(), "n": int(n[i])}
+                    words[i - 1], of[i - 1] = word, lang
             body = ids.astype(np.uint16 if width < 1 << 16 else np.uint32).tobytes()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([part << 32 | made], pa.int64()), pa.array([body], pa.binary()), pa.array([words], pa.list_(pa.struct([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])))],
-                ["block", "ids", "words"],
-            )
+            rows = pa.StructArray.from_arrays([pa.array(of, pa.string()), pa.array(words, pa.binary()).cast(pa.string()), pa.array(n[1:], pa.int64())], ["lang", "word", "n"])
+            lists = pa.ListArray.from_arrays(pa.array([0, width], pa.int32()), rows)
+            return pa.RecordBatch.from_arrays([pa.array([part << 32 | made], pa.int64()), pa.array([body], pa.binary()), lists], ["block", "ids", "words"])
 
         for batch in batches:
             for raw, lang in zip(text_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True):
@@ -85,7 +84,7 @@ def blocks(documents: DataFrame, block: int = BLOCK) -> DataFrame:
                             width = i
                         ids.append(i)
                     ids.append(0)
-                pieces.append(ids if len(ids) < 1 << 12 else np.array(ids, np.uint32))
+                pieces.append(np.array(ids, np.uint32))
                 size += len(raw)
                 if size >= block:
                     yield flush()
@@ -119,7 +118,7 @@ def grams(ids: np.ndarray, n: int, bits: int) -> Q.Keys:
     for j in range(n):
         good &= ids[j : j + m] >= 0
     at = np.flatnonzero(good)
-    return Q.permuted(np.stack([ids[at + j] for j in range(n)], axis=1).astype(np.uint64), bits)
+    return Q.permuted([ids[at + j].view(np.uint64) for j in range(n)], bits)
 
 
 def filters(blocked: DataFrame, vocab: DataFrame, bits: int, split: int) -> DataFrame:

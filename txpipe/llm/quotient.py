@@ -41,20 +41,20 @@ def _mixed(a: np.ndarray, seed: int) -> np.ndarray:
     return a ^ (a >> _U(29))
 
 
-def permuted(ids: np.ndarray, bits: int) -> Keys:
-    """Keys of the rows of ``ids`` (uint64, two to four columns)."""
-    n = ids.shape[1]
-    halves = [np.zeros(len(ids), _U), np.zeros(len(ids), _U)]
+def permuted(ids: list[np.ndarray], bits: int) -> Keys:
+    """Keys of tuples, given as columns (uint64, two to four of them)."""
+    n = len(ids)
+    halves = [np.zeros(len(ids[0]), _U), np.zeros(len(ids[0]), _U)]
     widths = [(n + 1) // 2 * bits, n // 2 * bits]
     for j in range(n):
         h = j >= (n + 1) // 2
-        halves[h] = _left(halves[h], bits) | ids[:, j]
+        halves[h] = _left(halves[h], bits) | ids[j]
     for i, seed in enumerate(_ROUNDS):
         halves[i % 2] = halves[i % 2] ^ (_mixed(halves[1 - i % 2], seed) & _mask(widths[i % 2]))
     (a, b), (wa, wb) = halves, widths
     spare = 64 - wa
     if wb <= spare:
-        return _left(a, spare) | _left(b, spare - wb), np.zeros(len(ids), _U)
+        return _left(a, spare) | _left(b, spare - wb), np.zeros(len(a), _U)
     return (_left(a, spare) if spare else a) | _right(b, wb - spare), _left(b, 64 - (wb - spare))
 
 
