@@ -47,7 +47,7 @@ def comparable_to_baseline(spark, sf_dir: str) -> dict:
     base = work_path(spark, "bench-stream")
     write_inputs(feats, f"{base}/in")
     t0 = time.perf_counter()
-    q = SC.start_scoring(spark, model, f"{base}/sink", f"{base}/ckpt", f"{base}/dead", "text", f"{base}/in", {"maxFilesPerTrigger": "1"})
+    q = SC.start_scoring(spark, model, f"{base}/sink", f"{base}/ckpt", "text", f"{base}/in", {"maxFilesPerTrigger": "1"})
     SC.await_all([q], 1800)
     stream_s = time.perf_counter() - t0
     t0 = time.perf_counter()

@@ -38,14 +38,14 @@ def test_stream_scoring_with_bad_rows_and_restart(spark):
     base = work_path(spark, "t-stream")
     inp = base + "/in"
     _write(inp, "a.txt", [_msg(i, f"2024-01-01 10:{i:02d}:00", amount=150.0, fraud=1) for i in range(5)] + ["garbage"])
-    args = dict(dead_letter_path=base + "/dead", source_path=inp, source_options={"maxFilesPerTrigger": "1"})
+    args = dict(source_path=inp, source_options={"maxFilesPerTrigger": "1"})
     SC.await_all([SC.start_scoring(spark, SC.rule_scorer(100.0), base + "/sink", base + "/ckpt", **args)], 300)
     SC.await_all([SC.start_scoring(spark, SC.rule_scorer(100.0), base + "/sink", base + "/ckpt", **args)], 300)
     _write(inp, "b.txt", [_msg(i, f"2024-01-01 12:{i:02d}:00", fraud=0) for i in range(5, 9)])
     SC.await_all([SC.start_scoring(spark, SC.rule_scorer(100.0), base + "/sink", base + "/ckpt", **args)], 300)
-    out = spark.read.parquet(base + "/sink")
+    out = SC.scored_rows(spark, base + "/sink")
     assert out.count() == 9 and out.select("TRANSACTION_ID").distinct().count() == 9
-    assert spark.read.parquet(base + "/dead").count() == 1
+    assert SC.dead_letters(spark, base + "/sink").count() == 1
     assert out.where("prediction = 1.0").count() == 5
 
 
@@ -55,6 +55,8 @@ def test_late_rows_behind_watermark_are_dropped(spark):
     rows = [(1, "2024-01-01 10:00:00", 1, 0, 0.0), (2, "2024-01-01 13:30:00", 1, 1, 1.0)]
     late = [(3, "2024-01-01 10:10:00", 1, 1, 1.0), (4, "2024-01-01 13:40:00", 1, 0, 0.0)]
     schema = "TRANSACTION_ID long, TX_DATETIME string, CUSTOMER_ID long, TX_FRAUD long, prediction double"
+    rows, late = [(*r, True) for r in rows], [(*r, True) for r in late]
+    schema += ", ok boolean"
     spark.createDataFrame(rows, schema).withColumn("TX_DATETIME", F.col("TX_DATETIME").cast("timestamp")).coalesce(1).write.parquet(sink)
     agg = H.hourly_aggregate(H.scored_source(spark, sink, 1), watermark="10 minutes")
     SC.await_all([H.start_upsert_log(agg, base + "/log", base + "/ckpt")], 300)
@@ -74,7 +76,7 @@ def test_progress_log_keeps_every_batch(spark):
     log = H.ProgressLog(spark, base + "/progress")
     spark.streams.addListener(log)
     try:
-        q = SC.start_scoring(spark, SC.rule_scorer(100.0), base + "/sink", base + "/ckpt", base + "/dead", "text", inp, {"maxFilesPerTrigger": "1"})
+        q = SC.start_scoring(spark, SC.rule_scorer(100.0), base + "/sink", base + "/ckpt", "text", inp, {"maxFilesPerTrigger": "1"})
         SC.await_all([q], 300)
         time.sleep(3)  # listeners are told a little later
     finally:
@@ -95,25 +97,53 @@ def test_values_of_the_wrong_type_go_to_the_dead_letter(spark):
 
 def test_a_stream_that_has_not_ended_raises(spark):
     base = work_path(spark, "t-timeout")
-    _write(base + "/in", "a.txt", [_msg(1, "2024-01-02 10:00:00")])
-
-    def slow(df):
-        time.sleep(6)
-        return SC.rule_scorer(100.0)(df)
-
-    q = SC.start_scoring(spark, slow, base + "/sink", base + "/ckpt", base + "/dead", "text", base + "/in")
+    for k in range(30):
+        _write(base + "/in", f"{k}.txt", [_msg(k, "2024-01-02 10:00:00")])
+    q = SC.start_scoring(spark, SC.rule_scorer(100.0), base + "/sink", base + "/ckpt", "text", base + "/in", {"maxFilesPerTrigger": "1"})
     with pytest.raises(TimeoutError):
-        SC.await_all([q], 1)
+        SC.await_all([q], 0.5)
     assert not q.isActive
 
 
-def test_rerun_batch_overwrites_its_own_rows(spark):
+def test_rerun_batch_adds_nothing(spark):
     base = work_path(spark, "t-rerun")
     _write(base + "/in", "a.txt", [_msg(i, "2024-01-02 10:00:00") for i in range(5)] + ["bad"])
     for ckpt in ("/ckpt1", "/ckpt2"):  # a lost checkpoint runs batch 0 again
-        q = SC.start_scoring(spark, SC.rule_scorer(100.0), base + "/sink", base + ckpt, base + "/dead", "text", base + "/in")
+        q = SC.start_scoring(spark, SC.rule_scorer(100.0), base + "/sink", base + ckpt, "text", base + "/in")
+        SC.await_all([q], 300)
+    assert SC.scored_rows(spark, base + "/sink").count() == 5 and SC.dead_letters(spark, base + "/sink").count() == 1
+
+
+def test_a_batch_lost_between_write_and_commit_counts_once(spark):
+    """The state a crash leaves after a batch's files are written: no entry in the
+    checkpoint's commit log. Both streams run again; sink and hours stay."""
+    base = work_path(spark, "t-replay")
+    for k in range(3):
+        _write(base + "/in", f"{k}.txt", [_msg(10 * k + i, f"2024-01-02 1{k}:{i:02d}:00", amount=150.0, fraud=1) for i in range(4)] + ["bad"])
+
+    def both():
+        q = SC.start_scoring(spark, SC.rule_scorer(100.0), base + "/sink", base + "/ckpt", "text", base + "/in", {"maxFilesPerTrigger": "1"})
         SC.await_all([q], 300)
-    assert spark.read.parquet(base + "/sink").count() == 5 and spark.read.parquet(base + "/dead").count() == 1
+        agg = H.hourly_aggregate(H.scored_source(spark, base + "/sink", 1))
+        SC.await_all([H.start_upsert_log(agg, base + "/log", base + "/agg")], 300)
+        return sorted(H.latest_state(spark, base + "/log").collect())
+
+    def drop_last_commit(ckpt):
+        folder = (base + ckpt + "/commits").removeprefix("file:")
+        last = max((n for n in os.listdir(folder) if n.isdigit()), key=int)
+        for name in (last, f".{last}.crc"):
+            os.remove(os.path.join(folder, name))
+
+    want = both()
+    assert [r["nx_fraud_transactions"] for r in want] == [4, 4, 4]
+    drop_last_commit("/ckpt")
+    assert both() == want
+    drop_last_commit("/ckpt")
+    drop_last_commit("/agg")
+    _write(base + "/in", "3.txt", [_msg(40, "2024-01-02 12:30:00", amount=150.0, fraud=1)])
+    got = both()
+    assert [r["nx_fraud_transactions"] for r in got] == [4, 4, 5]
+    assert SC.scored_rows(spark, base + "/sink").count() == 13 and SC.dead_letters(spark, base + "/sink").count() == 3
 
 
 def test_compacted_log_gives_the_same_state(spark):
@@ -158,9 +188,9 @@ def test_unseen_or_null_label_does_not_stop_scoring(spark):
     null_label = json.loads(_msg(3, "2024-01-03 12:00:00"))
     null_label["TX_FRAUD"] = None
     _write(inp, "a.txt", lines + [json.dumps(null_label)])
-    q = SC.start_scoring(spark, model, base + "/sink", base + "/ckpt", base + "/dead", "text", inp, {"maxFilesPerTrigger": "1"})
+    q = SC.start_scoring(spark, model, base + "/sink", base + "/ckpt", "text", inp, {"maxFilesPerTrigger": "1"})
     SC.await_all([q], 300)
-    out = {r["TRANSACTION_ID"]: r for r in spark.read.parquet(base + "/sink").collect()}
+    out = {r["TRANSACTION_ID"]: r for r in SC.scored_rows(spark, base + "/sink").collect()}
     assert sorted(out) == [1, 2, 3]
     assert out[1]["TX_FRAUD"] == 7 and out[3]["TX_FRAUD"] is None  # label carried through unchanged
     assert all(out[i]["prediction"] in (0.0, 1.0) for i in out)

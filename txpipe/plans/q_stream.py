@@ -48,7 +48,7 @@ def write_inputs(feats, path: str, since: str | None = None, until: str | None =
 
 
 def _run_scoring(spark, scorer, in_path, sink, ckpt):
-    SC.await_all([SC.start_scoring(spark, scorer, sink, ckpt, f"{sink}-dead", "text", in_path, FILE_SOURCE)])
+    SC.await_all([SC.start_scoring(spark, scorer, sink, ckpt, "text", in_path, FILE_SOURCE)])
 
 
 @query("r1_stream_parse_flatten", FEAT_SQL)
@@ -57,7 +57,7 @@ def r1(spark, sf):
     base = work_path(spark, "r1")
     write_inputs(_features(spark, sf), f"{base}/in")
     _run_scoring(spark, lambda df: df, f"{base}/in", f"{base}/sink", f"{base}/ckpt")
-    return spark.read.parquet(f"{base}/sink").select(*S.FEATURE_TABLE)
+    return SC.scored_rows(spark, f"{base}/sink").select(*S.FEATURE_TABLE)
 
 
 @query("r3_restart_exactly_once", FEAT_SQL)
@@ -72,7 +72,7 @@ def r3(spark, sf):
         _run_scoring(spark, lambda df: df, f"{base}/in", f"{base}/sink", f"{base}/ckpt")
     write_inputs(feats, f"{base}/in", since=cut, mode="append")
     _run_scoring(spark, lambda df: df, f"{base}/in", f"{base}/sink", f"{base}/ckpt")
-    return spark.read.parquet(f"{base}/sink").select(*S.FEATURE_TABLE)
+    return SC.scored_rows(spark, f"{base}/sink").select(*S.FEATURE_TABLE)
 
 
 R2_SQL = (
@@ -93,7 +93,7 @@ def r2(spark, sf):
     M.save(model, f"{base}/model")
     write_inputs(feats, f"{base}/in")
     _run_scoring(spark, M.load(f"{base}/model"), f"{base}/in", f"{base}/sink", f"{base}/ckpt")
-    out = spark.read.parquet(f"{base}/sink")
+    out = SC.scored_rows(spark, f"{base}/sink")
     batch = M.load(f"{base}/model").transform(feats).select("TRANSACTION_ID", F.col("prediction").alias("batch_prediction"))
     return out.join(batch, "TRANSACTION_ID", "left").select(
         "TRANSACTION_ID", "TX_FRAUD", F.col("prediction").isin(0.0, 1.0).alias("prediction_is_a_label"),

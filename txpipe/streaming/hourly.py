@@ -28,16 +28,18 @@ SCORED_SCHEMA = T.StructType(
         T.StructField("CUSTOMER_ID", T.LongType()),
         T.StructField("TX_FRAUD", T.LongType()),
         T.StructField("prediction", T.DoubleType()),
+        T.StructField("ok", T.BooleanType()),
     ]
 )
 
 
 def scored_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The scored Parquet folder as a stream, fixed schema."""
+    """The scored rows of the sink as a stream, fixed schema. Only files of
+    committed batches are read, each once."""
     r = spark.readStream.schema(SCORED_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(path)
+    return r.parquet(path).where("ok").drop("ok")
 
 
 def hourly_aggregate(scored: DataFrame, watermark: str | None = None, window: str = "1 hour", slide: str | None = None) -> DataFrame:

@@ -2,11 +2,13 @@
 
 source (Kafka or files) -> text (P6) -> ``from_json`` with the fixed
 schema (P7) -> flatten (P8) -> good rows scored by the model (R2) -> Parquet
-sink (S10, exactly once through the offset and commit logs and a folder a
-micro-batch: R3). Rows that do not parse, hold a value of the wrong type or lack
-a model input go to a dead-letter sink (Q9). The label is carried
-under another name while the model runs, so a missing, NULL or unseen label
-never stops scoring.
+sink (S10). Rows that do not parse, hold a value of the wrong type or lack a
+model input are dead letters (Q9). Both kinds go to one sink, parted by ``ok``,
+so a message is parsed once. The sink keeps a log of the files of each committed
+batch, and its readers, batch or stream, see only those: a batch that runs again
+after a crash changes nothing (R3), nor does a file that a lost task left. The
+label is carried under another name while the model runs, so a missing, NULL or
+unseen label never stops scoring.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txpipe import schema as S
-from txpipe.sources.messages import bad_messages, checked_messages, good_messages, message_source
+from txpipe.sources.messages import checked_messages, message_source
 
 _CARRIED_LABEL = "_label_carried"
 
@@ -41,12 +43,23 @@ def with_fraud_probability(scored: DataFrame) -> DataFrame:
     return scored.withColumn("probability_fraud", vector_to_array(F.col("probability"))[1])
 
 
+def scored_messages(messages: DataFrame, model) -> DataFrame:
+    """Good messages with what the model adds, dead letters with their ``raw``
+    text and the time they came; ``ok`` tells them apart. Model inputs of dead
+    letters are 0 while the model runs and NULL after it."""
+    checked = checked_messages(messages, required=("TRANSACTION_ID", "TX_DATETIME", *S.FEATURES))
+    fields, ok = [f for f in checked.schema["m"].dataType.fields if f.name != "index"], F.col("ok")
+    filled = [F.when(ok, F.col(f"m.{f.name}")).otherwise(F.lit(0).cast(f.dataType) if f.name in S.FEATURES else None).alias(f.name) for f in fields]
+    out = with_fraud_probability(score_rows(checked.select(*filled, "ok", "raw"), model))
+    rest = [F.when(ok, F.col(f"`{c}`")).alias(c) for c in out.columns if c not in ("ok", "raw")]
+    return out.select(*rest, F.when(~ok, F.col("raw")).alias("raw"), F.when(~ok, F.current_timestamp()).alias("received_at"), "ok")
+
+
 def start_scoring(
     spark: SparkSession,
     model,
     sink_path: str,
     checkpoint: str,
-    dead_letter_path: str,
     source_fmt: str = "text",
     source_path: str | None = None,
     source_options: dict | None = None,
@@ -54,30 +67,27 @@ def start_scoring(
     processing_time: str | None = None,
     query_name: str | None = None,
 ) -> StreamingQuery:
-    """Start the scoring query. Each micro-batch is parsed once; its good rows
-    are scored into ``sink_path`` and its bad ones go to ``dead_letter_path``
-    with the time they came, both under ``batch_id=<id>``. A batch that is run
-    again overwrites its own folders, so both sinks hold every row exactly once
-    and agree after any failure. ``available_now`` processes what is there and
-    stops (R8); otherwise a processing-time trigger runs continuously."""
+    """Start the scoring query into ``sink_path``; read it with
+    :func:`scored_rows` and :func:`dead_letters`, or as a stream. ``available_now``
+    processes what is there and stops (R8); otherwise a processing-time trigger
+    runs continuously."""
     messages = message_source(spark, source_fmt, source_path, source_options, streaming=True)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        checked = checked_messages(batch, required=("TRANSACTION_ID", "TX_DATETIME", *S.FEATURES)).persist()
-        try:
-            scored = with_fraud_probability(score_rows(good_messages(checked), model))
-            dead = bad_messages(checked).withColumn("received_at", F.current_timestamp())
-            for rows, path in ((scored, sink_path), (dead, dead_letter_path)):
-                out = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-                out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
-        finally:
-            checked.unpersist()
-
-    w = messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    w = scored_messages(messages, model).writeStream.format("parquet").outputMode("append").partitionBy("ok")
+    w = w.option("path", sink_path).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "5 seconds")
     return (w.queryName(query_name) if query_name else w).start()
 
 
+def scored_rows(spark: SparkSession, sink_path: str) -> DataFrame:
+    """The scored messages of all committed batches."""
+    return spark.read.parquet(sink_path).where(F.col("ok").cast("boolean")).drop("ok", "raw", "received_at")
+
+
+def dead_letters(spark: SparkSession, sink_path: str) -> DataFrame:
+    """Texts that could not be scored, and when they came."""
+    return spark.read.parquet(sink_path).where(~F.col("ok").cast("boolean")).select("raw", "received_at")
+
+
 def await_all(queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
     """Block until the queries end. With a limit, a query that has not
     ended by then is stopped and the call raises: its sink holds only a part."""
