@@ -161,6 +161,70 @@ def test_burst_with_a_stray_old_row_gets_short_blocks(spark):
     assert some.columns[-1] == S.ROLLING_NAMES[0] and some.count() == df.count()
 
 
+def test_middle_of_hot_customers_against_brute_force(spark):
+    """Buckets of every block length, with gaps; no Python, and small windows."""
+    import random
+
+    from txpipe.operators import hotkeys as H
+
+    rng = random.Random(4)
+    rows = []
+    for k, blk in enumerate(H.BLOCK_US):
+        a_day = H.DAY_US // blk
+        near = [rng.randrange(40 * a_day) for _ in range(20)]
+        for b in sorted({x + d for x in near for d in (0, 1, 2, a_day, 7 * a_day - 1, 7 * a_day, 30 * a_day - 1, 30 * a_day)} | {-3, -a_day}):
+            rows.append((k, blk, H.DAY_US, b, rng.randrange(1, 9), rng.choice([None, rng.random()])))
+    df = spark.createDataFrame(rows, "k int, _blk long, _day long, b long, c long, x double").withColumn("_span", H._span(F.col("_blk")))
+    out = H.between(df, ["k"], {"c": F.sum, "x": F.max})
+    plan = plan_text(out)
+    assert "Pandas" not in plan and "Arrow" not in plan and "Python" not in plan
+    got = {(r["k"], r["b"]): r for r in out.collect()}
+    assert len(got) == len(rows)
+    for k, blk, day, b, _, _ in rows:
+        for n in H.SPANS:
+            inside = [r for r in rows if r[0] == k and b - n * day // blk < r[3] < b]
+            assert got[k, b][f"c_{n}"] == sum(r[4] for r in inside)
+            assert got[k, b][f"x_{n}"] == max((r[5] for r in inside if r[5] is not None), default=None)
+    for blk in H.BLOCK_US:
+        span = H.SPAN_US.get(blk, H.DAY_US)
+        assert span % blk == 0 and H.DAY_US % span == 0 and max(span // blk, H.DAY_US // span) <= H.SPAN_BLOCKS
+
+
+def test_one_pair_with_most_rows_and_many_sparse_blocks(spark):
+    """A burst sets blocks of 100 ms; 200,000 sparse rows of the same pair
+    fill as many blocks. No window of the block tables takes more than a span."""
+    from txpipe.operators import hotkeys as H
+
+    burst = spark.range(3000).selectExpr("id", "timestamp_micros(1710072000000000 + id) ts", "1.0D amt")
+    sparse = spark.range(200_000).selectExpr("id + 10000 id", "timestamp_micros(1709000000000000 + id * 10000007) ts", "2.0D amt")
+    rest = spark.range(20_000).selectExpr("id + 1000000 id", "timestamp_micros(1709000000000000 + id * 50000000) ts", "3.0D amt")
+    pair = burst.union(sparse).selectExpr("id", "ts", "7L c", "1L t", "amt")
+    df = pair.union(rest.selectExpr("id", "ts", "id % 50 + 100 c", "id % 9 t", "amt")).selectExpr("id TRANSACTION_ID", "ts TX_DATETIME", "c CUSTOMER_ID", "t TERMINAL_ID", "amt TX_AMOUNT")
+    hot = H.find_hot_keys(df, min_rows=10_000, rows_per_block=10)
+    assert [tuple(r) for r in hot.collect()] == [(7, H.DAY_US // 864000)]
+    marked = H.mark_hot(df, hot).where("_blk is not null")
+    out = H.hot_rolling(marked, df.columns, S.ROLLING)
+    assert "Pandas" not in plan_text(out) and "Python" not in plan_text(out)
+    spans = marked.select(F.floor(F.unix_micros("TX_DATETIME") / H._span(F.col("_blk"))).alias("s"), F.floor(F.unix_micros("TX_DATETIME") / F.col("_blk")).alias("b")).distinct()
+    assert spans.groupBy("s").count().agg(F.max("count")).first()[0] <= H.SPAN_BLOCKS
+    names = [n for n in S.ROLLING_NAMES if "_1DAY" in n or "TERMINAL_ID_NB_TX_30" in n]
+    got = out.where("TRANSACTION_ID % 997 = 0").select("TRANSACTION_ID", *names).collect()
+    times = sorted((r[0], r[1]) for r in pair.selectExpr("unix_micros(ts)", "amt").collect())
+    only = [t for t, _ in times]
+    from bisect import bisect_left, bisect_right
+
+    at = {r[0]: r[1] for r in pair.where("id % 997 = 0").selectExpr("id", "unix_micros(ts)").collect()}
+    assert len(got) == len(at) > 200
+    for r in got:
+        t = at[r["TRANSACTION_ID"]]
+        day = times[bisect_left(only, t - H.DAY_US) : bisect_right(only, t)]
+        month = bisect_right(only, t) - bisect_left(only, t - 30 * H.DAY_US)
+        assert r["CUSTOMER_ID_NB_TX_1DAY_WINDOW"] == len(day) == r["CUSTOMER_ID_TERMINAL_ID_NB_TX_1DAY_WINDOW"]
+        assert r["CUSTOMER_ID_TERMINAL_ID_NB_TX_30DAY_WINDOW"] == month
+        assert r["CUSTOMER_ID_MAX_AMOUNT_1DAY_WINDOW"] == max(a for _, a in day)
+        assert abs(r["CUSTOMER_ID_AVG_AMOUNT_1DAY_WINDOW"] - sum(a for _, a in day) / len(day)) < 1e-12
+
+
 def test_small_amounts_keep_their_average_and_finer_ones_fail(spark):
     import pytest
 

@@ -17,11 +17,16 @@ with ``m = n days / block length``. Every row is emitted once for its own
 block and once, shifted by n days, into block ``b + m`` for each span n
 (four copies). After one exchange on (customer, block), running windows
 give the prefix (ascending order) and the three edge suffixes (descending
-order) in O(1) per row. The whole blocks in between come from a per-block
-table: prefix sums and a range maximum per customer over the blocks that have
-rows, joined back on (customer, block). Rows without a time see only each
-other; they take one aggregate. Amounts are summed as integers in units of
-the exact scale, the same sums the decimal form gives.
+order) in O(1) per row. The whole blocks in between are the same question one
+level up: the table of blocks (only those that have rows) is cut into coarser
+spans that divide a day, and these into days, and at each level a prefix, a
+suffix and whatever lies between come from running windows by (customer, span).
+At the top a customer has a row a day, and the window slides over 30 of them at
+most. So no window holds more than ``4 * SPAN_BLOCKS`` rows of these tables,
+however many blocks a customer has; the same holds for a customer's pairs with
+one terminal. Rows without a time see only each other; they take one aggregate.
+Amounts are summed as integers in units of the exact scale, the same sums the
+decimal form gives.
 """
 
 from __future__ import annotations
@@ -38,8 +43,10 @@ MINUTE_US = 60_000_000
 BLOCK_US = [DAY_US // q for q in (1, 2, 3, 4, 6, 8, 12, 24, 48, 96, 288, 1440, 2880, 8640, 86400, 864000, 8640000, 86400000)]
 SPANS = S.WINDOW_DAYS
 NULL_KEY = -(2**63)  # stands for no customer, or no terminal
-# Most (terminal, block) rows handed to one pandas call for the pair table.
-PAIR_GROUP_ROWS = 2_000_000
+# Blocks up to a 10 s length go straight into days; shorter ones into spans of
+# 5 min, 30 s or 10 s first.
+SPAN_US = {DAY_US // 86400: DAY_US // 288, DAY_US // 864000: DAY_US // 288, DAY_US // 8640000: DAY_US // 2880, DAY_US // 86400000: DAY_US // 8640}
+SPAN_BLOCKS = 10_000  # most blocks in a span, and most spans in a day
 UNIT = 10**S.AMOUNT_SCALE
 
 K, T, ID, AMT, TS = "CUSTOMER_ID", "TERMINAL_ID", "TRANSACTION_ID", "TX_AMOUNT", "TX_DATETIME"
@@ -50,11 +57,10 @@ def _key():
 
 
 def find_hot_keys(tx: DataFrame, min_rows: int = 20_000, rows_per_block: int = 1_000_000) -> DataFrame | None:
-    """``(_k, _blk, _psalt)`` of every customer with more than ``min_rows``
-    rows, or None if there is none: ``_blk`` is the block length in
-    microseconds and ``_psalt`` the number of groups the customer's terminals
-    are spread over for the pair table. At most rows / ``min_rows`` keys,
-    stored, so joins with it broadcast by its bytes or shuffle."""
+    """``(_k, _blk)`` of every customer with more than ``min_rows`` rows, or None
+    if there is none: ``_blk`` is the block length in microseconds. At most rows
+    / ``min_rows`` keys, stored, so joins with it broadcast by its bytes or
+    shuffle. Runs jobs: the answer decides the plan."""
     many = stored(tx.groupBy(_key().alias("_k")).agg(F.count("*").alias("n")).where(F.col("n") > F.lit(min_rows)), "hot-keys")
     if many.isEmpty():
         return None
@@ -65,108 +71,50 @@ def find_hot_keys(tx: DataFrame, min_rows: int = 20_000, rows_per_block: int = 1
     blk = F.lit(BLOCK_US[-1])
     for b in reversed(BLOCK_US[:-1]):
         blk = F.when(raw >= F.lit(b), F.lit(b)).otherwise(blk)
-    salts = F.ceil(F.col("n") / F.lit(PAIR_GROUP_ROWS)).cast("int")
-    return stored(densest.select("_k", blk.cast("bigint").alias("_blk"), salts.alias("_psalt")), "hot-blocks")
+    return stored(densest.select("_k", blk.cast("bigint").alias("_blk")), "hot-blocks")
 
 
 def mark_hot(tx: DataFrame, hot: DataFrame) -> DataFrame:
-    """``tx`` with ``_k``, ``_blk``, ``_psalt`` (NULL: not hot)."""
+    """``tx`` with ``_k``, ``_blk`` (NULL: not hot)."""
     return tx.withColumn("_k", _key()).join(hot, "_k", "left")
 
 
-def _middle_schema(prefix: str, with_amounts: bool) -> str:
-    cols = []
-    for n in SPANS:
-        cols.append(f"{prefix}cnt_{n} long")
-        if with_amounts:
-            cols += [f"{prefix}cnta_{n} long", f"{prefix}sum_{n} long", f"{prefix}max_{n} double"]
-    return ", ".join(cols)
-
-
-def _range_max(values, lo, hi):
-    """Maximum of values[lo:hi] for many ranges (NaN where empty): a table of
-    maxima over powers of two, two lookups a range."""
-    import numpy as np
-
-    out = np.full(len(lo), np.nan)
-    full = hi > lo
-    if not full.any():
-        return out
-    levels = [np.where(np.isnan(values), -np.inf, values)]
-    while 2 ** len(levels) <= int((hi - lo).max()):
-        half = 2 ** (len(levels) - 1)
-        levels.append(np.maximum(levels[-1][:-half], levels[-1][half:]))
-    level = np.floor(np.log2(np.where(full, hi - lo, 1))).astype(int)
-    for k, table in enumerate(levels):
-        at = np.flatnonzero(full & (level == k))
-        out[at] = np.maximum(table[lo[at]], table[hi[at] - 2**k])
-    return np.where(np.isneginf(out), np.nan, out)
-
-
-def _middle_fn(prefix: str):
-    """Per customer: aggregates over blocks b - m + 1 .. b - 1 for each block b
-    that has rows."""
-
-    def run(pdf):
-        import numpy as np
-        import pandas as pd
-
-        pdf = pdf.sort_values("b")
-        blk, b = int(pdf["_blk"].iloc[0]), pdf["b"].to_numpy("int64")
-        here = np.arange(len(b))
-        out = {"_k": pdf["_k"].to_numpy(), "b": b}
-        for n in SPANS:
-            m = n * DAY_US // blk
-            first = np.searchsorted(b, b - m, side="right")
-            for c, name in (("cnt_id", "cnt"), ("cnt_amt", "cnta"), ("units", "sum")):
-                values = pdf[c].fillna(0).tolist()  # Python integers: no overflow on the way
-                before = np.array([0, *np.cumsum(np.array(values, dtype=object))], dtype=object)
-                out[f"{prefix}{name}_{n}"] = (before[here] - before[first]).astype("int64")
-            out[f"{prefix}max_{n}"] = _range_max(pdf["mx"].to_numpy("float64"), first, here)
-        return pd.DataFrame(out)
-
-    return run
-
-
-def _pair_middle_fn(run_prefix: str):
-    """Per customer (all its terminals at once): count over blocks
-    b - m + 1 .. b - 1 of the same terminal, from per-terminal prefix sums
-    looked up with one vectorised ``searchsorted``."""
-
-    def run(pdf):
-        import numpy as np
-        import pandas as pd
-
-        pdf = pdf.sort_values(["_t", "b"], kind="mergesort")
-        blk = int(pdf["_blk"].iloc[0])
-        t = pdf["_t"].to_numpy()
-        b = pdf["b"].to_numpy().astype("int64")
-        c = pdf["cnt_id"].to_numpy().astype("int64")
-        codes = np.r_[0, np.cumsum(t[1:] != t[:-1])] if len(t) else np.zeros(0, "int64")
-        cum = np.cumsum(c)
-        starts = np.r_[0, np.flatnonzero(t[1:] != t[:-1]) + 1] if len(t) else np.zeros(0, "int64")
-        before = np.r_[0, cum][starts][codes]
-        in_seg = cum - before
-        max_m = max(n * DAY_US // blk for n in SPANS)
-        lo = int(b.min()) if len(b) else 0
-        width = int(b.max()) - lo + max_m + 2 if len(b) else 1
-        key = codes * width + (b - lo + max_m + 1)
-
-        def prefix_at(qb):
-            qk = codes * width + (qb - lo + max_m + 1)
-            idx = np.searchsorted(key, qk, side="right") - 1
-            ok = idx >= 0
-            idx0 = np.where(ok, idx, 0)
-            ok &= codes[idx0] == codes
-            return np.where(ok, in_seg[idx0], 0)
-
-        out = {"_k": pdf["_k"].to_numpy(), "_t": t, "b": b}
-        for n in SPANS:
-            m = n * DAY_US // blk
-            out[f"{run_prefix}cnt_{n}"] = (prefix_at(b - 1) - prefix_at(b - m)).astype("int64")
-        return pd.DataFrame(out)
-
-    return run
+def _span(blk):
+    """The coarser span of a block length."""
+    out = F.lit(DAY_US)
+    for short, span in SPAN_US.items():
+        out = F.when(blk == F.lit(short), F.lit(span)).otherwise(out)
+    return out.cast("bigint")
+
+
+def between(buckets: DataFrame, keys: list[str], measures: dict, lengths: tuple[str, ...] = ("_blk", "_span", "_day")) -> DataFrame:
+    """For each bucket ``b`` of the first length, and each span of n days, the
+    measures over buckets b - m + 1 .. b - 1 of the same keys (m = n days / length)
+    as ``<measure>_<n>``; NULL where there are none. ``measures`` maps names to
+    ``F.sum`` or ``F.max``; ``lengths`` are columns of microseconds, each a multiple
+    of the one before, the last a day."""
+    names = [f"{m}_{n}" for m in measures for n in SPANS]
+    if len(lengths) == 1:
+        days = lambda n: Window.partitionBy(*keys).orderBy("b").rangeBetween(-(n - 1), -1)
+        found = [(agg(m).over(days(n)) if n > 1 else agg(F.when(F.lit(False), F.col(m))).over(days(2))).alias(f"{m}_{n}") for m, agg in measures.items() for n in SPANS]
+        return buckets.select(*keys, "b", *found)
+    placed = buckets.withColumn("_per", F.expr(f"{lengths[1]} div {lengths[0]}")).withColumn("_pos", F.pmod("b", "_per"))
+    placed = placed.withColumn("_s", F.expr("(b - _pos) div _per"))
+    spans = placed.groupBy(*keys, *lengths[1:], F.col("_s").alias("b")).agg(*[agg(m).alias(m) for m, agg in measures.items()])
+    above = between(spans, keys, measures, lengths[1:]).select(*keys, F.col("b").alias("_s"), *[F.col(c).alias(f"_up_{c}") for c in names])
+    # A span's own buckets, and those of the span n days before, in its place.
+    rows = placed.withColumn("n", F.explode(F.array(F.lit(0), *map(F.lit, SPANS)))).withColumn("_s", F.expr(f"_s + n * {DAY_US} div {lengths[1]}"))
+    ahead = lambda order: Window.partitionBy(*keys, "_s").orderBy(order).rangeBetween(Window.unboundedPreceding, -1)
+    own = lambda m, agg: agg(F.when(F.col("n") == 0, F.col(m))).over(ahead(F.col("_pos")))
+    edge = lambda m, agg, n: agg(F.when(F.col("n") == n, F.col(m))).over(ahead(F.col("_pos").desc()))
+    rows = rows.withColumns({f"_own_{m}": own(m, agg) for m, agg in measures.items()} | {f"_edge_{m}_{n}": edge(m, agg, n) for m, agg in measures.items() for n in SPANS})
+    rows = rows.where(F.col("n") == 0).join(above, [*keys, "_s"], "left")
+
+    def whole(m, agg, n):
+        parts = [F.col(f"_own_{m}"), F.col(f"_up_{m}_{n}"), F.col(f"_edge_{m}_{n}")]
+        return F.greatest(*parts) if agg is F.max else sum((F.coalesce(p, F.lit(0)) for p in parts), F.lit(0).cast("bigint"))
+
+    return rows.select(*keys, "b", *[whole(m, agg, n).alias(f"{m}_{n}") for m, agg in measures.items() for n in SPANS])
 
 
 def _timeless(rows: DataFrame, base_cols: list[str], specs: list[S.RollingSpec]) -> DataFrame:
@@ -202,17 +150,15 @@ def hot_rolling(marked: DataFrame, base_cols: list[str], specs: list[S.RollingSp
         .withColumn("_c", (F.expr(_exact()) * F.lit(UNIT)).cast("bigint"))
     )
 
-    # Per-block tables and their between-block aggregates (pandas per key).
-    blocks = r.groupBy("_k", "_blk", F.col("_b").alias("b")).agg(
-        F.count(ID).alias("cnt_id"), F.count(AMT).alias("cnt_amt"), F.sum("_c").alias("units"), F.max(AMT).alias("mx")
+    # Per-block tables, by customer and by pair, and what lies between.
+    r = r.withColumns({"_span": _span(F.col("_blk")), "_day": F.lit(DAY_US).cast("bigint")})
+    lengths = ["_blk", "_span", "_day"]
+    blocks = r.groupBy("_k", *lengths, F.col("_b").alias("b")).agg(
+        F.count(ID).alias("mc_cnt"), F.count(AMT).alias("mc_cnta"), F.sum("_c").alias("mc_sum"), F.max(AMT).alias("mc_max")
     )
-    mid_c = blocks.groupBy("_k").applyInPandas(_middle_fn("mc_"), "_k long, b long, " + _middle_schema("mc_", True))
-    # A customer's terminals are hashed into ``_psalt`` groups, so no pandas
-    # call sees more than about PAIR_GROUP_ROWS rows; a terminal stays whole.
-    pblocks = r.groupBy("_k", "_t", "_blk", "_psalt", F.col("_b").alias("b")).agg(F.count(ID).alias("cnt_id"))
-    pblocks = pblocks.withColumn("_salt", F.pmod(F.xxhash64("_t"), F.col("_psalt")))
-    mid_p = pblocks.groupBy("_k", "_salt").applyInPandas(_pair_middle_fn("mp_"), "_k long, _t long, b long, " + _middle_schema("mp_", False))
-    mid_p = mid_p.withColumnRenamed("b", "pb")
+    mid_c = between(blocks, ["_k"], {"mc_cnt": F.sum, "mc_cnta": F.sum, "mc_sum": F.sum, "mc_max": F.max})
+    pblocks = r.groupBy("_k", "_t", *lengths, F.col("_b").alias("b")).agg(F.count(ID).alias("mp_cnt"))
+    mid_p = between(pblocks, ["_k", "_t"], {"mp_cnt": F.sum}).withColumnRenamed("b", "pb")
 
     # Own copy plus one shifted copy per span into the block whose left edge it is.
     copies = [F.struct(F.lit(0).alias("role"), F.col("_b").alias("pb"), F.col("_u").alias("v"))]
@@ -269,7 +215,7 @@ def hot_rolling(marked: DataFrame, base_cols: list[str], specs: list[S.RollingSp
         elif spec.agg == "count":
             val = z("o_pcnt") + z(f"mp_cnt_{n}") + z(f"e_pcnt_{n}")
         elif spec.agg == "max":
-            val = F.greatest(F.col("o_max"), F.nanvl(F.col(f"mc_max_{n}"), F.lit(None).cast("double")), F.col(f"e_max_{n}"))
+            val = F.greatest("o_max", f"mc_max_{n}", f"e_max_{n}")
         else:
             total = z("o_sum") + z(f"mc_sum_{n}") + z(f"e_sum_{n}")
             cnt = z("o_cnta") + z(f"mc_cnta_{n}") + z(f"e_cnta_{n}")
