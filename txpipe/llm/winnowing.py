@@ -6,7 +6,7 @@ rightmost of equal ones. The fingerprint is the list of chosen (hash, position)
 pairs. So any passage of ``WINDOW + K - 1`` code points that two texts share
 gives them a common hash, and none shorter than ``K`` does by itself. Hashes of
 2, 4 and 8 code points come from those of half the length, and so do least
-values of 2 to 16 k-grams: array functions over a bounded segment of the text.
+values of 2 to 32 k-grams: array functions over a bounded segment of the text.
 A hash and its place are packed in one long, so the least one is the rightmost
 of ties. The likeness of two fingerprints is the Jaccard index of their hashes.
 
@@ -22,14 +22,17 @@ one another, so all but the last have themselves as next; NULL ids come last;
 a single row is its own next; an empty table gives no rows; extra columns are
 ignored.
 
-Scale: texts are fingerprinted where they are read. Equal rows are merged before
-the shuffle. The order is taken on keys alone, range-partitioned; a text is
-shuffled once and the half that its neighbour takes once more. Rows that are
-there over ``COPIES`` times are dealt out before they are written again.
+Scale: the order is cut into ranges on keys alone (a few for each shuffle
+partition; their bounds pass the driver), and a text is shuffled once, without
+its fingerprint, into its part, where the next row is its neighbour; the first
+row of the next part is sent along. Windows that lie in the kept half
+are not chosen from again. Rows that are there over ``COPIES`` times are merged
+before the shuffle and dealt out again after it.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -38,11 +41,12 @@ from pyspark.sql import functions as F
 from txpipe.llm.common import stored, table, with_row_keys
 
 K = 8
-WINDOW = 16
+WINDOW = 32
 BASE = 1_000_003
 MODULUS = 2**31 - 1
 SEGMENT = 16_384  # windows worked on at once
-COPIES = 1_024
+COPIES = 1_024  # equal rows that are shuffled each by itself
+PARTS = 4  # of the order, for each shuffle partition
 _LOW = 2**32 - 1
 _END = 2**63 - 1
 
@@ -81,10 +85,11 @@ def _chosen(segment: Column, first: Column) -> Column:
     return _let(_filled(codes, K, 0), grams)
 
 
-def fingerprint(text: Column) -> Column:
-    """The chosen (hash, place) pairs of a text, packed in longs, by place."""
+def fingerprint(text: Column, first: Column | None = None) -> Column:
+    """The chosen (hash, place) pairs of a text, packed in longs, by place: those
+    of all its windows, or of window ``first`` and later ones."""
     windows = F.greatest(F.length(text) - (K + WINDOW - 2), F.lit(1))
-    starts = F.sequence(F.lit(0), windows - 1, F.lit(SEGMENT))
+    starts = F.sequence(F.lit(0) if first is None else first, windows - 1, F.lit(SEGMENT))
     parts = F.transform(starts, lambda s: _chosen(F.substr(text, s + 1, F.lit(SEGMENT + K + WINDOW - 2)), s.cast("long")))
     return F.array_distinct(F.flatten(parts))
 
@@ -93,9 +98,13 @@ def hashes(packed: Column) -> Column:
     return F.array_distinct(F.transform(packed, lambda v: F.shiftright(v, 32).cast("int")))
 
 
+def place(packed: Column) -> Column:
+    return F.lit(_LOW) - packed.bitwiseAND(F.lit(_LOW))
+
+
 def shown(packed: Column) -> Column:
     """``hash:place`` of each pair, comma-joined."""
-    pair = lambda v: F.concat_ws(":", F.shiftright(v, 32), F.lit(_LOW) - v.bitwiseAND(F.lit(_LOW)))
+    pair = lambda v: F.concat_ws(":", F.shiftright(v, 32), place(v))
     return F.array_join(F.transform(packed, pair), ",")
 
 
@@ -105,60 +114,75 @@ def likeness(a: Column, b: Column) -> Column:
     return both / (F.size(a) + F.size(b) - both)
 
 
-def links(documents: DataFrame) -> DataFrame:
-    """``id_key, row_key, copies, half, next_id, next_row`` of each distinct row:
-    its successor, and how many code points it takes from there. Stored."""
+def _order() -> Column:
+    """Sorts by descending doc_id, NULLs last, then by the row."""
+    return F.struct(F.col("doc_id").isNull().alias("n"), F.coalesce(F.bitwise_not("doc_id"), F.lit(0).cast("long")).alias("d"), F.col("row_key").alias("r"), F.col("id_key").alias("i"))
+
+
+def _keyed(documents: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = with_row_keys(documents, F.col("doc_id").cast("long").alias("doc_id"), F.length(text).alias("n"))
-    rows = rows.groupBy("id_key", "row_key").agg(F.max("doc_id").alias("doc_id"), F.max("n").alias("n"), F.count("*").alias("copies"))
-    order = [F.desc_nulls_last("doc_id"), F.asc("row_key"), F.asc("id_key")]
-    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = stored(rows.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "winnow-order")
-    within = Window.partitionBy("part").orderBy(*order)
-    key = F.struct("id_key", "row_key")
-    rows = rows.withColumns({"after": F.lead(key).over(within), "at": F.row_number().over(within)})
-    # One row for each partition: the only order over all of them.
-    heads = rows.where(F.col("at") == 1).select("part", key.alias("head"))
-    parted = Window.orderBy("part")
-    whole = parted.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    heads = heads.select("part", F.coalesce(F.lead("head").over(parted), F.first("head").over(whole)).alias("head"))
-    after = F.coalesce("after", "head")
-    rows = rows.join(F.broadcast(heads), "part").select("id_key", "row_key", "copies", F.floor(F.col("n") / 2).cast("int").alias("half"), after["id_key"].alias("next_id"), after["row_key"].alias("next_row"))
-    return stored(rows, "winnow-links")
-
-
-def _repeated(rows: DataFrame, most: int) -> DataFrame:
-    """Each row ``times`` times; those that come very often by many tasks."""
-    again = lambda df, n: df.withColumn("_i", F.explode(F.sequence(F.lit(1), n.cast("int")))).drop("_i", "times")
-    if most <= COPIES:
-        return again(rows, F.col("times"))
-    few = again(rows.where(F.col("times") <= COPIES), F.col("times"))
-    dealt = rows.where(F.col("times") > COPIES).withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("times") - 1) / COPIES))))
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return few.unionByName(again(dealt.repartition(parts, "_c", "doc_id"), F.least(F.lit(COPIES), F.col("times") - F.col("_c") * COPIES)).drop("_c"))
+    return with_row_keys(documents, F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+
+
+def parts(rows: DataFrame) -> tuple[list[tuple], int]:
+    """The first place of each part of the order, and how often the commonest row
+    is there. Equal rows count once; parts are a multiple of the shuffle setting."""
+    n = PARTS * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    once = rows.groupBy("id_key", "row_key").agg(F.max("doc_id").alias("doc_id"), F.count("*").alias("copies")).withColumn("o", _order())
+    ranged = once.repartitionByRange(n, "o").groupBy(F.spark_partition_id().alias("part")).agg(F.min("o").alias("o"), F.max("copies").alias("copies"))
+    found = ranged.collect()
+    return sorted(tuple(r["o"]) for r in found), max((r["copies"] for r in found), default=0)
+
+
+def _part(bounds: list[tuple]) -> Column:
+    """Number of the part that a row belongs to: how many of ``bounds`` are at or
+    before it, less one; first among every 64th of them, then between two of those."""
+    array = lambda rows: F.from_json(F.lit(json.dumps([dict(zip("ndri", b, strict=True)) for b in rows])), "array<struct<n:boolean,d:bigint,r:bigint,i:bigint>>")
+    up_to = lambda rows, at: F.size(F.filter(rows, lambda b: b <= at))
+    coarse = lambda at: (up_to(array(bounds[::64]), at) - 1) * 64
+    return _let(_order(), lambda at: _let(coarse(at), lambda c: c + up_to(F.slice(array(bounds), F.greatest(c, F.lit(0)) + 1, 64), at) - 1))
 
 
 def compared(documents: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, n_chars, edited`` (the text), ``chosen,
     edited_chosen`` (packed pairs), ``near_edited, near_next``."""
-    keys = ["id_key", "row_key"]
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    whole = F.struct(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), fingerprint(text).alias("chosen"))
-    docs = with_row_keys(documents, whole.alias("d")).groupBy(*keys).agg(F.first("d").alias("d"))
-    link = links(documents)
-    most = link.agg(F.max("copies")).first()[0] or 0
-    taken = docs.join(link.select(F.col("next_id").alias("id_key"), F.col("next_row").alias("row_key"), F.col("id_key").alias("to_id"), F.col("row_key").alias("to_row"), "half"), keys)
-    taken = taken.select(F.col("to_id").alias("id_key"), F.col("to_row").alias("row_key"), F.substr("d.text", F.lit(1), F.col("half")).alias("tail"), hashes(F.col("d.chosen")).alias("other"))
-    rows = docs.join(link.select(*keys, "copies", "half"), keys).join(taken, keys)
-    own = F.struct(F.substr("d.text", F.lit(1), F.col("half")).alias("tail"), hashes(F.col("d.chosen")).alias("other"), (F.col("copies") - 1).alias("times"))
-    following = F.struct("tail", "other", F.lit(1).cast("long").alias("times"))
-    rows = rows.withColumn("next", F.explode(F.when(F.col("copies") > 1, F.array(own, following)).otherwise(F.array(following))))
-    n = F.length("d.text")
-    edited = F.concat(F.substr("d.text", F.lit(1), n - F.col("half")), F.col("next.tail"))
-    rows = rows.select(F.col("d.doc_id").alias("doc_id"), n.cast("long").alias("n_chars"), edited.alias("edited"), F.col("d.chosen").alias("chosen"), F.col("next.other").alias("other"), F.col("next.times").alias("times"))
-    rows = rows.withColumn("edited_chosen", fingerprint(F.col("edited"))).withColumn("own", hashes(F.col("chosen")))
-    rows = rows.select("doc_id", "n_chars", "edited", "chosen", "edited_chosen", likeness(F.col("own"), hashes(F.col("edited_chosen"))).alias("near_edited"), likeness(F.col("own"), F.col("other")).alias("near_next"), "times")
-    return _repeated(rows, most)
+    keys, spark = ["id_key", "row_key"], documents.sparkSession
+    docs = _keyed(documents)
+    bounds, most = parts(docs)
+    rows = docs.withColumn("copies", F.lit(1).cast("long"))
+    if most > COPIES:  # such rows come as one with a count
+        hot = docs.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > COPIES)
+        hot = stored(hot, "winnow-hot")
+        once = docs.join(hot, keys).groupBy(*keys).agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.count("*").alias("copies"))
+        rows = rows.join(hot, keys, "left_anti").unionByName(once)
+    rows = rows.withColumn("part", _part(bounds)).withColumn("ghost", F.lit(False))
+    # The first row of the next part stands at the end of each part as well.
+    heads = spark.createDataFrame([((i - 1) % len(bounds), b[3], b[2]) for i, b in enumerate(bounds)], "part int, id_key long, row_key long")
+    ghosts = docs.join(F.broadcast(heads), keys).dropDuplicates(keys).withColumn("copies", F.lit(1).cast("long")).withColumn("ghost", F.lit(True))
+    rows = rows.unionByName(ghosts).repartition("part").withColumn("chosen", fingerprint(F.col("text")))
+    along = Window.partitionBy("part").orderBy("ghost", _order())
+    following = F.lead(F.struct("text", "chosen")).over(along)
+    rows = rows.withColumn("next", following).where(~F.col("ghost")).withColumn("times", F.lit(1).cast("long"))
+    if most > COPIES:
+        own = F.struct(F.struct("text", "chosen").alias("next"), (F.col("copies") - 1).alias("times"))
+        rows = rows.withColumn("v", F.explode(F.when(F.col("copies") > 1, F.array(own, F.struct("next", "times"))).otherwise(F.array(F.struct("next", "times")))))
+        rows = rows.withColumns({"next": F.col("v.next"), "times": F.col("v.times")}).drop("v")
+    n = F.length("text")
+    kept = n - F.floor(n / 2).cast("int")
+    rows = rows.withColumn("kept", kept).withColumn("edited", F.concat(F.substr("text", F.lit(1), kept), F.substr("next.text", F.lit(1), n - kept)))
+    # Windows that end before the cut choose what they chose in the whole text.
+    same = F.col("kept") - (K + WINDOW - 1)
+    again = fingerprint(F.col("edited"), F.greatest(same - (WINDOW - 1), F.lit(0)))
+    rows = rows.withColumn("edited_chosen", F.array_distinct(F.concat(F.filter("chosen", lambda v: place(v) <= same), again)))
+    rows = rows.withColumn("own", hashes(F.col("chosen")))
+    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), "edited", "chosen", "edited_chosen", likeness(F.col("own"), hashes(F.col("edited_chosen"))).alias("near_edited"), likeness(F.col("own"), hashes(F.col("next.chosen"))).alias("near_next"), "times")
+    if most <= COPIES:
+        return rows.drop("times")
+    few = rows.where(F.col("times") == 1).drop("times")
+    dealt = rows.where(F.col("times") > 1).withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1, F.lit(COPIES))))
+    dealt = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "_c", "doc_id")
+    dealt = dealt.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(COPIES), F.col("times") - F.col("_c")))))
+    return few.unionByName(dealt.drop("times", "_c", "_i"))
 
 
 def op11_winnowing_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
