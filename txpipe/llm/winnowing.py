@@ -48,7 +48,8 @@ SEGMENT = 16_384  # windows worked on at once
 COPIES = 1_024  # equal rows that are shuffled each by itself
 PARTS = 4  # of the order, for each shuffle partition
 _LOW = 2**32 - 1
-_END = 2**63 - 1
+_LEAST = -(2**62)
+COMMON = 3
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -66,31 +67,69 @@ def _filled(values: Column, least: int, value: int) -> Column:
     return F.concat(values, F.array_repeat(F.lit(value).cast("long"), F.greatest(F.lit(least) - F.size(values), F.lit(0))))
 
 
+def _without_peaks(packed: Column) -> Column:
+    """The values, between two lesser bounds, that are the least of a window.
+
+    A value is not if the next lesser ones on both sides are at most ``WINDOW``
+    apart. One that is less than neither neighbour, where those lie so near, is
+    never the next lesser one of another value, so all such go at once; what is
+    left when none goes is the answer. Of the values between two so near, each
+    round takes one or more, so ``WINDOW`` rounds always do."""
+
+    def kept(values: Column) -> Column:
+        before, after = lambda i: F.get(values, i - 1), lambda i: F.get(values, i + 1)
+        apart = lambda i: before(i).bitwiseAND(F.lit(_LOW)) - after(i).bitwiseAND(F.lit(_LOW))
+        return F.filter(values, lambda v, i: (v < before(i)) | (v < after(i)) | (apart(i) > F.lit(WINDOW)))
+
+    def state(values: Column, size: Column) -> Column:
+        return F.struct(values.alias("v"), size.alias("n"))
+
+    def go_on(s: Column, _: Column) -> Column:
+        return F.when(F.size(s["v"]) == s["n"], s).otherwise(state(kept(s["v"]), F.size(s["v"])))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(WINDOW)), state(packed, F.lit(-1)), go_on, lambda s: s["v"])
+
+
 def _chosen(segment: Column, first: Column) -> Column:
-    """Packed (hash, place) of each window of a segment that begins at ``first``."""
+    """Packed (hash, place) of each window of a segment that begins at ``first``.
+
+    Hashes in the lowest ``COMMON`` of eight parts are enough wherever each
+    window holds one; a segment with a window that holds none keeps all."""
 
     def grams(codes: Column, n: int = 1) -> Column:
-        if n == K:
-            packed = F.transform(codes, lambda h, i: h * F.lit(_LOW + 1) + (F.lit(_LOW) - first - i))
-            return _let(_filled(packed, WINDOW, _END), least)
         power = pow(BASE, n, MODULUS)
-        return _let(_paired(codes, n, lambda a, b: (a * F.lit(power) + b) % F.lit(MODULUS)), lambda h: grams(h, 2 * n))
+        joined = lambda a, b: (a * F.lit(power) + b) % F.lit(MODULUS)
+        if 2 * n < K:
+            return _let(_paired(codes, n, joined), lambda h: grams(h, 2 * n))
+        last = F.slice(codes, 1, F.size(codes) - n)  # places count from 1 here
+        return F.transform(last, lambda a, i: joined(a, F.get(codes, i + n)) * F.lit(_LOW + 1) + (F.lit(_LOW - 1) - i))
+
+    def bounded(all_: Column, some: Column) -> Column:
+        end = F.greatest(F.size(all_), F.lit(WINDOW)) + 1
+        return F.concat(F.array(F.lit(_LEAST + _LOW)), some, F.array(F.lit(_LEAST + _LOW) - end))
+
+    def low(all_: Column) -> Column:
+        return bounded(all_, F.filter(all_, lambda v: v < F.lit(COMMON << 60)))
+
+    def gap(values: Column) -> Column:
+        place_ = lambda v: v.bitwiseAND(F.lit(_LOW))
+        return F.exists(F.sequence(F.lit(1), F.size(values) - 1), lambda i: place_(F.get(values, i - 1)) - place_(F.get(values, i)) > F.lit(WINDOW))
 
-    def least(values: Column, n: int = 1) -> Column:
-        if n == WINDOW:
-            return F.array_distinct(values)
-        return _let(_paired(values, n, lambda a, b: F.when(a < b, a).otherwise(b)), lambda m: least(m, 2 * n))
+    def least(all_: Column) -> Column:
+        return _let(low(all_), lambda some: _without_peaks(F.when(gap(some), bounded(all_, all_)).otherwise(some)))
 
-    codes = F.transform(F.regexp_extract_all(segment, F.lit("(?s)."), F.lit(0)), lambda c: F.ascii(c).cast("long"))
-    return _let(_filled(codes, K, 0), grams)
+    codes = F.transform(F.split(segment, ""), lambda c: F.ascii(c).cast("long"))
+    found = _let(_let(_filled(codes, K, 0), grams), least)
+    return _let(found, lambda v: F.transform(F.slice(v, 2, F.size(v) - 2), lambda x: x + 1 - first))
 
 
-def fingerprint(text: Column, first: Column | None = None) -> Column:
+def fingerprint(text: Column, first: Column | None = None, last: Column | None = None) -> Column:
     """The chosen (hash, place) pairs of a text, packed in longs, by place: those
-    of all its windows, or of window ``first`` and later ones."""
-    windows = F.greatest(F.length(text) - (K + WINDOW - 2), F.lit(1))
-    starts = F.sequence(F.lit(0) if first is None else first, windows - 1, F.lit(SEGMENT))
-    parts = F.transform(starts, lambda s: _chosen(F.substr(text, s + 1, F.lit(SEGMENT + K + WINDOW - 2)), s.cast("long")))
+    of all its windows, or of windows ``first`` to ``last`` (long, not before it)."""
+    end = F.greatest(F.length(text) - (K + WINDOW - 2), F.lit(1)) - 1 if last is None else last
+    starts = F.sequence(F.lit(0) if first is None else first, end, F.lit(SEGMENT))
+    size = lambda s: F.least(F.lit(SEGMENT), end - s + 1) + (K + WINDOW - 2)
+    parts = F.transform(starts, lambda s: _chosen(F.substr(text, s + 1, size(s)), s.cast("long")))
     return F.array_distinct(F.flatten(parts))
 
 
@@ -159,7 +198,7 @@ def compared(documents: DataFrame) -> DataFrame:
     # The first row of the next part stands at the end of each part as well.
     heads = spark.createDataFrame([((i - 1) % len(bounds), b[3], b[2]) for i, b in enumerate(bounds)], "part int, id_key long, row_key long")
     ghosts = docs.join(F.broadcast(heads), keys).dropDuplicates(keys).withColumn("copies", F.lit(1).cast("long")).withColumn("ghost", F.lit(True))
-    rows = rows.unionByName(ghosts).repartition("part").withColumn("chosen", fingerprint(F.col("text")))
+    rows = rows.unionByName(ghosts).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "part").withColumn("chosen", fingerprint(F.col("text")))
     along = Window.partitionBy("part").orderBy("ghost", _order())
     following = F.lead(F.struct("text", "chosen")).over(along)
     rows = rows.withColumn("next", following).where(~F.col("ghost")).withColumn("times", F.lit(1).cast("long"))
@@ -170,10 +209,18 @@ def compared(documents: DataFrame) -> DataFrame:
     n = F.length("text")
     kept = n - F.floor(n / 2).cast("int")
     rows = rows.withColumn("kept", kept).withColumn("edited", F.concat(F.substr("text", F.lit(1), kept), F.substr("next.text", F.lit(1), n - kept)))
-    # Windows that end before the cut choose what they chose in the whole text.
-    same = F.col("kept") - (K + WINDOW - 1)
-    again = fingerprint(F.col("edited"), F.greatest(same - (WINDOW - 1), F.lit(0)))
-    rows = rows.withColumn("edited_chosen", F.array_distinct(F.concat(F.filter("chosen", lambda v: place(v) <= same), again)))
+    # Windows that lie in the kept half, or in the half that comes from the next
+    # text, choose what they chose there. Those across the cut, and the last ones
+    # before each end, are chosen from again.
+    reach = K + WINDOW - 1
+    rows = rows.withColumn("moved", F.length("edited") - F.col("kept"))
+    end = F.greatest(F.length("edited") - reach, F.lit(0))
+    same, same_next = F.col("kept") - reach, F.col("moved") - reach
+    across = fingerprint(F.col("edited"), F.greatest(same - (WINDOW - 1), F.lit(0)), F.least(F.col("kept"), end))
+    own = F.filter("chosen", lambda v: place(v) <= same)
+    theirs = F.transform(F.filter("next.chosen", lambda v: place(v) <= same_next), lambda v: v - F.col("kept").cast("long"))
+    tail = fingerprint(F.col("edited"), F.greatest(F.col("kept"), end - (WINDOW - 1)), end)
+    rows = rows.withColumn("edited_chosen", F.array_distinct(F.when(same_next < 0, F.concat(own, across)).otherwise(F.concat(own, across, theirs, tail))))
     rows = rows.withColumn("own", hashes(F.col("chosen")))
     rows = rows.select("doc_id", n.cast("long").alias("n_chars"), "edited", "chosen", "edited_chosen", likeness(F.col("own"), hashes(F.col("edited_chosen"))).alias("near_edited"), likeness(F.col("own"), hashes(F.col("next.chosen"))).alias("near_next"), "times")
     if most <= COPIES:
