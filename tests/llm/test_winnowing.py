@@ -93,3 +93,16 @@ def test_few_rows(spark, rows):
 def test_plan_runs_no_python_and_shuffles_a_text_once(docs):
     plan = W.compared(docs(["x"]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "NestedLoop" not in plan
+
+
+def test_texts_of_few_grams_without_a_low_hash(spark):
+    rng = random.Random(5)
+    rows = [(i, "".join(rng.choices("abcdef é", k=rng.randint(0, 45)))) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["f"] for r in docs.select("doc_id", W.shown(W.fingerprint(F.col("text"))).alias("f")).collect()}
+    for i, text in rows:
+        codes = [ord(c) for c in text] + [0] * (W.K - len(text))
+        grams = [sum(c * pow(W.BASE, W.K - 1 - j, W.MODULUS) for j, c in enumerate(codes[p : p + W.K])) % W.MODULUS for p in range(len(codes) - W.K + 1)]
+        windows = range(max(len(grams) - W.WINDOW, 0) + 1)
+        chosen = sorted({min(range(s, min(s + W.WINDOW, len(grams))), key=lambda p: (grams[p], -p)) for s in windows})
+        assert got[i] == ",".join(f"{grams[p]}:{p}" for p in chosen)

@@ -94,7 +94,8 @@ def _chosen(segment: Column, first: Column) -> Column:
     """Packed (hash, place) of each window of a segment that begins at ``first``.
 
     Hashes in the lowest ``COMMON`` of eight parts are enough wherever each
-    window holds one; a segment with a window that holds none keeps all."""
+    window holds one. A window that holds none leaves a gap between the values
+    beside it, which are chosen; such a segment is done again with all."""
 
     def grams(codes: Column, n: int = 1) -> Column:
         power = pow(BASE, n, MODULUS)
@@ -108,15 +109,13 @@ def _chosen(segment: Column, first: Column) -> Column:
         end = F.greatest(F.size(all_), F.lit(WINDOW)) + 1
         return F.concat(F.array(F.lit(_LEAST + _LOW)), some, F.array(F.lit(_LEAST + _LOW) - end))
 
-    def low(all_: Column) -> Column:
-        return bounded(all_, F.filter(all_, lambda v: v < F.lit(COMMON << 60)))
-
     def gap(values: Column) -> Column:
         place_ = lambda v: v.bitwiseAND(F.lit(_LOW))
         return F.exists(F.sequence(F.lit(1), F.size(values) - 1), lambda i: place_(F.get(values, i - 1)) - place_(F.get(values, i)) > F.lit(WINDOW))
 
     def least(all_: Column) -> Column:
-        return _let(low(all_), lambda some: _without_peaks(F.when(gap(some), bounded(all_, all_)).otherwise(some)))
+        low = bounded(all_, F.filter(all_, lambda v: v < F.lit(COMMON << 60)))
+        return _let(_without_peaks(low), lambda some: F.when((F.size(some) < 3) | gap(some), _without_peaks(bounded(all_, all_))).otherwise(some))
 
     codes = F.transform(F.split(segment, ""), lambda c: F.ascii(c).cast("long"))
     found = _let(_let(_filled(codes, K, 0), grams), least)
