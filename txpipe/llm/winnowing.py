@@ -49,7 +49,7 @@ COPIES = 1_024  # equal rows that are shuffled each by itself
 PARTS = 4  # of the order, for each shuffle partition
 _LOW = 2**32 - 1
 _LEAST = -(2**62)
-COMMON = 3
+COMMON = 5
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -93,9 +93,9 @@ def _without_peaks(packed: Column) -> Column:
 def _chosen(segment: Column, first: Column) -> Column:
     """Packed (hash, place) of each window of a segment that begins at ``first``.
 
-    Hashes in the lowest ``COMMON`` of eight parts are enough wherever each
-    window holds one. A window that holds none leaves a gap between the values
-    beside it, which are chosen; such a segment is done again with all."""
+    Hashes in the lowest ``COMMON`` of 32 parts are enough wherever each window
+    holds one. Windows that hold none lie in a gap between two of those; there all
+    hashes are looked at."""
 
     def grams(codes: Column, n: int = 1) -> Column:
         power = pow(BASE, n, MODULUS)
@@ -109,16 +109,19 @@ def _chosen(segment: Column, first: Column) -> Column:
         end = F.greatest(F.size(all_), F.lit(WINDOW)) + 1
         return F.concat(F.array(F.lit(_LEAST + _LOW)), some, F.array(F.lit(_LEAST + _LOW) - end))
 
-    def gap(values: Column) -> Column:
-        place_ = lambda v: v.bitwiseAND(F.lit(_LOW))
-        return F.exists(F.sequence(F.lit(1), F.size(values) - 1), lambda i: place_(F.get(values, i - 1)) - place_(F.get(values, i)) > F.lit(WINDOW))
-
     def least(all_: Column) -> Column:
-        low = bounded(all_, F.filter(all_, lambda v: v < F.lit(COMMON << 60)))
-        return _let(_without_peaks(low), lambda some: F.when((F.size(some) < 3) | gap(some), _without_peaks(bounded(all_, all_))).otherwise(some))
-
-    codes = F.transform(F.split(segment, ""), lambda c: F.ascii(c).cast("long"))
-    found = _let(_let(_filled(codes, K, 0), grams), least)
+        def with_gap(low: Column) -> Column:
+            at = lambda v: v.bitwiseAND(F.lit(_LOW))
+            apart = lambda v, i: at(v) - at(F.get(low, i + 1))
+            between = lambda v, n: F.slice(all_, place(v).cast("int") + 1, n.cast("int") - 1)
+            return F.flatten(F.transform(low, lambda v, i: F.when(apart(v, i) > F.lit(WINDOW), F.concat(F.array(v), between(v, apart(v, i)))).otherwise(F.array(v))))
+
+        low = bounded(all_, F.filter(all_, lambda v: v < F.lit(COMMON << 58)))
+        return _without_peaks(_let(low, with_gap))
+
+    codes = F.transform(F.split(segment, ""), F.ascii).cast("array<bigint>")
+    filled = _let(codes, lambda c: _filled(c, K, 0))
+    found = _let(_let(filled, grams), least)
     return _let(found, lambda v: F.transform(F.slice(v, 2, F.size(v) - 2), lambda x: x + 1 - first))
 
 
@@ -213,7 +216,7 @@ def compared(documents: DataFrame) -> DataFrame:
     # before each end, are chosen from again.
     reach = K + WINDOW - 1
     rows = rows.withColumn("moved", F.length("edited") - F.col("kept"))
-    end = F.greatest(F.length("edited") - reach, F.lit(0))
+    end = F.greatest(F.col("kept") + F.col("moved") - reach, F.lit(0))
     same, same_next = F.col("kept") - reach, F.col("moved") - reach
     across = fingerprint(F.col("edited"), F.greatest(same - (WINDOW - 1), F.lit(0)), F.least(F.col("kept"), end))
     own = F.filter("chosen", lambda v: place(v) <= same)
