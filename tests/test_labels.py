@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 
 from helpers import plan_text, tx_rows
 from txpipe.operators import labels as L
-from txpipe.operators.picks import pick_per_day, smallest_share_per_group, start_days
+from txpipe.operators.picks import picks_per_day, smallest_share_per_group
 
 
 def _brute_picks(ids, days, n):
@@ -17,13 +17,32 @@ def _brute_picks(ids, days, n):
     return out
 
 
+IDS = st.lists(st.integers(-(2**62), 2**62) | st.integers(-50, 50000), min_size=0, max_size=60)
+
+
 @settings(max_examples=8, deadline=None)
-@given(st.lists(st.integers(-(2**62), 2**62) | st.integers(-50, 50000), min_size=0, max_size=60), st.integers(1, 12), st.integers(1, 4))
-def test_pick_per_day_equals_brute_force(spark, ids, ndays, n):
-    ents = spark.createDataFrame([(i,) for i in ids], "id long")
-    days = spark.createDataFrame([(d,) for d in range(ndays)], "start_day long")
-    got = {(r[0], r[1]) for r in pick_per_day(ents, days, n).collect()}
-    assert got == _brute_picks(ids, range(ndays), n)
+@given(IDS, IDS, st.integers(1, 12), st.integers(1, 4), st.integers(1, 4))
+def test_picks_of_two_kinds_equal_brute_force(spark, a, b, ndays, n, m):
+    rows = [(i, None, 0) for i in a] + [(None, i, None) for i in b] + [(None, None, ndays)]
+    tx = spark.createDataFrame(rows, "a long, b long, day long")
+    got = sorted(map(tuple, picks_per_day(tx, {"a": n, "b": m}, "day").collect()))
+    want = [("a", *p) for p in _brute_picks(a, range(ndays), n)] + [("b", *p) for p in _brute_picks(b, range(ndays), m)]
+    assert got == sorted(want)
+
+
+def test_many_candidates_on_one_residue(spark):
+    ids = [7 + 10007 * k for k in range(40)] + list(range(0, 30000, 3))
+    tx = spark.createDataFrame([(i, 9) for i in ids], "a long, day long")
+    got = {(r[1], r[2]) for r in picks_per_day(tx, {"a": 5}, "day").collect()}
+    assert got == _brute_picks(ids, range(9), 5)
+
+
+def test_labels_read_the_transactions_once_for_all_picks(spark):
+    from txpipe.sources.fixture import load_transactions
+
+    picks = picks_per_day(load_transactions(spark, "/root/testdata/sf0.001"), {"TERMINAL_ID": 2, "CUSTOMER_ID": 3})
+    text = plan_text(picks)
+    assert text.count("FileScan") == 1 and "WindowGroupLimit" in text and "Join" not in text
 
 
 def test_smallest_share_equals_brute_force(spark):
@@ -41,9 +60,10 @@ def test_smallest_share_equals_brute_force(spark):
 
 def test_last_day_starts_nothing(spark):
     tx = tx_rows(spark, [(i, datetime(2024, 1, 1) + timedelta(days=i), 1, 1, 1.0) for i in range(5)])
-    assert sorted(r[0] for r in start_days(tx).collect()) == [0, 1, 2, 3]
+    assert sorted(r[1] for r in picks_per_day(tx, {"CUSTOMER_ID": 1}).collect()) == [0, 1, 2, 3]
     one_day = tx_rows(spark, [(0, datetime(2024, 1, 1, 3), 1, 1, 1.0)])
-    assert start_days(one_day).count() == 0
+    assert picks_per_day(one_day, {"CUSTOMER_ID": 1}).count() == 0
+    assert picks_per_day(one_day.limit(0), {"CUSTOMER_ID": 1, "TERMINAL_ID": 2}).count() == 0
 
 
 def test_precedence_and_compounding(spark):

@@ -8,8 +8,6 @@ amount multiplied by 5 once per day that picks it. Later scenarios win.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,22 +15,30 @@ from txpipe import schema as S
 from txpipe.operators.picks import (
     ROW_MODULUS,
     day_hash,
-    pick_per_day,
+    picks_per_day,
     share_cutoffs,
     smallest_share_per_group,
-    start_days,
 )
 from txpipe.session import stored
 
 DAY = "TX_TIME_DAYS"
 
 
-def compromises(tx: DataFrame, entity_col: str, per_day: int) -> DataFrame:
-    """``(start_day, entity_id)`` -- ``per_day`` entities per start day,
-    chosen among the distinct entities seen in the transactions; stored, at
-    most days x ``per_day`` rows."""
-    picks = pick_per_day(tx.select(F.col(entity_col).alias("id")), start_days(tx, DAY), per_day)
-    return stored(picks, f"picks-{entity_col.lower()}")
+def compromises(tx: DataFrame, **per_day: int) -> dict[str, DataFrame]:
+    """for each id column its ``(start_day, entity_id)`` rows -- that many
+    entities per start day, chosen among the distinct ones seen in the
+    transactions. One scan and one stored table for all columns, at most days x
+    picks per day rows."""
+    picks = stored(picks_per_day(tx, per_day, DAY), "picks")
+    return {c: picks.where(F.col("kind") == c).select("start_day", "entity_id") for c in per_day}
+
+
+def compromised_terminals(tx: DataFrame) -> DataFrame:
+    return compromises(tx, TERMINAL_ID=S.SCENARIO2_PER_DAY)["TERMINAL_ID"]
+
+
+def compromised_customers(tx: DataFrame) -> DataFrame:
+    return compromises(tx, CUSTOMER_ID=S.SCENARIO3_PER_DAY)["CUSTOMER_ID"]
 
 
 def in_window(tx: DataFrame, comp: DataFrame, entity_col: str, days: int, how: str) -> DataFrame:
@@ -50,7 +56,7 @@ def in_window(tx: DataFrame, comp: DataFrame, entity_col: str, days: int, how: s
 
 def terminal_hits(tx: DataFrame, comp_terminals: DataFrame | None = None) -> DataFrame:
     """F2 rows: transactions hit by scenario 2 (ids only)."""
-    comp = comp_terminals if comp_terminals is not None else compromises(tx, "TERMINAL_ID", S.SCENARIO2_PER_DAY)
+    comp = comp_terminals if comp_terminals is not None else compromised_terminals(tx)
     return in_window(tx.select("TRANSACTION_ID", "TERMINAL_ID", DAY), comp, "TERMINAL_ID", S.SCENARIO2_DAYS, "left_semi").select(
         "TRANSACTION_ID"
     )
@@ -59,7 +65,7 @@ def terminal_hits(tx: DataFrame, comp_terminals: DataFrame | None = None) -> Dat
 def customer_candidates(tx: DataFrame, comp_customers: DataFrame | None = None) -> DataFrame:
     """J3 rows ``(TRANSACTION_ID, start_day)``: one per transaction and
     compromise day (multiplicity kept)."""
-    comp = comp_customers if comp_customers is not None else compromises(tx, "CUSTOMER_ID", S.SCENARIO3_PER_DAY)
+    comp = comp_customers if comp_customers is not None else compromised_customers(tx)
     return in_window(tx.select("TRANSACTION_ID", "CUSTOMER_ID", DAY), comp, "CUSTOMER_ID", S.SCENARIO3_DAYS, "inner").select(
         "TRANSACTION_ID", "start_day"
     )
@@ -88,13 +94,15 @@ def label_frauds(
     per entity (bounded by days x picks per day) and stored, so the planner
     knows their bytes and broadcasts them or, beyond the threshold, shuffles;
     higher-order functions then test every compromise of the row's terminal
-    and customer. Four small writes come before the caller's own action;
+    and customer. Three small writes come before the caller's own action;
     nothing stays cached.
     """
-    with ThreadPoolExecutor(2) as pool:  # two small independent jobs at once
-        terminals = pool.submit(lambda: compromises(tx, "TERMINAL_ID", S.SCENARIO2_PER_DAY) if comp_terminals is None else comp_terminals)
-        customers = pool.submit(lambda: compromises(tx, "CUSTOMER_ID", S.SCENARIO3_PER_DAY) if comp_customers is None else comp_customers)
-        comp_terminals, comp_customers = terminals.result(), customers.result()
+    given = {"TERMINAL_ID": comp_terminals, "CUSTOMER_ID": comp_customers}
+    per_day = {"TERMINAL_ID": S.SCENARIO2_PER_DAY, "CUSTOMER_ID": S.SCENARIO3_PER_DAY}
+    missing = {c: n for c, n in per_day.items() if given[c] is None}
+    if missing:
+        given |= compromises(tx, **missing)
+    comp_terminals, comp_customers = given["TERMINAL_ID"], given["CUSTOMER_ID"]
     cand = customer_candidates(tx, comp_customers)
     cut = share_cutoffs(cand, "start_day", "TRANSACTION_ID", S.SCENARIO3_SHARE_DIVISOR)
     cust_side = (

@@ -1,18 +1,20 @@
 """Deterministic per-group choices by integer hashing.
 
-``pick_per_day`` chooses, for every start day, the ``n`` entities with the
+``picks_per_day`` chooses, for every start day, the ``n`` entities with the
 smallest ``((id * id_mult + day * day_mult) mod modulus, id)`` -- the same
 integer arithmetic the DuckDB oracle runs, so both engines pick alike. Ids and
 days are reduced by the modulus before they are multiplied (a non-negative
 remainder), so negative and very large ids neither vanish nor overflow.
 
-It never pairs every entity with every day. Entities are first reduced to
-at most ``n`` per hash residue (a map-side WindowGroupLimit), which bounds
-that table by ``n * modulus`` rows whatever the data size. A day's order over
-residues is a rotation of the residues' own order: numbering the candidates
-by (residue, id) makes a day's picks ``n`` consecutive numbers, counted on
-around the circle from the first candidate at or after the day's residue.
-Everything is one lazy plan over bounded tables; nothing is counted first.
+It never pairs every entity with every day, and reads the transactions once
+for all kinds of entities: one keyed aggregate over (kind, id) finds the distinct
+ids and days. Entities are then reduced to at most ``n`` per hash residue (a
+map-side WindowGroupLimit), which bounds that table by ``n * modulus`` rows a
+kind whatever the data size. A day's order over residues is a rotation of the
+residues' own order: with the candidates of a kind in one array by (residue,
+id), a day's picks are ``n`` consecutive entries, counted on around the circle
+from the first one at or after the day's residue. Everything is one lazy plan;
+nothing is counted first.
 """
 
 from __future__ import annotations
@@ -40,45 +42,49 @@ def day_hash(id_col: Column, day_col: Column, modulus: int, id_mult: int = ID_MU
     return F.pmod(residue(id_col, id_mult, modulus) + residue(day_col, day_mult, modulus), F.lit(modulus))
 
 
-def start_days(tx: DataFrame, day_col: str = "TX_TIME_DAYS") -> DataFrame:
-    """Days ``0 .. max(day) - 1`` (the last day starts nothing)."""
-    last = tx.agg(F.max(day_col).alias("m")).where(F.col("m") >= 1)
-    return last.select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("m").cast("bigint") - 1)).alias("start_day"))
-
-
-def pick_per_day(
-    entities: DataFrame,
-    days: DataFrame,
-    n: int,
-    id_col: str = "id",
-    id_mult: int = ID_MULT,
-    day_mult: int = DAY_MULT,
-    modulus: int = ENTITY_MODULUS,
-) -> DataFrame:
-    """Rows ``(start_day, entity_id)``: ``n`` picks per day (fewer only when
-    there are fewer distinct entities)."""
-    ents = entities.select(F.col(id_col).cast("bigint").alias("entity_id")).where(F.col("entity_id").isNotNull()).distinct()
-    by_residue = Window.partitionBy("residue").orderBy("entity_id")
-    cand = (
-        ents.withColumn("residue", residue(F.col("entity_id"), id_mult, modulus))
-        .withColumn("rn", F.row_number().over(by_residue))
-        .where(F.col("rn") <= n)
-        .select("residue", "entity_id")
-    )
-    # Both unpartitioned windows run over at most n * modulus rows.
-    numbered = cand.withColumn("number", F.row_number().over(Window.orderBy("residue", "entity_id")) - 1)
-    per_residue = cand.groupBy("residue").agg(F.count("*").alias("c"))
-    circle = cand.sparkSession.range(modulus).select(F.col("id").alias("residue")).join(per_residue, "residue", "left")
-    c = F.coalesce(F.col("c"), F.lit(0))
-    upto = Window.orderBy("residue").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = F.sum(c).over(Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    circle = circle.select("residue", (F.sum(c).over(upto) - c).alias("first"), total.alias("total")).where("total > 0")
-    start = F.pmod(-residue(F.col("start_day"), day_mult, modulus), F.lit(modulus))
-    walk = days.select("start_day").distinct().withColumn("residue", start).join(circle, "residue")
-    steps = F.explode(F.sequence(F.lit(0).cast("bigint"), F.least(F.lit(n).cast("bigint"), F.col("total")) - 1))
-    walk = walk.select("start_day", "first", "total", steps.alias("step"))
-    walk = walk.select("start_day", F.pmod(F.col("first") + F.col("step"), F.col("total")).alias("number"))
-    return walk.join(numbered, "number").select("start_day", "entity_id")
+def picks_per_day(tx: DataFrame, wanted: dict[str, int], day_col: str = "TX_TIME_DAYS", id_mult: int = ID_MULT, day_mult: int = DAY_MULT, modulus: int = ENTITY_MODULUS) -> DataFrame:
+    """Rows ``(kind, start_day, entity_id)``: for each id column in ``wanted``
+    (the kind) its number of picks for each of the days ``0 .. max(day) - 1``;
+    the last day starts nothing. Fewer only where there are fewer distinct ids."""
+    days = ""  # the kind under which the days themselves go through the same aggregate
+
+    def entry(kind: str, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), value.cast("bigint").alias("id"))
+
+    entries = F.array(*[entry(c, F.col(c)) for c in wanted], entry(days, F.col(day_col)))
+    seen = tx.select(F.explode(entries).alias("e")).select("e.*").where(F.col("id").isNotNull()).distinct()
+    is_day = F.col("kind") == days
+    seen = seen.withColumn("residue", F.when(is_day, 0).otherwise(residue(F.col("id"), id_mult, modulus)))
+    least_first = Window.partitionBy("kind", "residue").orderBy(F.when(is_day, -F.col("id")).otherwise(F.col("id")))
+    cand = seen.withColumn("rn", F.row_number().over(least_first)).where(F.col("rn") <= max(wanted.values()))
+    # One row: the last day, and for each kind at most n * modulus candidates.
+    circles = []
+    for kind, n in wanted.items():
+        mine = (F.col("kind") == kind) & (F.col("rn") <= n)
+        circles.append(F.array_sort(F.collect_list(F.when(mine, F.struct("residue", "id")))).alias(f"_{kind}"))
+    one = cand.agg(F.max(F.when(is_day, F.col("id"))).alias("last"), *circles).where(F.col("last") >= 1)
+
+    def first_at(circle: Column, start: Column, n: int) -> Column:
+        """Index of the first candidate at or after a residue, by halving."""
+        halve = lambda s, m: F.when(s["lo"] >= s["hi"], s).when(F.get(circle, m)["residue"] < start, F.struct((m + 1).alias("lo"), s["hi"].alias("hi"))).otherwise(F.struct(s["lo"].alias("lo"), m.alias("hi")))
+        middle = lambda s: F.shiftright(s["lo"] + s["hi"], 1)
+        whole = F.struct(F.lit(0).alias("lo"), F.size(circle).alias("hi"))
+        turns = F.sequence(F.lit(1), F.lit((n * modulus).bit_length() + 1))
+        return F.aggregate(turns, whole, lambda s, _: halve(s, middle(s)), lambda s: s["lo"])
+
+    def picked(kind: str, n: int, day: Column) -> Column:
+        circle = F.col(f"_{kind}")
+        start = F.pmod(-residue(day, day_mult, modulus), F.lit(modulus))
+        around = lambda first: F.transform(F.sequence(F.lit(1), F.least(F.lit(n), F.size(circle))), lambda j: F.get(circle, F.pmod(first + j - 1, F.size(circle)))["id"])
+        ids = F.flatten(F.transform(F.array(first_at(circle, start, n)), around))
+        return F.when(F.size(circle) > 0, ids).otherwise(F.array().cast("array<bigint>"))
+
+    def rows_of(kind: str, n: int, day: Column) -> Column:
+        row = lambda i: F.struct(F.lit(kind).alias("kind"), day.alias("start_day"), i.alias("entity_id"))
+        return F.transform(picked(kind, n, day), row)
+
+    all_days = F.sequence(F.lit(0).cast("bigint"), F.col("last") - 1)
+    return one.select(F.explode(F.flatten(F.transform(all_days, lambda d: F.flatten(F.array(*[rows_of(k, n, d) for k, n in wanted.items()]))))).alias("p")).select("p.*")
 
 
 def share_cutoffs(

@@ -22,8 +22,7 @@ def f1(spark, sf):
 
 @query("f2_compromised_terminals", P + "SELECT start_day, entity_id FROM ct")
 def f2_picks(spark, sf):
-    tx = transactions(spark, sf)
-    return L.compromises(tx, "TERMINAL_ID", S.SCENARIO2_PER_DAY)
+    return L.compromised_terminals(transactions(spark, sf))
 
 
 @query("j2_terminal_window_semi", P + "SELECT TRANSACTION_ID FROM s2")
@@ -33,8 +32,7 @@ def j2(spark, sf):
 
 @query("f4_compromised_customers", P + "SELECT start_day, entity_id FROM cc")
 def f4(spark, sf):
-    tx = transactions(spark, sf)
-    return L.compromises(tx, "CUSTOMER_ID", S.SCENARIO3_PER_DAY)
+    return L.compromised_customers(transactions(spark, sf))
 
 
 @query("j3_customer_window_pairs", P + "SELECT TRANSACTION_ID, start_day FROM c3")
@@ -48,7 +46,7 @@ def j3(spark, sf):
 )
 def j4(spark, sf):
     tx = transactions(spark, sf)
-    comp = L.compromises(tx, "TERMINAL_ID", S.SCENARIO2_PER_DAY).select(F.col("entity_id").alias("TERMINAL_ID")).distinct()
+    comp = L.compromised_terminals(tx).select(F.col("entity_id").alias("TERMINAL_ID")).distinct()
     return tx.join(comp, "TERMINAL_ID", "left_semi").select("TRANSACTION_ID")
 
 
