@@ -1,9 +1,11 @@
+import random
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from helpers import plan_text
 from txpipe.functions.columns import replace_missing_marker
-from txpipe.operators.ids import dense_id
+from txpipe.operators.ids import dense_id, place_in_group
 from txpipe.session import work_path
 from txpipe.sources import files as IO
 from txpipe.sources.fixture import load_transactions
@@ -100,3 +102,16 @@ def test_feature_files_have_dictionaries(spark):
         meta = pq.ParquetFile(f).metadata
         column = {meta.row_group(0).column(i).path_in_schema: meta.row_group(0).column(i) for i in range(meta.num_columns)}
         assert any("DICTIONARY" in e for e in column["CUSTOMER_ID"].encodings)
+
+
+def test_places_of_groups_that_span_partitions(spark):
+    rng = random.Random(11)
+    rows = [(g, rng.randrange(10**6) * 1000 + i) for i, g in enumerate([None] * 30 + [3] * 700 + [4] * 2 + [5] * 300)]
+    df = spark.createDataFrame(rows, "g long, v long").repartition(5)
+    for parts in (1, 2, 7):
+        out = place_in_group(df, ["g"], ["v"], partitions=parts)
+        got = sorted(((r["g"], r["v"], r["place"]) for r in out.collect()), key=str)
+        want = [(g, v, i + 1) for k in {g for g, _ in rows} for i, (g, v) in enumerate(sorted((r for r in rows if r[0] == k), key=lambda r: r[1]))]
+        assert got == sorted(want, key=str)
+        assert "Window" not in plan_text(out)  # none over rows: the table of runs is stored
+    assert place_in_group(df.limit(0), ["g"], ["v"]).count() == 0

@@ -157,6 +157,83 @@ def test_compacted_log_gives_the_same_state(spark):
     assert {r["n"] for r in H.latest_state(spark, path).collect()} == {5.0}
 
 
+def _folders(path, prefix):
+    path = path.removeprefix("file:")
+    return sorted(int(n.removeprefix(prefix)) for n in os.listdir(path) if n.startswith(prefix))
+
+
+def test_log_stays_short_over_many_batches(spark):
+    path = work_path(spark, "t-many")
+    hours = "h int, n double"
+    for b in range(50):
+        rows = spark.createDataFrame([(h, float(b)) for h in {b % 3, 3 + b}], hours).coalesce(1)
+        rows = rows.selectExpr("timestamp'2024-01-01' + make_interval(0,0,0,0,h) AS window_start", "timestamp'2024-01-01' + make_interval(0,0,0,0,h+1) AS window_end", "n")
+        H.append_batch(rows, b, path)
+        if b % 5 == 4:
+            assert H.compact_log(spark, path) == b
+            assert len(_folders(path, "batch_id=")) <= 10 and len(_folders(path + "-compact", "upto=")) <= 2
+    want = {3 + b: float(b) for b in range(50)} | {k: float(max(b for b in range(50) if b % 3 == k or 3 + b == k)) for k in range(3)}
+    got = H.latest_state(spark, path).selectExpr("cast((unix_timestamp(window_start) - unix_timestamp(timestamp'2024-01-01')) / 3600 AS int) AS h", "n")
+    assert dict(map(tuple, got.collect())) == want
+    assert H.compact_log(spark, path) == 49  # nothing new: the snapshot is left as it is
+    assert H.compact_log(spark, path + "-none") is None
+
+
+def test_a_reader_outlives_a_compaction(spark):
+    path = work_path(spark, "t-reader")
+
+    def batch(b):
+        H.append_batch(spark.sql(f"SELECT timestamp'2024-01-01' AS window_start, timestamp'2024-01-01 01:00:00' AS window_end, {b}.0D AS n"), b, path)
+
+    batch(0)
+    batch(1)
+    early = H.latest_state(spark, path)  # planned, not yet run
+    H.compact_log(spark, path)
+    batch(2)
+    assert early.first()["n"] == 1.0
+    early = H.latest_state(spark, path)
+    H.compact_log(spark, path)  # removes batches 0 and 1, which the first snapshot covers
+    assert _folders(path, "batch_id=") == [2] and early.first()["n"] == 2.0
+    batch(1)  # an old batch that runs again
+    assert H.latest_state(spark, path).first()["n"] == 2.0
+
+
+def test_live_table_is_read_while_the_stream_runs(spark):
+    base = work_path(spark, "t-live")
+    for k in range(6):
+        _write(base + "/in", f"{k}.txt", [_msg(10 * k + i, f"2024-01-02 1{k % 3}:{k}{i}:00", amount=150.0, fraud=1) for i in range(4)])
+    SC.await_all([SC.start_scoring(spark, SC.rule_scorer(100.0), base + "/sink", base + "/ckpt", "text", base + "/in", {"maxFilesPerTrigger": "1"})], 300)
+    agg = H.hourly_aggregate(H.scored_source(spark, base + "/sink", 1))
+    q = H.start_live_table(agg, "t_live", base + "/log", base + "/agg", compact_every=2)
+    seen = []
+    while q.isActive:
+        if spark.catalog.tableExists("t_live"):
+            rows = spark.table("t_live").collect()
+            assert len({r["window_start"] for r in rows}) == len(rows)  # one row per hour
+            seen.append(sum(r["nx_fraud_transactions"] for r in rows))
+    SC.await_all([q], 300)
+    assert seen == sorted(seen) and len(set(seen)) > 1
+    assert spark.sql("SELECT sum(nx_fraud_transactions) FROM t_live").first()[0] == 24
+    spark.catalog.dropTempView("t_live")
+
+
+def test_progress_log_writes_one_file_for_many_events(spark):
+    from types import SimpleNamespace
+
+    path = work_path(spark, "t-buffer")
+    log = H.ProgressLog(spark, path, every=4)
+    for b in range(10):
+        log.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(id="q", batchId=b, timestamp="t", numInputRows=1, processedRowsPerSecond=None)))
+    assert H.progress_rows(spark, path).count() == 8 and len(_parquet_files(path)) == 2
+    log.onQueryTerminated(None)
+    assert sorted(r["batch_id"] for r in H.progress_rows(spark, path).collect()) == list(range(10))
+    assert len(_parquet_files(path)) == 3
+
+
+def _parquet_files(path):
+    return [n for n in os.listdir(path.removeprefix("file:")) if n.endswith(".parquet")]
+
+
 def test_messages_are_written_in_time_order(spark):
     from txpipe.sources.fixture import load_transactions
     from txpipe.sources.messages import to_messages, write_messages

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from txpipe import schema as S
 from txpipe.functions.columns import date_from_offset
 from txpipe.operators import stats as ST
 from txpipe.operators.features import build_features
-from txpipe.operators.ids import dense_id
+from txpipe.operators.ids import dense_id, place_in_group
 from txpipe.plans import oracle as O
 from txpipe.plans.common import labelled, scored, transactions
 from txpipe.plans.registry import query
@@ -195,11 +194,9 @@ def t2(spark, sf):
 )
 def t3(spark, sf):
     """Rows sorted inside their day; ``place`` is where a row came out, so
-    the order itself is compared."""
-    df = transactions(spark, sf).select("TX_TIME_DAYS", "TX_TIME_SECONDS")
-    ordered = df.repartitionByRange("TX_TIME_DAYS", "TX_TIME_SECONDS").sortWithinPartitions("TX_TIME_DAYS", "TX_TIME_SECONDS")
-    place = F.row_number().over(Window.partitionBy("TX_TIME_DAYS").orderBy("came_out"))
-    return ordered.withColumn("came_out", F.monotonically_increasing_id()).select("TX_TIME_DAYS", place.alias("place"), "TX_TIME_SECONDS")
+    the order itself is compared. A busy day spans several tasks."""
+    df = transactions(spark, sf).select("TX_TIME_DAYS", "TX_TIME_SECONDS", "TRANSACTION_ID")
+    return place_in_group(df, ["TX_TIME_DAYS"], ["TX_TIME_SECONDS", "TRANSACTION_ID"]).select("TX_TIME_DAYS", "place", "TX_TIME_SECONDS")
 
 
 @query(

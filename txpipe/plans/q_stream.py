@@ -124,6 +124,16 @@ def r4(spark, sf):
     return H.latest_state(spark, _hourly_log(spark, sf, "r4"))
 
 
+@query("s12_live_table_by_name", HOURLY_RULE_SQL)
+def s12(spark, sf):
+    """The hours under a table name that SQL reads, one row per hour;
+    the log behind it is compacted as it grows."""
+    base = work_path(spark, "s12")
+    agg = H.hourly_aggregate(H.scored_source(spark, _scored_sink(spark, sf, base), 1))
+    SC.await_all([H.start_live_table(agg, "hourly_frauds", f"{base}/log", f"{base}/agg-ckpt", compact_every=3)])
+    return spark.sql("SELECT * FROM hourly_frauds")
+
+
 @query("r5_hourly_update_rows", HOURLY_RULE_SQL)
 def r5(spark, sf):
     """Update mode gives a row per changed hour and micro-batch; the
@@ -140,3 +150,38 @@ def r6(spark, sf):
     log = _hourly_log(spark, sf, "r6")
     H.compact_log(spark, log)
     return H.latest_state(spark, log)
+
+
+LATE_SQL = (
+    O.labelled_prefix()
+    + """, marked AS (SELECT *, date_trunc('hour', TX_DATETIME) AS hour, TRANSACTION_ID % 7 = 0 AS late FROM lab),
+first AS (SELECT date_trunc('millisecond', max(TX_DATETIME)) - INTERVAL 5 DAY AS mark FROM marked WHERE NOT late),
+final AS (SELECT date_trunc('millisecond', max(TX_DATETIME)) - INTERVAL 5 DAY AS mark FROM marked),
+kept AS (SELECT marked.* FROM marked, first WHERE NOT late OR hour + INTERVAL 1 HOUR > mark)
+SELECT hour AS window_start, hour + INTERVAL 1 HOUR AS window_end,
+       round(count(CUSTOMER_ID) / 30.0, 2) AS nx_transactions,
+       count(*) FILTER (WHERE TX_FRAUD = 1) AS nx_fraud_transactions,
+       count(*) FILTER (WHERE TX_FRAUD = 1 AND TX_AMOUNT > 100) AS correct_fraud_predictions,
+       count(*) FILTER (WHERE TX_FRAUD = 0 AND TX_AMOUNT > 100) AS false_positive_predictions,
+       (SELECT count(DISTINCT hour) FROM kept, final WHERE hour + INTERVAL 1 HOUR > mark) AS state_rows,
+       (SELECT count(DISTINCT hour) FROM marked, first WHERE late AND hour + INTERVAL 1 HOUR <= mark) AS late_hours_dropped
+FROM kept GROUP BY hour"""
+)
+
+
+@query("r5_watermark_late_rows", LATE_SQL)
+def r5_late(spark, sf):
+    """R5/Q8 with a watermark of five days: every seventh transaction comes in a
+    second run, after all others. Of those, the hours behind the watermark are
+    dropped, and the state store ends with the hours before it closed."""
+    base = work_path(spark, "r5-late")
+    feats = stored(_features(spark, sf), "r5-features")
+    late = F.pmod(F.col("TRANSACTION_ID"), F.lit(7)) == 0
+    for rows in (feats.where(~late), feats.where(late)):
+        write_inputs(rows, f"{base}/in", mode="append")
+        _run_scoring(spark, SC.rule_scorer(100.0), f"{base}/in", f"{base}/sink", f"{base}/ckpt")
+        agg = H.hourly_aggregate(H.scored_source(spark, f"{base}/sink"), watermark="5 days")
+        hours = H.start_upsert_log(agg, f"{base}/log", f"{base}/agg-ckpt")
+        SC.await_all([hours])
+    state_rows, dropped = H.state_counts(hours)
+    return H.latest_state(spark, f"{base}/log").select("*", F.lit(state_rows).cast("bigint").alias("state_rows"), F.lit(dropped).cast("bigint").alias("late_hours_dropped"))

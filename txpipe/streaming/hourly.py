@@ -10,10 +10,16 @@ so its sink holds several rows per hour (Q6). ``start_upsert_log``
 writes each micro-batch's changed hours to a Parquet log partitioned by
 batch id (a re-run batch overwrites its own partition), and
 ``latest_state`` returns, per hour, the row of the highest batch id.
+``compact_log`` folds the log into a snapshot and removes what the snapshot
+before covers, so the number of files does not grow with the batches.
+``start_live_table`` keeps a table name on that state while the stream runs;
+rows stay in files, not in the driver's memory.
 """
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,29 +61,18 @@ def flatten_window(df: DataFrame) -> DataFrame:
     return df.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *rest)
 
 
-def start_memory_sink(agg: DataFrame, name: str, mode: str = "update", checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
-    """Memory sink under a query name; read it with ``spark.table(name)``."""
-    w = agg.writeStream.format("memory").queryName(name).outputMode(mode)
-    if checkpoint:
-        w = w.option("checkpointLocation", checkpoint)
-    if available_now:
-        w = w.trigger(availableNow=True)
-    return w.start()
-
-
-def start_upsert_log(agg: DataFrame, log_path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+def start_upsert_log(agg: DataFrame, log_path: str, checkpoint: str, available_now: bool = True, compact_every: int = 0, table: str | None = None) -> StreamingQuery:
     """Per micro-batch, the changed hours go to ``log_path`` under
-    ``batch_id=<id>``; idempotent when a batch is re-run."""
+    ``batch_id=<id>``; idempotent when a batch is re-run. The log is compacted
+    after every ``compact_every`` batches, if given."""
+    spark = agg.sparkSession
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (
-            flatten_window(batch)
-            .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(log_path)
-        )
+        append_batch(flatten_window(batch), batch_id, log_path)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact_log(spark, log_path)
+        if table:
+            latest_state(spark, log_path).createOrReplaceTempView(table)
 
     w = agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write_batch)
     if available_now:
@@ -85,56 +80,114 @@ def start_upsert_log(agg: DataFrame, log_path: str, checkpoint: str, available_n
     return w.start()
 
 
+def start_live_table(agg: DataFrame, name: str, log_path: str, checkpoint: str, available_now: bool = True, compact_every: int = 20) -> StreamingQuery:
+    """The latest row per hour under a table name of the session, as of the
+    last micro-batch; read it with ``spark.table(name)`` or SQL while the stream
+    runs (S13). A read that has begun stays valid for a compaction or more."""
+    return start_upsert_log(agg, log_path, checkpoint, available_now, compact_every, name)
+
+
+def append_batch(rows: DataFrame, batch_id: int, log_path: str) -> None:
+    """One micro-batch's rows as a folder of the log, in place of an earlier try."""
+    tagged = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(log_path)
+
+
 def _latest(log: DataFrame) -> DataFrame:
     measures = [c for c in log.columns if c not in ("window_start", "window_end", "batch_id")]
     latest = F.max_by(F.struct(*measures, "batch_id"), F.col("batch_id")).alias("s")
     return log.groupBy("window_start", "window_end").agg(latest).select("window_start", "window_end", "s.*")
 
 
+def _folders(spark: SparkSession, path: str, prefix: str, marker: str | None = None) -> dict[int, str]:
+    """``<prefix><number>`` folders under a path (if it exists) by their number;
+    with a marker, those that hold such a file."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(at(path)):
+        return {}
+    found = [st.getPath() for st in fs.listStatus(at(path)) if st.getPath().getName().startswith(prefix)]
+    return {int(p.getName().removeprefix(prefix)): p.toString() for p in found if marker is None or fs.exists(at(p, marker))}
+
+
+def _snapshot_path(log_path: str) -> str:
+    return f"{log_path.rstrip('/')}-compact"
+
+
 def _snapshots(spark: SparkSession, log_path: str) -> list[int]:
-    """Batch ids of the compacted snapshots beside the log."""
-    jvm, path = spark.sparkContext._jvm, f"{log_path.rstrip('/')}-compact"
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    done = [st.getPath() for st in fs.listStatus(root) if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))]
-    return sorted(int(p.getName().removeprefix("upto=")) for p in done)
+    """Last batch ids of the whole snapshots. Spark writes ``_SUCCESS`` last, in
+    one step, and a snapshot is not written again: the newest one that has the
+    file is what readers go by."""
+    return sorted(_folders(spark, _snapshot_path(log_path), "upto=", "_SUCCESS"))
 
 
 def _log_since_snapshot(spark: SparkSession, log_path: str) -> DataFrame:
-    log, done = spark.read.parquet(log_path), _snapshots(spark, log_path)
-    log = log.withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    done = _snapshots(spark, log_path)
     if not done:
-        return log
-    base = spark.read.parquet(f"{log_path.rstrip('/')}-compact/upto={done[-1]}")
+        return spark.read.parquet(log_path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    base = spark.read.parquet(f"{_snapshot_path(log_path)}/upto={done[-1]}")
+    # The schema is given: folders that the snapshot covers may be gone by now.
+    log = spark.read.schema(base.schema).parquet(log_path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
     return base.unionByName(log.where(F.col("batch_id") > done[-1]))  # older folders are pruned
 
 
-def compact_log(spark: SparkSession, log_path: str) -> int:
+def compact_log(spark: SparkSession, log_path: str) -> int | None:
     """Write the latest row per hour as a snapshot beside the log; readers then
-    open only the snapshot and newer batches. Returns the last batch in it."""
+    open only the snapshot and newer batches. Returns the last batch in it, or
+    None for a log without batches.
+
+    What the snapshot *before* this one covers is removed, with all snapshots
+    older than that one: a reader that began before this call goes by the one
+    before, and nothing that it reads is touched. With a compaction every n
+    batches there are at most 2 n batch folders and two snapshots. A batch that
+    runs again after it was folded in is ignored and goes with the next call."""
+    done = _snapshots(spark, log_path)
+    if not done and not _folders(spark, log_path, "batch_id="):
+        return None
     rows = _log_since_snapshot(spark, log_path)
     upto = int(rows.agg(F.max("batch_id")).first()[0])
-    _latest(rows).write.mode("overwrite").parquet(f"{log_path.rstrip('/')}-compact/upto={upto}")
+    if done and upto == done[-1]:
+        return upto
+    _latest(rows).write.mode("overwrite").parquet(f"{_snapshot_path(log_path)}/upto={upto}")
+    if done:
+        _remove_covered(spark, log_path, done[-1])
     return upto
 
 
+def _remove_covered(spark: SparkSession, log_path: str, upto: int) -> None:
+    old = [p for n, p in _folders(spark, log_path, "batch_id=").items() if n <= upto]
+    old += [p for n, p in _folders(spark, _snapshot_path(log_path), "upto=").items() if n < upto]
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for path in old:
+        at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at(path), True)
+
+
 def latest_state(spark: SparkSession, log_path: str) -> DataFrame:
     """R6 reader: the latest row per hour (max batch id), one aggregate."""
     return _latest(_log_since_snapshot(spark, log_path)).drop("batch_id")
 
 
+def state_counts(query: StreamingQuery) -> tuple[int, int]:
+    """Rows (hours) in the state store after the last batch of a run, and how many
+    its batches dropped behind the watermark (hours of a batch, not messages)."""
+    ops = [op for p in query.recentProgress for op in p.stateOperators]
+    return (ops[-1].numRowsTotal, sum(op.numRowsDroppedByWatermark for op in ops)) if ops else (0, 0)
+
+
 PROGRESS = "query_id string, batch_id long, timestamp string, num_input_rows long, processed_rows_per_second double"
 
 
 class ProgressLog(StreamingQueryListener):
-    """Writes a row for every progress event to ``path`` as it comes, so
-    the table is whole however many batches run. Register it with
-    ``spark.streams.addListener``."""
+    """A row for every progress event in ``path``, so the table is whole
+    however many batches run. Rows are kept until there are ``every`` of them and
+    then appended as one file; the rest goes when a query ends, or by ``flush``.
+    Register it with ``spark.streams.addListener``."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, every: int = 50):
+        self.spark, self.path, self.every = spark, path, every
+        self._rows: list[tuple] = []
+        self._lock = threading.Lock()
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -142,10 +195,20 @@ class ProgressLog(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         p = event.progress
         row = (str(p.id), int(p.batchId), str(p.timestamp), int(p.numInputRows or 0), float(p.processedRowsPerSecond or 0.0))
-        self.spark.createDataFrame([row], PROGRESS).write.mode("append").parquet(self.path)
+        with self._lock:
+            self._rows.append(row)
+            full = len(self._rows) >= self.every
+        if full:
+            self.flush()
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.flush()
+
+    def flush(self) -> None:
+        with self._lock:
+            if self._rows:
+                self.spark.createDataFrame(self._rows, PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
+            self._rows = []  # only what is written
 
 
 def progress_rows(spark: SparkSession, path: str, query: StreamingQuery | None = None) -> DataFrame:
