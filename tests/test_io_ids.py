@@ -104,6 +104,37 @@ def test_feature_files_have_dictionaries(spark):
         assert any("DICTIONARY" in e for e in column["CUSTOMER_ID"].encodings)
 
 
+def test_point_lookups_skip_row_groups(spark):
+    """By the Bloom filter where ids hardly repeat, and Parquet gives up the
+    dictionary; by the dictionary, in whose stead no filter is written, where
+    they do."""
+    tx = load_transactions(spark, "/root/testdata/sf0.01")
+    path = work_path(spark, "t-bloom")
+    in_no_order = tx.repartition(200)  # least and greatest values skip nothing
+    IO.write_features(in_no_order, path, bloom_columns=("CUSTOMER_ID", "TERMINAL_ID", "TRANSACTION_ID"))
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = [f.getPath() for f in folder.getFileSystem(conf).listStatus(folder) if f.getPath().getName().endswith(".parquet")]
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(files[0], conf))
+    columns = {c.getPath().toDotString(): c for c in reader.getFooter().getBlocks().get(0).getColumns()}
+    has_filter = {n: c.getBloomFilterOffset() > 0 for n, c in columns.items()}
+    has_dictionary = {n: c.getEncodingStats().hasDictionaryPages() and not c.getEncodingStats().hasNonDictionaryEncodedPages() for n, c in columns.items()}
+    reader.close()
+    assert has_filter["TRANSACTION_ID"] and not has_dictionary["TRANSACTION_ID"] and not has_filter["TX_AMOUNT"]
+    assert all(has_filter[c] or has_dictionary[c] for c in ("CUSTOMER_ID", "TERMINAL_ID"))
+
+    def scans(node):
+        kids = node.children()
+        return [node] if node.getClass().getSimpleName() == "FileSourceScanExec" else [s for i in range(kids.size()) for s in scans(kids.apply(i))]
+
+    for column in ("CUSTOMER_ID", "TRANSACTION_ID"):
+        wanted = tx.groupBy(column).count().orderBy("count", column).first()[column]
+        found = IO.read_features(spark, path).where(F.col(column) == wanted)
+        rows = len(found.collect())
+        (scan,) = scans(found._jdf.queryExecution().executedPlan())
+        assert 0 < rows <= scan.metrics().apply("numOutputRows").value() <= 10000 / 2
+
+
 def test_places_of_groups_that_span_partitions(spark):
     rng = random.Random(11)
     rows = [(g, rng.randrange(10**6) * 1000 + i) for i, g in enumerate([None] * 30 + [3] * 700 + [4] * 2 + [5] * 300)]
