@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline
 from txpipe.llm import decontam, packing, quality, secrets, simhash
 from txpipe.llm.common import stored
@@ -41,3 +43,26 @@ def test_stages_take_empty_tables(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = stored(stage(spark, docs, SF), name)
         assert docs.count() == 0
+
+
+def test_edge_cases_through_all_stages(spark, docs):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(400)]
+    plain = [" ".join(rng.choices(words, k=60)) for _ in range(20)]
+    long_text = " ".join(rng.choices(words, k=60_000)) + " password=averysecretvalue1"
+    table = docs([*plain, plain[0], plain[1] + " password=hunter2hunter2", long_text])
+    out, kept = table, []
+    for name, stage in corpus_pipeline.STAGES[1:]:  # the classifier may reject any of these
+        before, out = out, stored(stage(spark, out, SF), name)
+        if name != "packing":
+            assert out.columns == table.columns
+        kept.append({r["doc_id"] for r in out.select("doc_id").distinct().collect()})
+    assert stored(corpus_pipeline.quality_classifier(spark, table, SF), "edges").columns == table.columns
+    deduped, clean, redacted, packed = kept
+    assert 0 in deduped and 20 not in deduped  # an exact copy goes, the least id stays
+    assert {1000, 1001, 1002} & deduped == {1000}  # no words: one group, its least id stays
+    assert {1003, None, 22} <= deduped and clean == redacted == packed == deduped
+    texts = {r["doc_id"]: r["text"] for r in before.select("doc_id", "text").collect()}
+    assert "averysecretvalue1" not in texts[22] and len(texts[22]) > 100_000 and texts[1000] is None
+    pieces = out.groupBy("doc_id").agg({"length": "sum", "doc_tokens": "max"}).collect()
+    assert all(r[1] == r[2] for r in pieces) and len(pieces) == len(packed)
