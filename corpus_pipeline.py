@@ -1,5 +1,12 @@
 """A training corpus from raw documents: five stages, each an operator of
-``txpipe.llm``, each writing Parquet that the next one reads."""
+``txpipe.llm``, each writing Parquet that the next one reads.
+
+Edge cases: NULL, empty and blank texts have no words, so those that the
+classifier keeps are one group of near-duplicates, of which the least doc_id
+stays; repeated rows are such a group as well; a row without a doc_id is kept like
+any other; a text that is NULL stays NULL until packing takes it as empty; texts
+of any length pass whole; extra columns are carried up to the last stage, whatever
+their names; an empty table gives an empty table at each stage."""
 
 from __future__ import annotations
 
