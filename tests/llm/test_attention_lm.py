@@ -87,3 +87,22 @@ def test_held_out_texts_beat_single_ids(spark):
 
 def test_empty_table(no_docs):
     assert lm.scores(no_docs).count() == 0
+
+
+def test_every_training_id_is_learned_and_classed(docs):
+    df = case(docs).repartition(3).selectExpr("doc_id", "crc32(cast(coalesce(cast(doc_id as string), '') as binary)) % 10 = 0 AS held_out", "text")
+    rows = lm.stored(lm.blocks(df, None, 16, 300), "t-blocks")
+    counts, whole = lm.id_counts(rows.where(rows.kind == lm._IDS)), rows.where(rows.kind == lm._DOCS)
+    speller = lm.Speller(None)
+    lists = [speller.ids(lm.split_words((r["text"] or "").encode())) for r in df.collect() if not r["held_out"]]
+    texts = [np.append(np.frombuffer(b"".join(ids), "<u2"), lm.END).astype(np.int64) for ids in lists]
+    table, rank = lm.neighbour_table(whole, counts), lm.ranked(counts)[1]
+    want = np.zeros_like(table)
+    for ids in texts:
+        np.add.at(want.reshape(-1), lm.neighbour_counts(rank, np.concatenate([[lm.END], ids[:-1]]), ids), 1)
+    assert (table == want).all() and table.sum() == 2 * counts.sum()
+    model = lm.Attention(counts, [], neighbours=table)
+    flat, sizes = np.concatenate(texts), np.array([len(t) for t in texts])
+    before = model.scores(flat, sizes).sum()
+    assert lm.learn_all(whole, model) == sum(-(-len(t) // lm.CONTEXT) for t in texts)  # no sample
+    assert model.scores(flat, sizes).sum() > before

@@ -4,10 +4,11 @@ Tokens are words in lower case (A-Z only) and one end a document. The baseline
 is their add-0.1 unigram. The model spells each word in byte-level subword ids
 (with a space before it) and gives the log10 probability of all ids and the end:
 P(id | before) = P(class | attention over the ids before) * P(id | class, id before).
-Attention is one causal layer, trained in numpy on a bounded sample of training
-documents, from which the classes come, too; P(id | class, id before) comes from
-counts of ids and of pairs of ids over all training documents. A
-document is scored in windows of ``CONTEXT`` ids that overlap by half: each id is
+Attention is one causal layer. Steps on a bounded sample of training documents only
+give it a start; then it is trained on every id of every training document, in numpy
+inside tasks whose weights are averaged. The classes come from the neighbours of ids,
+P(id | class, id before) from counts of ids and of pairs of ids, both over all training
+documents. A document is scored in windows of ``CONTEXT`` ids that overlap by half: each id is
 scored once, in the window where at least half of the window (or all of the
 document before it) is its context; windows are batched under a causal mask.
 
@@ -23,17 +24,20 @@ no rows; without training documents P is uniform in the model and 0.1 over
 0.1 * (V + 1) in the baseline; extra columns are ignored.
 
 Scale: a hot word is one entry a block. Buckets grow with the partitions up to
-``BUCKETS``; the driver gets the id counts (a vector of the vocabulary), at most
-``SAMPLE_DOCS`` sample documents, and two totals.
+``BUCKETS``; the driver gets the id counts (a vector of the vocabulary), tables of
+neighbours and pairs of fixed size, averaged weights, at most ``SAMPLE_DOCS`` sample
+documents, and two totals.
 """
 
 from __future__ import annotations
 
 import base64
+import copy
 import heapq
 import math
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain, count
 
@@ -53,7 +57,9 @@ END = 50_256
 BLOCK_BYTES = 4 << 20
 BUCKETS = 4_096
 SAMPLE_TASK, SAMPLE_DOCS, SAMPLE_IDS = 256, 1_024, 1_500_000  # documents of least hash of a task, of all; their ids
-STEPS = 1_200  # training steps
+STEPS = 1_200  # steps on the sample, from which the pass over all documents starts
+RATES = (1e-3, 5e-4, 2e-4)  # of the rounds of that pass
+COLUMNS = 256  # most frequent neighbours by which ids are classed
 KNOWN_WORDS = 200_000
 
 CLASSES = 48
@@ -256,47 +262,62 @@ def id_counts(rows: DataFrame) -> np.ndarray:
     return sum((np.frombuffer(bytes(r["a"]), "<u8") for r in sums), np.zeros(VOCABULARY, np.uint64)).astype(np.int64)
 
 
-def neighbour_classes(rank: np.ndarray, sample: list[np.ndarray], n: int, columns: int = 256, seed: int = 9) -> np.ndarray:
-    """Class of each id by the ids that stand before and after it in the
-    sample: k-means on the square roots of their shares. Ids that the sample
-    doesn't hold fall to the classes in turn."""
-    out = rank % n
-    stream = rank[np.concatenate([np.concatenate([[END], s]) for s in sample])] if sample else np.empty(0, np.int64)
-    if len(stream) < 2:
-        return out
-    kinds, row = np.unique(stream, return_inverse=True)
-    shares = np.zeros((len(kinds), 2 * columns + 2), np.float32)
-    column = np.minimum(stream, columns)
-    np.add.at(shares, (row[1:], column[:-1]), 1)
-    np.add.at(shares, (row[:-1], columns + 1 + column[1:]), 1)
+def ranked(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids by falling count, and the place of each id in that order."""
+    order = np.lexsort((np.arange(len(counts)), -counts))
+    rank = np.empty(len(counts), np.int64)
+    rank[order] = np.arange(len(counts))
+    return order, rank
+
+
+def neighbour_counts(rank: np.ndarray, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Cells (rank of an id, what stands beside it) of the table of neighbours, one for
+    each side of each pair; the ``COLUMNS`` most frequent neighbours have a column
+    each side, the others share one."""
+    b, i = rank[before], rank[ids]
+    return np.concatenate([i * (2 * COLUMNS + 2) + np.minimum(b, COLUMNS), b * (2 * COLUMNS + 2) + COLUMNS + 1 + np.minimum(i, COLUMNS)])
+
+
+def neighbour_classes(rank: np.ndarray, shares: np.ndarray, n: int, seed: int = 9) -> np.ndarray:
+    """Class of each id by the ids that stand before and after it: k-means on the
+    square roots of their shares. ``shares`` holds the counts, a row a rank, and is
+    worked on in place. Ids without neighbours fall to the classes in turn."""
+    own = np.arange(len(rank)) % n
     weight = shares.sum(axis=1)
-    shares = np.sqrt(shares / np.maximum(1, weight)[:, None])
-    rest = kinds >= OWN_CLASS
-    points, weight = shares[rest], weight[rest]
+    weight[:OWN_CLASS] = 0
+    points = np.flatnonzero(weight)
     if len(points) <= n:
-        return out
+        return own[rank]
+    shares /= np.maximum(1, shares.sum(axis=1))[:, None]
+    np.sqrt(shares, out=shares)
     rng = np.random.default_rng(seed)
-    centres = points[rng.choice(len(points), n, replace=False, p=weight / weight.sum())]
+    centres = shares[rng.choice(points, n, replace=False, p=weight[points] / weight[points].sum(dtype=np.float64))]
     for _ in range(15):
-        own = np.argmin((centres**2).sum(1)[None, :] - 2 * points @ centres.T, axis=1)
-        sums = np.zeros_like(centres)
-        np.add.at(sums, own, points * weight[:, None])
-        total = np.bincount(own, weight, n)
-        centres = np.where(total[:, None] > 0, sums / np.maximum(total, 1)[:, None], centres)
-    by_rank = np.arange(len(rank)) % n
-    by_rank[kinds[rest]] = own
-    return by_rank[rank]
+        sums, length = np.zeros_like(centres), (centres**2).sum(1)[None, :]
+        for at in range(0, len(points), 4_096):
+            some = points[at : at + 4_096]
+            own[some] = np.argmin(length - 2 * shares[some] @ centres.T, axis=1)
+            one_hot = np.zeros((n, len(some)), np.float32)
+            one_hot[own[some], np.arange(len(some))] = weight[some]
+            sums += one_hot @ shares[some]
+        total = np.bincount(own[points], weight[points], n)
+        centres = np.where(total[:, None] > 0, sums / np.maximum(total, 1)[:, None], centres).astype(np.float32)
+    return own[rank]
 
 
 class Attention:
     """Class-factored language model; see the module's text."""
 
-    def __init__(self, counts: np.ndarray, sample: list[np.ndarray], width: int = WIDTH, context: int = CONTEXT, seed: int = 5):
-        order = np.lexsort((np.arange(len(counts)), -counts))
-        rank = np.empty(len(counts), np.int64)
-        rank[order] = np.arange(len(counts))
+    def __init__(self, counts: np.ndarray, sample: list[np.ndarray], width: int = WIDTH, context: int = CONTEXT, seed: int = 5, neighbours: np.ndarray | None = None):
+        """``neighbours`` are the counts of :func:`neighbour_table`; without them those
+        of the ``sample`` are taken."""
+        order, rank = ranked(counts)
+        if neighbours is None:
+            neighbours = np.zeros((len(rank), 2 * COLUMNS + 2), np.float32)
+            for ids in sample:
+                np.add.at(neighbours.reshape(-1), neighbour_counts(rank, np.concatenate([[END], ids[:-1]]), ids), np.float32(1))
         # The most frequent ids are classes of their own; the rest are grouped by their neighbours.
-        self.of = np.where(rank < OWN_CLASS, rank, OWN_CLASS + neighbour_classes(rank, sample, CLASSES - OWN_CLASS))
+        self.of = np.where(rank < OWN_CLASS, rank, OWN_CLASS + neighbour_classes(rank, neighbours, CLASSES - OWN_CLASS))
         self.input = np.where(rank < OWN_VECTOR, rank, OWN_VECTOR + self.of)
         smooth = counts + SMOOTHING
         self.within = np.log10(smooth / np.bincount(self.of, smooth, CLASSES)[self.of]).astype(np.float32)
@@ -356,57 +377,90 @@ class Attention:
         np.clip(z, -60, 60, out=z)
         return z, np.log(np.exp(z).sum(axis=-1))
 
+    def windows(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Inputs, classes to foretell and which of them are there, a row a window;
+        the windows of a text hold each of its ids once. ``ids`` as in ``scores``."""
+        c, begins = self.context, np.cumsum(sizes) - sizes
+        shifted = np.concatenate([[END], ids[:-1]])
+        shifted[begins] = END
+        n = -(-sizes // c)
+        owner = np.repeat(np.arange(len(sizes)), n)
+        place = (begins[owner] + (np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)) * c)[:, None] + np.arange(c)[None, :]
+        there = place < (begins + sizes)[owner][:, None]
+        np.minimum(place, len(ids) - 1, out=place)
+        return self.input[shifted[place]].astype(np.int32), self.of[ids[place]].astype(np.int8), there
+
+    def _gradient(self, inputs: np.ndarray, target: np.ndarray, there: np.ndarray) -> dict[str, np.ndarray]:
+        """Gradient of the mean loss over the positions that are there."""
+        p, c = self.p, self.context
+        root = np.float32(math.sqrt(p["q"].shape[0]))
+        flat = lambda y: y.reshape(-1, y.shape[-1])
+        x = p["e"][inputs]
+        q, k, v = np.split(flat(x) @ np.concatenate([p["q"] / root, p["k"], p["v"]], axis=1), 3, axis=1)
+        q, k, v = q.reshape(x.shape), k.reshape(x.shape), v.reshape(x.shape)
+        a = self._weights(q, k, *self._bias(c))
+        a /= a.sum(axis=2, keepdims=True)
+        o = a @ v
+        h = flat(x) + flat(o) @ p["o"]
+        dz = h @ p["u"]
+        dz += p["b"]
+        np.clip(dz, -60, 60, out=dz)
+        np.exp(dz, out=dz)
+        dz /= dz.sum(axis=1, keepdims=True)
+        dz[np.arange(len(dz)), target.ravel()] -= 1
+        dz *= (there.ravel() / max(1, there.sum())).astype(np.float32)[:, None]
+        dh = dz @ p["u"].T
+        do = (dh @ p["o"].T).reshape(x.shape)
+        ds = do @ v.transpose(0, 2, 1)
+        ds -= np.einsum("bij,bij->bi", a, ds)[:, :, None]
+        ds *= a
+        dq, dk, dv = flat(ds @ k), flat(ds.transpose(0, 2, 1) @ q), flat(a.transpose(0, 2, 1) @ do)
+        dx = dh + dq @ (p["q"] / root).T + dk @ p["k"].T + dv @ p["v"].T
+        order = np.argsort(inputs.ravel(), kind="stable")
+        own = inputs.ravel()[order]
+        first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        de = np.zeros_like(p["e"])
+        de[own[first]] = np.add.reduceat(dx[order], first, axis=0)
+        distance = np.maximum(np.arange(c)[:, None] - np.arange(c)[None, :], 0)
+        return {
+            "u": h.T @ dz, "b": dz.sum(0), "o": flat(o).T @ dh, "q": flat(x).T @ dq / root, "k": flat(x).T @ dk,
+            "v": flat(x).T @ dv, "e": de, "r": np.bincount(distance.ravel(), (ds.sum(0) * np.tri(c)).ravel(), c).astype(np.float32),
+        }
+
+    def _step(self, moments: list, gradient: dict[str, np.ndarray], rate: float) -> None:
+        """One step of Adam; ``moments`` are the number of steps and two means."""
+        if not moments:
+            moments += [0, {k: np.zeros_like(a) for k, a in self.p.items()}, {k: np.zeros_like(a) for k, a in self.p.items()}]
+        moments[0] += 1
+        t, m, v2 = moments
+        for name, grad in gradient.items():
+            m[name] += 0.1 * (grad - m[name])
+            v2[name] += 0.01 * (grad * grad - v2[name])
+            self.p[name] -= (rate * (m[name] / (1 - 0.9**t)) / (np.sqrt(v2[name] / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
+
     def train(self, texts: list[np.ndarray], steps: int = STEPS, batch: int = 64, rate: float = 4e-3, seed: int = 3) -> None:
-        """Adam over windows of the sample; every position of a window counts."""
-        p, c, windows = self.p, self.context, []
-        for ids in texts:
-            stream = np.concatenate([[END], ids])
-            for at in range(0, len(ids), c):
-                part = stream[at : at + c + 1]
-                windows.append(np.concatenate([part, np.full(c + 1 - len(part), -1)]))
-        if not windows:
+        """Adam over windows of the texts; every position of a window counts."""
+        if not texts:
             return
-        data, rng = np.array(windows), np.random.default_rng(seed)
-        m, v2, t = {k: np.zeros_like(a) for k, a in p.items()}, {k: np.zeros_like(a) for k, a in p.items()}, 0
-        distance = np.maximum(np.arange(c)[:, None] - np.arange(c)[None, :], 0)
-        root = np.float32(math.sqrt(p["q"].shape[0]))
+        inputs, target, there = self.windows(np.concatenate(texts), np.array([len(t) for t in texts]))
+        rng, moments, t = np.random.default_rng(seed), [], 0
         while t < steps:
-            order = rng.permutation(len(data))
+            order = rng.permutation(len(inputs))
             for at in range(0, len(order), batch):
                 if t == steps:
                     break
-                rows = data[order[at : at + batch]]
-                there = rows >= 0
-                inputs, target, count = self.input[np.maximum(rows[:, :-1], 0)], self.of[np.maximum(rows[:, 1:], 0)], there[:, 1:]
-                x = p["e"][inputs]
-                q, k, v = x @ p["q"] / root, x @ p["k"], x @ p["v"]
-                a = self._weights(q, k, *self._bias(c))
-                a /= a.sum(axis=2, keepdims=True)
-                o = a @ v
-                h = x + o @ p["o"]
-                z, log_sum = self._class_logits(h)
-                dz = np.exp(z - log_sum[:, :, None])
-                np.put_along_axis(dz, target[:, :, None], np.take_along_axis(dz, target[:, :, None], 2) - 1, 2)
-                dz *= (count / max(1, count.sum()))[:, :, None].astype(np.float32)
-                flat = lambda y: y.reshape(-1, y.shape[-1])
-                dh = dz @ p["u"].T
-                do = dh @ p["o"].T
-                da = do @ v.transpose(0, 2, 1)
-                ds = a * (da - (a * da).sum(axis=2, keepdims=True))
-                dq, dk, dv = ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ do
-                dx = dh + dq @ p["q"].T / root + dk @ p["k"].T + dv @ p["v"].T
-                de = np.zeros_like(p["e"])
-                np.add.at(de, inputs.ravel(), flat(dx))
-                g = {
-                    "u": flat(h).T @ flat(dz), "b": flat(dz).sum(0), "o": flat(o).T @ flat(dh), "q": flat(x).T @ flat(dq) / root, "k": flat(x).T @ flat(dk),
-                    "v": flat(x).T @ flat(dv), "e": de, "r": np.bincount(distance.ravel(), (ds.sum(0) * np.tri(c)).ravel(), c).astype(np.float32),
-                }
+                own = order[at : at + batch]
                 t += 1
-                slower = rate * (1 - 0.9 * t / steps)
-                for name, grad in g.items():
-                    m[name] += 0.1 * (grad - m[name])
-                    v2[name] += 0.01 * (grad * grad - v2[name])
-                    p[name] -= (slower * (m[name] / (1 - 0.9**t)) / (np.sqrt(v2[name] / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
+                self._step(moments, self._gradient(inputs[own], target[own], there[own]), rate * (1 - 0.9 * t / steps))
+
+    def learn(self, moments: list, ids: np.ndarray, sizes: np.ndarray, rate: float, batch: int = 64, seed: int = 4) -> int:
+        """Adam once over all windows of some texts; returns their number."""
+        inputs, target, there = self.windows(ids, sizes)
+        order = np.random.default_rng(seed).permutation(len(inputs))
+        for at in range(0, len(order), batch):
+            own = order[at : at + batch]
+            self._step(moments, self._gradient(inputs[own], target[own], there[own]), rate * len(own) / batch)
+        return len(order)
 
     def scores(self, ids: np.ndarray, sizes: np.ndarray, batch: int = 512) -> np.ndarray:
         """log10 probability of each text; ``ids`` holds all texts, each with
@@ -473,14 +527,11 @@ def pair_counts(rows: DataFrame, model: Attention) -> np.ndarray:
         import zstandard
 
         total = None
-        for part in (batch.slice(at, 1) for batch in batches for at in range(batch.num_rows)):
-            for row in part.to_pylist():
-                opened = _opened(row)
-                for a, b, ids, n in _spelled(*opened):
-                    first = np.zeros(len(ids), bool)
-                    first[np.cumsum(n) - n] = True
-                    keep = np.repeat(~opened[0]["held_out"][a:b], n)
-                    total = shared.value.count_pairs(ids[keep], first[keep], total)
+        for row in _rows_of(batches):
+            for ids, n in _training(row):
+                first = np.zeros(len(ids), bool)
+                first[np.cumsum(n) - n] = True
+                total = shared.value.count_pairs(ids, first, total)
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % 4], pa.int32()), pa.array([zstandard.ZstdCompressor(level=1).compress(total.tobytes())], pa.binary())], ["part", "a"])
 
@@ -496,6 +547,92 @@ def pair_counts(rows: DataFrame, model: Attention) -> np.ndarray:
     return sum((_unpacked(r["a"], "<u8") for r in sums), np.zeros((BEFORE + CLASSES) * (AFTER + 1), np.uint64))
 
 
+def _training(row) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, number of ids of each) of a block's training texts, some at a time."""
+    opened = _opened(row)
+    for a, b, ids, n in _spelled(*opened):
+        train = ~opened[0]["held_out"][a:b]
+        if train.any():
+            yield ids[np.repeat(train, n)], n[train]
+
+
+def _rows_of(batches) -> Iterator[dict]:
+    for part in (batch.slice(at, 1) for batch in batches for at in range(batch.num_rows)):
+        yield from part.to_pylist()
+
+
+def neighbour_table(rows: DataFrame, counts: np.ndarray) -> np.ndarray:
+    """Neighbours of every id (a row a rank) over all training documents: a sum in
+    each task, sums of cell ranges in Spark; the table's size is fixed."""
+    cells = VOCABULARY * (2 * COLUMNS + 2)
+    step = -(-cells // 16)
+    shared = rows.sparkSession.sparkContext.broadcast(ranked(counts)[1])
+
+    def run(batches):
+        import zstandard
+
+        pack, total = zstandard.ZstdCompressor(level=1).compress, None
+        for row in _rows_of(batches):
+            for ids, n in _training(row):
+                before = np.concatenate([[END], ids[:-1]])
+                before[np.cumsum(n) - n] = END
+                total = np.zeros(cells, np.uint32) if total is None else total
+                np.add.at(total, neighbour_counts(shared.value, before, ids), np.uint32(1))
+        for part in range(16 if total is not None else 0):
+            own = total[part * step : (part + 1) * step]
+            at = np.flatnonzero(own)
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([pack(at.astype("<u4").tobytes())], pa.binary()), pa.array([pack(own[at].tobytes())], pa.binary())], ["part", "a", "b"])
+
+    def add(part: pd.DataFrame) -> pd.DataFrame:
+        import zstandard
+
+        total, pack = np.zeros(step, np.uint64), zstandard.ZstdCompressor(level=1).compress
+        for at, n in zip(part["a"], part["b"], strict=True):
+            total[_unpacked(at, "<u4")] += _unpacked(n, "<u4")
+        return pd.DataFrame({"part": [int(part["part"].iloc[0])], "a": [pack(total.astype("<f4").tobytes())]})
+
+    out = np.zeros(cells, np.float32)
+    for r in rows.select("a", "b", "c").mapInArrow(run, "part int, a binary, b binary").groupBy("part").applyInPandas(add, "part int, a binary").collect():
+        own = out[r["part"] * step : (r["part"] + 1) * step]
+        own[:] = _unpacked(r["a"], "<f4")[: len(own)]
+    return out.reshape(VOCABULARY, -1)
+
+
+def learn_all(rows: DataFrame, model: Attention) -> int:
+    """Trains the model once on every id of every training document, in rounds of
+    some of the blocks: each task goes on from the shared weights over its own
+    documents, and the tasks' weights are averaged by their windows. Returns the
+    number of windows."""
+    names, seen = list(model.p), 0
+    for turn, rate in enumerate(RATES):
+        shared = rows.sparkSession.sparkContext.broadcast(model)
+
+        def run(batches, shared=shared, rate=rate):
+            own, moments, windows = copy.copy(shared.value), [], 0
+            own.p = {k: a.copy() for k, a in own.p.items()}
+            for row in _rows_of(batches):
+                for ids, n in _training(row):
+                    windows += own.learn(moments, ids, n, rate)
+            if windows:
+                weights = np.concatenate([own.p[k].ravel() for k in names]).astype("<f8") * windows
+                yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % 16], pa.int32()), pa.array([windows], pa.int64()), pa.array([weights.tobytes()], pa.binary())], ["part", "windows", "a"])
+
+        def add(part: pd.DataFrame) -> pd.DataFrame:
+            total = sum(np.frombuffer(bytes(x), "<f8") for x in part["a"])
+            return pd.DataFrame({"windows": [int(part["windows"].sum())], "a": [total.tobytes()]})
+
+        some = rows.where(F.pmod(F.xxhash64("block"), F.lit(len(RATES))) == turn).select("a", "b", "c")
+        sums = some.mapInArrow(run, "part int, windows long, a binary").groupBy("part").applyInPandas(add, "windows long, a binary").collect()
+        windows = sum(r["windows"] for r in sums)
+        if windows:
+            mean, at = sum(np.frombuffer(bytes(r["a"]), "<f8") for r in sums) / windows, 0
+            for name in names:
+                model.p[name] = mean[at : at + model.p[name].size].reshape(model.p[name].shape).astype(np.float32)
+                at += model.p[name].size
+        seen += windows
+    return seen
+
+
 def scores(documents: DataFrame, path: str | None = None, modulus: int = HELD_OUT_MODULUS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``."""
     spark = documents.sparkSession
@@ -512,9 +649,12 @@ def scores(documents: DataFrame, path: str | None = None, modulus: int = HELD_OU
         left -= len(ids)
         sample.append(ids)
     sample = [s for s in sample if len(s)]
-    model = Attention(id_counts(rows.where(F.col("kind") == _IDS)), sample)
-    model.set_pairs(pair_counts(rows.where(F.col("kind") == _DOCS), model))
+    whole, counts = rows.where(F.col("kind") == _DOCS), id_counts(rows.where(F.col("kind") == _IDS))
+    model = Attention(counts, sample, neighbours=neighbour_table(whole, counts))
+    pairs = pair_counts(whole, model)
     model.train(sample)
+    learn_all(whole, model)
+    model.set_pairs(pairs)
     shared = spark.sparkContext.broadcast(model)
 
     def score(block: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
