@@ -47,3 +47,14 @@ def test_no_nested_loop(spark):
     df = terminals_within_radius(customer_profiles(spark, "/root/testdata/sf0.001"), terminal_profiles(spark, "/root/testdata/sf0.001"), 5.0)
     text = plan_text(df)
     assert "NestedLoop" not in text and "CartesianProduct" not in text
+
+
+def test_candidates_of_a_task_are_bounded(spark):
+    """Few bytes, many pairs: 400 customers and 100 terminals on one spot."""
+    cust = spark.range(400).selectExpr("id AS CUSTOMER_ID", "50.5D AS x_customer_id", "50.5D AS y_customer_id").coalesce(1)
+    term = spark.range(100).selectExpr("id AS TERMINAL_ID", "51D AS x_terminal_id", "51D AS y_terminal_id").coalesce(1)
+    pairs = radius_pairs(cust, term, 5.0, task_candidates=2_000)
+    of_task = [r["count"] for r in pairs.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    assert sum(of_task) == 40_000 and max(of_task) <= 3 * 2_000
+    lists = pairs.groupBy("CUSTOMER_ID").agg(F.collect_list("TERMINAL_ID"))
+    assert plan_text(lists).count("Exchange hashpartitioning") == 1  # pairs are not moved
