@@ -272,3 +272,22 @@ def test_unseen_or_null_label_does_not_stop_scoring(spark):
     assert out[1]["TX_FRAUD"] == 7 and out[3]["TX_FRAUD"] is None  # label carried through unchanged
     assert all(out[i]["prediction"] in (0.0, 1.0) for i in out)
     assert {"indexedFeatures", "rawPrediction", "probability", "predictedLabel", "probability_fraud"} <= set(out[1].asDict())
+
+
+def test_files_of_inputs_and_log_do_not_follow_the_rows(spark):
+    """A file is a micro-batch, so their number is fixed; so is that of a batch's files in the log."""
+    from txpipe.plans import q_stream as Q
+
+    start = F.timestamp_seconds(F.col("id") + 1_704_067_200)
+    rows = spark.range(0, 4_000, 1, 40).select(F.col("id").alias("TRANSACTION_ID"), start.alias("TX_DATETIME"))
+    path = work_path(spark, "t-slices").removeprefix("file:")
+    Q.write_inputs(rows, path)
+    files = sorted(f for f in os.listdir(path) if f.startswith("part-"))
+    assert len(files) == Q.INPUT_SLICES
+    said = [json.loads(x)["TRANSACTION_ID"] for f in files for x in open(os.path.join(path, f))]
+    assert said == list(range(4_000))  # all rows, file names in time order
+    hours = spark.range(0, 400, 1, 40).select((F.timestamp_seconds(F.col("id") * 3_600)).alias("window_start"), F.col("id").alias("n"))
+    log = work_path(spark, "t-log-files").removeprefix("file:")
+    H.append_batch(hours, 0, log)
+    assert sum(f.endswith(".parquet") for f in os.listdir(f"{log}/batch_id=0")) <= H.LOG_FILES
+    assert spark.read.parquet(log).count() == 400

@@ -21,6 +21,10 @@ from txpipe.streaming import hourly as H
 from txpipe.streaming import scoring as SC
 
 FILE_SOURCE = {"maxFilesPerTrigger": "1"}
+#: Input files of a run. A file is a micro-batch, read by many tasks, and each of
+#: those leaves a file in the sink, a micro-batch of the hourly stream: files by
+#: size would mean micro-batches without bound.
+INPUT_SLICES = 8
 FEAT_SQL = O.with_(O.TX, O.PICKS, O.LAB, O.features_cte()) + f"SELECT {', '.join(S.FEATURE_TABLE)} FROM feat"
 HOURLY_RULE_SQL = (
     O.labelled_prefix()
@@ -39,12 +43,12 @@ def _features(spark, sf):
 
 
 def write_inputs(feats, path: str, since: str | None = None, until: str | None = None, mode: str = "overwrite") -> None:
-    """Messages in time order; the range sort gives several files, each a
-    time slice (the replay order of the reference's producer)."""
+    """Messages in time order; the range sort gives ``INPUT_SLICES`` files, each
+    a time slice (the replay order of the reference's producer)."""
     df = feats
     if until is not None:
         df = df.where(F.col("TX_DATETIME") < F.lit(until).cast("timestamp"))
-    write_messages(to_messages(df, since=since), path, mode=mode)
+    write_messages(to_messages(df, since=since, slices=INPUT_SLICES), path, mode=mode)
 
 
 def _run_scoring(spark, scorer, in_path, sink, ckpt):

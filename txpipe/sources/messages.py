@@ -16,10 +16,12 @@ from txpipe import schema as S
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
-def to_messages(df: DataFrame, since: str | None = None, index_col: str | None = "TRANSACTION_ID") -> DataFrame:
+def to_messages(df: DataFrame, since: str | None = None, index_col: str | None = "TRANSACTION_ID", slices: int | None = None) -> DataFrame:
     """Rows at or after ``since`` (P9), in time order (T2), as one
     JSON text column ``value``. Timestamps are written as text with
-    microseconds (``to_json`` alone would cut them to milliseconds)."""
+    microseconds (``to_json`` alone would cut them to milliseconds). With
+    ``slices`` the time order is cut into that many partitions, whatever the
+    number of rows; otherwise their number follows the size."""
     out = df
     if since is not None:
         out = out.where(F.col("TX_DATETIME") >= F.lit(since).cast("timestamp"))
@@ -31,7 +33,9 @@ def to_messages(df: DataFrame, since: str | None = None, index_col: str | None =
             cols.append(F.date_format(f.name, TS_TEXT).alias(f.name))
         else:
             cols.append(F.col(f.name))
-    return out.orderBy("TX_DATETIME", "TRANSACTION_ID").select(F.to_json(F.struct(*cols)).alias("value"))
+    order = ["TX_DATETIME", "TRANSACTION_ID"]
+    out = out.repartitionByRange(slices, *order).sortWithinPartitions(*order) if slices else out.orderBy(*order)
+    return out.select(F.to_json(F.struct(*cols)).alias("value"))
 
 
 def write_messages(messages: DataFrame, path: str, fmt: str = "text", options: dict | None = None, mode: str = "overwrite") -> None:

@@ -27,6 +27,8 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from txpipe.operators.stats import hourly_measures
 
+LOG_FILES = 4  # of a batch
+
 SCORED_SCHEMA = T.StructType(
     [
         T.StructField("TRANSACTION_ID", T.LongType()),
@@ -88,8 +90,9 @@ def start_live_table(agg: DataFrame, name: str, log_path: str, checkpoint: str,
 
 
 def append_batch(rows: DataFrame, batch_id: int, log_path: str) -> None:
-    """One micro-batch's rows as a folder of the log, in place of an earlier try."""
-    tagged = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    """One micro-batch's rows as a folder of the log, in place of an earlier try:
+    a few files, not one for each partition of the state."""
+    tagged = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).repartition(LOG_FILES, "window_start")
     tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(log_path)
 
 
