@@ -160,3 +160,32 @@ def test_stretches_of_a_giant_word_come_in_bounded_sets(monkeypatch):
     word = "".join(rng.choice("abcdefgh") for _ in range(700))
     sets = list(toxicity.word_sets(word))
     assert max(map(len, sets)) <= 200 and set().union(*sets) == {word[i : i + n] for n in toxicity.STRETCHES for i in range(len(word) - n + 1)}
+
+
+def test_words_by_bytes_equal_words_by_characters():
+    import time
+
+    drop = {c: None for c in range(33, 127) if not chr(c).isalnum()}
+    looks = {ord(d): c for d, c in zip("0134578", "oieastb", strict=True)}
+
+    def plain(text):
+        lower = text.lower()
+        text = " ".join(lower.translate(drop | looks).split())
+        out = text.split(" ") + [m.replace(" ", "") for m in toxicity._SINGLES.findall(" " + text)]
+        return out + [w for w in lower.translate(dict.fromkeys(drop, " ") | looks).split() if len(w) > 2]
+
+    rng = random.Random(8)
+    letters = "abIZ019 .,!-_~\t\n\x00\x7f\x85\xa0\u2003éÄß漢字🙂\u0301İ"
+    texts = ["", "été i d i o t", *("".join(rng.choices(letters, k=rng.randint(1, 200))) for _ in range(500))]
+    assert [toxicity.words(t) for t in texts] == [plain(t) for t in texts]
+    long = "листен été, wörter 漢字 " * 40_000
+
+    def seconds(f):
+        least = []
+        for _ in range(3):
+            begun = time.process_time()
+            f(long)
+            least.append(time.process_time() - begun)
+        return min(least)
+
+    assert seconds(toxicity.words) < 0.8 * seconds(plain)

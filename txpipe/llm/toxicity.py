@@ -64,19 +64,19 @@ HELD_OUT_MODULUS, HELD_OUT_AT = 5, 0
 
 _STEPS = [(a, b) for a in (1, 2, 3) for b in (1, 2, 3) if a + b <= 4]
 _LETTERS = 28  # a-z, other letters, edge of a word
-_LOOKS = {ord(d): c for d, c in zip("0134578", "oieastb", strict=True)}
-_DROP = {c: None for c in range(33, 127) if not chr(c).isalnum()}
-_TABLE = _DROP | _LOOKS
-_BREAK = dict.fromkeys(_DROP, " ") | _LOOKS
+_DROP = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+_LOOKS = bytes.maketrans(b"0134578", b"oieastb")  # on UTF-8: other bytes of letters stay
+_BREAK = bytes.maketrans(b"0134578" + _DROP, b"oieastb" + b" " * len(_DROP))
+_CODES = bytes(c - 97 if 97 <= c <= 122 else 26 for c in range(256))
 _SINGLES = re.compile(r"(?: \S){3,}(?= |$)")
 
 
 def words(text: str) -> list[str]:
-    lower = text.lower()
-    text = " ".join(lower.translate(_TABLE).split())
+    raw = text.lower().encode("utf-8", "surrogatepass")
+    text = " ".join(raw.translate(_LOOKS, _DROP).decode("utf-8", "surrogatepass").split())
     out = text.split(" ")
     out += [m.replace(" ", "") for m in _SINGLES.findall(" " + text)]
-    out += [w for w in lower.translate(_BREAK).split() if len(w) > 2]
+    out += [w for w in raw.translate(_BREAK).decode("utf-8", "surrogatepass").split() if len(w) > 2]
     return out
 
 
@@ -97,15 +97,18 @@ def word_sets(text: str) -> Iterator[set[str]]:
         yield out
 
 
-def _fold(word: str) -> list[int]:
-    plain = word if word.isascii() else unicodedata.normalize("NFD", word)
-    return [27, *(ord(c) - 97 if "a" <= c <= "z" else 26 for c in plain if not unicodedata.combining(c)), 27]
+def _fold(word: str) -> bytes:
+    """A letter code each, with the edges."""
+    if word.isascii():
+        return b"\x1b" + word.encode().translate(_CODES) + b"\x1b"
+    plain = unicodedata.normalize("NFD", word)
+    return bytes([27, *(ord(c) - 97 if "a" <= c <= "z" else 26 for c in plain if not unicodedata.combining(c)), 27])
 
 
 def subsequences(ws: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word number, subsequence code, weight), each pair once."""
     letters = [_fold(w) for w in ws]
-    flat = np.array([c for ls in letters for c in ls], np.int64)
+    flat = np.frombuffer(b"".join(letters), np.uint8).astype(np.int64)
     owner = np.repeat(np.arange(len(ws)), [len(ls) for ls in letters])
     keys, weights = [], []
     for a, b in _STEPS:
