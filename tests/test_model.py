@@ -79,3 +79,30 @@ def test_tune_both_matches_cross_validator(spark, feats):
         cv = CrossValidator(estimator=est, estimatorParamMaps=M.param_grid("random_forest", est), evaluator=M.evaluator(metric),
                             numFolds=2, foldCol="fold", parallelism=4).fit(prep)
         assert both[metric].avgMetrics == pytest.approx(cv.avgMetrics, abs=1e-9)
+
+
+def test_boosted_rounds_come_from_one_fit_a_fold(spark, feats, monkeypatch):
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.tuning import CrossValidator
+
+    idx = M.label_indexer(feats)
+    prep = M.prepare(feats, idx)
+    est, fits = M.classifier("gbt"), []
+    expected = {m: CrossValidator(estimator=est, estimatorParamMaps=M.param_grid("gbt", est), evaluator=M.evaluator(m), numFolds=2, seed=M.SEED).fit(prep).avgMetrics for m in ("areaUnderROC",)}
+    plain = GBTClassifier._fit
+    monkeypatch.setattr(GBTClassifier, "_fit", lambda self, df: fits.append(self.getMaxIter()) or plain(self, df))
+    both = M.tune_both("gbt", prep, idx, folds=2)
+    refits = len({max(range(2), key=lambda i: t.avgMetrics[i]) for t in both.values()})
+    assert fits[:2] == [10, 10] and len(fits) == 2 + refits
+    for metric, avg in expected.items():
+        assert both[metric].avgMetrics == pytest.approx(avg, abs=1e-9)
+
+
+def test_tune_equals_cross_validator_on_random_folds(spark, feats):
+    from pyspark.ml.tuning import CrossValidator
+
+    idx = M.label_indexer(feats)
+    prep = M.prepare(feats, idx)
+    est = M.classifier("svm")
+    cv = CrossValidator(estimator=est, estimatorParamMaps=M.param_grid("svm", est), evaluator=M.evaluator("areaUnderPR"), numFolds=2, seed=M.SEED).fit(prep)
+    assert M.tune("svm", prep, idx, "areaUnderPR", folds=2).avgMetrics == pytest.approx(cv.avgMetrics, abs=1e-9)

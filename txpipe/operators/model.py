@@ -112,7 +112,10 @@ def tune(
     fold_col: str | None = None,
 ) -> CrossValidatorModel:
     """K-fold CV over the grid; refit best on all rows; wrap in the
-    4-stage pipeline. ``fold_col`` gives user folds (e.g. time blocks, Q13)."""
+    4-stage pipeline. ``fold_col`` gives user folds (e.g. time blocks, Q13).
+    Hard-label metrics on random folds come from :func:`tune_both`."""
+    if hard and not fold_col:
+        return tune_both(kind, prepared, indexer, folds, parallelism, features, metrics=(metric,))[metric]
     est = classifier(kind)
     grid = param_grid(kind, est)
     cv = CrossValidator(
@@ -128,6 +131,28 @@ def tune(
     return _whole(kind, est, grid, indexer, cvm.bestModel, cvm.avgMetrics, metric, hard, folds, features)
 
 
+def _fitted_together(kind: str, grid: list) -> list[list[int]]:
+    """Grid points that one fit serves: those of a boosted model that differ in
+    ``maxIter`` alone, since fewer rounds are the first trees of more."""
+    if kind != "gbt":
+        return [[i] for i in range(len(grid))]
+    groups: dict[frozenset, list[int]] = {}
+    for i, pm in enumerate(grid):
+        groups.setdefault(frozenset((p.name, v) for p, v in pm.items() if p.name != "maxIter"), []).append(i)
+    return list(groups.values())
+
+
+def _after_rounds(model, df: DataFrame, rounds: list[int]) -> DataFrame:
+    """Each row once for every number of ``rounds``: label, that number, and the
+    prediction of the boosted model's first so many trees."""
+    margin, margins = F.lit(0.0), {}
+    for i, (tree, weight) in enumerate(zip(model.trees, model.treeWeights), 1):
+        df = tree.setFeaturesCol(FEATURES_COL).setPredictionCol(f"_tree{i}").transform(df)
+        margin = margins[i] = margin + F.col(f"_tree{i}") * F.lit(weight)
+    points = [F.struct(F.lit(n).alias("rounds"), F.when(margins[min(n, len(margins))] > 0, 1.0).otherwise(0.0).alias("prediction")) for n in rounds]
+    return df.select(LABEL_COL, F.inline(F.array(*points)))
+
+
 def tune_both(
     kind: str,
     prepared: DataFrame,
@@ -137,12 +162,14 @@ def tune_both(
     features: list[str] | None = None,
     fold_col: str | None = None,
     seed: int = SEED,
+    metrics: tuple[str, ...] = ("areaUnderROC", "areaUnderPR"),
 ) -> dict[str, CrossValidatorModel]:
     """M10 for both hard-label metrics at once: the ROC and the PR runs of
     the reference fit the same models on the same folds, so each fold and
-    grid point is fitted once (``fitMultiple``, ``parallelism`` at a time)
-    and scored once; one confusion-count aggregate gives both areas. The
-    best point per metric is refitted on all rows. Returns
+    grid point is fitted once (``parallelism`` at a time, of whatever fold)
+    and scored once; one confusion-count aggregate gives both areas. Boosted
+    models of fewer rounds are read off the longest one. The best point per
+    metric is refitted on all rows. Returns
     ``{"areaUnderROC": ..., "areaUnderPR": ...}``."""
     from concurrent.futures import ThreadPoolExecutor
 
@@ -155,29 +182,29 @@ def tune_both(
         fold_col = "_fold"
     else:
         data = prepared
-    sums = {"areaUnderROC": [0.0] * len(grid), "areaUnderPR": [0.0] * len(grid)}
-    for f in range(folds):
+
+    def fit_and_score(task):
+        f, points = task
         # The folds are filters over one stored table; MLlib keeps its own copy while it fits.
         train, valid = data.where(F.col(fold_col) != f), data.where(F.col(fold_col) == f)
-        models = est.fitMultiple(train, grid)  # thread-safe iterator
-
-        def fit_and_score(_):
-            i, model = next(models)
-            m = hard_metrics(model.transform(valid), LABEL_COL, "prediction", digits=None).first()
-            return i, m["roc_auc"], m["pr_auc"]
-
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            for i, roc, pr in pool.map(fit_and_score, range(len(grid))):
-                sums["areaUnderROC"][i] += roc / folds
-                sums["areaUnderPR"][i] += pr / folds
-    out = {}
-    refits: dict[int, object] = {}
-    for metric, avg in sums.items():
-        best = max(range(len(grid)), key=lambda i: avg[i])
-        if best not in refits:
-            refits[best] = est.copy(grid[best]).fit(prepared)
-        out[metric] = _whole(kind, est, grid, indexer, refits[best], avg, metric, True, folds, features)
-    return out
+        if len(points) == 1:
+            scored = est.copy(grid[points[0]]).fit(train).transform(valid)
+            return f, [(points[0], hard_metrics(scored, LABEL_COL, "prediction", digits=None).first())]
+        rounds = {i: grid[i][est.maxIter] for i in points}
+        model = est.copy(grid[max(points, key=rounds.get)]).fit(train)
+        found = {r["rounds"]: r for r in hard_metrics(_after_rounds(model, valid, list(rounds.values())), LABEL_COL, "prediction", ["rounds"], None).collect()}
+        return f, [(i, found[n]) for i, n in rounds.items()]
+
+    areas = {m: [[0.0] * folds for _ in grid] for m in metrics}
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        for f, found in pool.map(fit_and_score, [(f, points) for f in range(folds) for points in _fitted_together(kind, grid)]):
+            for i, m in found:
+                for metric in metrics:
+                    areas[metric][i][f] = m["roc_auc" if metric == "areaUnderROC" else "pr_auc"]
+        averages = {metric: [sum(a / folds for a in point) for point in points] for metric, points in areas.items()}
+        best = {metric: max(range(len(grid)), key=lambda i: avg[i]) for metric, avg in averages.items()}
+        refits = dict(zip(set(best.values()), pool.map(lambda i: est.copy(grid[i]).fit(prepared), set(best.values()))))
+    return {metric: _whole(kind, est, grid, indexer, refits[best[metric]], avg, metric, True, folds, features) for metric, avg in averages.items()}
 
 
 def avg_metrics(spark, kind: str, tuned: CrossValidatorModel) -> DataFrame:
