@@ -106,3 +106,48 @@ def test_every_training_id_is_learned_and_classed(docs):
     before = model.scores(flat, sizes).sum()
     assert lm.learn_all(whole, model) == sum(-(-len(t) // lm.CONTEXT) for t in texts)  # no sample
     assert model.scores(flat, sizes).sum() > before
+
+
+def test_gradient_is_the_slope_of_the_loss():
+    model, rng = small_model()
+    texts = [rng.integers(0, 300, n) for n in (1, 7, 8, 9, 60)]
+    inputs, target, there = model.windows(np.concatenate(texts), np.array([len(t) for t in texts]))
+    adam = lm.Adam(model)
+    model._gradient(inputs, target, there, adam.gradient, adam.room)
+
+    def loss(p):
+        x = p["e"][inputs]
+        distance = np.arange(model.context)[:, None] - np.arange(model.context)
+        s = (x @ p["q"]) @ (x @ p["k"]).transpose(0, 2, 1) / math.sqrt(x.shape[2]) + p["r"][np.maximum(distance, 0)]
+        a = np.exp(s) * (distance >= 0)
+        z = (x + a / a.sum(2, keepdims=True) @ (x @ p["v"]) @ p["o"]) @ p["u"] + p["b"]
+        return -(np.take_along_axis(z, target[:, :, None].astype(int), 2)[:, :, 0] - np.log(np.exp(z).sum(2)))[there].mean()
+
+    wide = {k: a.astype(float) for k, a in model.p.items()}
+    for name in wide:
+        way = rng.normal(0, 1, wide[name].shape)
+        slope = (loss(wide | {name: wide[name] + 1e-4 * way}) - loss(wide | {name: wide[name] - 1e-4 * way})) / 2e-4
+        assert abs((adam.gradient[name] * way).sum() - slope) < 1e-3 * max(0.05, abs(slope))
+
+
+def test_exponents_beyond_the_bound_are_clipped():
+    model, rng = small_model()
+    bias, mask = model._bias(model.context)
+    for scale in (1, 100):
+        s = rng.normal(0, scale, (3, model.context, model.context)).astype(np.float32)
+        want = np.exp(np.clip(s + bias, -60, 60)) * mask
+        assert np.allclose(model._weights(s.copy(), bias, mask), want, rtol=1e-5)
+
+
+def test_blocks_hold_each_word_in_its_place():
+    texts = [b"", b" \t\n", b"One two\x0bTWO\x0c one ", b"", "é É 　日本\x1c x".encode(), b"\x00 two", b"x" * 5_000]
+    block = lm.Block(texts, [True, False, True, True, True, False, True], 3)
+    assert block.n_words.tolist() == [len(lm.split_words(t)) for t in texts]
+    assert [block.words[i] for i in block.sequence] == [w for t in texts for w in lm.split_words(t)]
+    assert len(set(block.words)) == len(block.words) == len(block.hashes) and block.words[block.end] == b""
+    assert block.counts[block.end] == 5 and block.counts[block.words.index(b"two")] == 2
+    speller = lm.Speller(None)
+    flat, sizes = speller.spelled(block.words)
+    alone = [speller.encode(" " + w.decode("utf-8", "replace")).tolist() for w in block.words]
+    assert flat.tolist() == sum(alone, []) and sizes.tolist() == [len(a) for a in alone]
+    assert [len(s) for s in speller.spelled([])] == [0, 0]

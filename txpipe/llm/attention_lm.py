@@ -36,10 +36,8 @@ import copy
 import heapq
 import math
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, count
 
 import numpy as np
 import pandas as pd
@@ -60,7 +58,6 @@ SAMPLE_TASK, SAMPLE_DOCS, SAMPLE_IDS = 256, 1_024, 1_500_000  # documents of lea
 STEPS = 1_200  # steps on the sample, from which the pass over all documents starts
 RATES = (1e-3, 5e-4, 2e-4)  # of the rounds of that pass
 COLUMNS = 256  # most frequent neighbours by which ids are classed
-KNOWN_WORDS = 200_000
 
 CLASSES = 48
 OWN_CLASS = 16  # most frequent ids with a class each
@@ -69,12 +66,14 @@ BEFORE, AFTER = 1_024, 4_096  # pair counts: most frequent ids before (others by
 BACKING = 8.0  # pairs that the counts of single ids stand for
 WIDTH = 24
 CONTEXT = 32
+BOUND = 60  # of exponents
 
 _DOCS, _IDS, _SAMPLE = -1, -2, -3
 _SCHEMA = "block long, kind int, a binary, b binary, c binary"
 _DOC = np.dtype([("doc_id", "<i8"), ("known_id", "?"), ("held_out", "?"), ("n_words", "<i4")])
 _ODD_SPACE = re.compile(r"[^\S ]")
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+_SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 
 
 def split_words(raw: bytes) -> list[bytes]:
@@ -92,45 +91,42 @@ def encoding(path: str | None = None):
 
 
 class Speller:
-    """Ids of words as bytes (little-endian uint16), kept for known words.
+    """Ids of words as bytes (little-endian uint16).
 
-    New words are encoded many at a time, each after a space, which begins a
+    Words are encoded many at a time, each after a space, which begins a
     new piece; ids are told apart by the bytes they stand for. Words with other
     white space inside go one by one."""
 
     def __init__(self, path: str | None):
         encoding_ = encoding(path)
-        self.encode, self.known = encoding_.encode_ordinary, {}
+        self.encode = encoding_.encode_to_numpy
         self.sizes = np.array([len(encoding_.decode_single_token_bytes(i)) for i in range(END)])
 
-    def _one(self, word: bytes) -> bytes:
-        return np.array(self.encode(" " + word.decode("utf-8", "replace")), "<u2").tobytes()
-
-    def _learn(self, words: list[bytes]) -> None:
+    def _some(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         text = (b" " + b" ".join(words)).decode("utf-8", "replace")
         if text.count(" ") == len(words) and not _ODD_SPACE.search(text):
-            ids = np.array(self.encode(text), "<u2")
-            ends = np.cumsum([len(w) + 1 for w in words])
-            stops = np.cumsum(self.sizes[ids])
+            ids = self.encode(text)
+            ends, stops = np.cumsum([len(w) + 1 for w in words]), np.cumsum(self.sizes[ids])
             cuts = np.searchsorted(stops, ends)
             if stops[-1] == ends[-1] and (stops[cuts] == ends).all():
-                raw, at = ids.tobytes(), (2 * (cuts + 1)).tolist()
-                self.known.update((w, raw[i:j]) for w, i, j in zip(words, [0, *at], at, strict=False))
-                return
-        self.known.update((w, self._one(w)) for w in words)
+                return ids.astype("<u2"), np.diff(cuts, prepend=-1)
+        each = [self.encode(" " + w.decode("utf-8", "replace")).astype("<u2") for w in words]
+        return np.concatenate(each), np.array([len(ids) for ids in each])
+
+    def spelled(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, joined, and the number of each word's."""
+        parts = [self._some(words[at : at + 512]) for at in range(0, len(words), 512)]
+        return tuple(np.concatenate([p[i] for p in parts] or [[]]).astype(kind) for i, kind in ((0, "<u2"), (1, np.int64)))
 
     def ids(self, words: list[bytes]) -> list[bytes]:
-        if len(self.known) > KNOWN_WORDS:
-            self.known = {}
-        new = [w for w in words if w not in self.known]
-        for at in range(0, len(new), 512):
-            self._learn(new[at : at + 512])
-        return list(map(self.known.__getitem__, words))
+        flat, sizes = self.spelled(words)
+        raw, at = flat.tobytes(), (2 * np.cumsum(sizes)).tolist()
+        return [raw[i:j] for i, j in zip([0, *at], at, strict=False)]
 
 
 @lru_cache(maxsize=1)
 def speller_of(path: str | None) -> Speller:
-    """A Python worker's speller; what it knows serves all its tasks."""
+    """A Python worker's speller; it serves all its tasks."""
     return Speller(path)
 
 
@@ -148,12 +144,14 @@ class Block:
     def __init__(self, texts: list[bytes], training: list[bool], buckets: int):
         import xxhash
 
-        lists = [split_words(t) for t in texts]
-        self.n_words = np.array([len(ws) for ws in lists], np.int32)
-        place = defaultdict(count(1).__next__)  # numbers words as they come
-        sequence = np.fromiter(map(place.__getitem__, chain.from_iterable(lists)), np.uint32, int(self.n_words.sum()))
-        del lists
-        words = [b"", *place]
+        every = np.frombuffer(b" ".join(texts).translate(_LOWER), np.uint8)
+        inside = ~_SPACE[every]
+        edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+        starts, offsets = edges[::2], np.concatenate([[0], np.cumsum(edges[1::2] - edges[::2])])
+        self.n_words = np.diff(np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts])), prepend=0).astype(np.int32)
+        buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(every[inside])]
+        coded = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
+        sequence, words = coded.indices.to_numpy() + 1, [b"", *coded.dictionary.to_numpy(zero_copy_only=False)]
         hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
         order = np.argsort(hashes % np.uint64(buckets), kind="stable")
         number = np.empty(len(words), np.uint32)
@@ -188,9 +186,8 @@ def blocks(docs: DataFrame, path: str | None, buckets: int, block_bytes: int = B
             block = Block(texts, [not h for h in held], buckets)
             own = first + number
             meta = np.array([(i or 0, i is not None, h, n) for i, h, n in zip(ids, held, block.n_words, strict=True)], _DOC)
-            spelled = speller.ids(block.words)
-            spelled[block.end] = np.array([END], "<u2").tobytes()
-            sizes, flat = np.array([len(s) // 2 for s in spelled]), np.frombuffer(b"".join(spelled), "<u2")
+            flat, sizes = speller.spelled(block.words[: block.end] + block.words[block.end + 1 :])
+            flat, sizes = np.insert(flat, sizes[: block.end].sum(), END), np.insert(sizes, block.end, 1)
             starts = np.cumsum(sizes) - sizes
             totals = np.bincount(flat, np.repeat(block.counts, sizes), VOCABULARY).astype("<u8")
             head = np.array([len(sizes), block.end], "<u4").tobytes()
@@ -357,25 +354,32 @@ class Attention:
         return out
 
     def _bias(self, queries: int) -> tuple[np.ndarray, np.ndarray]:
-        """Learned bias by distance for the last positions, and the causal mask."""
-        distance = np.arange(self.context - queries, self.context)[:, None] - np.arange(self.context)[None, :]
+        """Learned bias by distance of all positions (rows) from the last ones, and the causal mask."""
+        distance = np.arange(self.context - queries, self.context)[None, :] - np.arange(self.context)[:, None]
         return self.p["r"][np.maximum(distance, 0)], (distance >= 0).astype(np.float32)
 
-    def _weights(self, q: np.ndarray, k: np.ndarray, bias: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        """Attention weights before they are divided by their sum."""
-        s = q @ k.transpose(0, 2, 1)
+    def _weights(self, s: np.ndarray, bias: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        """Attention weights, in place, before they are divided by their sum."""
+        if max(s.max(), -s.min()) + abs(bias).max() <= BOUND:
+            np.exp(s, out=s)
+            s *= np.exp(bias) * mask
+            return s
         s += bias
-        np.clip(s, -60, 60, out=s)  # so that exponentials neither vanish nor overflow
+        np.clip(s, -BOUND, BOUND, out=s)  # so that exponentials neither vanish nor overflow
         np.exp(s, out=s)
         s *= mask
         return s
 
-    def _class_logits(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Logits and the logarithm of their exponentials' sum."""
-        z = h @ self.p["u"]
-        z += self.p["b"]
-        np.clip(z, -60, 60, out=z)
-        return z, np.log(np.exp(z).sum(axis=-1))
+    def _class_logits(self, h: np.ndarray, z: np.ndarray) -> np.ndarray:
+        """Logits of the classes (rows) in ``z``; the last row of ``h`` is ones."""
+        np.matmul(np.concatenate([self.p["u"].T, self.p["b"][:, None]], axis=1), h, out=z)
+        return z if max(z.max(), -z.min()) <= BOUND else np.clip(z, -BOUND, BOUND, out=z)
+
+    def _products(self) -> np.ndarray:
+        """What makes of an input (a column) itself, the vector whose products with other
+        inputs are attention logits, and what it adds where it is attended to."""
+        p, d = self.p, len(self.p["q"])
+        return np.concatenate([np.eye(d, dtype=np.float32), p["k"] @ p["q"].T / np.float32(math.sqrt(d)), (p["v"] @ p["o"]).T])
 
     def windows(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Inputs, classes to foretell and which of them are there, a row a window;
@@ -390,114 +394,171 @@ class Attention:
         np.minimum(place, len(ids) - 1, out=place)
         return self.input[shifted[place]].astype(np.int32), self.of[ids[place]].astype(np.int8), there
 
-    def _gradient(self, inputs: np.ndarray, target: np.ndarray, there: np.ndarray) -> dict[str, np.ndarray]:
-        """Gradient of the mean loss over the positions that are there."""
-        p, c = self.p, self.context
-        root = np.float32(math.sqrt(p["q"].shape[0]))
-        flat = lambda y: y.reshape(-1, y.shape[-1])
-        x = p["e"][inputs]
-        q, k, v = np.split(flat(x) @ np.concatenate([p["q"] / root, p["k"], p["v"]], axis=1), 3, axis=1)
-        q, k, v = q.reshape(x.shape), k.reshape(x.shape), v.reshape(x.shape)
-        a = self._weights(q, k, *self._bias(c))
-        a /= a.sum(axis=2, keepdims=True)
-        o = a @ v
-        h = flat(x) + flat(o) @ p["o"]
-        dz = h @ p["u"]
-        dz += p["b"]
-        np.clip(dz, -60, 60, out=dz)
+    def _gradient(self, inputs: np.ndarray, target: np.ndarray, there: np.ndarray, into: dict[str, np.ndarray], room: Room) -> None:
+        """Gradient of the mean loss over the positions that are there. Arrays hold a row
+        a feature and a column a position, so that what numpy does is done on long rows; some more
+        columns, which count for nothing, keep rows from places a power of two apart."""
+        p, c, d, n = self.p, self.context, len(self.p["q"]), inputs.size
+        wide, windows = n + 16, len(inputs)
+        deep = lambda y: y[:, :n].reshape(len(y), -1, c).transpose(1, 0, 2)  # noqa: E731  (window, feature, position)
+        at, share = np.zeros(wide, np.intp), np.zeros(wide, np.float32)
+        at[:n], share[:n] = inputs.ravel(), there.ravel() / np.float32(max(1, there.sum()))
+        made, y = self._products(), room("y", 3 * d + 1, wide)
+        np.matmul(made, np.take(p["e"], at, axis=0, out=room("e", wide, d), mode="clip").T, out=y[:-1])
+        y[-1] = 1  # its attended sum is the weights' sum
+        x, x3, t3, u3 = y[:d], deep(y[:d]), deep(y[d : 2 * d]), deep(y[2 * d :])
+        # (window, attended, attending)
+        w = self._weights(np.matmul(x3.transpose(0, 2, 1), t3, out=room("w", windows, c, c)), *self._bias(c))
+        o, h = room("o", d + 1, wide), room("h", d + 1, wide)
+        o[:, n:] = 1
+        np.matmul(u3, w, out=deep(o))
+        inverse = 1 / o[-1]
+        o[:-1] *= inverse
+        np.add(x, o[:-1], out=h[:-1])
+        h[-1] = 1
+        dz = self._class_logits(h, room("z", CLASSES, wide))
         np.exp(dz, out=dz)
-        dz /= dz.sum(axis=1, keepdims=True)
-        dz[np.arange(len(dz)), target.ravel()] -= 1
-        dz *= (there.ravel() / max(1, there.sum())).astype(np.float32)[:, None]
-        dh = dz @ p["u"].T
-        do = (dh @ p["o"].T).reshape(x.shape)
-        ds = do @ v.transpose(0, 2, 1)
-        ds -= np.einsum("bij,bij->bi", a, ds)[:, :, None]
-        ds *= a
-        dq, dk, dv = flat(ds @ k), flat(ds.transpose(0, 2, 1) @ q), flat(a.transpose(0, 2, 1) @ do)
-        dx = dh + dq @ (p["q"] / root).T + dk @ p["k"].T + dv @ p["v"].T
-        order = np.argsort(inputs.ravel(), kind="stable")
-        own = inputs.ravel()[order]
-        first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-        de = np.zeros_like(p["e"])
-        de[own[first]] = np.add.reduceat(dx[order], first, axis=0)
-        distance = np.maximum(np.arange(c)[:, None] - np.arange(c)[None, :], 0)
-        return {
-            "u": h.T @ dz, "b": dz.sum(0), "o": flat(o).T @ dh, "q": flat(x).T @ dq / root, "k": flat(x).T @ dk,
-            "v": flat(x).T @ dv, "e": de, "r": np.bincount(distance.ravel(), (ds.sum(0) * np.tri(c)).ravel(), c).astype(np.float32),
-        }
-
-    def _step(self, moments: list, gradient: dict[str, np.ndarray], rate: float) -> None:
-        """One step of Adam; ``moments`` are the number of steps and two means."""
-        if not moments:
-            moments += [0, {k: np.zeros_like(a) for k, a in self.p.items()}, {k: np.zeros_like(a) for k, a in self.p.items()}]
-        moments[0] += 1
-        t, m, v2 = moments
-        for name, grad in gradient.items():
-            m[name] += 0.1 * (grad - m[name])
-            v2[name] += 0.01 * (grad * grad - v2[name])
-            self.p[name] -= (rate * (m[name] / (1 - 0.9**t)) / (np.sqrt(v2[name] / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
+        dz *= share / (np.ones(len(dz), np.float32) @ dz)
+        dz.reshape(-1)[target.ravel() * np.intp(wide) + np.arange(n)] -= share[:n]
+        du = h @ dz.T
+        into["u"][...], into["b"][...] = du[:-1], du[-1]
+        dx, g, dh = room("dx", d, wide), room("g", d + 1, wide), h[:-1]
+        np.matmul(p["u"], dz, out=dx)
+        np.multiply(dx, inverse, out=g[:-1])
+        np.multiply(g[:-1], o[:-1], out=dh)
+        np.negative(np.ones(d, np.float32) @ dh, out=g[-1])
+        g3 = deep(g)
+        ds = np.matmul(u3.transpose(0, 2, 1), g3, out=room("ds", windows, c, c))
+        ds *= w
+        dtu, dk = room("dtu", 2 * d, wide), o[:-1]
+        dtu[:, n:], dk[:, n:] = 0, 0
+        np.matmul(x3, ds, out=deep(dtu[:d]))
+        np.matmul(g3[:, :-1], w.transpose(0, 2, 1), out=deep(dtu[d:]))
+        np.matmul(t3, ds.transpose(0, 2, 1), out=deep(dk))
+        dx += dk
+        dx += np.matmul(np.ascontiguousarray(made[d:].T), dtu, out=dh)
+        dboth = dtu @ x.T
+        dqk, dvo = dboth[:d] / np.float32(math.sqrt(d)), dboth[d:]
+        into["q"][...], into["k"][...], into["v"][...], into["o"][...] = dqk.T @ p["k"], dqk @ p["q"], (p["o"] @ dvo).T, (dvo @ p["v"]).T
+        for own, row in zip(into["e"].T, dx, strict=True):
+            own[...] = np.bincount(at, row, len(own))
+        distance = np.maximum(np.arange(c)[None, :] - np.arange(c)[:, None], 0)
+        into["r"][...] = np.bincount(distance.ravel(), np.ones(windows, np.float32) @ ds.reshape(windows, -1), c)
 
     def train(self, texts: list[np.ndarray], steps: int = STEPS, batch: int = 64, rate: float = 4e-3, seed: int = 3) -> None:
         """Adam over windows of the texts; every position of a window counts."""
         if not texts:
             return
         inputs, target, there = self.windows(np.concatenate(texts), np.array([len(t) for t in texts]))
-        rng, moments, t = np.random.default_rng(seed), [], 0
-        while t < steps:
+        rng, adam = np.random.default_rng(seed), Adam(self)
+        while adam.steps < steps:
             order = rng.permutation(len(inputs))
             for at in range(0, len(order), batch):
-                if t == steps:
+                if adam.steps == steps:
                     break
                 own = order[at : at + batch]
-                t += 1
-                self._step(moments, self._gradient(inputs[own], target[own], there[own]), rate * (1 - 0.9 * t / steps))
+                self._gradient(inputs[own], target[own], there[own], adam.gradient, adam.room)
+                adam.step(rate * (1 - 0.9 * (adam.steps + 1) / steps))
 
-    def learn(self, moments: list, ids: np.ndarray, sizes: np.ndarray, rate: float, batch: int = 64, seed: int = 4) -> int:
+    def learn(self, adam: Adam, ids: np.ndarray, sizes: np.ndarray, rate: float, batch: int = 64, seed: int = 4) -> int:
         """Adam once over all windows of some texts; returns their number."""
         inputs, target, there = self.windows(ids, sizes)
         order = np.random.default_rng(seed).permutation(len(inputs))
         for at in range(0, len(order), batch):
             own = order[at : at + batch]
-            self._step(moments, self._gradient(inputs[own], target[own], there[own]), rate * len(own) / batch)
+            self._gradient(inputs[own], target[own], there[own], adam.gradient, adam.room)
+            adam.step(rate * len(own) / batch)
         return len(order)
 
-    def scores(self, ids: np.ndarray, sizes: np.ndarray, batch: int = 512) -> np.ndarray:
+    def scores(self, ids: np.ndarray, sizes: np.ndarray, batch: int = 128) -> np.ndarray:
         """log10 probability of each text; ``ids`` holds all texts, each with
         its end, of ``sizes`` ids. Texts are cut into half windows; the ids of
-        one attend to it and to the one before."""
-        p, half, begins = self.p, self.context // 2, np.cumsum(sizes) - sizes
+        one attend to it and to the one before. Rows and columns as in ``_gradient``."""
+        p, c, half, d, begins = self.p, self.context, self.context // 2, len(self.p["q"]), np.cumsum(sizes) - sizes
         shifted = np.empty_like(ids)
         shifted[1:] = ids[:-1]
         shifted[begins] = END  # what stands before a text
-        inputs, targets = self.input[shifted], self.of[ids]
         n = -(-sizes // half)
         owner = np.repeat(np.arange(len(sizes)), n)
         turn = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
         place = (begins[owner] + turn * half)[:, None] + np.arange(half)[None, :]
         valid = place < (begins + sizes)[owner][:, None]
         np.minimum(place, len(ids) - 1, out=place)
+        inputs, targets = self.input[shifted][np.concatenate([place[:1], place])], self.of[ids][place]
         out = np.bincount(np.repeat(np.arange(len(sizes)), sizes), self.within_class(shifted, ids), len(sizes))
-        bias, causal = self._bias(half)
-        alone = causal.copy()
-        alone[:, :half] = 0  # a text's first half window has none before it
-        into_q, into_kv = p["q"] / np.float32(math.sqrt(len(p["q"]))), np.concatenate([p["k"], p["v"]], axis=1)
+        bias = self._bias(half)
+        room, made = Room(), self._products()
         for at in range(0, len(owner), batch):
             own = slice(at, at + batch)
-            x = p["e"][inputs[place[max(0, at - 1) : at + batch]]]
-            kv = x @ into_kv
-            before = np.concatenate([kv[:1], kv[:-1]])[at > 0 :]
-            x, kv = x[at > 0 :], kv[at > 0 :]
-            kv = np.concatenate([before, kv], axis=1)
-            w = self._weights(x @ into_q, kv[:, :, : len(into_q)], bias, np.where((turn[own] > 0)[:, None, None], causal, alone))
-            h = w @ kv[:, :, len(into_q) :]
-            h /= w.sum(axis=2, keepdims=True)
-            z, log_sum = self._class_logits(x + h @ p["o"])
-            logs = np.take_along_axis(z, targets[place[own]][:, :, None], 2)[:, :, 0] - log_sum
-            out += np.bincount(owner[own], np.where(valid[own], logs, 0).sum(axis=1, dtype=np.float64) / math.log(10), len(sizes))
+            i = inputs[at : at + batch + 1].ravel()  # with the half window before
+            y = room("y", 3 * d + 1, len(i))
+            np.matmul(made, np.take(p["e"], i, axis=0, out=room("e", len(i), d), mode="clip").T, out=y[:-1])
+            y[-1] = 1
+            step, long = y.strides[1], y.strides[0]
+            attended = np.lib.stride_tricks.as_strided(y, (len(i) // half - 1, len(y), c), (half * step, long, step))
+            deep = lambda a: a.reshape(len(a), -1, half).transpose(1, 0, 2)
+            w = self._weights(np.matmul(attended[:, :d].transpose(0, 2, 1), deep(y[d : 2 * d, half:]), out=room("w", len(attended), c, half)), *bias)
+            w[turn[own] == 0, :half] = 0  # a text's first half window has none before it
+            h = room("h", d + 1, len(i) - half)
+            np.matmul(attended[:, 2 * d :], w, out=deep(h))
+            h[:-1] /= h[-1]
+            h[:-1] += y[:d, half:]
+            h[-1] = 1
+            z = self._class_logits(h, room("z", CLASSES, len(i) - half))
+            logs = np.take(z, targets[own].ravel() * z.shape[1] + np.arange(z.shape[1]))
+            np.exp(z, out=z)
+            logs -= np.log(np.ones(len(z), np.float32) @ z)
+            out += np.bincount(owner[own], np.where(valid[own], logs.reshape(-1, half), 0).sum(axis=1, dtype=np.float64) / math.log(10), len(sizes))
         return out
 
 
+class Room:
+    """Arrays by name, kept from step to step: memory taken anew would be cleared each time."""
+
+    def __init__(self):
+        self.kept = {}
+
+    def __call__(self, name: str, *shape: int) -> np.ndarray:
+        size = math.prod(shape)
+        if name not in self.kept or self.kept[name].size < size:
+            self.kept[name] = np.empty(size, np.float32)
+        return self.kept[name][:size].reshape(shape)
+
+
+class Adam:
+    """Adam on the weights of a model. They and their gradient become views of one vector
+    each."""
+
+    def __init__(self, model: Attention):
+        self.room, self.steps, self.weights = Room(), 0, np.concatenate([a.ravel() for a in model.p.values()], dtype=np.float32)
+        self.vector, self.mean, self.square = (np.zeros_like(self.weights) for _ in range(3))
+        shapes = {name: a.shape for name, a in model.p.items()}
+        model.p, self.gradient = ({}, {})
+        at = 0
+        for name, shape in shapes.items():
+            size = math.prod(shape)
+            for views, vector in ((model.p, self.weights), (self.gradient, self.vector)):
+                own = vector[at : at + size]
+                views[name] = own.reshape(shape)
+            at += size
+
+    def step(self, rate: float) -> None:
+        self.steps += 1
+        t, g, m, v = self.steps, self.vector, self.mean, self.square
+        g *= np.float32(0.1)
+        m *= np.float32(0.9)
+        m += g
+        g *= g  # a hundredth of the squares
+        v *= np.float32(0.99)
+        v += g
+        root = math.sqrt(1 - 0.99**t)
+        np.sqrt(v, out=g)
+        g += np.float32(1e-8 * root)
+        np.divide(m, g, out=g)
+        g *= np.float32(rate * root / (1 - 0.9**t))
+        self.weights -= g
+
+
 def _opened(block) -> tuple[np.ndarray, ...]:
     """Documents, words (each text's, then the end), and the words' ids with
     their sizes, of a block's row."""
@@ -608,11 +669,11 @@ def learn_all(rows: DataFrame, model: Attention) -> int:
         shared = rows.sparkSession.sparkContext.broadcast(model)
 
         def run(batches, shared=shared, rate=rate):
-            own, moments, windows = copy.copy(shared.value), [], 0
-            own.p = {k: a.copy() for k, a in own.p.items()}
+            own, windows = copy.copy(shared.value), 0
+            adam = Adam(own)
             for row in _rows_of(batches):
                 for ids, n in _training(row):
-                    windows += own.learn(moments, ids, n, rate)
+                    windows += own.learn(adam, ids, n, rate)
             if windows:
                 weights = np.concatenate([own.p[k].ravel() for k in names]).astype("<f8") * windows
                 yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % 16], pa.int32()), pa.array([windows], pa.int64()), pa.array([weights.tobytes()], pa.binary())], ["part", "windows", "a"])
