@@ -68,6 +68,21 @@ def test_small_tables(spark, rows):
     assert run(spark, rows) == brute(rows, 30, 2_000)
 
 
+def test_no_row_of_a_block_is_large(spark):
+    """A block's words and text are many rows, and its filters are made from a stream of them."""
+    rng = random.Random(3)
+    rows = [(" ".join(rng.choice(["the", "quick", "fox", f"w{rng.randint(0, 20_000)}", "end."]) for _ in range(150_000)), "en"), ("the quick fox. " * 40, "fr")]
+    df = spark.createDataFrame([(*r, "x", 1, 2, "y", "z", 3) for r in rows], SCHEMA).coalesce(1)
+    blocked = C.blocks(df).cache()
+    texts = blocked.where("word IS NULL").selectExpr("block", "place", "length(ids) AS size").collect()
+    assert len(texts) > 2 and max(r["size"] for r in texts) <= 4 * C.TEXT_NUMBERS
+    assert blocked.where("ids IS NULL").selectExpr("max(length(word)) AS m").first()["m"] < 10
+    plan = C.filters(blocked, C.vocabulary(blocked), 15, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "collect_list" not in plan
+    blocked.unpersist()
+    assert run(spark, rows, parts=1) == brute(rows, 30, 2_000)
+
+
 @pytest.mark.parametrize("n,bits", [(2, 1), (2, 13), (3, 17), (4, 16), (4, 17), (3, 31), (4, 32), (2, 32), (4, 1)])
 def test_filters_lose_nothing(n, bits):
     rng = np.random.default_rng(n * 100 + bits)

@@ -1,13 +1,15 @@
 """Phrase collocations, counted in counting quotient filters.
 
 Texts are read once: blocks of some 8 MB become numbers into the block's own
-list of words. Words of ``LEAST`` or more occurrences in their language get
-dense ids, joined back to the blocks; no phrase with a rarer word can be a
-candidate. A block's word n-grams go into quotient filters (``quotient.py``),
-split by the first bits of the permuted key. Filters of one shard are merged,
-up to ``FAN`` at once; where there are more blocks, groups of them are merged
-first and split further, so that a task's share stays that of a block. An id
-belongs to one language, so keys need no language beside them.
+list of words, kept as small rows: one a word, and pieces of the text. Words of
+``LEAST`` or more occurrences in their language get dense ids, joined back to
+the blocks; no phrase with a rarer word can be a candidate. A block's rows are
+sorted and streamed to one task, which holds one block at a time. Its word
+n-grams go into quotient filters (``quotient.py``), split by the first bits of
+the permuted key. Filters of one shard are merged, up to ``FAN`` at once; where
+there are more blocks, groups of them are merged first and split further, so
+that a task's share stays that of a block. An id belongs to one language, so
+keys need no language beside them.
 
 Then plain joins: the counts of a candidate's parts at each cut, the lowest
 score, the longer candidates that swallow it, and the first ranks per language.
@@ -24,6 +26,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import batched
 
 import numpy as np
 import pandas as pd
@@ -43,6 +46,11 @@ BLOCK = 8 << 20  # bytes of text
 FAN = 4_096
 ID_ROWS = 1 << 16  # words numbered by one task
 RANK_ROWS = 1 << 20
+TEXTS = 256  # texts taken out of a batch at once
+WORD_ROWS = 8_192  # words of a block in one batch
+TEXT_NUMBERS = 1 << 16  # numbers of a block's text in one row
+KEYS = 1 << 18  # places of n-grams permuted at once
+_ROW = pa.schema([("block", pa.int64()), ("place", pa.int32()), ("lang", pa.string()), ("word", pa.string()), ("n", pa.int64()), ("ids", pa.binary())])
 
 # The characters that end a piece.
 _ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -50,8 +58,10 @@ _FOLD = bytes(10 if b in _ENDS else b + 32 if 65 <= b <= 90 else b for b in rang
 
 
 def blocks(documents: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``block, ids, words``: numbers into ``words`` (lang, word, n), one
-    more than the place there, 0 between pieces; as two or four bytes."""
+    """``block, place, lang, word, n, ids``: a row for each word of a block, at
+    its place, and rows without a word that hold the block's text in order:
+    numbers, one more than a word's place, 0 between pieces, as two or four
+    bytes; ``n`` is then the number of words. No row is large."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -60,44 +70,70 @@ def blocks(documents: DataFrame, block: int = BLOCK) -> DataFrame:
         langs: dict[str, defaultdict] = {}
         size, width, pieces = 0, 0, []
 
-        def flush() -> pa.RecordBatch:
-            ids = np.concatenate(pieces)
-            n = np.bincount(ids, minlength=width + 1)
+        def rows(*columns) -> pa.RecordBatch:
+            columns = ([part << 32 | made] * len(columns[0]), *columns)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _ROW.types, strict=True)], schema=_ROW)
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            n = np.zeros(width + 1, np.int64)
+            for body in _cut(pieces, TEXT_NUMBERS):
+                n += np.bincount(body, minlength=width + 1)
             words, of = [b""] * width, [""] * width
             for lang, known in langs.items():
                 for word, i in known.items():
                     words[i - 1], of[i - 1] = word, lang
-            body = ids.astype(np.uint16 if width < 1 << 16 else np.uint32).tobytes()
-            rows = pa.StructArray.from_arrays([pa.array(of, pa.string()), pa.array(words, pa.binary()).cast(pa.string()), pa.array(n[1:], pa.int64())], ["lang", "word", "n"])
-            lists = pa.ListArray.from_arrays(pa.array([0, width], pa.int32()), rows)
-            return pa.RecordBatch.from_arrays([pa.array([part << 32 | made], pa.int64()), pa.array([body], pa.binary()), lists], ["block", "ids", "words"])
+            for at in range(0, width, WORD_ROWS):
+                to = min(width, at + WORD_ROWS)
+                yield rows(np.arange(at, to), of[at:to], pa.array(words[at:to], pa.binary()).cast(pa.string()), n[at + 1 : to + 1], [None] * (to - at))
+            kind = np.uint16 if width < 1 << 16 else np.uint32
+            for at, body in enumerate(_cut(pieces, TEXT_NUMBERS)):
+                yield rows([at], [None], [None], [width], [body.astype(kind).tobytes()])
 
         for batch in batches:
-            for raw, lang in zip(text_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                known = langs.setdefault(lang, defaultdict())
-                known.default_factory = lambda: width + 1
-                ids: list[int] = []
-                for piece in raw.translate(_FOLD).split(b"\n"):
-                    for word in piece.split():
-                        i = known[word]
-                        if i > width:
-                            width = i
-                        ids.append(i)
-                    ids.append(0)
-                pieces.append(np.array(ids, np.uint32))
-                size += len(raw)
-                if size >= block:
-                    yield flush()
-                    langs, size, width, pieces, made = {}, 0, 0, [], made + 1
+            for at in range(0, batch.num_rows, TEXTS):
+                some = batch.slice(at, TEXTS)
+                for raw, lang in zip(text_bytes(some.column(0)), some.column(1).to_pylist(), strict=True):
+                    known = langs.setdefault(lang, defaultdict())
+                    known.default_factory = lambda: width + 1
+                    ids: list[int] = []
+                    for piece in raw.translate(_FOLD).split(b"\n"):
+                        for word in piece.split():
+                            i = known[word]
+                            if i > width:
+                                width = i
+                            ids.append(i)
+                        ids.append(0)
+                    pieces.append(np.array(ids, np.uint32))
+                    size += len(raw)
+                    if size >= block:
+                        yield from flush()
+                        langs, size, width, pieces, made = {}, 0, 0, [], made + 1
         if width:
-            yield flush()
+            yield from flush()
 
     texts = documents.select(F.col("text").cast("string").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
-    return texts.mapInArrow(run, "block long, ids binary, words array<struct<lang:string,word:string,n:bigint>>")
+    return texts.mapInArrow(run, "block long, place int, lang string, word string, n long, ids binary")
+
+
+def _cut(pieces: list[np.ndarray], most: int) -> Iterator[np.ndarray]:
+    """The pieces in order, as arrays of ``most`` numbers, the last one of fewer."""
+    held, size = [], 0
+    for piece in pieces:
+        while size + len(piece) >= most:
+            yield np.concatenate([*held, piece[: most - size]])
+            piece, held, size = piece[most - size :], [], 0
+        held.append(piece)
+        size += len(piece)
+    if size:
+        yield np.concatenate(held)
 
 
 def _words(blocked: DataFrame) -> DataFrame:
-    return blocked.select("block", F.posexplode("words").alias("place", "w")).select("block", "place", "w.*")
+    return blocked.where(F.col("word").isNotNull()).drop("ids")
+
+
+def _texts(blocked: DataFrame) -> DataFrame:
+    return blocked.where(F.col("word").isNull())
 
 
 def vocabulary(blocked: DataFrame, least: int = LEAST) -> DataFrame:
@@ -114,34 +150,59 @@ def grams(ids: np.ndarray, n: int, bits: int) -> Q.Keys:
     """Keys of the ``n``-grams of frequent words; ``ids`` holds -1 for others and
     between pieces."""
     m = max(0, len(ids) - n + 1)
-    good = np.ones(m, bool)
-    for j in range(n):
-        good &= ids[j : j + m] >= 0
-    at = np.flatnonzero(good)
-    return Q.permuted([ids[at + j].view(np.uint64) for j in range(n)], bits)
+    parts = [Q.permuted([np.zeros(0, np.uint64)] * n, bits)]
+    for start in range(0, m, KEYS):
+        part = ids[start : start + KEYS + n - 1]
+        good = np.ones(len(part) - n + 1, bool)
+        for j in range(n):
+            good &= part[j : j + len(good)] >= 0
+        at = np.flatnonzero(good)
+        parts.append(Q.permuted([part[at + j].astype(np.uint64) for j in range(n)], bits))
+    return np.concatenate([hi for hi, _ in parts]), np.concatenate([lo for _, lo in parts])
 
 
 def filters(blocked: DataFrame, vocab: DataFrame, bits: int, split: int) -> DataFrame:
-    """``n, shard, source, body``: each block's filters."""
-    places = _words(blocked).join(vocab.select("lang", "word", "id"), ["lang", "word"]).groupBy("block").agg(F.collect_list(F.struct("place", "id")).alias("known"))
+    """``n, shard, source, body``: each block's filters. A block's frequent words
+    and then its text come to one task as sorted rows."""
+    known = _words(blocked).join(vocab.select("lang", "word", "id"), ["lang", "word"])
+    known = known.select("block", F.lit(False).alias("text"), "place", F.col("id").alias("n"), F.lit(None).cast("binary").alias("ids"))
+    texts = _texts(blocked).select("block", F.lit(True).alias("text"), "place", "n", "ids")
+    rows = known.unionByName(texts).repartition("block").sortWithinPartitions("block", "text", "place")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_block, words, texts = None, [], []
+
+        def made() -> Iterator[pa.RecordBatch]:
+            if not words or not texts:
+                return
+            width = texts[0][0]
+            number = np.full(width + 1, -1, np.int64)
+            for place, word in words:
+                number[place + 1] = word
+            ids = np.concatenate([number[np.frombuffer(body, np.uint16 if width < 1 << 16 else np.uint32)] for _, body in texts])
+            texts.clear()
+            for n in range(2, LONGEST + 1):
+                keys, counts = Q.counted(grams(ids, n, bits))
+                for part in batched(Q.sharded(keys, counts, n * bits, min(split, n * bits)), 512):
+                    columns = [pa.array([n] * len(part), pa.int32()), pa.array([s for s, _ in part], pa.int64()), pa.array([at_block] * len(part), pa.int64()), pa.array([b for _, b in part], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["n", "shard", "source", "body"])
+
         for batch in batches:
-            for row in range(batch.num_rows):
-                block, body, width = (batch.column(c)[row].as_py() for c in range(3))
-                known = batch.column(3)[row].values.flatten()
-                number = np.full(width + 1, -1, np.int64)
-                number[np.asarray(known[0]) + 1] = np.asarray(known[1])
-                ids = number[np.frombuffer(body, np.uint16 if width < 1 << 16 else np.uint32)]
-                for n in range(2, LONGEST + 1):
-                    keys, counts = Q.counted(grams(ids, n, bits))
-                    out = Q.sharded(keys, counts, n * bits, min(split, n * bits))
-                    for at in range(0, len(out), 512):
-                        part = out[at : at + 512]
-                        columns = [pa.array([n] * len(part), pa.int32()), pa.array([s for s, _ in part], pa.int64()), pa.array([block] * len(part), pa.int64()), pa.array([b for _, b in part], pa.binary())]
-                        yield pa.RecordBatch.from_arrays(columns, ["n", "shard", "source", "body"])
-
-    rows = blocked.select("block", "ids", F.size("words").alias("width")).join(places, "block")
+            blocks = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(blocks[1:] != blocks[:-1]) + 1).tolist(), len(blocks)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if a == b:
+                    continue
+                if blocks[a] != at_block:
+                    yield from made()
+                    at_block, words, texts = int(blocks[a]), [], []
+                part = batch.slice(a, b - a)
+                first = (b - a) - part.column(1).true_count
+                if first:
+                    words.append((part.column(2).slice(0, first).to_numpy(), part.column(3).slice(0, first).to_numpy()))
+                texts += zip(part.column(3).slice(first).to_pylist(), part.column(4).slice(first).to_pylist(), strict=True)
+        yield from made()
+
     return rows.mapInArrow(run, "n int, shard long, source long, body binary")
 
 
@@ -151,7 +212,7 @@ def _merger(bits: int, split: int):
     def again(group: pd.DataFrame) -> pd.DataFrame:
         n, shard, source = (int(group[c].iloc[0]) for c in ("n", "shard", "source"))
         keys, counts = Q.merged(list(group["body"]), n * bits, shard)
-        out = Q.sharded(keys, counts, n * bits, min(split, n * bits))
+        out = list(Q.sharded(keys, counts, n * bits, min(split, n * bits)))
         return pd.DataFrame({"n": n, "shard": [s for s, _ in out], "source": source, "body": [b for _, b in out]})
 
     return again
@@ -164,7 +225,7 @@ def phrases(blocked: DataFrame, vocab: DataFrame, least: int = LEAST, fan: int =
     bits = max(1, int(top).bit_length())
     if bits * LONGEST > 128:
         raise ValueError(f"word ids of {bits} bits do not fit")
-    n_blocks = max(1, blocked.count())
+    n_blocks = max(1, _texts(blocked).where(F.col("place") == 0).count())
     step = min(fan.bit_length() - 1, n_blocks.bit_length() + 1)  # bits of the key by which each round splits
     rounds = max(1, math.ceil(math.log(n_blocks, fan)))
     rows = filters(blocked, vocab, bits, step)

@@ -15,6 +15,7 @@ Keys are two arrays of 64-bit words, the first one filled from the top.
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -77,6 +78,10 @@ def restored(keys: Keys, n: int, bits: int) -> np.ndarray:
 def counted(keys: Keys, counts: np.ndarray | None = None) -> tuple[Keys, np.ndarray]:
     """Distinct keys in order, and the sums of their counts (each one if not given)."""
     hi, lo = keys
+    if counts is None and not lo.any():
+        hi = np.sort(hi)
+        first = np.flatnonzero(np.append(True, hi[1:] != hi[:-1])[: len(hi)])
+        return (hi[first], lo[: len(first)]), np.diff(np.append(first, len(hi)))
     counts = np.ones(len(hi), np.int64) if counts is None else counts
     order = np.lexsort((lo, hi)) if lo.any() else np.argsort(hi, kind="stable")
     hi, lo, counts = hi[order], lo[order], counts[order]
@@ -143,9 +148,10 @@ def merged(bodies: list[bytes], total: int, shard: int) -> tuple[Keys, np.ndarra
     return counted((np.concatenate([k[0] for k, _ in parts]), np.concatenate([k[1] for k, _ in parts])), np.concatenate([c for _, c in parts]))
 
 
-def sharded(keys: Keys, counts: np.ndarray, total: int, skip: int) -> list[tuple[int, bytes]]:
+def sharded(keys: Keys, counts: np.ndarray, total: int, skip: int) -> Iterator[tuple[int, bytes]]:
     """Filters of sorted entries by their first ``skip`` bits."""
     hi, lo = keys
     shards = _right(hi, 64 - skip)
     cuts = np.concatenate([[0], np.flatnonzero(shards[1:] != shards[:-1]) + 1, [len(hi)]]) if len(hi) else np.zeros(1, np.int64)
-    return [(int(shards[a]), encoded((hi[a:b], lo[a:b]), counts[a:b], total, skip)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        yield int(shards[a]), encoded((hi[a:b], lo[a:b]), counts[a:b], total, skip)
