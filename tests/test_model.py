@@ -106,3 +106,62 @@ def test_tune_equals_cross_validator_on_random_folds(spark, feats):
     est = M.classifier("svm")
     cv = CrossValidator(estimator=est, estimatorParamMaps=M.param_grid("svm", est), evaluator=M.evaluator("areaUnderPR"), numFolds=2, seed=M.SEED).fit(prep)
     assert M.tune("svm", prep, idx, "areaUnderPR", folds=2).avgMetrics == pytest.approx(cv.avgMetrics, abs=1e-9)
+
+
+def _linear_rows(spark, n=600, seed=5):
+    """Own rows: a constant feature, a large one, two that tell the labels apart; three folds."""
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+
+    rng = np.random.default_rng(seed)
+    x = np.stack([rng.normal(size=n), np.full(n, 0.1), 1e4 + 50 * rng.normal(size=n), rng.integers(0, 2, n)], axis=1)
+    y = (x[:, 0] + x[:, 3] + 0.7 * rng.normal(size=n) > 1).astype(float)
+    rows = [(Vectors.dense(v), float(label), i % 3) for i, (v, label) in enumerate(zip(x.tolist(), y, strict=True))]
+    return spark.createDataFrame(rows, [M.FEATURES_COL, M.LABEL_COL, "fold"])
+
+
+@pytest.mark.parametrize("kind", ["logistic_regression", "svm"])
+def test_linear_models_of_all_folds_share_passes(spark, kind, monkeypatch):
+    from pyspark.ml.tuning import CrossValidator
+
+    from txpipe.operators import linear
+
+    df = _linear_rows(spark).repartition(3).cache()
+    idx = M.label_indexer(df.withColumnRenamed(M.LABEL_COL, "TX_FRAUD"))
+    est = M.classifier(kind)
+    grid = M.param_grid(kind, est)
+    expected = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=M.evaluator("areaUnderPR"), numFolds=3, foldCol="fold", parallelism=4).fit(df).avgMetrics
+    # The same coefficients as MLlib's, not only the same predictions.
+    kept = {}
+    plain = linear.solutions
+    monkeypatch.setattr(linear, "solutions", lambda kind, blocked, settings, scales: kept.setdefault("out", (settings, scales, plain(kind, blocked, settings, scales)))[2])
+    fits, fit = [], type(est)._fit
+    monkeypatch.setattr(type(est), "_fit", lambda self, rows: fits.append(1) or fit(self, rows))
+    both = M.tune_both(kind, df, idx, folds=3, fold_col="fold")
+    assert both["areaUnderPR"].avgMetrics == pytest.approx(expected, abs=1e-9)
+    assert len(fits) <= 2  # the best point of each metric on all rows
+    settings, scales, out = kept["out"]
+    for i in (0, len(grid) - 1):
+        p = est.copy(grid[i])
+        share = p.getElasticNetParam() if kind == "logistic_regression" else 0.0
+        k = next(k for k, s in enumerate(settings) if s[:3] == (1, share * p.getRegParam(), (1.0 - share) * p.getRegParam()))
+        w, b = scales[1].plain(out[k][min(p.getMaxIter(), len(out[k]) - 1)])
+        model = fit(p, df.where("fold <> 1"))
+        assert [*w, b] == pytest.approx([*model.coefficients, model.intercept], rel=1e-7, abs=1e-9)
+
+
+def test_linear_models_that_are_not_plain_go_to_mllib(spark):
+    from txpipe.operators import linear
+
+    est = M.classifier("logistic_regression")
+    grid = M.param_grid("logistic_regression", est)
+    found = lambda df, folds=3: linear.fold_counts("logistic_regression", est, grid, df, "fold", folds, M.FEATURES_COL, M.LABEL_COL)
+    df = _linear_rows(spark)
+    one_label = df.where(f"{M.LABEL_COL} = 0 OR fold = 2")
+    assert {f for f, _ in found(one_label)} == {0, 1}  # without fold 2 there is one label
+    assert {f for f, _ in found(df, 4)} == {0, 1, 2}  # fold 3 has no rows
+    assert found(df.withColumn(M.LABEL_COL, F.col(M.LABEL_COL) * 2)) == {}
+    assert found(df.withColumn(M.LABEL_COL, F.when(F.rand(1) > 0.01, F.col(M.LABEL_COL)))) == {}
+    assert found(df.limit(0)) == {}
+    counts = found(df.withColumn("fold", F.when(F.col("fold") < 2, F.col("fold"))), 2)
+    assert sum(counts[0, 0]) == df.where("fold = 0").count() and len(counts) == 2 * len(grid)

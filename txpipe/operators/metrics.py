@@ -45,7 +45,11 @@ def pr_auc_hard(tp: Column, fn: Column, fp: Column, tn: Column) -> Column:
 
 def hard_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction", by: list[str] | None = None, digits: int | None = 6) -> DataFrame:
     """Confusion counts plus ``roc_auc`` and ``pr_auc`` (rounded to ``digits``)."""
-    c = confusion(df, label, prediction, by)
+    return with_areas(confusion(df, label, prediction, by), digits)
+
+
+def with_areas(c: DataFrame, digits: int | None = 6) -> DataFrame:
+    """``roc_auc`` and ``pr_auc`` beside confusion counts."""
     tp, fn, fp, tn = (F.col(x) for x in ("tp", "fn", "fp", "tn"))
     roc, pr = roc_auc_hard(tp, fn, fp, tn), pr_auc_hard(tp, fn, fp, tn)
     if digits is not None:

@@ -11,6 +11,8 @@ which saves, loads, scores raw feature rows and evaluates like the reference's.
 
 from __future__ import annotations
 
+from itertools import chain
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -21,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txpipe import schema as S
+from txpipe.operators import linear
 from txpipe.session import stored
 
 LABEL = "TX_FRAUD"
@@ -168,12 +171,13 @@ def tune_both(
     the reference fit the same models on the same folds, so each fold and
     grid point is fitted once (``parallelism`` at a time, of whatever fold)
     and scored once; one confusion-count aggregate gives both areas. Boosted
-    models of fewer rounds are read off the longest one. The best point per
+    models of fewer rounds are read off the longest one, and linear models share
+    their passes over the rows (``linear.py``). The best point per
     metric is refitted on all rows. Returns
     ``{"areaUnderROC": ..., "areaUnderPR": ...}``."""
     from concurrent.futures import ThreadPoolExecutor
 
-    from txpipe.operators.metrics import hard_metrics
+    from txpipe.operators.metrics import hard_metrics, with_areas
 
     est = classifier(kind)
     grid = param_grid(kind, est)
@@ -196,8 +200,15 @@ def tune_both(
         return f, [(i, found[n]) for i, n in rounds.items()]
 
     areas = {m: [[0.0] * folds for _ in grid] for m in metrics}
+    counts = linear.fold_counts(kind, est, grid, data, fold_col, folds, FEATURES_COL, LABEL_COL) if kind in linear.KINDS else {}
+    shared: dict[int, list] = {}
+    if counts:
+        rows = [(f, i, *c) for (f, i), c in counts.items()]
+        for r in with_areas(prepared.sparkSession.createDataFrame(rows, "fold int, point int, tp long, fn long, fp long, tn long"), None).collect():
+            shared.setdefault(r["fold"], []).append((r["point"], r))
+    single = [(f, points) for f in range(folds) for points in _fitted_together(kind, grid) if (f, points[0]) not in counts]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        for f, found in pool.map(fit_and_score, [(f, points) for f in range(folds) for points in _fitted_together(kind, grid)]):
+        for f, found in chain(shared.items(), pool.map(fit_and_score, single)):
             for i, m in found:
                 for metric in metrics:
                     areas[metric][i][f] = m["roc_auc" if metric == "areaUnderROC" else "pr_auc"]
